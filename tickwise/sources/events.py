@@ -1,0 +1,92 @@
+"""Producer side for the driver's ``events`` table: each event becomes one
+tick message on a topic, exactly as the quote bridge publishes them.
+
+Mapping: ``event_type -> id``, ``ts -> time`` (epoch ms), ``value -> price``,
+``user_id % partitions -> partition``, ``event_id -> offset``.
+
+Delivery faults can be injected so that the consumer's validation and
+de-duplication have real work: every ``replay_every``-th event is delivered
+twice (the copy lands right after its original, in the next offset slot),
+and every ``corrupt_every``-th message is cut in half (not parseable). Both
+rules are deterministic so a SQL oracle can mirror them; neither removes
+rows. Offsets advance by 2 per event so a redelivered copy has a slot.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tickwise.sources.topic import DEFAULT_TOPIC
+
+# Fixed fault-injection parameters shared by the registered queries and their
+# SQL oracles.
+REPLAY_EVERY = 10
+CORRUPT_EVERY = 7
+TOPIC_PARTITIONS = 3
+OFFSET_STRIDE = 2
+
+
+def epoch_millis(df: DataFrame, col: str) -> Column:
+    """Epoch milliseconds of a timestamp column, independent of time zone for
+    ``TIMESTAMP_NTZ`` input (it is read as UTC wall time)."""
+    dtype = df.schema[col].dataType
+    if isinstance(dtype, T.TimestampNTZType):
+        return F.expr(f"timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{col}`)")
+    return F.unix_millis(F.col(col))
+
+
+def event_time(df: DataFrame, col: str) -> Column:
+    """The column as ``TIMESTAMP`` (an instant), which watermarks require.
+    ``TIMESTAMP_NTZ`` is read as UTC wall time (sessions run in UTC)."""
+    dtype = df.schema[col].dataType
+    if isinstance(dtype, T.TimestampNTZType):
+        return F.col(col).cast("timestamp")
+    return F.col(col)
+
+
+def tick_payload(id_col: Column, price_col: Column, time_ms_col: Column) -> Column:
+    """The tick JSON the bridge publishes: ``{"id":..,"price":..,"time":"<ms>"}``."""
+    return F.to_json(
+        F.struct(
+            id_col.alias("id"),
+            price_col.cast("float").alias("price"),
+            time_ms_col.cast("string").alias("time"),
+        )
+    )
+
+
+def events_to_topic(
+    events: DataFrame,
+    *,
+    topic: str = DEFAULT_TOPIC,
+    partitions: int = TOPIC_PARTITIONS,
+    replay_every: int | None = REPLAY_EVERY,
+    corrupt_every: int | None = CORRUPT_EVERY,
+) -> DataFrame:
+    """Topic records for every event (narrow: one scan, no shuffle)."""
+    payload = tick_payload(F.col("event_type"), F.col("value"), epoch_millis(events, "ts"))
+    copies = F.array(F.lit(0))
+    if replay_every:
+        copies = F.when(F.col("event_id") % F.lit(replay_every) == 0,
+                        F.array(F.lit(0), F.lit(1))).otherwise(copies)
+    staged = events.select(
+        "event_id", "user_id",
+        event_time(events, "ts").alias("timestamp"),
+        payload.alias("_payload"),
+        F.explode(copies).alias("_copy"),
+    )
+    value = F.col("_payload")
+    if corrupt_every:
+        broken = F.col("event_id") % F.lit(corrupt_every) == 0
+        value = F.when(broken, F.expr("substring(_payload, 1, length(_payload) div 2)")).otherwise(value)
+    return staged.select(
+        F.lit(None).cast("binary").alias("key"),
+        value.cast("binary").alias("value"),
+        F.lit(topic).alias("topic"),
+        (F.col("user_id") % F.lit(partitions)).cast("int").alias("partition"),
+        (F.col("event_id") * F.lit(OFFSET_STRIDE) + F.col("_copy")).alias("offset"),
+        F.col("timestamp"),
+        F.lit(0).alias("timestampType"),
+    )
