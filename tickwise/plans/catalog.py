@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwise.functions.parse import parse_ticks
+from tickwise.functions.parse import parse_ticks, valid_ticks
+from tickwise.functions.quotes import decode_quotes, encode_frames, enum_name, market_hours_code, quote_json
 from tickwise.operators.dedup import dedup_ticks
 from tickwise.operators.filters import watchlist
 from tickwise.operators.offsets import (
@@ -23,8 +24,10 @@ from tickwise.operators.offsets import (
 from tickwise.operators.rates import StageTaps, message_rate
 from tickwise.operators.upsert import key_violations, upsert_latest
 from tickwise.operators.windows import mean_per_key, tumbling_mean
-from tickwise.plans.common import clean_ticks, ntz, parsed, rejects, rounded, topic_records
-from tickwise.functions.parse import valid_ticks
+from tickwise.plans.common import clean_ticks, ntz, parsed, rejects, rounded, table, topic_records
+from tickwise.session import scratch_path
+from tickwise.sources.events import epoch_millis, event_time
+from tickwise.sources.topic import append_segment, bounded_read
 
 # Query parameters (fixed so the SQL oracles can state the same thing).
 WATCHLIST = ("click", "purchase", "view")
@@ -126,6 +129,59 @@ def q_stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(taps.counts(), "step int, stage string, rows bigint")
 
 
+def quotes_from_events(events: DataFrame) -> DataFrame:
+    """``(event_id, quote)`` with the quote fields an event carries: id,
+    price, time (epoch ms) and the trading session of its time."""
+    code = market_hours_code(event_time(events, "ts"))
+    return events.select(
+        "event_id",
+        F.struct(
+            F.col("event_type").alias("id"),
+            F.col("value").cast("float").alias("price"),
+            epoch_millis(events, "ts").alias("time"),
+            enum_name(code, "MarketHoursType").alias("marketHours"),
+        ).alias("quote"),
+    )
+
+
+def q_encode_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    q = quotes_from_events(table(spark, sf_dir, "events"))
+    return q.select("event_id", quote_json(F.col("quote"), ["id", "price", "time", "marketHours"]).alias("json"))
+
+
+def q_decode_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    q = quotes_from_events(table(spark, sf_dir, "events"))
+    frames = q.select("event_id", encode_frames(F.col("quote")).alias("frame"))
+    d = decode_quotes(frames)
+    return d.select(
+        "event_id",
+        F.col("quote.id").alias("id"),
+        F.col("quote.price").alias("price"),
+        F.col("quote.time").alias("time"),
+        F.col("quote.marketHours").alias("market_hours"),
+    )
+
+
+def q_enum_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events")
+    code = market_hours_code(event_time(events, "ts"))
+    return (
+        events.select(code.alias("market_hours_code"))
+        .groupBy("market_hours_code")
+        .agg(F.count(F.lit(1)).alias("ticks"))
+        .select("market_hours_code", enum_name(F.col("market_hours_code"), "MarketHoursType").alias("market_hours"), "ticks")
+    )
+
+
+def q_batch_topic_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Publish the topic to files, then read a bounded offset range of it
+    (filters reach the Parquet scan: partition folders pruned, offset pushed)."""
+    path = scratch_path(spark, "batch_topic_read")
+    append_segment(topic_records(spark, sf_dir), path)
+    df = bounded_read(spark, path=path, starting=BOUNDED_START, ending=BOUNDED_END)
+    return ntz(df.select("partition", "offset", F.col("value").cast("string").alias("value"), "timestamp"))
+
+
 QUERIES = {
     "parse_ticks": q_parse_ticks,
     "valid_ticks": q_valid_ticks,
@@ -142,4 +198,8 @@ QUERIES = {
     "upsert_latest": q_upsert_latest,
     "target_key_violations": q_target_key_violations,
     "stage_counts": q_stage_counts,
+    "encode_quotes": q_encode_quotes,
+    "decode_frames": q_decode_frames,
+    "enum_names": q_enum_names,
+    "batch_topic_read": q_batch_topic_read,
 }

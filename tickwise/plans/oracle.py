@@ -86,7 +86,36 @@ _LAG_CTES = (
 
 TUMBLING_SQL = _with() + _tumbling("ticks")
 
+_MARKET_HOURS = """
+quotes AS (
+  SELECT event_id, event_type, CAST(value AS FLOAT) AS price, epoch_us(ts) // 1000 AS ms, code,
+         CASE code WHEN 0 THEN 'PRE_MARKET' WHEN 1 THEN 'REGULAR_MARKET' WHEN 2 THEN 'POST_MARKET'
+                   WHEN 3 THEN 'EXTENDED_HOURS_MARKET' END AS market_hours
+  FROM (
+    SELECT *, CASE WHEN m < 60 THEN 2 WHEN m < 540 THEN 3 WHEN m < 870 THEN 0 WHEN m < 1260 THEN 1 ELSE 2 END AS code
+    FROM (SELECT *, hour(ts) * 60 + minute(ts) AS m FROM events)
+  )
+)"""
+
 ORACLE_SQL: dict[str, str] = {
+    "encode_quotes": "WITH " + _MARKET_HOURS.strip() + """
+SELECT event_id,
+  '{"id":"' || event_type || '"'
+  || CASE WHEN price = 0 THEN '' ELSE ',"price":' || CAST(price AS VARCHAR) END
+  || ',"time":"' || CAST(ms AS VARCHAR) || '"'
+  || CASE WHEN code = 0 THEN '' ELSE ',"marketHours":"' || market_hours || '"' END
+  || '}' AS json
+FROM quotes""",
+    "decode_frames": "WITH " + _MARKET_HOURS.strip() + """
+SELECT event_id, event_type AS id, nullif(price, 0) AS price, ms AS "time",
+       CASE WHEN code = 0 THEN NULL ELSE market_hours END AS market_hours
+FROM quotes""",
+    "enum_names": "WITH " + _MARKET_HOURS.strip() + """
+SELECT CAST(code AS INTEGER) AS market_hours_code, market_hours, count(*) AS ticks FROM quotes GROUP BY 1, 2""",
+    "batch_topic_read": _with() + """SELECT "partition", "offset", value, "timestamp" FROM topic
+WHERE ("partition" = 0 AND "offset" >= 1000 AND "offset" < 3000)
+   OR ("partition" = 1 AND "offset" >= 0)
+   OR ("partition" = 2 AND "offset" < 500)""",
     "parse_ticks": _with() + "SELECT * FROM parsed",
     "valid_ticks": _with() + "SELECT * FROM valid",
     "rejected_ticks": _with() + "SELECT * FROM parsed WHERE reason IS NOT NULL",
