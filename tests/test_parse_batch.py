@@ -79,3 +79,46 @@ def test_mean_per_key(spark):
     got = {r.stock_ticker: r.price for r in mean_per_key(ticks).collect()}
     assert got["BONN"] == 8500.0
     assert abs(got["NVDA"] - 101 / 3) < 1e-9
+
+
+def test_frames_golden(spark):
+    """one quote frame and two bad frames."""
+    from tickwise.functions.quotes import decode_quotes, encode_frames, quote_json
+
+    frames = spark.createDataFrame(
+        [("CgRBQVBMFaRwSEIYkNfqraJkMAg=",), ("!!notb64",), ("AAAA",)], "frame string")
+    rows = decode_quotes(frames).select("frame", quote_json(F.col("quote")).alias("j"), "quote").collect()
+    assert rows[0].j == '{"id":"AAPL","price":50.11,"time":"1722598381000","quoteType":"EQUITY"}'
+    assert rows[0].quote.lastSize is None
+    assert rows[1].quote is None and rows[2].quote is None
+    q = spark.createDataFrame([("AAPL", 50.11, 1722598381000, "EQUITY", 0)],
+                              "id string, price float, time long, quoteType string, lastSize long")
+    assert q.select(encode_frames(F.struct(*q.columns)).alias("f")).first().f == "CgRBQVBMFaRwSEIYkNfqraJkMAg="
+
+
+def test_enum_names(spark):
+    from tickwise.functions.quotes import enum_name
+
+    df = spark.createDataFrame([(8,), (1000,), (3,), (None,)], "c int")
+    got = [r.n for r in df.select(enum_name(F.col("c"), "QuoteType").alias("n")).collect()]
+    assert got == ["EQUITY", "INDUSTRY", None, None]
+
+
+def test_message_rate_examples_bounded(spark):
+    from tickwise.operators.rates import message_rate
+
+    rows = [(f"m{i}".encode(), 0, i, i // 10) for i in range(30)]
+    df = spark.createDataFrame(rows, "value binary, partition int, offset long, sec long")
+    df = df.withColumn("timestamp", F.timestamp_seconds(F.col("sec") * 20))
+    out = {r.interval_start.minute: r for r in message_rate(df).collect()}
+    assert out[0].messages == 30 and out[0].example_offsets == "0,1,2,3"
+    assert out[0].example_messages.split("\n") == ["m0", "m1", "m2", "m3"]
+
+
+def test_watchlist_literal_and_semi_join(spark):
+    from tickwise.operators.filters import watchlist
+
+    ticks = spark.createDataFrame([("A", 1.0), ("B", 2.0), ("C", 3.0)], "stock_ticker string, price double")
+    assert {r.stock_ticker for r in watchlist(ticks, ["A", "C"]).collect()} == {"A", "C"}
+    subs = spark.createDataFrame([("B",), ("B",)], "symbol string")
+    assert [r.stock_ticker for r in watchlist(ticks, subs).collect()] == ["B"]

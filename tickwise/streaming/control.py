@@ -57,6 +57,9 @@ def run_until_idle(
                 last_input = clock()
         if not query.isActive:
             break
+        # input waiting (or a batch still reading it) is not idleness
+        if (query.status or {}).get("isDataAvailable"):
+            last_input = clock()
         if clock() - last_input > max_idle_seconds:
             query.stop()
             return "idle"
