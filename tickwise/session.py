@@ -8,7 +8,6 @@ created when the session has none configured (tests, laptops).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -26,11 +25,22 @@ CORE_CONF = {
 }
 
 
+# State store for long lateness (e.g. a 30-day watermark): state lives in
+# RocksDB on local disk instead of the executor heap. Must be set before the
+# first start of a query; it is recorded in the checkpoint.
+ROCKSDB_STATE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "tickwise",
     shuffle_partitions: int | None = None,
     conf: dict | None = None,
+    rocksdb_state: bool = False,
 ) -> SparkSession:
     """Create (or reuse) a session with the library's settings.
 
@@ -45,6 +55,8 @@ def build_session(
     settings["spark.ui.enabled"] = "false"
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if rocksdb_state:
+        settings.update(ROCKSDB_STATE)
     settings.update(conf or {})
     for k, v in settings.items():
         builder = builder.config(k, v)
@@ -82,15 +94,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/tickwise/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str | None:
-    """Filesystem path for ``file:`` URIs and plain paths, else ``None``."""
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    if "://" in path:
-        return None
-    return path
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop FileSystem (works for any scheme)."""
     jvm = spark.sparkContext._jvm
@@ -107,23 +110,3 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(hpath):
         return []
     return [st.getPath().getName() for st in fs.listStatus(hpath)]
-
-
-def write_text_file(spark: SparkSession, path: str, text: str) -> None:
-    """Write one small text file atomically-enough (create + overwrite)."""
-    lp = local_path(path)
-    if lp is not None:
-        os.makedirs(os.path.dirname(lp), exist_ok=True)
-        tmp = f"{lp}.tmp-{uuid.uuid4().hex[:8]}"
-        with open(tmp, "w", encoding="utf-8") as fh:
-            fh.write(text)
-        os.replace(tmp, lp)
-        return
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    out = fs.create(hpath, True)
-    try:
-        out.write(bytearray(text.encode("utf-8")))
-    finally:
-        out.close()

@@ -62,8 +62,8 @@ def offset_range_filter(
 
     Partitions missing from ``starting`` start at the beginning, partitions
     missing from ``ending`` read to the end (Kafka's ``earliest`` / ``latest``).
-    The predicate is plain column comparisons, so it is pushed into the
-    Parquet scan and prunes ``partition=`` folders.
+    For any frame of topic records (e.g. a batch Kafka read); file-backed
+    topics use the per-partition scans of ``bounded_read`` instead.
     """
     starting = dict(starting or {})
     ending = dict(ending or {})
@@ -96,8 +96,8 @@ def bounded_read(
     """Batch read of a bounded offset range of a topic.
 
     For Kafka the ranges become ``startingOffsets`` / ``endingOffsets`` JSON
-    (the broker serves only those records); for files they become a pushed
-    down filter.
+    (the broker serves only those records); for files, one scan per named
+    partition with folder pruning and pushed offset bounds.
     """
     if fmt == "kafka":
         opts = dict(options or {})
@@ -107,7 +107,28 @@ def bounded_read(
             opts["endingOffsets"] = json.dumps({topic: {str(k): v for k, v in ending.items()}})
         return read_topic(spark, fmt="kafka", topic=topic, streaming=False, options=opts)
     df = read_topic(spark, fmt=fmt, path=path, topic=topic, streaming=False, options=options)
-    return df.where(offset_range_filter(starting, ending))
+    starting = dict(starting or {})
+    ending = dict(ending or {})
+    parts = sorted(set(starting) | set(ending))
+    if not parts:
+        return df
+    # One scan per named partition: the partition test alone prunes folders,
+    # the offset bounds alone are pushed into the Parquet reader (row groups
+    # outside the range are skipped). A single OR of both kinds would reach
+    # the scan only as a folder filter.
+    scans = []
+    for p in parts:
+        cond = F.col("partition") == F.lit(int(p))
+        if p in starting:
+            cond = cond & (F.col("offset") >= F.lit(int(starting[p])))
+        if p in ending:
+            cond = cond & (F.col("offset") < F.lit(int(ending[p])))
+        scans.append(df.where(cond))
+    scans.append(df.where(~F.col("partition").isin([int(p) for p in parts])))
+    out = scans[0]
+    for s in scans[1:]:
+        out = out.unionByName(s)
+    return out
 
 
 # ---------------------------------------------------------------------------

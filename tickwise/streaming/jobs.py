@@ -105,6 +105,26 @@ def upsert_batches(table: KeyedTable, *, writer: str, debug: bool = False) -> Ca
     return fn
 
 
+def tee_batches(*writers: Callable[[DataFrame, int], None], console: bool = False) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function feeding several sinks from one query: the
+    micro-batch is computed once (persisted), then handed to each writer, so
+    the topic is read and the state kept once however many targets there
+    are. ``console`` adds a debug print of the batch."""
+
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            if console:
+                print(f"-- batch {batch_id}")
+                batch.show(20, truncate=False)
+            for w in writers:
+                w(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    return fn
+
+
 def changelog_batches(path: str) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function: append each micro-batch with its id to a
     Parquet change log (one folder per batch id, overwritten on replay, so
