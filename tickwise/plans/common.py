@@ -17,9 +17,21 @@ from tickwise.sources.events import events_to_topic
 MEAN_DIGITS = 6
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer splits than the cluster has
+    cores (a small file with a single row group runs every per-row
+    expression in one task). A scan with enough splits -- any large table --
+    is returned unchanged, so no shuffle is added at scale."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ensure_utc(spark)
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def topic_records(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:

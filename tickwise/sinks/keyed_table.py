@@ -13,6 +13,7 @@ touches:
 3. the staging folder is copied over the table with dynamic partition
    overwrite, which replaces just the touched partitions.
 
+The very first write publishes directly (there is nothing to merge with).
 Reading and overwriting the same folder never happen in one plan. When a
 batch is replayed (stream restart after a crash), a finished staging folder
 of that batch is reused as is, so a crash in step 3 cannot lose rows that
@@ -21,6 +22,7 @@ step 2 had already merged.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -64,27 +66,30 @@ class KeyedTable:
 
     def upsert(self, updates: DataFrame, *, batch_id: int | None = None, writer: str = "writer") -> None:
         """Apply ``updates`` (unique on the keys). Idempotent per ``(writer, batch_id)``."""
-        import uuid
-
         tag = f"{writer}-{batch_id}" if batch_id is not None else f"{writer}-{uuid.uuid4().hex[:12]}"
         staging = f"{self.staging_root}/{tag}"
+        upd = self._with_partition(updates)
         if not (batch_id is not None and path_exists(self.spark, f"{staging}/_SUCCESS")):
-            upd = self._with_partition(updates)
-            if self.exists():
-                touched = upd.select(PARTITION_COLUMN).distinct()
-                old = self.read(with_partition=True).join(touched, PARTITION_COLUMN, "left_semi")
-                merged = upsert_latest(old, upd.select(*old.columns), self.keys)
-            else:
-                merged = upd
+            if not self.exists():
+                # First write: nothing to merge with. If it is cut short, the
+                # replay finds the partial rows and overwrites them by key.
+                self._publish(upd)
+                return
+            touched = upd.select(PARTITION_COLUMN).distinct()
+            old = self.read(with_partition=True).join(touched, PARTITION_COLUMN, "left_semi")
+            merged = upsert_latest(old, upd.select(*old.columns), self.keys)
             merged.write.mode("overwrite").partitionBy(PARTITION_COLUMN).parquet(staging)
-        staged = self.spark.read.parquet(staging)
+        self._publish(self.spark.read.parquet(staging))
+        self._drop_older_staging(writer, batch_id, keep=tag)
+
+    def _publish(self, df: DataFrame) -> None:
+        """Replace exactly the date partitions present in ``df``."""
         (
-            staged.write.mode("overwrite")
+            df.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(PARTITION_COLUMN)
             .parquet(self.path)
         )
-        self._drop_older_staging(writer, batch_id, keep=tag)
 
     def _drop_older_staging(self, writer: str, batch_id: int | None, keep: str) -> None:
         """Staging of earlier batches is no longer needed once this one is in."""
