@@ -10,8 +10,6 @@ NULL for frames that are not valid base64 or not a valid message.
 
 from __future__ import annotations
 
-import functools
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,9 +22,16 @@ MESSAGE = "PricingData"
 FULL_NAME = f"{PACKAGE}.{MESSAGE}"
 
 
-@functools.lru_cache(maxsize=1)
+# Built once per process. Plain functions and a dict (not ``lru_cache``
+# wrappers) so the UDFs that use them pickle by value and workers do not need
+# this package installed.
+_CACHE: dict = {}
+
+
 def descriptor_set_bytes() -> bytes:
     """Serialized ``FileDescriptorSet`` of the quote message."""
+    if "fds" in _CACHE:
+        return _CACHE["fds"]
     from google.protobuf import descriptor_pb2
 
     fdp = descriptor_pb2.FileDescriptorProto(name="quotes.proto", package=PACKAGE, syntax="proto3")
@@ -48,19 +53,22 @@ def descriptor_set_bytes() -> bytes:
             f.type_name = f".{FULL_NAME}.{kind[5:]}"
         else:
             f.type = kinds[kind]
-    return descriptor_pb2.FileDescriptorSet(file=[fdp]).SerializeToString()
+    _CACHE["fds"] = descriptor_pb2.FileDescriptorSet(file=[fdp]).SerializeToString()
+    return _CACHE["fds"]
 
 
-@functools.lru_cache(maxsize=1)
 def message_class():
-    """Protobuf message class built from the descriptor (cached per worker)."""
+    """Protobuf message class built from the descriptor (once per worker)."""
+    if "cls" in _CACHE:
+        return _CACHE["cls"]
     from google.protobuf import descriptor_pb2, descriptor_pool, message_factory
 
     fds = descriptor_pb2.FileDescriptorSet.FromString(descriptor_set_bytes())
     pool = descriptor_pool.DescriptorPool()
     for fd in fds.file:
         pool.Add(fd)
-    return message_factory.GetMessageClass(pool.FindMessageTypeByName(FULL_NAME))
+    _CACHE["cls"] = message_factory.GetMessageClass(pool.FindMessageTypeByName(FULL_NAME))
+    return _CACHE["cls"]
 
 
 def builtin_protobuf_available(spark) -> bool:

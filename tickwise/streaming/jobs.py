@@ -66,10 +66,32 @@ def start(
     path: str | None = None,
     foreach_batch: Callable[[DataFrame, int], None] | None = None,
     options: dict | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Start a query. ``trigger`` is passed to ``DataStreamWriter.trigger``
     (``{"processingTime": "1 minute"}`` for early results every minute,
-    ``{"availableNow": True}`` for a run that drains the topic and stops)."""
+    ``{"availableNow": True}`` for a run that drains the topic and stops).
+
+    ``state_partitions`` sets the number of state-store partitions of a new
+    query (default: the cluster's cores). Spark records it in the
+    checkpoint at the first start and keeps it for the query's lifetime, so
+    the session-wide shuffle setting (often sized for batch joins) does not
+    decide how many state stores every micro-batch commits.
+    """
+    spark = df.sparkSession
+    if state_partitions is None:
+        state_partitions = spark.sparkContext.defaultParallelism
+    key = "spark.sql.shuffle.partitions"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        return _start(df, name=name, checkpoint=checkpoint, mode=mode, trigger=trigger, sink=sink,
+                      path=path, foreach_batch=foreach_batch, options=options)
+    finally:
+        spark.conf.set(key, previous)
+
+
+def _start(df, *, name, checkpoint, mode, trigger, sink, path, foreach_batch, options) -> StreamingQuery:
     w = df.writeStream.queryName(name).option("checkpointLocation", checkpoint).outputMode(mode)
     for k, v in (options or {}).items():
         w = w.option(k, v)
