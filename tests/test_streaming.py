@@ -38,7 +38,7 @@ def write_files(src, files, start_mtime=1_000_000):
         os.utime(p, (start_mtime + 10 * k, start_mtime + 10 * k))
 
 
-def run(spark, src, ckpt, mode, name):
+def run(spark, src, ckpt, mode, name, salt=None):
     out = {}
 
     def collect(batch, batch_id):
@@ -49,16 +49,17 @@ def run(spark, src, ckpt, mode, name):
             out[batch_id] = sorted((r.stock_ticker, r.end, round(r.price, 4)) for r in rows)
 
     stream = spark.readStream.option("maxFilesPerTrigger", 1).text(src)
-    q = start(tick_means(stream), name=name, checkpoint=ckpt, mode=mode,
+    q = start(tick_means(stream, salt_buckets=salt), name=name, checkpoint=ckpt, mode=mode,
               trigger={"availableNow": True}, foreach_batch=collect)
     progress = []
     run_until_idle(q, max_idle_seconds=600, poll_seconds=0.5, on_progress=progress.append)
     return out, progress
 
 
-def test_update_mode_golden(spark, tmp_path):
+@pytest.mark.parametrize("salt", [None, 4])
+def test_update_mode_golden(spark, tmp_path, salt):
     write_files(str(tmp_path / "src"), FILES)
-    out, _ = run(spark, str(tmp_path / "src"), str(tmp_path / "ckpt"), "update", "f3_update")
+    out, _ = run(spark, str(tmp_path / "src"), str(tmp_path / "ckpt"), "update", f"f3_update_{salt}", salt)
     assert list(out.values()) == [
         [("A", "11:35", 15.0), ("B", "11:35", 5.0)],
         [("A", "11:35", 30.0), ("A", "11:40", 1.0)],
@@ -68,9 +69,10 @@ def test_update_mode_golden(spark, tmp_path):
     ]
 
 
-def test_append_mode_golden(spark, tmp_path):
+@pytest.mark.parametrize("salt", [None, 4])
+def test_append_mode_golden(spark, tmp_path, salt):
     write_files(str(tmp_path / "src"), FILES)
-    out, _ = run(spark, str(tmp_path / "src"), str(tmp_path / "ckpt"), "append", "f3_append")
+    out, _ = run(spark, str(tmp_path / "src"), str(tmp_path / "ckpt"), "append", f"f3_append_{salt}", salt)
     assert list(out.values()) == [
         [("A", "11:35", 272.25), ("A", "11:40", 1.0), ("B", "11:35", 5.0)],
         [("A", "12:15", 7.0), ("B", "12:15", 8.0)],

@@ -24,6 +24,7 @@ from tickwise.sources.events import TOPIC_PARTITIONS
 from tickwise.sources.topic import DEFAULT_TOPIC, append_segment, read_topic
 from tickwise.streaming.control import CommittedOffsetLog, run_until_idle
 from tickwise.streaming.jobs import (
+    SALT_BUCKETS,
     changelog_batches,
     clean_tick_stream,
     latest_per_key,
@@ -76,7 +77,8 @@ def q_stream_tumbling_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     qn = _qname("tumbling")
 
     def build(stream: DataFrame, base: str) -> StreamingQuery:
-        return start(tick_means(stream), name=qn, checkpoint=f"{base}/checkpoint", mode="update",
+        means = tick_means(stream, salt_buckets=SALT_BUCKETS)
+        return start(means, name=qn, checkpoint=f"{base}/checkpoint", mode="update",
                      trigger=DRAIN, foreach_batch=changelog_batches(f"{base}/changes"))
 
     base = drive(spark, sf_dir, "stream_tumbling_mean", build)
@@ -88,7 +90,8 @@ def q_stream_final_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     qn = _qname("final")
 
     def build(stream: DataFrame, base: str) -> StreamingQuery:
-        return start(tick_means(stream), name=qn, checkpoint=f"{base}/checkpoint", mode="append",
+        means = tick_means(stream, salt_buckets=SALT_BUCKETS)
+        return start(means, name=qn, checkpoint=f"{base}/checkpoint", mode="append",
                      trigger=DRAIN, sink="parquet", path=f"{base}/final")
 
     base = drive(spark, sf_dir, "stream_final_mean", build)
@@ -101,7 +104,8 @@ def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     keep = ("stock_ticker", "timestamp", "price", "partition")
 
     def build(stream: DataFrame, base: str) -> StreamingQuery:
-        return start(clean_tick_stream(stream, keep=keep), name=qn, checkpoint=f"{base}/checkpoint",
+        ticks = clean_tick_stream(stream, keep=keep, salt_buckets=SALT_BUCKETS)
+        return start(ticks, name=qn, checkpoint=f"{base}/checkpoint",
                      mode="append", trigger=DRAIN, sink="parquet", path=f"{base}/ticks")
 
     base = drive(spark, sf_dir, "stream_dedup", build)
@@ -117,7 +121,8 @@ def _upsert_run(spark: SparkSession, sf_dir: str) -> tuple[str, KeyedTable, Comm
             holder["table"] = KeyedTable(spark, f"{base}/table")
             holder["log"].path = f"{base}/committed"
         observed = observe_offsets(stream, TOPIC_PARTITIONS)
-        return start(tick_means(observed), name=qn, checkpoint=f"{base}/checkpoint", mode="update",
+        means = tick_means(observed, salt_buckets=SALT_BUCKETS)
+        return start(means, name=qn, checkpoint=f"{base}/checkpoint", mode="update",
                      trigger=DRAIN, foreach_batch=upsert_batches(holder["table"], writer=qn))
 
     holder["log"] = CommittedOffsetLog(spark, "", query=qn, topic=DEFAULT_TOPIC)
@@ -149,9 +154,7 @@ STREAM_QUERIES = {
 STREAM_ORACLES = {
     "stream_tumbling_mean": TUMBLING_SQL,
     "stream_upsert": TUMBLING_SQL,
-    "stream_final_mean": _with(
-        "means AS (" + _tumbling("ticks") + ")"
-    )
+    "stream_final_mean": _with("means AS (" + _tumbling("ticks") + ")")
     + """SELECT * FROM means WHERE "timestamp" <= (SELECT max("timestamp") FROM valid) - INTERVAL 15 MINUTES""",
     "stream_dedup": _with() + """SELECT stock_ticker, "timestamp", price, "partition" FROM ticks""",
     "stream_committed_offsets": _with()

@@ -17,7 +17,15 @@ from tickwise.streaming.control import (
     CommittedOffsetLog,
     run_until_idle,
 )
-from tickwise.streaming.jobs import changelog_batches, observe_offsets, start, tee_batches, tick_means, upsert_batches
+from tickwise.streaming.jobs import (
+    SALT_BUCKETS,
+    changelog_batches,
+    observe_offsets,
+    start,
+    tee_batches,
+    tick_means,
+    upsert_batches,
+)
 
 EARLY_RESULTS = {"processingTime": "1 minute"}
 
@@ -40,6 +48,7 @@ def run_tick_job(
     trigger: dict | None = None,
     changelog_path: str | None = None,
     console: bool = False,
+    salt_buckets: int | None = SALT_BUCKETS,
     max_idle_seconds: float = IDLE_STOP_SECONDS,
     poll_seconds: float = POLL_SECONDS,
 ) -> str:
@@ -56,7 +65,8 @@ def run_tick_job(
     if changelog_path:
         writers.append(changelog_batches(changelog_path))
     sink = writers[0] if len(writers) == 1 and not console else tee_batches(*writers, console=console)
-    q = start(tick_means(records, window=window, watermark=watermark), name=name, checkpoint=checkpoint,
+    means = tick_means(records, window=window, watermark=watermark, salt_buckets=salt_buckets)
+    q = start(means, name=name, checkpoint=checkpoint,
               mode=mode, trigger=trigger or EARLY_RESULTS, foreach_batch=sink)
     log = CommittedOffsetLog(spark, offsets_path, query=name, topic=topic)
     return run_until_idle(q, max_idle_seconds=max_idle_seconds, poll_seconds=poll_seconds,

@@ -21,6 +21,8 @@ from tickwise.operators.windows import WATERMARK, WINDOW, tumbling_mean, with_ev
 from tickwise.sinks.keyed_table import KeyedTable
 
 OFFSETS_METRIC = "topic_offsets"
+# Salt buckets of the job's stream de-duplication (hot groups of copies).
+SALT_BUCKETS = 16
 
 
 def observe_offsets(records: DataFrame, partitions: int) -> DataFrame:
@@ -39,10 +41,25 @@ def clean_tick_stream(
     watermark: str = WATERMARK,
     dedup_keys: Sequence[str] = DEDUP_KEYS,
     keep: Sequence[str] = ("stock_ticker", "timestamp", "price"),
+    salt_buckets: int | None = None,
 ) -> DataFrame:
-    """Valid ticks, de-duplicated within the watermark."""
-    ticks = valid_ticks(parse_ticks(records)).select(*keep)
-    return dedup_ticks(with_event_time(ticks, "timestamp", watermark), dedup_keys)
+    """Valid ticks, de-duplicated within the watermark.
+
+    ``salt_buckets`` splits a hot group of copies: a first de-duplication on
+    the key plus a salt (a hash of the record's position) spreads the copies
+    of one key over that many tasks and keeps at most one per salt; the
+    second, on the key alone, then sees at most ``salt_buckets`` copies per
+    key instead of all of them. Costs one more shuffle and state store.
+    """
+    parsed = valid_ticks(parse_ticks(records))
+    if salt_buckets:
+        pos = [F.col(c) for c in ("partition", "offset") if c in parsed.columns] or [F.col("price")]
+        parsed = parsed.withColumn("_salt", F.pmod(F.xxhash64(*pos), F.lit(salt_buckets)))
+        timed = with_event_time(parsed.select(*keep, "_salt"), "timestamp", watermark)
+        timed = dedup_ticks(timed, [*dedup_keys, "_salt"]).drop("_salt")
+    else:
+        timed = with_event_time(parsed.select(*keep), "timestamp", watermark)
+    return dedup_ticks(timed, dedup_keys)
 
 
 def tick_means(
@@ -50,9 +67,10 @@ def tick_means(
     *,
     window: str = WINDOW,
     watermark: str = WATERMARK,
+    salt_buckets: int | None = None,
 ) -> DataFrame:
     """Output rows ``(stock_ticker, timestamp = window end, price = mean)``."""
-    return tumbling_mean(clean_tick_stream(records, watermark=watermark), window)
+    return tumbling_mean(clean_tick_stream(records, watermark=watermark, salt_buckets=salt_buckets), window)
 
 
 def start(
