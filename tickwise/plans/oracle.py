@@ -133,7 +133,7 @@ FROM topic GROUP BY 1""",
     "topic_lag": _with(*_LAG_CTES) + "SELECT *, lag >= 25 AS ready FROM lag",
     "topic_ready": _with(*_LAG_CTES)
     + """SELECT coalesce(bool_or(lag >= 25), false) AS ready, CAST(coalesce(sum(lag), 0) AS BIGINT) AS total_lag,
-       count_if(lag >= 25) AS partitions_ready, count(*) AS partitions FROM lag""",
+       CAST(count_if(lag >= 25) AS BIGINT) AS partitions_ready, count(*) AS partitions FROM lag""",
     "latest_offsets": _with()
     + """SELECT "partition", max("offset") AS "offset", max("timestamp") AS "timestamp" FROM topic t
 WHERE "timestamp" = (SELECT max("timestamp") FROM topic t2 WHERE t2."partition" = t."partition")
@@ -146,7 +146,7 @@ SELECT * FROM target t WHERE NOT EXISTS (
     "target_key_violations": _with(*_UPSERT_CTES)
     + """SELECT stock_ticker, "timestamp", count(*) AS copies,
        stock_ticker IS NULL OR "timestamp" IS NULL AS null_key,
-       count_if(price IS NULL) AS null_values
+       CAST(count_if(price IS NULL) AS BIGINT) AS null_values
 FROM (SELECT * FROM target UNION ALL SELECT * FROM updates)
 GROUP BY 1, 2
 HAVING count(*) > 1 OR stock_ticker IS NULL OR "timestamp" IS NULL OR count_if(price IS NULL) > 0""",
