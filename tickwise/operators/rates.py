@@ -26,8 +26,9 @@ def message_rate(
     ``row_number() <= examples``; Catalyst turns that filter into a
     map-side ``WindowGroupLimit`` so each input task ships at most
     ``examples`` rows per interval to the shuffle, even for an interval that
-    holds a third of the stream. Both sides end hash-partitioned on the
-    interval, so their join adds no exchange.
+    holds a third of the stream. The two per-interval results are joined
+    on the interval: a shuffle join whose inputs are already partitioned by
+    it, or a broadcast of the counts when they are small.
     """
     bucket = F.window(ts, interval).start
     order_cols = [F.col(c) for c in order]

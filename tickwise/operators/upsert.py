@@ -31,19 +31,13 @@ def key_violations(df: DataFrame, keys: Sequence[str] = OUTPUT_KEYS, not_null: S
     final aggregate; a hot key collapses map-side.
     """
     keys = list(keys)
+    null_values = F.lit(0).cast("bigint")
+    for c in not_null:
+        null_values = null_values + F.count_if(F.col(c).isNull())
     null_key = F.lit(False)
     for k in keys:
         null_key = null_key | F.col(k).isNull()
-    null_vals = F.lit(0).cast("bigint")
-    for c in not_null:
-        null_vals = null_vals + F.count_if(F.col(c).isNull())
-    agg = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("copies"),
-        null_vals.alias("null_values"),
-    )
-    key_null_expr = F.lit(False)
-    for k in keys:
-        key_null_expr = key_null_expr | F.col(k).isNull()
-    return agg.where((F.col("copies") > 1) | key_null_expr | (F.col("null_values") > 0)).select(
-        *keys, "copies", key_null_expr.alias("null_key"), "null_values"
+    agg = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"), null_values.alias("null_values"))
+    return agg.where((F.col("copies") > 1) | null_key | (F.col("null_values") > 0)).select(
+        *keys, "copies", null_key.alias("null_key"), "null_values"
     )
