@@ -45,7 +45,9 @@ def topic_lag(
     *,
     threshold: int = START_THRESHOLD,
 ) -> DataFrame:
-    """Lag per partition = end - committed (missing committed offset = 0).
+    """Lag per partition = end - committed (missing committed offset = 0; a
+    committed offset past the end, e.g. after the topic was truncated, counts
+    as no lag rather than a negative one).
 
     Every partition of the topic is reported, also ones the consumer never
     saw. ``committed`` needs ``partition`` and ``committed_offset``.
