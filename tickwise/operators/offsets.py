@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 START_THRESHOLD = 25
 
@@ -32,9 +33,21 @@ def committed_offsets_before(records: DataFrame, cutoff: Column) -> DataFrame:
 
 def latest_offsets(df: DataFrame, *, by: str = "timestamp", keys: tuple[str, ...] = ("partition",)) -> DataFrame:
     """Offset of the newest row per partition (argmax of ``by``; ties go to
-    the larger offset so the answer is deterministic)."""
+    the larger offset so the answer is deterministic).
+
+    The (``by``, offset) order is packed into one DECIMAL(38,0) key --
+    ``by`` in microseconds times 10^18 plus the offset -- so the aggregate
+    buffer stays fixed-width and Spark plans a hash aggregate with a partial
+    step; a struct-valued ordering would force a sort of every row.
+    """
+    dtype = df.schema[by].dataType
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        major = F.unix_micros(F.col(by).cast("timestamp"))
+    else:
+        major = F.col(by).cast("bigint")
+    order = major.cast("decimal(20,0)") * F.lit(10**18).cast("decimal(19,0)") + F.col("offset").cast("decimal(19,0)")
     return df.groupBy(*keys).agg(
-        F.max_by("offset", F.struct(F.col(by), F.col("offset"))).alias("offset"),
+        F.max_by("offset", order).alias("offset"),
         F.max(by).alias(by),
     )
 
