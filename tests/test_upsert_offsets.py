@@ -73,3 +73,20 @@ def test_lag_and_ready(spark, name, committed, end, lag, ready):
     r = topic_ready(lags).first()
     assert r.ready is ready
     assert r.total_lag == sum(lag.values())
+
+
+def test_bounded_read_ranges(spark, tmp_path):
+    """[start, end) per named partition; a partition named in neither map is read whole."""
+    from tickwise.schemas import TOPIC_SCHEMA
+    from tickwise.sources.topic import DEFAULT_TOPIC, append_segment, bounded_read
+
+    rows = [
+        (None, b"x", DEFAULT_TOPIC, p, o, D, 0)
+        for p in range(3)
+        for o in range(10)
+    ]
+    path = str(tmp_path / "topic")
+    append_segment(spark.createDataFrame(rows, TOPIC_SCHEMA), path)
+    got = bounded_read(spark, path=path, starting={0: 3, 1: 8}, ending={0: 6})
+    pairs = sorted((r.partition, r.offset) for r in got.select("partition", "offset").collect())
+    assert pairs == [(0, 3), (0, 4), (0, 5), (1, 8), (1, 9)] + [(2, o) for o in range(10)]

@@ -27,7 +27,7 @@ from tickwise.operators.windows import mean_per_key, tumbling_mean
 from tickwise.plans.common import clean_ticks, ntz, parsed, rejects, rounded, table, topic_records
 from tickwise.session import scratch_path
 from tickwise.sources.events import epoch_millis, event_time
-from tickwise.sources.topic import append_segment, bounded_read
+from tickwise.sources.topic import append_segment, bounded_read, read_topic
 
 # Query parameters (fixed so the SQL oracles can state the same thing).
 WATCHLIST = ("click", "purchase", "view")
@@ -38,9 +38,6 @@ CONSUMER_BEHIND = "INTERVAL 12 HOURS"
 # minutes before that point on (the straddling windows conflict).
 UPSERT_SPLIT = "INTERVAL 10 DAYS"
 UPSERT_OVERLAP = "INTERVAL 7 MINUTES"
-# Bounded read: [start, end) per partition; partitions not named are read whole.
-BOUNDED_START = {0: 1000, 1: 0}
-BOUNDED_END = {0: 3000, 2: 500}
 
 
 def q_parse_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,13 +77,16 @@ def q_topic_end_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return end_offsets(topic_records(spark, sf_dir))
 
 
-def _lag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = topic_records(spark, sf_dir)
+def _lag_of(records: DataFrame) -> DataFrame:
     newest = records.agg(F.max("timestamp")).scalar()
     committed = committed_offsets_before(records, newest - F.expr(CONSUMER_BEHIND))
     return topic_lag(end_offsets(records), committed)
 
 
+def _lag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lag_of(topic_records(spark, sf_dir))
+
+
 def q_topic_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lag(spark, sf_dir)
 
@@ -174,11 +174,18 @@ def q_enum_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_batch_topic_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Publish the topic to files, then read a bounded offset range of it
-    (filters reach the Parquet scan: partition folders pruned, offset pushed)."""
+    """Publish the topic to files, then read what a gated run would consume:
+    per partition, ``[committed offset, end offset)`` as found by the lag
+    check. The ranges are one row per topic partition (the offset map a
+    Kafka read takes as ``startingOffsets`` / ``endingOffsets``); the
+    records themselves never leave the executors. Filters reach the Parquet
+    scan: partition folders pruned, offset bounds pushed."""
     path = scratch_path(spark, "batch_topic_read")
     append_segment(topic_records(spark, sf_dir), path)
-    df = bounded_read(spark, path=path, starting=BOUNDED_START, ending=BOUNDED_END)
+    ranges = _lag_of(read_topic(spark, path=path, streaming=False)).collect()
+    starting = {r["partition"]: r["committed_offset"] for r in ranges}
+    ending = {r["partition"]: r["end_offset"] for r in ranges}
+    df = bounded_read(spark, path=path, starting=starting, ending=ending)
     return ntz(df.select("partition", "offset", F.col("value").cast("string").alias("value"), "timestamp"))
 
 

@@ -112,10 +112,9 @@ SELECT event_id, event_type AS id, nullif(price, 0) AS price, ms AS "time",
 FROM quotes""",
     "enum_names": "WITH " + _MARKET_HOURS.strip() + """
 SELECT CAST(code AS INTEGER) AS market_hours_code, market_hours, count(*) AS ticks FROM quotes GROUP BY 1, 2""",
-    "batch_topic_read": _with() + """SELECT "partition", "offset", value, "timestamp" FROM topic
-WHERE ("partition" = 0 AND "offset" >= 1000 AND "offset" < 3000)
-   OR ("partition" = 1 AND "offset" >= 0)
-   OR ("partition" = 2 AND "offset" < 500)""",
+    "batch_topic_read": _with(*_LAG_CTES) + """SELECT t."partition", t."offset", t.value, t."timestamp"
+FROM topic t JOIN lag l ON t."partition" = l."partition"
+WHERE t."offset" >= l.committed_offset AND t."offset" < l.end_offset""",
     "parse_ticks": _with() + "SELECT * FROM parsed",
     "valid_ticks": _with() + "SELECT * FROM valid",
     "rejected_ticks": _with() + "SELECT * FROM parsed WHERE reason IS NOT NULL",
