@@ -28,7 +28,10 @@ SALT_BUCKETS = 16
 def observe_offsets(records: DataFrame, partitions: int) -> DataFrame:
     """Per-partition highest offset of each micro-batch, reported in the
     query progress (``observedMetrics``); a fixed number of ``max``
-    aggregates, so the metric stays the same size whatever the batch size."""
+    aggregates, so the metric stays the same size whatever the batch size.
+    Meant for file-backed topics, whose progress has no per-partition
+    offsets; its per-row cost grows with the partition count. Kafka sources
+    do not need it: their progress ``endOffset`` already holds the offsets."""
     metrics = [
         F.max(F.when(F.col("partition") == p, F.col("offset"))).alias(str(p)) for p in range(partitions)
     ]
