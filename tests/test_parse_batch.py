@@ -122,3 +122,21 @@ def test_watchlist_literal_and_semi_join(spark):
     assert {r.stock_ticker for r in watchlist(ticks, ["A", "C"]).collect()} == {"A", "C"}
     subs = spark.createDataFrame([("B",), ("B",)], "symbol string")
     assert [r.stock_ticker for r in watchlist(ticks, subs).collect()] == ["B"]
+
+
+def test_topic_payload_names_without_faults(spark):
+    """The producer's JSON keeps its field names in every configuration
+    (with no replays the copy explode sits next to the payload struct)."""
+    import json
+
+    from conftest import SF_SMALL
+    from tickwise.sources.events import events_to_topic
+
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    for kw in ({}, {"replay_every": None}, {"corrupt_every": None}, {"replay_every": None, "corrupt_every": None}):
+        topic = events_to_topic(events, **kw)
+        values = [json.loads(r.v) for r in topic.selectExpr("cast(value as string) v").collect()
+                  if r.v.endswith("}")]
+        assert values and all(set(v) == {"id", "price", "time"} for v in values), kw
+        if kw.get("corrupt_every", 1) is None:
+            assert valid_ticks(parse_ticks(topic)).count() == topic.count(), kw

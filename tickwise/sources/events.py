@@ -47,12 +47,16 @@ def event_time(df: DataFrame, col: str) -> Column:
 
 
 def tick_payload(id_col: Column, price_col: Column, time_ms_col: Column) -> Column:
-    """The tick JSON the bridge publishes: ``{"id":..,"price":..,"time":"<ms>"}``."""
+    """The tick JSON the bridge publishes: ``{"id":..,"price":..,"time":"<ms>"}``.
+
+    Field names are given as literals (``named_struct``): ``struct`` of
+    aliased columns loses the aliases when the same ``select`` also holds a
+    generator that Spark extracts before the struct is resolved."""
     return F.to_json(
-        F.struct(
-            id_col.alias("id"),
-            price_col.cast("float").alias("price"),
-            time_ms_col.cast("string").alias("time"),
+        F.named_struct(
+            F.lit("id"), id_col,
+            F.lit("price"), price_col.cast("float"),
+            F.lit("time"), time_ms_col.cast("string"),
         )
     )
 
