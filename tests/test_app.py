@@ -1,7 +1,5 @@
 """End to end: gate -> run until drained -> keyed table + offsets -> gate closed."""
 
-from pyspark.sql import functions as F
-
 from tickwise.plans.common import topic_records
 from tickwise.sources.topic import append_segment
 from tickwise.streaming.app import ready_to_start, run_tick_job

@@ -4,7 +4,6 @@ times, ``maxFilesPerTrigger=1``, ``availableNow``."""
 
 import json
 import os
-import time
 
 import pytest
 from pyspark.sql import functions as F
