@@ -54,3 +54,15 @@ def test_scans_are_pruned(plans, name):
     for ln in scans:
         cols = ln[ln.index("[") + 1:ln.index("]")].split(",")
         assert "props" not in cols, f"{name} reads an unused column: {cols}"
+
+
+def test_spread_leaves_large_scans_alone(spark, monkeypatch):
+    """Only a small scan is round-robined; above the size cap the scan keeps
+    its own splits, however many cores the cluster has."""
+    import tickwise.plans.common as common
+
+    small = common.table(spark, SF_SMALL, "events")
+    assert small.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(common, "SPREAD_MAX_BYTES", 1)
+    raw = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    assert common.table(spark, SF_SMALL, "events").rdd.getNumPartitions() == raw.rdd.getNumPartitions()

@@ -17,14 +17,23 @@ from tickwise.sources.events import events_to_topic
 MEAN_DIGITS = 6
 
 
+# Largest scan that ``spread`` may round-robin: small enough that the extra
+# shuffle costs less than running every per-row expression in a few tasks.
+SPREAD_MAX_BYTES = 256 << 20
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has
-    cores (a small file with a single row group runs every per-row
-    expression in one task). A scan with enough splits -- any large table --
-    is returned unchanged, so no shuffle is added at scale."""
+    """Round-robin a *small* scan that yields fewer splits than the cluster
+    has cores (a small file with a single row group runs every per-row
+    expression in one task). Anything larger than ``SPREAD_MAX_BYTES`` (by
+    the plan's size estimate, taken from the file index) is returned
+    unchanged, however few splits it has compared with a large cluster, so
+    no shuffle of real data is ever added."""
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    size = size if isinstance(size, int) else int(size.toString())  # Scala BigInt
+    if size <= SPREAD_MAX_BYTES and df.rdd.getNumPartitions() < cores:
         return df.repartition(cores)
     return df
 
