@@ -81,3 +81,25 @@ def test_gated_start(spark, tmp_path):
                                   offsets_from_map(spark, {0: 10, 1: 0}, "committed_offset")))
     assert run_if_ready(ready, start_fn, poll_seconds=0.5) == "finished"
     assert len(started) == 1
+
+
+def test_committed_offset_log_retention_and_restart(spark, tmp_path):
+    """Only the newest snapshots are kept; a restarted logger seeds itself
+    from the log, so partitions missing from its first batches survive."""
+    from tickwise.session import list_names
+    from tickwise.streaming.control import CommittedOffsetLog
+
+    def progress(bid, offsets):
+        return {"batchId": bid, "numInputRows": 1,
+                "sources": [{"endOffset": {"data_stream": {str(p): o for p, o in offsets.items()}}}]}
+
+    path = str(tmp_path / "log")
+    log = CommittedOffsetLog(spark, path, query="q", topic="data_stream", retain=3)
+    for b in range(6):
+        log.on_progress(progress(b, {0: 10 + b, 1: 20 + b, 2: 30}))
+    assert sorted(list_names(spark, f"{path}/query=q")) == ["batch_id=3", "batch_id=4", "batch_id=5"]
+    restarted = CommittedOffsetLog(spark, path, query="q", topic="data_stream", retain=3)
+    for b in range(6, 10):
+        restarted.on_progress(progress(b, {0: 100 + b}))
+    assert {r.partition: r.committed_offset for r in restarted.read().collect()} == {0: 109, 1: 25, 2: 30}
+    assert len(list_names(spark, f"{path}/query=q")) == 3

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickwise.schemas import COMMITTED_OFFSETS_SCHEMA
+from tickwise.session import list_names
 from tickwise.streaming.jobs import OFFSETS_METRIC
 
 IDLE_STOP_SECONDS = 15 * 60
@@ -119,19 +120,37 @@ class CommittedOffsetLog:
     Fed from progress records (a progress is posted after the batch's sink
     write and commit), so an offset is never logged ahead of its data. The
     newest batch wins per partition; offsets only move forward.
+
+    Every folder is a full snapshot (all partitions seen so far, seeded from
+    the log itself after a restart), so only the newest ``retain`` folders
+    per query are kept: the log stays a handful of files however long the
+    job runs.
     """
 
-    def __init__(self, spark: SparkSession, path: str, *, query: str, topic: str) -> None:
+    def __init__(self, spark: SparkSession, path: str, *, query: str, topic: str, retain: int = 10) -> None:
         self.spark = spark
         self.path = path.rstrip("/")
         self.query = query
         self.topic = topic
-        self._last: dict[int, int] = {}
+        self.retain = max(1, retain)
+        self._last: dict[int, int] | None = None
+
+    def _query_dir(self) -> str:
+        return f"{self.path}/query={self.query}"
+
+    def _seed(self) -> dict[int, int]:
+        """Offsets already logged by an earlier run of the same query (one
+        row per topic partition)."""
+        if not list_names(self.spark, self._query_dir()):
+            return {}
+        return {r["partition"]: r["committed_offset"] for r in self.read().collect()}
 
     def on_progress(self, progress: dict) -> None:
         offs = offsets_from_progress(progress, self.topic)
         if not offs or progress.get("numInputRows", 0) == 0:
             return
+        if self._last is None:
+            self._last = self._seed()
         for p, o in offs.items():
             self._last[p] = max(self._last.get(p, 0), o)
         bid = int(progress["batchId"])
@@ -140,8 +159,22 @@ class CommittedOffsetLog:
             self.spark.createDataFrame(rows, COMMITTED_OFFSETS_SCHEMA)
             .coalesce(1)
             .write.mode("overwrite")
-            .parquet(f"{self.path}/query={self.query}/batch_id={bid}")
+            .parquet(f"{self._query_dir()}/batch_id={bid}")
+        )
+        self._prune(bid)
+
+    def _prune(self, newest: int) -> None:
+        """Delete snapshot folders older than the newest ``retain``."""
+        ids = sorted(
+            int(n.split("=", 1)[1]) for n in list_names(self.spark, self._query_dir())
+            if n.startswith("batch_id=") and n.split("=", 1)[1].isdigit()
         )
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        for b in ids[:-self.retain]:
+            if b < newest:
+                p = jvm.org.apache.hadoop.fs.Path(f"{self._query_dir()}/batch_id={b}")
+                p.getFileSystem(conf).delete(p, True)
 
     def read(self) -> DataFrame:
         """Committed offset per partition (``partition, committed_offset``)."""
