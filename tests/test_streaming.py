@@ -37,7 +37,7 @@ def write_files(src, files, start_mtime=1_000_000):
         os.utime(p, (start_mtime + 10 * k, start_mtime + 10 * k))
 
 
-def run(spark, src, ckpt, mode, name, salt=None):
+def run(spark, src, ckpt, mode, name, salt=None, watermark=None):
     out = {}
 
     def collect(batch, batch_id):
@@ -48,7 +48,8 @@ def run(spark, src, ckpt, mode, name, salt=None):
             out[batch_id] = sorted((r.stock_ticker, r.end, round(r.price, 4)) for r in rows)
 
     stream = spark.readStream.option("maxFilesPerTrigger", 1).text(src)
-    q = start(tick_means(stream, salt_buckets=salt), name=name, checkpoint=ckpt, mode=mode,
+    kw = {"watermark": watermark} if watermark else {}
+    q = start(tick_means(stream, salt_buckets=salt, **kw), name=name, checkpoint=ckpt, mode=mode,
               trigger={"availableNow": True}, foreach_batch=collect)
     progress = []
     run_until_idle(q, max_idle_seconds=600, poll_seconds=0.5, on_progress=progress.append)
@@ -92,6 +93,34 @@ def test_late_tick_beyond_watermark_is_dropped(spark, tmp_path):
     assert sum(late_rows(p) for p in progress) >= 1
 
 
+def test_long_lateness_on_rocksdb_state(spark, tmp_path):
+    """W8: a 30-day allowed lateness keeps the tick that the 15-minute
+    watermark drops; state lives in RocksDB (set before the first start)."""
+    from tickwise.session import ROCKSDB_STATE
+
+    files = dict(FILES)
+    files["d"] = [tick("B", 8, 41 * MIN)]
+    files["e"] = [tick("A", 999, 3 * MIN), tick("B", 9, 80 * MIN)]
+    write_files(str(tmp_path / "src"), files)
+    saved = {k: spark.conf.get(k, None) for k in ROCKSDB_STATE}
+    try:
+        for k, v in ROCKSDB_STATE.items():
+            spark.conf.set(k, v)
+        out, progress = run(spark, str(tmp_path / "src"), str(tmp_path / "ckpt"), "update", "w8_rocksdb",
+                            salt=4, watermark="30 days")
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert last_per_key(out)[("A", "11:35")] == 272.25
+    assert sum(late_rows(p) for p in progress) == 0
+    # the provider is recorded in the checkpoint's first offsets metadata
+    with open(tmp_path / "ckpt" / "offsets" / "0") as fh:
+        assert "RocksDBStateStoreProvider" in fh.read()
+
+
 def last_per_key(out):
     final = {}
     for bid in sorted(out):
