@@ -153,3 +153,13 @@ def test_fresh_checkpoint_loses_state(spark, tmp_path):
     write_files(src, {k: FILES[k] for k in "cde"})
     out, _ = run(spark, src, str(tmp_path / "fresh"), "update", "f6_fresh")
     assert last_per_key(out)[("A", "11:35")] == 999.0
+
+
+def test_console_sink_runs(spark, tmp_path):
+    """K1: the debug console sink (final windows, append mode)."""
+    write_files(str(tmp_path / "src"), FILES)
+    stream = spark.readStream.option("maxFilesPerTrigger", 1).text(str(tmp_path / "src"))
+    q = start(tick_means(stream), name="k1_console", checkpoint=str(tmp_path / "ckpt"), mode="append",
+              trigger={"availableNow": True}, sink="console")
+    assert run_until_idle(q, max_idle_seconds=600, poll_seconds=0.5) == "finished"
+    assert sum(p.numInputRows for p in q.recentProgress) == sum(len(v) for v in FILES.values())
