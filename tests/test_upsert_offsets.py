@@ -90,3 +90,25 @@ def test_bounded_read_ranges(spark, tmp_path):
     got = bounded_read(spark, path=path, starting={0: 3, 1: 8}, ending={0: 6})
     pairs = sorted((r.partition, r.offset) for r in got.select("partition", "offset").collect())
     assert pairs == [(0, 3), (0, 4), (0, 5), (1, 8), (1, 9)] + [(2, o) for o in range(10)]
+
+
+def test_merge_statement_text():
+    """K3/K4 JDBC path: the one statement sent to the database (text only;
+    running it needs a database server)."""
+    from tickwise.sinks.keyed_table import merge_statement
+
+    cols = ["stock_ticker", "timestamp", "price"]
+    keys = ["stock_ticker", "timestamp"]
+    pg = merge_statement("stock_data", "stage_q_7", cols, keys)
+    assert pg == (
+        'INSERT INTO stock_data ("stock_ticker", "timestamp", "price") '
+        'SELECT "stock_ticker", "timestamp", "price" FROM stage_q_7 '
+        'ON CONFLICT ("stock_ticker", "timestamp") DO UPDATE SET "price" = EXCLUDED."price"'
+    )
+    std = merge_statement("stock_data", "stage_q_7", cols, keys, dialect="merge")
+    assert std == (
+        'MERGE INTO stock_data t USING stage_q_7 s ON t."stock_ticker" = s."stock_ticker" '
+        'AND t."timestamp" = s."timestamp" WHEN MATCHED THEN UPDATE SET "price" = s."price" '
+        'WHEN NOT MATCHED THEN INSERT ("stock_ticker", "timestamp", "price") '
+        'VALUES (s."stock_ticker", s."timestamp", s."price")'
+    )
