@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tickwise.llm.common import table
 from tickwise.llm.packing import pack
+from tickwise.llm.quality import BASE, apply_policy, bits, ledger
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -26,8 +27,24 @@ def q_op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = apply_policy(ledger(table(spark, sf_dir, "documents")))
+    return rows.select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        (F.col("failures").bitwiseAND(F.lit(bits(BASE))) != 0).alias("base_failed"),
+        "kept",
+        "failures",
+    )
+
+
 QUERIES = {
     "op1_packing": q_op1_packing,
+    "op9_quality_rules": q_op9_quality_rules,
 }
 
 ORACLES: dict[str, str] = {}
