@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tickwise.llm.common import table
 from tickwise.llm.packing import pack
 from tickwise.llm.quality import BASE, apply_policy, bits, ledger
+from tickwise.llm.sharding import assign_shards
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -27,6 +28,19 @@ def q_op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = assign_shards(table(spark, sf_dir, "documents"), n_shards=16)
+    return rows.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def q_op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = apply_policy(ledger(table(spark, sf_dir, "documents")))
     return rows.select(
@@ -44,6 +58,7 @@ def q_op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": q_op1_packing,
+    "op3_sharding": q_op3_sharding,
     "op9_quality_rules": q_op9_quality_rules,
 }
 
