@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from tickwise.llm.common import table
 from tickwise.llm.packing import pack
-from tickwise.llm.quality import BASE, apply_policy, bits, ledger
+from tickwise.llm.quality import BASE, CURRENT, POLICIES, RULES, apply_policy, bits, ledger
 from tickwise.llm.sharding import assign_shards
+from tickwise.llm.url_filter import LISTED_LABELS, build_cascade, judge, key_universe
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -41,6 +42,14 @@ def q_op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    keys = key_universe(pages)
+    first_label = F.element_at(F.split("key", r"\."), 1)
+    levels = build_cascade(keys.withColumn("listed", first_label.isin(*LISTED_LABELS)))
+    return judge(pages, levels).select("page_id", "host", "path", "rule", "verdict")
+
+
 def q_op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = apply_policy(ledger(table(spark, sf_dir, "documents")))
     return rows.select(
@@ -59,7 +68,72 @@ def q_op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_packing": q_op1_packing,
     "op3_sharding": q_op3_sharding,
+    "op7_url_filters": q_op7_url_filters,
     "op9_quality_rules": q_op9_quality_rules,
 }
 
-ORACLES: dict[str, str] = {}
+_LABELS = ", ".join(f"'{x}'" for x in LISTED_LABELS)
+
+ORACLES: dict[str, str] = {
+    "op7_url_filters": f"""
+with cut as (
+    select page_id, case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) end as rest from pages
+), parts as (
+    select page_id,
+        coalesce(translate(regexp_extract(rest, '^([^/?#]*)([^?#]*)', 1),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') as host,
+        coalesce(regexp_extract(rest, '^([^/?#]*)([^?#]*)', 2), '') as path
+    from cut
+), ruled as (
+    select *, case
+        when (host = 'example.net' or ends_with(host, '.example.net')) and starts_with(path, '/en/') then 'example.net/en/'
+        when (host = 'example.com' or ends_with(host, '.example.com')) and starts_with(path, '/de/') then 'example.com/de/'
+        when (host = 'org' or ends_with(host, '.org')) and starts_with(path, '/fr/') then 'org/fr/'
+        when (host = 'net' or ends_with(host, '.net')) and starts_with(path, '/') then 'net/'
+    end as rule
+    from parts
+)
+select page_id, host, path, rule,
+    case when rule in ('net/', 'example.com/de/') then 'block'
+        when rule is not null then 'allow'
+        when list_has_any(string_split(host, '.'), [{_LABELS}]) then 'block'
+        else 'allow' end as verdict
+from ruled
+""",
+    "op9_quality_rules": f"""
+with texts as (
+    select row_number() over () as rid, doc_id, coalesce(text, '') as t from documents
+), split_ as (
+    select rid, doc_id, t,
+        list_filter(regexp_split_to_array(t, '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '') as w,
+        string_split(t, chr(10)) as lines
+    from texts
+), grams as (
+    select rid, i, w[i] as a, w[i + 1] as b, w[i + 2] as c
+    from (select rid, w, unnest(range(1, greatest(len(w) - 1, 1))) as i from split_)
+), again as (
+    select rid, i from (select rid, i, count(*) over (partition by rid, a, b, c) as n from grams) where n > 1
+), covered as (
+    select rid, count(distinct p) as n from (select rid, unnest([i, i + 1, i + 2]) as p from again) group by rid
+), measured as (
+    select s.doc_id,
+        len(w)::bigint as n_words,
+        length(regexp_replace(t, '[ \\t\\n\\x0B\\f\\r]', '', 'g'))::bigint as word_chars,
+        length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols,
+        length(regexp_replace(t, '[^!]', '', 'g'))::bigint as n_exclamations,
+        len(lines)::bigint as n_lines,
+        (len(full_) - len(list_distinct(full_)))::bigint as n_dup_lines,
+        coalesce(v.n, 0)::bigint as n_repeat_words
+    from (select *, list_filter(lines, lambda x: regexp_matches(x, '[^ \\t\\n\\x0B\\f\\r]')) as full_ from split_) s
+    left join covered v on v.rid = s.rid
+), judged as (
+    select *, {" | ".join(f"(case when {r} then {1 << i} else 0 end)" for i, r in enumerate(RULES.values()))} as failures
+    from measured
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    (failures & {bits(BASE)}) <> 0 as base_failed,
+    (failures & {bits(POLICIES[CURRENT])}) = 0 as kept,
+    failures
+from judged
+""",
+}
