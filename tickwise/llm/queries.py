@@ -7,11 +7,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwise.llm.common import table
+from tickwise.llm.common import stored, table
 from tickwise.llm.packing import pack
 from tickwise.llm.quality import BASE, CURRENT, POLICIES, RULES, apply_policy, bits, ledger
 from tickwise.llm.sharding import assign_shards
 from tickwise.llm.url_filter import LISTED_LABELS, build_cascade, judge, key_universe
+from tickwise.llm.warc import assemble, read_records, resolve, write_archives
+from tickwise.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -42,6 +44,22 @@ def q_op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    path = scratch_path(spark, "warc")
+    write_archives(pages, path)
+    # the query needs sizes and digests of payloads, not the payloads
+    captures = stored(assemble(read_records(spark, path, with_payload=False)), "captures")
+    rows = resolve(captures)
+    return rows.select(
+        F.col("metadata.capture_key").cast("long").alias("page_id"),
+        F.col("response.payload_bytes").alias("payload_bytes"),
+        F.col("response.payload_digest").alias("payload_digest"),
+        F.col("response.type").alias("record_type"),
+        F.col("original").cast("long").alias("refers_to"),
+    )
+
+
 def q_op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     keys = key_universe(pages)
@@ -68,6 +86,7 @@ def q_op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_packing": q_op1_packing,
     "op3_sharding": q_op3_sharding,
+    "op6_warc": q_op6_warc,
     "op7_url_filters": q_op7_url_filters,
     "op9_quality_rules": q_op9_quality_rules,
 }
@@ -75,6 +94,17 @@ QUERIES = {
 _LABELS = ", ".join(f"'{x}'" for x in LISTED_LABELS)
 
 ORACLES: dict[str, str] = {
+    "op6_warc": """
+with digests as (
+    select page_id, strlen(coalesce(html, ''))::bigint as payload_bytes, sha256(coalesce(html, '')) as payload_digest from pages
+), firsts as (
+    select *, min(page_id) over (partition by payload_digest) as first_id from digests
+)
+select page_id, payload_bytes, payload_digest,
+    case when payload_bytes >= 100 and page_id <> first_id then 'revisit' else 'response' end as record_type,
+    case when payload_bytes >= 100 and page_id <> first_id then first_id end as refers_to
+from firsts
+""",
     "op7_url_filters": f"""
 with cut as (
     select page_id, case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) end as rest from pages
