@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickwise.llm.common import stored, table
+from tickwise.llm.decontaminate import contamination, is_contaminated
 from tickwise.llm.packing import pack
 from tickwise.llm.quality import BASE, CURRENT, POLICIES, RULES, apply_policy, bits, ledger
 from tickwise.llm.sharding import assign_shards
@@ -31,6 +32,18 @@ def q_op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return rows.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        is_contaminated().alias("contaminated"),
+    )
+
+
 def q_op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = assign_shards(table(spark, sf_dir, "documents"), n_shards=16)
     return rows.select(
@@ -85,6 +98,7 @@ def q_op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": q_op1_packing,
+    "op2_decontamination": q_op2_decontamination,
     "op3_sharding": q_op3_sharding,
     "op6_warc": q_op6_warc,
     "op7_url_filters": q_op7_url_filters,
@@ -93,7 +107,40 @@ QUERIES = {
 
 _LABELS = ", ".join(f"'{x}'" for x in LISTED_LABELS)
 
+# Words of a text by the decontamination contract.
+_WORDS = (
+    "regexp_extract_all(translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),"
+    " '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+)
+
 ORACLES: dict[str, str] = {
+    "op2_decontamination": f"""
+with docs as (
+    select row_number() over () as rid, doc_id, {_WORDS.format("text")} as w from documents
+), items as (
+    select item_id, w, least(13, len(w)) as n
+    from (select item_id, {_WORDS.format("text")} as w from benchmark) where len(w) > 0
+), item_windows as (
+    select distinct item_id, n, array_to_string(list_slice(w, i, i + n - 1), ' ') as win
+    from (select item_id, w, n, unnest(range(1, len(w) - n + 2)) as i from items)
+), lengths as (
+    select distinct n from items
+), doc_windows as (
+    select rid, i, n, array_to_string(list_slice(w, i, i + n - 1), ' ') as win
+    from (select rid, w, n, unnest(range(1, greatest(len(w) - n + 2, 1))) as i from docs, lengths)
+), hits as (
+    select rid, i, n, win from doc_windows where win in (select win from item_windows)
+), words_hit as (
+    select rid, count(distinct p) as n_hit from (select rid, unnest(range(i, i + n)) as p from hits) group by rid
+), listed as (
+    select rid, count(*) as n_items, string_agg(id, ',' order by id) as ids
+    from (select distinct h.rid, w.item_id::varchar as id from hits h join item_windows w using (win)) group by rid
+)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
+    coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(ids, '')) as items_sha256,
+    coalesce(n_hit, 0) > 0 and 20 * n_hit >= len(w) as contaminated
+from docs left join words_hit using (rid) left join listed using (rid)
+""",
     "op6_warc": """
 with digests as (
     select page_id, strlen(coalesce(html, ''))::bigint as payload_bytes, sha256(coalesce(html, '')) as payload_digest from pages
