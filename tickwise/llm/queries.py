@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tickwise.llm.common import stored, table
 from tickwise.llm.decontaminate import contamination, is_contaminated
 from tickwise.llm.packing import pack
+from tickwise.llm.pii import KINDS, all_spans, find_personal, joined
 from tickwise.llm.quality import BASE, CURRENT, POLICIES, RULES, apply_policy, bits, ledger
 from tickwise.llm.sharding import assign_shards
 from tickwise.llm.url_filter import LISTED_LABELS, build_cascade, judge, key_universe
@@ -57,6 +58,17 @@ def q_op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = find_personal(table(spark, sf_dir, "documents")).withColumn("every", all_spans())
+    count = lambda kind: F.size(F.filter("plain", lambda s: s["kind"] == kind)).cast("long")
+    return rows.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in KINDS],
+        F.sha2(joined("plain").cast("binary"), 256).alias("base_sha256"),
+        joined("every").alias("spans"),
+    )
+
+
 def q_op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     path = scratch_path(spark, "warc")
@@ -100,6 +112,7 @@ QUERIES = {
     "op1_packing": q_op1_packing,
     "op2_decontamination": q_op2_decontamination,
     "op3_sharding": q_op3_sharding,
+    "op5_pii": q_op5_pii,
     "op6_warc": q_op6_warc,
     "op7_url_filters": q_op7_url_filters,
     "op9_quality_rules": q_op9_quality_rules,
