@@ -13,6 +13,7 @@ from tickwise.llm.packing import pack
 from tickwise.llm.pii import KINDS, all_spans, find_personal, joined
 from tickwise.llm.quality import BASE, CURRENT, POLICIES, RULES, apply_policy, bits, ledger
 from tickwise.llm.sharding import assign_shards
+from tickwise.llm.toxicity import score, train
 from tickwise.llm.url_filter import LISTED_LABELS, build_cascade, judge, key_universe
 from tickwise.llm.warc import assemble, read_records, resolve, write_archives
 from tickwise.session import scratch_path
@@ -93,6 +94,11 @@ def q_op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(pages, levels).select("page_id", "host", "path", "rule", "verdict")
 
 
+def q_op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
 def q_op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = apply_policy(ledger(table(spark, sf_dir, "documents")))
     return rows.select(
@@ -115,6 +121,7 @@ QUERIES = {
     "op5_pii": q_op5_pii,
     "op6_warc": q_op6_warc,
     "op7_url_filters": q_op7_url_filters,
+    "op8_toxicity": q_op8_toxicity,
     "op9_quality_rules": q_op9_quality_rules,
 }
 
