@@ -80,7 +80,8 @@ def fingerprints(words: np.ndarray, text_of: np.ndarray, length: int) -> tuple[n
     return grams, _sliding(padded, run, np.maximum) == grams, whole
 
 
-def _held(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+def held(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes (unsigned 64-bit) a filter of ``key_filter`` holds."""
     mask = np.uint64(64 * len(bits) - 1)
 
     def bit(p):
@@ -133,7 +134,8 @@ def item_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str =
 
 
 def key_filter(items: DataFrame) -> np.ndarray:
-    """The Bloom filter of all item keys as 64-bit words (at most 16 MB)."""
+    """A Bloom filter of all hashes in the lists ``keys``, as 64-bit words (at
+    most 16 MB; beyond about two million keys it only lets more through)."""
     n_keys = items.agg(F.sum(F.size("keys"))).first()[0] or 0
     bits = min(MAX_BITS, max(MIN_BITS, (64 * n_keys).bit_length()))
     mask = F.lit((1 << bits) - 1)
@@ -180,14 +182,14 @@ def candidate_windows(
                         continue
                     chosen = np.flatnonzero(chosen)
                     hit = np.zeros(len(grams), dtype=np.int32)
-                    hit[chosen[_held(bits, grams[chosen])]] = 1
+                    hit[chosen[held(bits, grams[chosen])]] = 1
                     upto = np.concatenate([[0], np.cumsum(hit)])
                     run = length - gram_words(length) + 1
                     near = np.flatnonzero(whole & (upto[run:][: len(whole)] > upto[: len(whole)]))
                     spans = np.zeros(len(near), dtype=np.uint64)
                     for j in range(length):
                         spans += words[near + j] * POSITION_WEIGHT[j + 17]
-                    near = near[_held(bits, _salted(mix(spans), length, 1))]
+                    near = near[held(bits, _salted(mix(spans), length, 1))]
                     for at in near.tolist():
                         i = int(text_of[at])
                         found[i].append(

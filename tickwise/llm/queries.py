@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tickwise.llm.common import stored, table
 from tickwise.llm.decontaminate import contamination, is_contaminated
+from tickwise.llm.near import near_classes
 from tickwise.llm.packing import pack
 from tickwise.llm.pii import KINDS, all_spans, find_personal, joined
 from tickwise.llm.quality import BASE, CURRENT, POLICIES, RULES, apply_policy, bits, ledger
@@ -114,6 +115,10 @@ def q_op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
 QUERIES = {
     "op1_packing": q_op1_packing,
     "op2_decontamination": q_op2_decontamination,
@@ -123,6 +128,7 @@ QUERIES = {
     "op7_url_filters": q_op7_url_filters,
     "op8_toxicity": q_op8_toxicity,
     "op9_quality_rules": q_op9_quality_rules,
+    "op10_jaccard_join": q_op10_jaccard_join,
 }
 
 _LABELS = ", ".join(f"'{x}'" for x in LISTED_LABELS)
