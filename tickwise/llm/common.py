@@ -7,7 +7,7 @@ import types
 from collections.abc import Callable
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickwise.session import ensure_utc, scratch_path
@@ -34,6 +34,26 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def row_number(docs: DataFrame) -> Column:
+    """A number of each row of a stored table that is the same in every scan.
+
+    The number counts rows within input splits. Spark cuts a small input by
+    the number of cores it sees, which changes when executors come or go, so
+    the session is told the count it has now, unless it has one."""
+    spark = docs.sparkSession
+    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
+    return F.monotonically_increasing_id()
+
+
+def without_rows(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """``docs``, a stored table, without the rows whose ``row_number`` is in
+    ``rows(row)``."""
+    document = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document")
+    numbered = docs.select(document, row_number(docs).alias("row"))
+    return numbered.join(rows, "row", "left_anti").select("document.*")
+
+
 def lower_ascii(text):
     """``text`` with A-Z, and nothing else, in lower case."""
     return F.translate(text, ASCII_UPPER, ASCII_LOWER)

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwise.llm.common import stored
+from tickwise.llm.common import row_number, stored
 from tickwise.llm.textbytes import POSITION_WEIGHT, gram_hashes, hash_runs, mix, pieces_of, words_of
 
 WINDOW = 13
@@ -160,7 +160,7 @@ def candidate_windows(
     """One row per document: ``row, id, n_words, found`` with the windows
     that extend a fingerprint of the filter: ``start, length, window``."""
     source = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("t")
+        row_number(docs).alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("t")
     )
     shared = docs.sparkSession.sparkContext.broadcast(filter_bits)
     id_type = source.schema["id"].dataType.simpleString()
@@ -222,8 +222,7 @@ def contamination(
     item_col: str = "item_id",
     n: int = WINDOW,
 ) -> DataFrame:
-    """One row per document: ``row`` (its ``monotonically_increasing_id`` in
-    ``docs``), ``<id_col>, n_words, n_hit`` (words inside an occurrence of an
+    """One row per document: ``row`` (its ``row_number``), ``<id_col>, n_words, n_hit`` (words inside an occurrence of an
     item's window), ``items`` (ids of items with occurring windows, as
     strings, sorted) and ``spans`` (the windows' starts and lengths in words)."""
     items = stored(item_windows(benchmark, item_col, text_col, n), "item-windows")

@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwise.llm.common import stored
+from tickwise.llm.common import row_number, stored
 from tickwise.llm.components import connected_components
 from tickwise.llm.decontaminate import held, key_filter
 from tickwise.llm.textbytes import gram_hashes, hash_runs, mix, pieces_of, words_of
@@ -339,12 +339,12 @@ def near_classes(
     tolerance: float = TOLERANCE,
     chunk: int = CHUNK,
 ) -> DataFrame:
-    """One row per document: ``row`` (its ``monotonically_increasing_id``),
+    """One row per document: ``row`` (its ``row_number``),
     ``<id_col>, class_id`` (the smallest id of its class), ``n_links`` (other
     documents with similarity ``threshold`` or more, copies included) and
     ``first`` (whether it stands for its class)."""
     source = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("t")
+        row_number(docs).alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("t")
     )
     sketches = stored(_sketches(source, n), "near-sketches")
     full = sketches.where("size > 0")

@@ -76,9 +76,11 @@ def _repeat_words(grams: Column) -> Column:
     )
 
 
-def ledger(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with the measurements and ``failures`` (one bit a rule)."""
-    kept = [F.col(f"`{c}`") for c in docs.columns if c not in (*MEASURES, "failures")]
+def ledger(docs: DataFrame, text_col: str = "text", nested: bool = False) -> DataFrame:
+    """``docs`` with the measurements and ``failures`` (one bit a rule). With
+    ``nested`` the document is one column ``row`` and loses none of its own
+    columns to ledger columns of the same name."""
+    kept = [F.col(f"`{c}`") for c in docs.columns if nested or c not in (*MEASURES, "failures")]
     carried = F.struct(*kept).alias("row")
     text = F.coalesce(F.col(text_col), F.lit(""))
     step = docs.select(carried, text.alias("t"), F.array_remove(F.split(text, SPACE_RUN), "").alias("w"))
@@ -117,7 +119,7 @@ def ledger(docs: DataFrame, text_col: str = "text") -> DataFrame:
         lambda a, b: a.bitwiseOR(b),
         [F.when(F.expr(rule), F.lit(1 << i)).otherwise(F.lit(0)) for i, rule in enumerate(RULES.values())],
     )
-    return measured.select("row.*", *MEASURES, failures.alias("failures"))
+    return measured.select("row" if nested else "row.*", *MEASURES, failures.alias("failures"))
 
 
 def passes(version: str = CURRENT, failures: str = "failures") -> Column:

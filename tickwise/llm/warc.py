@@ -37,6 +37,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickwise.llm.common import row_number
+
 MIN_REVISIT_BYTES = 100
 CAPTURES_PER_FILE = 1000
 CAPTURE_DATE = "2024-01-01T00:00:00Z"
@@ -97,7 +99,7 @@ def write_archives(
         payload.alias("body"),
         F.sha2(payload.cast("binary"), 256).alias("digest"),
         F.octet_length(payload).alias("n"),
-        F.monotonically_increasing_id().alias("row"),
+        row_number(pages).alias("row"),
     )
     # only digests that occur twice or more can have revisits
     firsts = (
