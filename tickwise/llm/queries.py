@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tickwise.llm.common import stored, table
 from tickwise.llm.decontaminate import contamination, is_contaminated
+from tickwise.llm.extract import extract
 from tickwise.llm.near import near_classes
 from tickwise.llm.packing import pack
 from tickwise.llm.pii import KINDS, all_spans, find_personal, joined
@@ -60,6 +61,11 @@ def q_op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = extract(table(spark, sf_dir, "pages"))
+    return rows.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_covered", "n_restored")
+
+
 def q_op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = find_personal(table(spark, sf_dir, "documents")).withColumn("every", all_spans())
     count = lambda kind: F.size(F.filter("plain", lambda s: s["kind"] == kind)).cast("long")
@@ -123,6 +129,7 @@ QUERIES = {
     "op1_packing": q_op1_packing,
     "op2_decontamination": q_op2_decontamination,
     "op3_sharding": q_op3_sharding,
+    "op4_html_extraction": q_op4_html_extraction,
     "op5_pii": q_op5_pii,
     "op6_warc": q_op6_warc,
     "op7_url_filters": q_op7_url_filters,
