@@ -137,7 +137,7 @@ def ablation(rows: DataFrame, version: str = CURRENT) -> DataFrame:
     alone (they would stay without it), and that the whole policy keeps."""
     masks = rows.groupBy("failures").agg(F.count(F.lit(1)).alias("n"))
     policy = bits(POLICIES[version])
-    one = F.shiftleft(F.lit(1), F.col("bit"))
+    one = F.expr("shiftleft(1, bit)")
     rules = F.explode(
         F.array(*[F.struct(F.lit(r).alias("rule"), F.lit(list(RULES).index(r)).alias("bit")) for r in POLICIES[version]])
     )
