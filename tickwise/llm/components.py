@@ -17,7 +17,9 @@ from tickwise.llm.common import stored
 
 
 def _least(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+    # stored, so that both sides of the join are plain shuffles: only such a
+    # join can be split where one node has very many edges
+    least = stored(edges.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")), "least")
     return edges.join(least, "u")
 
 
@@ -46,7 +48,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     edges = stored(edges, "edges")
     state = _state(edges)
     while state[0]:
-        edges = stored(_small_star(_large_star(edges).distinct()).distinct(), "edges")
+        large = stored(_large_star(edges).distinct(), "edges")
+        edges = stored(_small_star(large).distinct(), "edges")
         after = _state(edges)
         if after == state:
             break

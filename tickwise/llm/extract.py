@@ -209,7 +209,7 @@ def repeated(tokens: np.ndarray, page_of: np.ndarray, run: int = MIN_RUN) -> np.
     n = len(tokens)
     if n == 0:
         return np.zeros(0, dtype=bool)
-    rank, have = tokens.astype(np.int64), 1
+    rank, have = np.unique(tokens, return_inverse=True)[1], 1
     while have < run:  # rank of the first ``have`` tokens -> of twice as many
         step = min(have, run - have)
         after = np.zeros(n, dtype=np.int64)

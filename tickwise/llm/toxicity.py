@@ -37,6 +37,7 @@ MAX_TOXIC = 2000
 MAX_CLEAN = 4000
 GRADES = 3
 MIN_DOCUMENTS = 3
+MAX_FEATURES = 1 << 15
 MARKED_SHARE = 0.9
 # Few labels are toxic, so the sum of errors is least below one half.
 TOXIC_FROM = 0.3
@@ -77,14 +78,23 @@ def grade(toxic: np.ndarray, row_of: np.ndarray, features: np.ndarray, counts: n
 
 
 def fit(
-    grades: np.ndarray, weight: np.ndarray, row_of: np.ndarray, features: np.ndarray, steps: int = 200, penalty: float = 1e-4
+    grades: np.ndarray, weight: np.ndarray, row_of: np.ndarray, features: np.ndarray, steps: int = 300, penalty: float = 0.008
 ) -> OrdinalModel:
     """Proximal gradient descent (Adam steps, soft threshold) on the weighted
-    likelihood. ``row_of`` and ``features`` list the distinct words of rows."""
+    likelihood. ``row_of`` and ``features`` list the distinct words of rows. The
+    penalty falls with the root of the number of rows."""
     n, top = len(grades), int(grades.max())
-    seen = np.bincount(features, minlength=1 << FEATURE_BITS) >= MIN_DOCUMENTS
-    used = np.flatnonzero(seen)
-    keep = seen[features]
+    penalty /= np.sqrt(n)
+    # features whose documents differ most from the rest in being toxic
+    seen = np.bincount(features, minlength=1 << FEATURE_BITS)
+    rate = (grades > 0).mean()
+    found = np.bincount(features, weights=(grades > 0)[row_of], minlength=1 << FEATURE_BITS)
+    z = np.where(seen >= MIN_DOCUMENTS, np.abs(found - rate * seen) / np.sqrt(np.maximum(seen, 1) * rate * (1 - rate)), -1)
+    used = np.sort(np.argsort(-z, kind="stable")[:MAX_FEATURES])
+    used = used[z[used] >= 0]
+    chosen = np.zeros(1 << FEATURE_BITS, dtype=bool)
+    chosen[used] = True
+    keep = chosen[features]
     row_of, column = row_of[keep], np.searchsorted(used, features[keep])
     weight = weight / weight.sum()
     share = np.array([weight[grades >= j].sum() for j in range(1, top + 1)])
@@ -93,8 +103,9 @@ def fit(
     gaps = np.log(np.maximum(np.diff(start), 0.1))
     m = len(used)
     x = np.concatenate([np.zeros(m), start[:1], gaps])
-    first, second, rate = np.zeros(len(x)), np.zeros(len(x)), 0.15
+    first, second = np.zeros(len(x)), np.zeros(len(x))
     for step in range(1, steps + 1):
+        rate = 0.2 / np.sqrt(1 + step / 30)
         w, thresholds = x[:m], _thresholds(x[m:])
         u = np.ones((n, top + 2))
         u[:, 1:-1] = OrdinalModel(w, thresholds).at_least(np.bincount(row_of, weights=w[column], minlength=n))
