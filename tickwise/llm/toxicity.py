@@ -9,7 +9,7 @@ words (``PREFIX`` bytes, for stems), 1 where the text has them.
 The model is fitted on a bounded sample of labelled rows (``max_toxic`` and
 ``max_clean`` documents, those whose id hashes lowest), weighted back to the
 shares of all labels. Labels that only say toxic or not are graded by how many
-marked words a document holds: words that nearly only toxic rows of the
+different marked words a document holds: words that nearly only toxic rows of the
 sample have. Every document is then scored on its whole text by a projection.
 
 Defined cases: a null or empty text has no features and gets the severity of
@@ -64,14 +64,14 @@ def text_features(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.n
         yield first, count, np.concatenate([row_of, row_of[long]]), features
 
 
-def grade(toxic: np.ndarray, row_of: np.ndarray, features: np.ndarray, counts: np.ndarray, grades: int) -> np.ndarray:
-    """0 for clean rows; for toxic ones 1 to ``grades`` by the number of marked
-    words, cut into shares of equal size."""
+def grade(toxic: np.ndarray, row_of: np.ndarray, features: np.ndarray, grades: int) -> np.ndarray:
+    """0 for clean rows; for toxic ones 1 to ``grades`` by the number of
+    different marked features, cut into shares of equal size."""
     size = 1 << FEATURE_BITS
     in_toxic = np.bincount(features, weights=toxic[row_of], minlength=size)
     in_all = np.bincount(features, minlength=size)
     marked = (in_all >= MIN_DOCUMENTS) & (in_toxic >= MARKED_SHARE * in_all)
-    level = np.bincount(row_of, weights=counts * marked[features], minlength=len(toxic))
+    level = np.bincount(row_of, weights=marked[features], minlength=len(toxic))
     own = np.sort(level[toxic > 0])
     cuts = own[[len(own) * i // grades for i in range(1, grades)]]
     return np.where(toxic > 0, 1 + np.searchsorted(np.unique(cuts), level, side="left"), 0)
@@ -164,18 +164,17 @@ def train(
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, count, row_of, features in text_features(batch.column(1)):
-                pair, n = np.unique((row_of << FEATURE_BITS) | features, return_counts=True)
+                pair = np.unique((row_of << FEATURE_BITS) | features)
                 cut = np.searchsorted(pair >> FEATURE_BITS, np.arange(count + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(2).slice(first, count),
                         pa.ListArray.from_arrays(cut, pa.array((pair & ((1 << FEATURE_BITS) - 1)).astype(np.int32))),
-                        pa.ListArray.from_arrays(cut, pa.array(n.astype(np.int32))),
                     ],
-                    names=["label", "features", "counts"],
+                    names=["label", "features"],
                 )
 
-    rows = texts.select("id", "t", "label").mapInArrow(task, "label int, features array<int>, counts array<int>").toArrow()
+    rows = texts.select("id", "t", "label").mapInArrow(task, "label int, features array<int>").toArrow()
     label = np.asarray(rows["label"].to_numpy(), dtype=np.int64)
     if not len(label) or not (label > 0).any() or not (label == 0).any():
         return None
@@ -184,7 +183,7 @@ def train(
     features = lists.flatten().to_numpy().astype(np.int64)
     toxic = (label > 0).astype(float)
     if label.max() == 1:
-        label = grade(toxic, row_of, features, rows["counts"].combine_chunks().flatten().to_numpy(), grades)
+        label = grade(toxic, row_of, features, grades)
     weight = np.where(label > 0, totals[True] / toxic.sum(), totals[False] / (1 - toxic).sum())
     return fit(label.astype(np.int64), weight, row_of, features)
 
