@@ -97,9 +97,14 @@ def test_committed_offset_log_retention_and_restart(spark, tmp_path):
     log = CommittedOffsetLog(spark, path, query="q", topic="data_stream", retain=3)
     for b in range(6):
         log.on_progress(progress(b, {0: 10 + b, 1: 20 + b, 2: 30}))
-    assert sorted(list_names(spark, f"{path}/query=q")) == ["batch_id=3", "batch_id=4", "batch_id=5"]
+    assert [b for _, b in log.snapshots()] == [3, 4, 5]
     restarted = CommittedOffsetLog(spark, path, query="q", topic="data_stream", retain=3)
     for b in range(6, 10):
         restarted.on_progress(progress(b, {0: 100 + b}))
     assert {r.partition: r.committed_offset for r in restarted.read().collect()} == {0: 109, 1: 25, 2: 30}
-    assert len(list_names(spark, f"{path}/query=q")) == 3
+    assert len(restarted.snapshots()) == 3
+    # a new checkpoint: batch ids start over, and the newest run still decides
+    reset = CommittedOffsetLog(spark, path, query="q", topic="data_stream", retain=3)
+    reset.on_progress(progress(0, {0: 503}))
+    assert {r.partition: r.committed_offset for r in reset.read().collect()} == {0: 503, 1: 25, 2: 30}
+    assert len(list_names(spark, f"{path}/query=q")) >= 1

@@ -11,9 +11,9 @@ the columns the query needs.
 import pytest
 from conftest import SF_SMALL
 
-import __spark_entry__ as E
+from tickwise.plans.registry import all_queries
 
-BATCH = [k for k in E.queries() if not k.startswith("stream_")]
+BATCH = [k for k in all_queries() if not k.startswith("stream_")]
 MAP_SIDE = ("HashAggregate(", "ObjectHashAggregate(", "WindowGroupLimit ")
 
 
@@ -23,7 +23,7 @@ def plan_lines(df) -> list[str]:
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    return {name: plan_lines(E.queries()[name](spark, SF_SMALL)) for name in BATCH}
+    return {name: plan_lines(all_queries()[name](spark, SF_SMALL)) for name in BATCH}
 
 
 @pytest.mark.parametrize("name", BATCH)
@@ -48,21 +48,50 @@ def test_no_pairing_joins_or_sort_aggregates(plans, name):
 @pytest.mark.parametrize("name", BATCH)
 def test_scans_are_pruned(plans, name):
     scans = [ln for ln in plans[name] if ln.startswith("FileScan parquet") and "events.parquet" in ln]
-    # these two return what their own jobs wrote (topic files, stage counts)
-    if name not in ("batch_topic_read", "stage_counts"):
+    # these return what their own jobs wrote (topic files, stage counts, checks)
+    if name not in ("batch_topic_read", "stage_counts", "gated_run"):
         assert scans, f"{name}: no events scan found"
     for ln in scans:
         cols = ln[ln.index("[") + 1:ln.index("]")].split(",")
         assert "props" not in cols, f"{name} reads an unused column: {cols}"
 
 
-def test_spread_leaves_large_scans_alone(spark, monkeypatch):
-    """Only a small scan is round-robined; above the size cap the scan keeps
-    its own splits, however many cores the cluster has."""
-    import tickwise.plans.common as common
-
-    small = common.table(spark, SF_SMALL, "events")
-    assert small.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    monkeypatch.setattr(common, "SPREAD_MAX_BYTES", 1)
-    raw = spark.read.parquet(f"{SF_SMALL}/events.parquet")
-    assert common.table(spark, SF_SMALL, "events").rdd.getNumPartitions() == raw.rdd.getNumPartitions()
+@pytest.mark.parametrize("name", BATCH)
+def test_no_round_robin(plans, name):
+    """The scan's own splits decide; nothing deals rows out anew."""
+    assert not any("RoundRobinPartitioning" in ln for ln in plans[name])
+
+
+def test_upsert_batch_reads_nothing_and_writes_its_rows_once(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from tickwise.sinks.keyed_table import KeyedTable
+
+    table = KeyedTable(spark, str(tmp_path / "t"))
+    days = spark.range(28).select(
+        F.lit("A").alias("stock_ticker"), F.expr("timestamp'2024-01-01' + make_interval(0, 0, 0, id)").alias("timestamp"),
+        F.lit(1.0).alias("price"),
+    )
+    table.upsert(days, batch_id=0)
+    before = {f: spark.read.parquet(f).count() for f in table.folders()}
+    table.upsert(days.limit(2), batch_id=1)
+    after = {f: spark.read.parquet(f).count() for f in table.folders()}
+    assert {f: after[f] for f in before} == before
+    assert sum(after.values()) == sum(before.values()) + 2
+    # a read of one day is pruned to its folders
+    plan = table.read(with_partition=True).where("date = date'2024-01-03'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan
+
+
+def test_waiting_records_push_the_offset_bound(spark, tmp_path):
+    from tickwise.plans.common import topic_records
+    from tickwise.sources.topic import append_segment, read_topic
+    from tickwise.streaming.app import waiting_records
+
+    append_segment(topic_records(spark, SF_SMALL), str(tmp_path / "topic"))
+    records = read_topic(spark, path=str(tmp_path / "topic"), streaming=False)
+    waiting = waiting_records(records, {0: 1900, 1: 1500, 2: 1990})
+    got = sorted((r.partition, r.offset) for r in waiting.collect())
+    low = {0: 1900, 1: 1500, 2: 1990}
+    assert got == sorted((r.partition, r.offset) for r in records.collect() if r.offset >= low[r.partition])
+    assert "1500" in waiting._jdf.queryExecution().executedPlan().toString()

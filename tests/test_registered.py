@@ -3,12 +3,12 @@ driver smoke entry."""
 
 import pytest
 
-import __spark_entry__ as E
-from tickwise.plans.compare import compare, duckdb_connection
+from tickwise.plans.registry import all_oracles, all_queries
+from tests.compare import compare, duckdb_connection
 
 SF = "/root/testdata/sf0.001"
-BATCH = [k for k in E.queries() if not k.startswith("stream_")]
-STREAM = [k for k in E.queries() if k.startswith("stream_")]
+BATCH = [k for k in all_queries() if not k.startswith("stream_")]
+STREAM = [k for k in all_queries() if k.startswith("stream_")]
 
 
 @pytest.fixture(scope="module")
@@ -17,7 +17,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(all_queries()) == set(all_oracles())
 
 
 def test_entry(spark):
@@ -28,11 +28,11 @@ def test_entry(spark):
 
 @pytest.mark.parametrize("name", BATCH)
 def test_batch_query_matches_oracle(spark, con, name):
-    rep = compare(E.queries()[name](spark, SF), con, E.oracle_sql()[name])
+    rep = compare(all_queries()[name](spark, SF), con, all_oracles()[name])
     assert rep["ok"], rep
 
 
 @pytest.mark.parametrize("name", STREAM)
 def test_stream_query_matches_oracle(spark, con, name):
-    rep = compare(E.queries()[name](spark, SF), con, E.oracle_sql()[name])
+    rep = compare(all_queries()[name](spark, SF), con, all_oracles()[name])
     assert rep["ok"], rep

@@ -39,14 +39,58 @@ def test_keyed_table_upsert_is_idempotent(spark, tmp_path):
     assert key_violations(t.read()).count() == 0
 
 
-def test_replay_reuses_finished_staging(spark, tmp_path):
-    # a crash after staging but during the publish: the replay publishes the
-    # staged merge instead of merging again from a half-written table
-    t = KeyedTable(spark, str(tmp_path / "table"))
-    t.upsert(frame(spark, [("A", D, 1.0), ("B", D, 2.0)]), batch_id=0, writer="w")
-    t.upsert(frame(spark, [("A", D, 5.0)]), batch_id=1, writer="w")
-    t.upsert(frame(spark, [("A", D, 5.0)]), batch_id=1, writer="w")
-    assert as_set(t.read()) == {("A", D.replace(tzinfo=None), 5.0), ("B", D.replace(tzinfo=None), 2.0)}
+def test_batch_ids_that_start_over_lose_nothing(spark, tmp_path):
+    path = str(tmp_path / "table")
+    first = KeyedTable(spark, path)
+    first.upsert(frame(spark, [("A", D, 1.0), ("B", D, 2.0)]), batch_id=0, writer="w")
+    first.upsert(frame(spark, [("A", D, 9.0)]), batch_id=1, writer="w")
+    again = KeyedTable(spark, path)  # a new checkpoint
+    again.upsert(frame(spark, [("B", D, 50.0)]), batch_id=0, writer="w")
+    again.upsert(frame(spark, [("C", D, 77.0)]), batch_id=1, writer="w")
+    day = D.replace(tzinfo=None)
+    assert as_set(again.read()) == {("A", day, 9.0), ("B", day, 50.0), ("C", day, 77.0)}
+
+
+def test_writers_whose_names_share_a_beginning(spark, tmp_path):
+    path = str(tmp_path / "table")
+    KeyedTable(spark, path).upsert(frame(spark, [("A", D, 1.0)]), batch_id=1, writer="ticks-eu")
+    KeyedTable(spark, path).upsert(frame(spark, [("B", D, 2.0)]), batch_id=1, writer="ticks")
+    table = KeyedTable(spark, path)
+    table.compact()
+    assert as_set(table.read()) == {("A", D.replace(tzinfo=None), 1.0), ("B", D.replace(tzinfo=None), 2.0)}
+
+
+def test_interrupted_publish_and_compaction(spark, tmp_path, monkeypatch):
+    """A write that dies leaves a folder that no reader counts; the replay
+    replaces it. A compaction that dies before it drops its inputs leaves
+    copies that no reader sees."""
+    import os
+
+    path = str(tmp_path / "table")
+    table = KeyedTable(spark, path)
+    table.upsert(frame(spark, [("A", D, 1.0), ("B", D, 2.0)]), batch_id=0, writer="w")
+    table.upsert(frame(spark, [("A", D, 5.0), ("C", D2, 3.0)]), batch_id=1, writer="w")
+    cut = next(f for f in table.folders() if f.endswith("~1"))
+    os.remove(f"{cut}/_SUCCESS")  # files are there, the commit is not
+    day = D.replace(tzinfo=None)
+    old = {("A", day, 1.0), ("B", day, 2.0)}
+    new = {("A", day, 5.0), ("B", day, 2.0), ("C", D2.replace(tzinfo=None), 3.0)}
+    assert as_set(table.read()) == old
+    table.upsert(frame(spark, [("A", D, 5.0), ("C", D2, 3.0)]), batch_id=1, writer="w")
+    assert as_set(table.read()) == new
+
+    def dies(*_):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as m:
+        m.setattr("tickwise.sinks.keyed_table.delete_path", dies)
+        with pytest.raises(RuntimeError):
+            table.compact()
+    assert len(table.folders()) == 3 and as_set(table.read()) == new
+    table.upsert(frame(spark, [("B", D, 8.0)]), batch_id=2, writer="w")
+    table.compact()
+    assert len(table.folders()) == 1
+    assert as_set(table.read()) == {("A", day, 5.0), ("B", day, 8.0), ("C", D2.replace(tzinfo=None), 3.0)}
 
 
 def test_key_violations(spark):

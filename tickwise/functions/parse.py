@@ -7,7 +7,8 @@ pushing the validation filter beneath the parse (with a ``from_json``
 projection the filter gets the parse inlined once per condition and every
 row is parsed several times). ``try_cast`` + ``timestamp_millis`` give the
 exact epoch-ms conversion. Untrusted input never raises: bad values become
-NULL and the record is routed to the rejects with a reason.
+NULL and the record is routed to the rejects with a reason; an empty id and a
+price that is NaN or infinite count as missing.
 """
 
 from __future__ import annotations
@@ -49,12 +50,15 @@ def parse_ticks(records: DataFrame, *, keep_provenance: bool = True) -> DataFram
         F.json_tuple(F.col("_text"), "id", "price", "time").alias("_id", "_price", "_time"),
     )
     ts = millis_to_timestamp(F.col("_time"))
-    price = F.col("_price").try_cast("float")
+    number = F.col("_price").try_cast("float")
+    # a price that is no finite number would spoil every mean it enters
+    finite = ~F.isnan(number) & (F.abs(number) != F.lit(float("inf")))
+    price = F.when(finite, number)
     nothing = F.col("_id").isNull() & F.col("_price").isNull() & F.col("_time").isNull()
     # the validity check of the JSON text only runs for rows with no field at all
     reason = (
         F.when(nothing & F.json_object_keys(F.col("_text")).isNull(), F.lit(MALFORMED))
-        .when(F.col("_id").isNull(), F.lit(MISSING_ID))
+        .when(F.col("_id").isNull() | (F.col("_id") == ""), F.lit(MISSING_ID))
         .when(ts.isNull(), F.lit(BAD_TIME))
         .when(price.isNull(), F.lit(MISSING_PRICE))
     )
@@ -75,9 +79,3 @@ def valid_ticks(parsed: DataFrame) -> DataFrame:
 def rejected_ticks(parsed: DataFrame) -> DataFrame:
     """Records that failed parsing or validation, with ``reason``."""
     return parsed.where(F.col("_reject").isNotNull()).withColumnRenamed("_reject", "reason")
-
-
-def split_ticks(records: DataFrame, *, keep_provenance: bool = True) -> tuple[DataFrame, DataFrame]:
-    """(valid, rejected) from one parse; both read the same plan."""
-    parsed = parse_ticks(records, keep_provenance=keep_provenance)
-    return valid_ticks(parsed), rejected_ticks(parsed)

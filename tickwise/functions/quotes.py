@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickwise.schemas import ENUMS, MARKET_HOURS_TYPE, QUOTE_FIELDS, QUOTE_SCHEMA
+from tickwise.schemas import ENUMS, QUOTE_FIELDS, QUOTE_SCHEMA
 
 PACKAGE = "quotes"
 MESSAGE = "PricingData"
@@ -202,20 +202,3 @@ def enum_name(code: Column, enum: str) -> Column:
     for c, n in sorted(values.items()):
         pairs += [F.lit(c), F.lit(n)]
     return F.create_map(*pairs)[code]
-
-
-def market_hours_code(ts: Column) -> Column:
-    """Trading session code of a US listing by UTC time of day (winter
-    hours, UTC-5): 09:00-14:30 pre-market (0), 14:30-21:00 regular (1),
-    21:00-01:00 post-market (2), 01:00-09:00 overnight/extended (3)."""
-    minute = F.hour(ts) * 60 + F.minute(ts)
-    return (
-        F.when(minute < 60, F.lit(2))
-        .when(minute < 9 * 60, F.lit(3))
-        .when(minute < 14 * 60 + 30, F.lit(0))
-        .when(minute < 21 * 60, F.lit(1))
-        .otherwise(F.lit(2))
-    )
-
-
-MARKET_HOURS_NAMES = MARKET_HOURS_TYPE

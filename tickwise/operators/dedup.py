@@ -3,8 +3,9 @@
 Streaming: ``dropDuplicatesWithinWatermark`` (state is evicted by the
 watermark; the first arrival survives).
 
-Batch: the same rule made deterministic: the survivor is the row with the
-smallest ``order`` column (first delivered). Written as a grouped
+Batch: the same rule made deterministic: the survivor is the row delivered
+first, by offset, then partition (offsets count per partition, so copies in
+two partitions may share one). Written as a grouped
 ``min``/``min_by`` aggregate rather than a ``row_number`` window: the
 aggregate runs a map-side partial step, so a key that holds a third of all
 rows collapses inside each input task before the shuffle, and no task ever
@@ -24,16 +25,21 @@ DEDUP_KEYS = ("timestamp", "stock_ticker")
 def dedup_ticks(
     ticks: DataFrame,
     keys: Sequence[str] = DEDUP_KEYS,
-    order: str | None = "offset",
+    order: Sequence[str] = ("offset", "partition"),
 ) -> DataFrame:
+    """``order``: integer columns that rank deliveries; those that ``ticks``
+    lacks are left out, and without any the survivor is Spark's choice."""
     keys = list(keys)
     if ticks.isStreaming:
         return ticks.dropDuplicatesWithinWatermark(keys)
-    if order is None or order not in ticks.columns:
+    order = [c for c in order if c in ticks.columns]
+    if not order:
         return ticks.dropDuplicates(keys)
+    # one DECIMAL key keeps the aggregate buffer fixed-width (a hash aggregate)
+    rank = F.col(order[0]).cast("decimal(19,0)")
+    for c in order[1:]:
+        rank = (rank * F.lit(1 << 31).cast("decimal(10,0)")).cast("decimal(38,0)") + F.col(c).cast("decimal(10,0)")
+        rank = rank.cast("decimal(38,0)")
     rest = [c for c in ticks.columns if c not in keys]
-    aggs = [
-        (F.min(c) if c == order else F.min_by(c, order)).alias(c)
-        for c in rest
-    ]
+    aggs = [F.min_by(c, rank).alias(c) for c in rest]
     return ticks.groupBy(*keys).agg(*aggs).select(*ticks.columns)

@@ -7,24 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Longest list kept as a literal ``IN``; longer ones become a semi join.
-INLIST_MAX = 1000
-
 
 def watchlist(ticks: DataFrame, symbols: Sequence[str] | DataFrame, *, key: str = "stock_ticker") -> DataFrame:
-    """Keep ticks whose ``key`` is subscribed.
+    """Keep ticks whose ``key`` is subscribed; the caller's choice of form
+    decides the plan.
 
-    A short Python list becomes ``IN (...)`` (pushed into Parquet scans when
-    ``key`` is a stored column). A DataFrame of symbols (or a long list) is a
-    ``left_semi`` join; the symbols are de-duplicated first, and AQE
-    broadcasts them once their measured size is under the broadcast limit,
-    otherwise the join stays a shuffle join.
+    A Python sequence becomes ``IN (...)`` (pushed into Parquet scans when
+    ``key`` is a stored column). A DataFrame of symbols is a ``left_semi``
+    join; the symbols are de-duplicated first, and AQE broadcasts them once
+    their measured size is under the broadcast limit.
     """
     if not isinstance(symbols, DataFrame):
-        symbols = list(dict.fromkeys(symbols))
-        if len(symbols) <= INLIST_MAX:
-            return ticks.where(F.col(key).isin(symbols))
-        spark = ticks.sparkSession
-        symbols = spark.createDataFrame([(s,) for s in symbols], f"{key} string")
+        return ticks.where(F.col(key).isin(list(dict.fromkeys(symbols))))
     subs = symbols.select(F.col(symbols.columns[0]).alias(key)).distinct()
     return ticks.join(subs, key, "left_semi")

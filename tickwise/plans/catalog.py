@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickwise.functions.parse import parse_ticks, valid_ticks
-from tickwise.functions.quotes import decode_quotes, encode_frames, enum_name, market_hours_code, quote_json
+from tickwise.functions.quotes import decode_quotes, encode_frames, enum_name, quote_json
 from tickwise.operators.dedup import dedup_ticks
 from tickwise.operators.filters import watchlist
 from tickwise.operators.offsets import (
@@ -26,7 +26,7 @@ from tickwise.operators.upsert import key_violations, upsert_latest
 from tickwise.operators.windows import mean_per_key, tumbling_mean
 from tickwise.plans.common import clean_ticks, ntz, parsed, rejects, rounded, table, topic_records
 from tickwise.session import scratch_path
-from tickwise.sources.events import epoch_millis, event_time
+from tickwise.plans.events import epoch_millis, event_time, market_hours_code
 from tickwise.sources.topic import append_segment, bounded_read, read_topic
 
 # Query parameters (fixed so the SQL oracles can state the same thing).

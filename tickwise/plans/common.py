@@ -10,37 +10,16 @@ from pyspark.sql import types as T
 from tickwise.functions.parse import parse_ticks, rejected_ticks, valid_ticks
 from tickwise.operators.dedup import dedup_ticks
 from tickwise.session import ensure_utc
-from tickwise.sources.events import events_to_topic
+from tickwise.plans.events import events_to_topic
 
 # Means are rounded to 6 decimals in query outputs: the order of a distributed
 # sum is not fixed, so the last bits of a double mean differ between engines.
 MEAN_DIGITS = 6
 
 
-# Largest scan that ``spread`` may round-robin: small enough that the extra
-# shuffle costs less than running every per-row expression in a few tasks.
-SPREAD_MAX_BYTES = 256 << 20
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a *small* scan that yields fewer splits than the cluster
-    has cores (a small file with a single row group runs every per-row
-    expression in one task). Anything larger than ``SPREAD_MAX_BYTES`` (by
-    the plan's size estimate, taken from the file index) is returned
-    unchanged, however few splits it has compared with a large cluster, so
-    no shuffle of real data is ever added."""
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    size = size if isinstance(size, int) else int(size.toString())  # Scala BigInt
-    if size <= SPREAD_MAX_BYTES and df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ensure_utc(spark)
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def topic_records(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:

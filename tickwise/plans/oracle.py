@@ -1,14 +1,14 @@
 """DuckDB SQL stating what each registered query must return.
 
 They mirror the query parameters and the fixed delivery faults of the
-events-derived topic (see ``tickwise.sources.events``): offsets advance by
+events-derived topic (see ``tickwise.plans.events``): offsets advance by
 2 per event, every 10th event is delivered twice, every 7th message is cut
 in half, ``partition = user_id % 3``.
 """
 
 from __future__ import annotations
 
-from tickwise.sources.events import CORRUPT_EVERY, OFFSET_STRIDE, REPLAY_EVERY, TOPIC_PARTITIONS
+from tickwise.plans.events import CORRUPT_EVERY, OFFSET_STRIDE, REPLAY_EVERY, TOPIC_PARTITIONS
 
 _TOPIC = f"""
 payloads AS (

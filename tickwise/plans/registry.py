@@ -4,23 +4,12 @@ from __future__ import annotations
 
 from tickwise.plans.catalog import QUERIES
 from tickwise.plans.oracle import ORACLE_SQL
+from tickwise.plans.stream_catalog import STREAM_ORACLES, STREAM_QUERIES
 
 
 def all_queries() -> dict:
-    out = dict(QUERIES)
-    try:
-        from tickwise.plans.stream_catalog import STREAM_QUERIES
-    except ImportError:  # pragma: no cover - streaming catalog not present
-        STREAM_QUERIES = {}
-    out.update(STREAM_QUERIES)
-    return out
+    return {**QUERIES, **STREAM_QUERIES}
 
 
 def all_oracles() -> dict:
-    out = dict(ORACLE_SQL)
-    try:
-        from tickwise.plans.stream_catalog import STREAM_ORACLES
-    except ImportError:  # pragma: no cover
-        STREAM_ORACLES = {}
-    out.update(STREAM_ORACLES)
-    return {k: v for k, v in out.items() if k in all_queries()}
+    return {**ORACLE_SQL, **STREAM_ORACLES}

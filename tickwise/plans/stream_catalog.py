@@ -16,25 +16,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tickwise.plans.common import ntz, rounded, topic_records
+from tickwise.functions.parse import parse_ticks, valid_ticks
+from tickwise.functions.quotes import encode_frames
+from tickwise.operators.dedup import dedup_ticks
+from tickwise.operators.rates import StageTaps
+from tickwise.operators.windows import with_event_time
+from tickwise.plans.common import ntz, rounded, table, topic_records
 from tickwise.plans.oracle import TUMBLING_SQL, _tumbling, _with
 from tickwise.session import scratch_path
 from tickwise.sinks.keyed_table import KeyedTable
-from tickwise.sources.events import TOPIC_PARTITIONS
+from tickwise.plans.events import CORRUPT_EVERY, OFFSET_STRIDE, TOPIC_PARTITIONS, epoch_millis, event_time
 from tickwise.sources.topic import DEFAULT_TOPIC, append_segment, read_topic
-from tickwise.streaming.control import CommittedOffsetLog, run_until_idle
+from tickwise.streaming.app import ready_to_start, run_bridge_job, run_tick_job
+from tickwise.streaming.control import CommittedOffsetLog, RunReadout, run_until_idle
 from tickwise.streaming.jobs import (
     SALT_BUCKETS,
     changelog_batches,
     clean_tick_stream,
     latest_per_key,
-    observe_offsets,
     start,
     tick_means,
     upsert_batches,
 )
 
 SEGMENTS = 2
+MANY_PARTITIONS = 11
 DRAIN = {"availableNow": True}
 
 
@@ -54,13 +60,15 @@ def drive(
     *,
     segments: int = SEGMENTS,
     on_progress: Callable[[dict], None] | None = None,
+    partitions: int = TOPIC_PARTITIONS,
+    newest_first: bool = False,
 ) -> str:
     """Publish the topic segment by segment; after each append run the
     query built by ``build(stream, base)`` until it has drained the topic."""
     base = scratch_path(spark, name)
     topic_dir = f"{base}/topic"
-    records = topic_records(spark, sf_dir)
-    for i in range(segments):
+    records = topic_records(spark, sf_dir, partitions=partitions)
+    for i in reversed(range(segments)) if newest_first else range(segments):
         append_segment(_segment(records, i, segments), topic_dir)
         stream = read_topic(spark, path=topic_dir, streaming=True)
         q = build(stream, base)
@@ -77,7 +85,7 @@ def q_stream_tumbling_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     qn = _qname("tumbling")
 
     def build(stream: DataFrame, base: str) -> StreamingQuery:
-        means = tick_means(stream, salt_buckets=SALT_BUCKETS)
+        means = tick_means(stream)
         return start(means, name=qn, checkpoint=f"{base}/checkpoint", mode="update",
                      trigger=DRAIN, foreach_batch=changelog_batches(f"{base}/changes"))
 
@@ -90,7 +98,7 @@ def q_stream_final_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     qn = _qname("final")
 
     def build(stream: DataFrame, base: str) -> StreamingQuery:
-        means = tick_means(stream, salt_buckets=SALT_BUCKETS)
+        means = tick_means(stream)
         return start(means, name=qn, checkpoint=f"{base}/checkpoint", mode="append",
                      trigger=DRAIN, sink="parquet", path=f"{base}/final")
 
@@ -112,35 +120,125 @@ def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ntz(spark.read.parquet(f"{base}/ticks"))
 
 
-def _upsert_run(spark: SparkSession, sf_dir: str) -> tuple[str, KeyedTable, CommittedOffsetLog]:
+def q_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Early results upserted batch by batch into the keyed table."""
     qn = _qname("upsert")
-    holder: dict = {}
 
     def build(stream: DataFrame, base: str) -> StreamingQuery:
-        if "table" not in holder:
-            holder["table"] = KeyedTable(spark, f"{base}/table")
-            holder["log"].path = f"{base}/committed"
-        observed = observe_offsets(stream, TOPIC_PARTITIONS)
-        means = tick_means(observed, salt_buckets=SALT_BUCKETS)
-        return start(means, name=qn, checkpoint=f"{base}/checkpoint", mode="update",
-                     trigger=DRAIN, foreach_batch=upsert_batches(holder["table"], writer=qn))
+        return start(tick_means(stream), name=qn, checkpoint=f"{base}/checkpoint", mode="update", trigger=DRAIN,
+                     foreach_batch=upsert_batches(KeyedTable(spark, f"{base}/table"), writer=qn))
 
-    holder["log"] = CommittedOffsetLog(spark, "", query=qn, topic=DEFAULT_TOPIC)
-    base = drive(spark, sf_dir, "stream_upsert", build, on_progress=lambda p: holder["log"].on_progress(p))
-    return base, holder["table"], holder["log"]
+    base = drive(spark, sf_dir, "stream_upsert", build)
+    return ntz(rounded(KeyedTable(spark, f"{base}/table").read(), "price"))
 
 
-def q_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Early results upserted batch by batch into the keyed table."""
-    _, table, _ = _upsert_run(spark, sf_dir)
-    return ntz(rounded(table.read(), "price"))
+def q_stream_upsert_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a new checkpoint for the second run, so that its batch
+    ids start over and everything is read again; compacted in between."""
+    qn = _qname("reset")
+    runs: list[str] = []
+
+    def build(stream: DataFrame, base: str) -> StreamingQuery:
+        table = KeyedTable(spark, f"{base}/table")
+        table.compact()
+        runs.append(f"{base}/checkpoint{len(runs)}")
+        return start(tick_means(stream), name=qn, checkpoint=runs[-1], mode="update", trigger=DRAIN,
+                     foreach_batch=upsert_batches(table, writer=qn))
+
+    base = drive(spark, sf_dir, "stream_upsert_reset", build)
+    return ntz(rounded(KeyedTable(spark, f"{base}/table").read(), "price"))
+
+
+def _offsets_run(spark: SparkSession, sf_dir: str, partitions: int) -> CommittedOffsetLog:
+    """Drain the topic with a light query; the log of its offsets."""
+    qn = _qname("offsets")
+    logs: list[CommittedOffsetLog] = []
+
+    def build(stream: DataFrame, base: str) -> StreamingQuery:
+        logs.append(
+            CommittedOffsetLog(spark, f"{base}/committed", query=qn, topic=DEFAULT_TOPIC,
+                               checkpoint=f"{base}/checkpoint", topic_path=f"{base}/topic")
+        )
+        return start(valid_ticks(parse_ticks(stream)), name=qn, checkpoint=f"{base}/checkpoint", mode="append",
+                     trigger=DRAIN, sink="noop")
+
+    drive(spark, sf_dir, "stream_offsets", build, on_progress=lambda p: logs[-1].on_progress(p), partitions=partitions)
+    return logs[-1]
 
 
 def q_stream_committed_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Offsets logged after each committed sink write; after draining the
-    whole topic they equal its end offsets."""
-    _, _, log = _upsert_run(spark, sf_dir)
-    return log.read()
+    """Offsets logged after each committed batch; after draining the whole
+    topic they equal its end offsets."""
+    return _offsets_run(spark, sf_dir, TOPIC_PARTITIONS).read()
+
+
+def q_stream_offsets_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for a topic of ``MANY_PARTITIONS`` partitions, which nobody
+    told the log about."""
+    return _offsets_run(spark, sf_dir, MANY_PARTITIONS).read()
+
+
+def q_stream_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quote frames through the bridge job to the topic, and from there to
+    ticks: encode, publish as a stream, parse, de-duplicate."""
+    base = scratch_path(spark, "stream_bridge")
+    events = table(spark, sf_dir, "events")
+    quote = F.struct(
+        F.col("event_type").alias("id"), F.col("value").cast("float").alias("price"), epoch_millis(events, "ts").alias("time")
+    )
+    frames = events.select(
+        F.lit(None).cast("binary").alias("key"),
+        # every seventh frame is cut short and no quote any more
+        F.when(F.col("event_id") % CORRUPT_EVERY == 0, F.lit("@@")).otherwise(encode_frames(quote)).alias("frame"),
+        F.lit(DEFAULT_TOPIC).alias("topic"),
+        (F.col("user_id") % TOPIC_PARTITIONS).cast("int").alias("partition"),
+        (F.col("event_id") * OFFSET_STRIDE).alias("offset"),
+        event_time(events, "ts").alias("timestamp"),
+        F.lit(0).alias("timestampType"),
+    )
+    frames.write.parquet(f"{base}/frames")
+    schema = spark.read.parquet(f"{base}/frames").schema
+    stream = spark.readStream.schema(schema).parquet(f"{base}/frames")
+    run_bridge_job(stream, name=_qname("bridge"), checkpoint=f"{base}/checkpoint", target_path=f"{base}/topic",
+                   trigger=DRAIN, max_idle_seconds=3600, poll_seconds=1)
+    return ntz(dedup_ticks(valid_ticks(parse_ticks(read_topic(spark, path=f"{base}/topic", streaming=False)))))
+
+
+def q_gated_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gate, run, gate: one row per check (``step``), with the whole tick job
+    in between. Open before, closed after."""
+    base, name = scratch_path(spark, "gated_run"), _qname("gated")
+    append_segment(topic_records(spark, sf_dir), f"{base}/topic")
+    where = {"name": name, "offsets_path": f"{base}/offsets", "source_path": f"{base}/topic"}
+
+    def check(step: int) -> DataFrame:
+        ready = ready_to_start(spark, **where).select(F.lit(step).alias("step"), "ready", "total_lag", "partitions_ready", "partitions")
+        ready.write.parquet(f"{base}/checks/check={step}")
+        return ready
+
+    check(0)
+    run_tick_job(spark, checkpoint=f"{base}/checkpoint", table_path=f"{base}/table", trigger=DRAIN,
+                 max_idle_seconds=3600, poll_seconds=1, **where)
+    check(1)
+    return spark.read.parquet(f"{base}/checks").drop("check")
+
+
+def q_stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that the watermark drops, from the run's progress: the topic is
+    delivered newest half first, so that a second run on the same checkpoint
+    finds its ticks too late; taps count rows on the way."""
+    qn = _qname("late")
+    readout = RunReadout()
+
+    def build(stream: DataFrame, base: str) -> StreamingQuery:
+        taps = StageTaps()
+        ticks = taps.tap(valid_ticks(parse_ticks(taps.tap(stream, "records"))), "valid")
+        timed = with_event_time(ticks.select("stock_ticker", "timestamp", "price"), "timestamp")
+        return start(dedup_ticks(timed), name=qn, checkpoint=f"{base}/checkpoint", mode="append", trigger=DRAIN, sink="noop")
+
+    drive(spark, sf_dir, "stream_late_rows", build, on_progress=readout.on_progress, newest_first=True)
+    rows = [("records", readout.stages.get("records", 0)), ("valid", readout.stages.get("valid", 0)), ("late", readout.late_rows)]
+    return spark.createDataFrame(rows, "stage string, rows bigint")
 
 
 STREAM_QUERIES = {
@@ -148,12 +246,40 @@ STREAM_QUERIES = {
     "stream_final_mean": q_stream_final_mean,
     "stream_dedup": q_stream_dedup,
     "stream_upsert": q_stream_upsert,
+    "stream_upsert_reset": q_stream_upsert_reset,
+    "stream_bridge": q_stream_bridge,
+    "gated_run": q_gated_run,
+    "stream_late_rows": q_stream_late_rows,
+    "stream_offsets_many": q_stream_offsets_many,
     "stream_committed_offsets": q_stream_committed_offsets,
 }
 
 STREAM_ORACLES = {
     "stream_tumbling_mean": TUMBLING_SQL,
     "stream_upsert": TUMBLING_SQL,
+    "stream_upsert_reset": TUMBLING_SQL,
+    "stream_bridge": _with()
+    + """SELECT event_type AS stock_ticker, date_trunc('millisecond', ts) AS "timestamp",
+       arg_min(price, event_id) AS price, arg_min("partition", event_id) AS "partition", min(event_id) * 2 AS "offset"
+FROM (SELECT *, CAST(value AS FLOAT) AS price, CAST(user_id % 3 AS INTEGER) AS "partition" FROM events
+      WHERE event_id % 7 <> 0 AND CAST(value AS FLOAT) <> 0)
+GROUP BY 1, 2""",
+    "gated_run": _with()
+    + """, ends AS (SELECT "partition", max("offset") + 1 AS lag FROM topic GROUP BY 1)
+SELECT 0 AS step, bool_or(lag >= 25) AS ready, CAST(sum(lag) AS BIGINT) AS total_lag,
+       CAST(count_if(lag >= 25) AS BIGINT) AS partitions_ready, count(*) AS partitions FROM ends
+UNION ALL SELECT 1, false, 0, 0, count(*) FROM ends""",
+    "stream_offsets_many": _with()
+    + """SELECT CAST(user_id % 11 AS INTEGER) AS "partition", max(event_id * 2 + CASE WHEN event_id % 10 = 0 THEN 1 ELSE 0 END) + 1
+       AS committed_offset FROM events GROUP BY 1""",
+    "stream_late_rows": _with()
+    + """, half AS (SELECT max("offset") + 1 AS top FROM topic),
+newest AS (SELECT max("timestamp") AS t FROM valid),
+old AS (SELECT v.* FROM valid v, half WHERE v."offset" < floor(top * 1 / 2))
+SELECT 'records' AS stage, count(*) AS rows FROM topic
+UNION ALL SELECT 'valid', count(*) FROM valid
+UNION ALL SELECT 'late', count(*) FROM old, newest
+  WHERE "timestamp" <= t - INTERVAL '15 minutes'""",
     "stream_final_mean": _with("means AS (" + _tumbling("ticks") + ")")
     + """SELECT * FROM means WHERE "timestamp" <= (SELECT max("timestamp") FROM valid) - INTERVAL 15 MINUTES""",
     "stream_dedup": _with() + """SELECT stock_ticker, "timestamp", price, "partition" FROM ticks""",

@@ -52,17 +52,6 @@ OUTPUT_SCHEMA = T.StructType(
 )
 OUTPUT_KEYS = ("stock_ticker", "timestamp")
 
-# Committed-offset log written after each successful sink write.
-COMMITTED_OFFSETS_SCHEMA = T.StructType(
-    [
-        T.StructField("query", T.StringType()),
-        T.StructField("batch_id", T.LongType()),
-        T.StructField("topic", T.StringType()),
-        T.StructField("partition", T.IntegerType()),
-        T.StructField("offset", T.LongType()),
-    ]
-)
-
 # ---------------------------------------------------------------------------
 # The quote message definition (field name, field number, wire
 # type) and its enums. These must equal the published message definition for

@@ -75,8 +75,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster.
 
     Read from the session (``SparkContext.getCheckpointDir`` or the
-    ``spark.checkpoint.dir`` setting). Only when neither is set (tests) a
-    folder is made and registered, so later calls agree.
+    ``spark.checkpoint.dir`` setting). Only when neither is set and the
+    session is local (tests) a folder is made and registered, so later calls
+    agree; on a cluster a folder of the driver's machine would give wrong
+    results without an error, so there the setting is required.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -84,6 +86,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current.rstrip("/")
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tickwise-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir().rstrip("/")
@@ -110,3 +114,9 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(hpath):
         return []
     return [st.getPath().getName() for st in fs.listStatus(hpath)]
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder through the Hadoop FileSystem."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)

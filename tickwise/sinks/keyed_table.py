@@ -1,38 +1,40 @@
 """Keyed Parquet table with last-write-wins upserts.
 
-Layout: ``<path>`` is a Parquet table partitioned by ``date`` (UTC date of the
-key timestamp). An upsert rewrites only the date partitions the update
-touches:
-
-1. ``touched`` = distinct dates of the update; the old rows of those
-   partitions are read through a semi join on ``date`` (dynamic partition
-   pruning keeps the scan to the touched folders);
-2. ``merged`` = old rows without a newer version + the update, written to a
-   staging folder named after the writer and batch id, finished by a
-   ``_SUCCESS`` marker;
-3. the staging folder is copied over the table with dynamic partition
-   overwrite, which replaces just the touched partitions.
-
-The very first write publishes directly (there is nothing to merge with).
-Reading and overwriting the same folder never happen in one plan. When a
-batch is replayed (stream restart after a crash), a finished staging folder
-of that batch is reused as is, so a crash in step 3 cannot lose rows that
-step 2 had already merged.
+An upsert only adds: it writes its rows once, as a *delta folder* of the
+table, and reads nothing. Every row carries ``_at``, the driver time of its
+upsert, and a reader takes the value with the largest ``_at`` per key, one
+partial and final aggregate. So a batch of one minute costs its own rows,
+however large the table is.
+
+* A folder counts once its ``_SUCCESS`` marker is there; one that was cut
+  short is ignored, and replaced when the batch is replayed.
+* A folder belongs to one run of one writer (``writer``, a new run id, and the
+  batch id), so neither other writers nor a later run whose batch ids start
+  over can touch it. A batch that a new run replays is written again with the
+  same values: nothing changes for a reader.
+* ``compact`` folds folders into one and drops them afterwards. Rows keep
+  their ``_at``, so a compaction that was cut short between the two steps
+  leaves only copies that no reader sees.
+
+Folders are partitioned by ``date`` (UTC date of the key's time column), which
+prunes reads of single days. Where the caller's catalog has a table format with
+``MERGE INTO``, ``merge_statement`` gives the statement instead.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwise.operators.upsert import upsert_latest
 from tickwise.schemas import OUTPUT_KEYS
-from tickwise.session import list_names, path_exists
+from tickwise.session import delete_path, list_names
 
 PARTITION_COLUMN = "date"
+ORDER_COLUMN = "_at"
 
 
 class KeyedTable:
@@ -48,61 +50,68 @@ class KeyedTable:
         self.path = path.rstrip("/")
         self.keys = list(keys)
         self.time_column = time_column
-        self.staging_root = f"{self.path}_staging"
+        self.run = f"{int(time.time() * 1000)}_{uuid.uuid4().hex[:8]}"
+        self._last_at = 0
 
     # -- reading ---------------------------------------------------------
+    def folders(self) -> list[str]:
+        """Finished delta folders that hold rows (an empty batch leaves none)."""
+        out = []
+        for name in list_names(self.spark, self.path):
+            if name.startswith("delta="):
+                inside = list_names(self.spark, f"{self.path}/{name}")
+                if "_SUCCESS" in inside and any(x.startswith(f"{PARTITION_COLUMN}=") for x in inside):
+                    out.append(f"{self.path}/{name}")
+        return out
+
     def exists(self) -> bool:
-        return path_exists(self.spark, f"{self.path}/_SUCCESS") or bool(
-            [n for n in list_names(self.spark, self.path) if n.startswith(f"{PARTITION_COLUMN}=")]
-        )
+        return bool(self.folders())
+
+    def rows(self, folders: list[str] | None = None) -> DataFrame:
+        """All versions of all rows, with ``date`` and ``_at``."""
+        folders = self.folders() if folders is None else folders
+        if not folders:
+            raise FileNotFoundError(f"no finished upsert in {self.path}")
+        first = self.spark.read.parquet(folders[0])
+        return self.spark.read.schema(first.schema).option("basePath", self.path).parquet(*folders).drop("delta")
+
+    def _newest(self, rows: DataFrame, keep_order: bool) -> DataFrame:
+        values = [c for c in rows.columns if c not in (*self.keys, PARTITION_COLUMN, ORDER_COLUMN)]
+        aggs = [F.max_by(c, ORDER_COLUMN).alias(c) for c in values]
+        if keep_order:
+            aggs.append(F.max(ORDER_COLUMN).alias(ORDER_COLUMN))
+        # the date follows from the key
+        out = rows.groupBy(*self.keys, PARTITION_COLUMN).agg(*aggs)
+        return out.select(*[c for c in rows.columns if keep_order or c != ORDER_COLUMN])
 
     def read(self, with_partition: bool = False) -> DataFrame:
-        df = self.spark.read.parquet(self.path)
+        df = self._newest(self.rows(), keep_order=False)
         return df if with_partition else df.drop(PARTITION_COLUMN)
 
     # -- writing ---------------------------------------------------------
-    def _with_partition(self, df: DataFrame) -> DataFrame:
-        return df.withColumn(PARTITION_COLUMN, F.to_date(F.col(self.time_column)))
+    def _write(self, df: DataFrame, folder: str) -> None:
+        df.write.mode("overwrite").partitionBy(PARTITION_COLUMN).parquet(f"{self.path}/{folder}")
 
     def upsert(self, updates: DataFrame, *, batch_id: int | None = None, writer: str = "writer") -> None:
-        """Apply ``updates`` (unique on the keys). Idempotent per ``(writer, batch_id)``."""
-        tag = f"{writer}-{batch_id}" if batch_id is not None else f"{writer}-{uuid.uuid4().hex[:12]}"
-        staging = f"{self.staging_root}/{tag}"
-        upd = self._with_partition(updates)
-        if not (batch_id is not None and path_exists(self.spark, f"{staging}/_SUCCESS")):
-            if not self.exists():
-                # First write: nothing to merge with. If it is cut short, the
-                # replay finds the partial rows and overwrites them by key.
-                self._publish(upd)
-                return
-            touched = upd.select(PARTITION_COLUMN).distinct()
-            old = self.read(with_partition=True).join(touched, PARTITION_COLUMN, "left_semi")
-            merged = upsert_latest(old, upd.select(*old.columns), self.keys)
-            merged.write.mode("overwrite").partitionBy(PARTITION_COLUMN).parquet(staging)
-        self._publish(self.spark.read.parquet(staging))
-        self._drop_older_staging(writer, batch_id, keep=tag)
-
-    def _publish(self, df: DataFrame) -> None:
-        """Replace exactly the date partitions present in ``df``."""
-        (
-            df.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(PARTITION_COLUMN)
-            .parquet(self.path)
+        """Apply ``updates`` (unique on the keys). Within a run, a batch id
+        that comes again replaces what it wrote before."""
+        tag = uuid.uuid4().hex[:12] if batch_id is None else str(batch_id)
+        self._last_at = max(self._last_at + 1, time.time_ns() // 1000)
+        stamped = updates.withColumn(ORDER_COLUMN, F.lit(self._last_at).cast("bigint"))
+        self._write(
+            stamped.withColumn(PARTITION_COLUMN, F.to_date(F.col(self.time_column))),
+            f"delta={writer}~{self.run}~{tag}",
         )
 
-    def _drop_older_staging(self, writer: str, batch_id: int | None, keep: str) -> None:
-        """Staging of earlier batches is no longer needed once this one is in."""
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        for name in list_names(self.spark, self.staging_root):
-            if name == keep or not name.startswith(f"{writer}-"):
-                continue
-            suffix = name[len(writer) + 1:]
-            if batch_id is not None and suffix.isdigit() and int(suffix) >= batch_id:
-                continue
-            p = jvm.org.apache.hadoop.fs.Path(f"{self.staging_root}/{name}")
-            p.getFileSystem(conf).delete(p, True)
+    def compact(self) -> None:
+        """Fold all finished folders into one. Upserts may go on meanwhile:
+        they only add folders, and this one drops only those it read."""
+        folders = self.folders()
+        if len(folders) < 2:
+            return
+        self._write(self._newest(self.rows(folders), keep_order=True), f"delta=compact~{uuid.uuid4().hex[:12]}")
+        for folder in folders:
+            delete_path(self.spark, folder)
 
 
 def merge_statement(table: str, staging_table: str, cols: Sequence[str], keys: Sequence[str],

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickwise.session import path_exists
+from tickwise.sources.topic import read_topic
 
 _ID = r"^([0-9]+)$"
 
@@ -38,7 +39,7 @@ def checkpoint_offsets(spark: SparkSession, checkpoint: str) -> DataFrame:
     batches = offs.select(
         "batch_id",
         F.get_json_object(lines.getItem(1), "$.batchTimestampMs").cast("bigint").alias("batch_timestamp_ms"),
-        F.posexplode(F.slice(lines, 3, 1_000_000)).alias("source", "source_offset"),
+        F.posexplode(F.slice(lines, F.lit(3), F.greatest(F.size(lines) - 2, F.lit(0)))).alias("source", "source_offset"),
     ).where(F.length(F.trim("source_offset")) > 0)
     per_topic = F.from_json(F.col("source_offset"), "map<string,map<string,bigint>>")
     exploded = batches.select(
@@ -64,3 +65,30 @@ def committed_topic_offsets(spark: SparkSession, checkpoint: str, topic: str) ->
     are ignored."""
     rows = checkpoint_offsets(spark, checkpoint).where(F.col("committed") & (F.col("topic") == topic))
     return rows.groupBy("partition").agg(F.max_by("offset", "batch_id").alias("committed_offset"))
+
+
+def source_files(spark: SparkSession, checkpoint: str, *, after: int = -1, upto: int, source: int = 0) -> DataFrame:
+    """Files that a file source handed to batches: ``log_offset, file`` for
+    log offsets in ``(after, upto]``. The source log holds one JSON line per
+    file; a compacted log file repeats those of earlier ones."""
+    lines = spark.read.text(f"{checkpoint.rstrip('/')}/sources/{source}").where(F.col("value").startswith("{"))
+    entry = F.from_json("value", "path string, batchId bigint")
+    found = lines.select(entry.alias("e")).select(F.col("e.batchId").alias("log_offset"), F.col("e.path").alias("file"))
+    return found.where((F.col("log_offset") > after) & (F.col("log_offset") <= upto)).distinct()
+
+
+def file_topic_offsets(spark: SparkSession, checkpoint: str, topic_path: str, topic: str, *, after: int = -1, upto: int) -> DataFrame:
+    """Next offset per partition (``partition, committed_offset``) behind the
+    records of a file-backed topic that those batches read: whatever
+    partitions the files hold. Only the offset column of these files is read."""
+    files = source_files(spark, checkpoint, after=after, upto=upto).select(F.url_decode(_name("file")).alias("name")).distinct()
+    records = read_topic(spark, path=topic_path, topic=topic, streaming=False, with_file=True)
+    seen = records.select("partition", "offset", F.url_decode(_name("file")).alias("name")).join(files, "name", "left_semi")
+    return seen.groupBy("partition").agg((F.max("offset") + 1).alias("committed_offset"))
+
+
+def _name(column: str):
+    """Last two parts of a path: the partition folder and the file, which are
+    the same however the path's scheme is written."""
+    parts = F.split(F.col(column), "/")
+    return F.concat_ws("/", F.try_element_at(parts, F.lit(-2)), F.try_element_at(parts, F.lit(-1)))

@@ -11,8 +11,9 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tickwise.schemas import TOPIC_SCHEMA
 
@@ -30,8 +31,10 @@ def read_topic(
     topic: str = DEFAULT_TOPIC,
     streaming: bool = True,
     options: Mapping[str, str] | None = None,
+    with_file: bool = False,
 ) -> DataFrame:
-    """Read a topic as a (streaming) DataFrame of topic records.
+    """Read a topic as a (streaming) DataFrame of topic records; of a file-backed
+    topic ``with_file`` adds the column ``file``, the path of the record's file.
 
     ``fmt="kafka"`` passes ``options`` straight to the Kafka source
     (``kafka.bootstrap.servers``, ``startingOffsets``, ``maxOffsetsPerTrigger``,
@@ -52,35 +55,8 @@ def read_topic(
     for k, v in opts.items():
         reader = reader.option(k, v)
     df = reader.load(path)
-    return df.select(*TOPIC_SCHEMA.fieldNames()).where(F.col("topic") == topic)
-
-
-def offset_range_filter(
-    starting: Mapping[int, int] | None, ending: Mapping[int, int] | None
-) -> Column:
-    """Predicate for ``startingOffsets <= offset < endingOffsets`` per partition.
-
-    Partitions missing from ``starting`` start at the beginning, partitions
-    missing from ``ending`` read to the end (Kafka's ``earliest`` / ``latest``).
-    For any frame of topic records (e.g. a batch Kafka read); file-backed
-    topics use the per-partition scans of ``bounded_read`` instead.
-    """
-    starting = dict(starting or {})
-    ending = dict(ending or {})
-    parts = sorted(set(starting) | set(ending))
-    if not parts:
-        return F.lit(True)
-    cond = None
-    for p in parts:
-        c = F.col("partition") == F.lit(int(p))
-        if p in starting:
-            c = c & (F.col("offset") >= F.lit(int(starting[p])))
-        if p in ending:
-            c = c & (F.col("offset") < F.lit(int(ending[p])))
-        cond = c if cond is None else cond | c
-    # partitions named in neither map are read whole
-    cond = cond | ~F.col("partition").isin([int(p) for p in parts])
-    return cond
+    extra = [F.col("_metadata.file_path").alias("file")] if with_file else []
+    return df.select(*TOPIC_SCHEMA.fieldNames(), *extra).where(F.col("topic") == topic)
 
 
 def bounded_read(
@@ -95,40 +71,29 @@ def bounded_read(
 ) -> DataFrame:
     """Batch read of a bounded offset range of a topic.
 
-    For Kafka the ranges become ``startingOffsets`` / ``endingOffsets`` JSON
-    (the broker serves only those records); for files, one scan per named
-    partition with folder pruning and pushed offset bounds.
+    Partitions that a map leaves out are read from the beginning or to the
+    end. For Kafka the ranges become ``startingOffsets`` / ``endingOffsets``
+    JSON (-2 and -1 stand for a partition's beginning and end; the source wants
+    every partition of the topic named in one map or the other). For files one
+    scan is joined with the table of ranges, one row a named partition.
     """
+    starting, ending = dict(starting or {}), dict(ending or {})
+    parts = sorted({int(p) for p in (*starting, *ending)})
     if fmt == "kafka":
         opts = dict(options or {})
         if starting:
-            opts["startingOffsets"] = json.dumps({topic: {str(k): v for k, v in starting.items()}})
+            opts["startingOffsets"] = json.dumps({topic: {str(p): starting.get(p, -2) for p in parts}})
         if ending:
-            opts["endingOffsets"] = json.dumps({topic: {str(k): v for k, v in ending.items()}})
+            opts["endingOffsets"] = json.dumps({topic: {str(p): ending.get(p, -1) for p in parts}})
         return read_topic(spark, fmt="kafka", topic=topic, streaming=False, options=opts)
     df = read_topic(spark, fmt=fmt, path=path, topic=topic, streaming=False, options=options)
-    starting = dict(starting or {})
-    ending = dict(ending or {})
-    parts = sorted(set(starting) | set(ending))
     if not parts:
         return df
-    # One scan per named partition: the partition test alone prunes folders,
-    # the offset bounds alone are pushed into the Parquet reader (row groups
-    # outside the range are skipped). A single OR of both kinds would reach
-    # the scan only as a folder filter.
-    scans = []
-    for p in parts:
-        cond = F.col("partition") == F.lit(int(p))
-        if p in starting:
-            cond = cond & (F.col("offset") >= F.lit(int(starting[p])))
-        if p in ending:
-            cond = cond & (F.col("offset") < F.lit(int(ending[p])))
-        scans.append(df.where(cond))
-    scans.append(df.where(~F.col("partition").isin([int(p) for p in parts])))
-    out = scans[0]
-    for s in scans[1:]:
-        out = out.unionByName(s)
-    return out
+    rows = [(p, starting.get(p), ending.get(p)) for p in parts]
+    ranges = spark.createDataFrame(rows, "partition int, low bigint, high bigint")
+    low, high = F.coalesce("low", "offset"), F.coalesce("high", F.col("offset") + 1)
+    out = df.join(F.broadcast(ranges), "partition", "left")  # one row a topic partition
+    return out.where((F.col("offset") >= low) & (F.col("offset") < high)).select(*df.columns)
 
 
 # ---------------------------------------------------------------------------
@@ -148,11 +113,11 @@ def publish(records: DataFrame, *, fmt: str = "parquet", path: str | None = None
             topic: str = DEFAULT_TOPIC, options: Mapping[str, str] | None = None) -> None:
     """Publish a DataFrame with a ``value`` column to a topic (batch).
 
-    Kafka: the connector writes ``key``/``value`` (and ``topic``). Files:
-    ``records`` must already carry the full topic record layout.
+    Kafka: the connector writes ``value`` and, where there is one, ``key``.
+    Files: ``records`` must already carry the full topic record layout.
     """
     if fmt == "kafka":
-        w = records.select("key", "value").write.format("kafka").option("topic", topic)
+        w = kafka_record(records).write.format("kafka").option("topic", topic)
         for k, v in (options or {}).items():
             w = w.option(k, v)
         w.save()
@@ -160,3 +125,33 @@ def publish(records: DataFrame, *, fmt: str = "parquet", path: str | None = None
     if path is None:
         raise ValueError("a file-backed topic needs a path")
     append_segment(records, path)
+
+
+def kafka_record(records: DataFrame) -> DataFrame:
+    """The columns that Kafka's writer takes: ``value`` and, if present, ``key``."""
+    return records.select(*[c for c in ("key", "value") if c in records.columns])
+
+
+def publish_stream(
+    records: DataFrame,
+    *,
+    name: str,
+    checkpoint: str,
+    fmt: str = "parquet",
+    path: str | None = None,
+    topic: str = DEFAULT_TOPIC,
+    trigger: dict | None = None,
+    options: Mapping[str, str] | None = None,
+) -> StreamingQuery:
+    """Publish a stream of records to a topic, batch by batch."""
+    if fmt == "kafka":
+        w = kafka_record(records).writeStream.format("kafka").option("topic", topic)
+    elif path is None:
+        raise ValueError("a file-backed topic needs a path")
+    else:
+        w = records.select(*TOPIC_SCHEMA.fieldNames()).writeStream.format("parquet").partitionBy("partition").option("path", path)
+    for k, v in (options or {}).items():
+        w = w.option(k, v)
+    if trigger:
+        w = w.trigger(**trigger)
+    return w.queryName(name).option("checkpointLocation", checkpoint).outputMode("append").start()

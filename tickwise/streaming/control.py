@@ -15,9 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tickwise.schemas import COMMITTED_OFFSETS_SCHEMA
-from tickwise.session import list_names
-from tickwise.streaming.jobs import OFFSETS_METRIC
+from tickwise.session import delete_path, list_names
+from tickwise.sources.checkpoint import file_topic_offsets
 
 IDLE_STOP_SECONDS = 15 * 60
 POLL_SECONDS = 10
@@ -44,8 +43,10 @@ def run_until_idle(
     to ``on_progress`` exactly once. Returns why the loop ended."""
     last_input = clock()
     seen: set[tuple[int, str]] = set()
-    while query.isActive:
-        query.awaitTermination(poll_seconds)
+
+    def drain() -> bool:
+        """Hand over what is new; whether it had input."""
+        had_input = False
         for p in query.recentProgress:
             d = _progress_dict(p)
             ident = (d.get("batchId", -1), d.get("timestamp", ""))
@@ -54,8 +55,13 @@ def run_until_idle(
             seen.add(ident)
             if on_progress is not None:
                 on_progress(d)
-            if d.get("numInputRows", 0) > 0:
-                last_input = clock()
+            had_input = had_input or d.get("numInputRows", 0) > 0
+        return had_input
+
+    while query.isActive:
+        query.awaitTermination(poll_seconds)
+        if drain():
+            last_input = clock()
         if not query.isActive:
             break
         # input waiting (or a batch still reading it) is not idleness
@@ -63,13 +69,33 @@ def run_until_idle(
             last_input = clock()
         if clock() - last_input > max_idle_seconds:
             query.stop()
+            drain()
             return "idle"
+    # a fast query may end, or post its last progress, between two polls
+    drain()
     exc = query.exception()
     if exc is not None:
         raise exc
     return "finished"
 
 
+class RunReadout:
+    """Totals of a run, from its progress records: rows read, rows that came
+    too late, batches, and the row counts of streaming stage taps."""
+
+    def __init__(self) -> None:
+        self.batches = self.input_rows = self.late_rows = 0
+        self.stages: dict[str, int] = {}
+
+    def on_progress(self, progress: dict) -> None:
+        self.batches += 1
+        self.input_rows += progress.get("numInputRows", 0)
+        self.late_rows += late_rows(progress)
+        for stage, metrics in (progress.get("observedMetrics") or {}).items():
+            if isinstance(metrics, dict) and "rows" in metrics:
+                self.stages[stage] = self.stages.get(stage, 0) + int(metrics["rows"])
+
+
 def run_if_ready(ready: DataFrame, start_fn: Callable[[], StreamingQuery], **idle_kw) -> str | None:
     """Gate: start the job only when the one-row ``topic_ready`` frame says
     so, then run it until it drains or goes idle. The cadence of the check
@@ -86,14 +112,8 @@ def late_rows(progress: dict) -> int:
     return sum(op.get("numRowsDroppedByWatermark", 0) for op in progress.get("stateOperators", []))
 
 
-def offsets_from_progress(progress: dict, topic: str) -> dict[int, int]:
-    """Next offset to read per partition once this batch is committed.
-
-    Kafka sources report ``endOffset`` as ``{topic: {partition: offset}}``;
-    file-backed topics report the per-partition highest offset through the
-    ``topic_offsets`` observed metric (stored offset + 1 = next offset).
-    """
-    out: dict[int, int] = {}
+def _end_offset(progress: dict):
+    """The first source's end offset: a dict, or None."""
     for src in progress.get("sources", []):
         end = src.get("endOffset")
         if isinstance(end, str):
@@ -101,39 +121,59 @@ def offsets_from_progress(progress: dict, topic: str) -> dict[int, int]:
                 end = json.loads(end)
             except ValueError:
                 end = None
-        if isinstance(end, dict) and isinstance(end.get(topic), dict):
-            for p, o in end[topic].items():
-                out[int(p)] = int(o)
-    metric = (progress.get("observedMetrics") or {}).get(OFFSETS_METRIC)
-    if metric:
-        items = metric.asDict() if hasattr(metric, "asDict") else dict(metric)
-        for p, o in items.items():
-            if o is not None:
-                out[int(p)] = max(out.get(int(p), 0), int(o) + 1)
-    return out
+        if isinstance(end, dict):
+            return end
+    return None
+
+
+def offsets_from_progress(progress: dict, topic: str) -> dict[int, int]:
+    """Next offset to read per partition once this batch is committed, as
+    Kafka sources report it: ``{topic: {partition: offset}}``."""
+    end = _end_offset(progress) or {}
+    per_topic = end.get(topic)
+    return {int(p): int(o) for p, o in per_topic.items()} if isinstance(per_topic, dict) else {}
 
 
 class CommittedOffsetLog:
     """Offsets of records whose results reached the sink, one small Parquet
-    folder per (query, batch id): ``query, batch_id, topic, partition, offset``.
+    folder per (query, run, batch id): ``topic, partition, offset``.
 
     Fed from progress records (a progress is posted after the batch's sink
-    write and commit), so an offset is never logged ahead of its data. The
-    newest batch wins per partition; offsets only move forward.
-
-    Every folder is a full snapshot (all partitions seen so far, seeded from
-    the log itself after a restart), so only the newest ``retain`` folders
-    per query are kept: the log stays a handful of files however long the
-    job runs.
+    write and commit), so an offset is never logged ahead of its data. A Kafka
+    progress names the offsets. Of a file-backed topic (``checkpoint`` and
+    ``topic_path`` given) it names how far the source's log of files was read:
+    the offsets are then one grouped maximum over the files that came since
+    the last snapshot, with whatever partitions they hold, so a progress
+    record that was missed costs nothing.
+
+    A run is one start of the logger, named by its time, so batch ids that
+    start over with a new checkpoint sort after those of earlier runs. Every
+    folder is a full snapshot (all partitions seen so far, seeded from the log
+    after a restart); offsets only move forward. The newest ``retain``
+    snapshots of a query are kept.
     """
 
-    def __init__(self, spark: SparkSession, path: str, *, query: str, topic: str, retain: int = 10) -> None:
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        *,
+        query: str,
+        topic: str,
+        checkpoint: str | None = None,
+        topic_path: str | None = None,
+        retain: int = 10,
+    ) -> None:
         self.spark = spark
         self.path = path.rstrip("/")
         self.query = query
         self.topic = topic
+        self.checkpoint = checkpoint
+        self.topic_path = topic_path
         self.retain = max(1, retain)
+        self.run = time.time_ns() // 1000
         self._last: dict[int, int] | None = None
+        self._log_offset = -1
 
     def _query_dir(self) -> str:
         return f"{self.path}/query={self.query}"
@@ -145,44 +185,60 @@ class CommittedOffsetLog:
             return {}
         return {r["partition"]: r["committed_offset"] for r in self.read().collect()}
 
+    def _offsets(self, progress: dict) -> dict[int, int]:
+        if self.checkpoint is None or self.topic_path is None:
+            return offsets_from_progress(progress, self.topic)
+        upto = (_end_offset(progress) or {}).get("logOffset")
+        if upto is None or int(upto) <= self._log_offset:
+            return {}
+        new = file_topic_offsets(
+            self.spark, self.checkpoint, self.topic_path, self.topic, after=self._log_offset, upto=int(upto)
+        ).collect()  # one row a topic partition
+        self._log_offset = int(upto)
+        return {r["partition"]: r["committed_offset"] for r in new}
+
     def on_progress(self, progress: dict) -> None:
-        offs = offsets_from_progress(progress, self.topic)
-        if not offs or progress.get("numInputRows", 0) == 0:
+        if progress.get("numInputRows", 0) == 0:
+            return
+        offs = self._offsets(progress)
+        if not offs:
             return
         if self._last is None:
             self._last = self._seed()
         for p, o in offs.items():
             self._last[p] = max(self._last.get(p, 0), o)
-        bid = int(progress["batchId"])
-        rows = [(self.query, bid, self.topic, p, o) for p, o in sorted(self._last.items())]
+        rows = [(self.topic, p, o) for p, o in sorted(self._last.items())]
         (
-            self.spark.createDataFrame(rows, COMMITTED_OFFSETS_SCHEMA)
+            self.spark.createDataFrame(rows, "topic string, partition int, offset bigint")
             .coalesce(1)
             .write.mode("overwrite")
-            .parquet(f"{self._query_dir()}/batch_id={bid}")
-        )
-        self._prune(bid)
-
-    def _prune(self, newest: int) -> None:
-        """Delete snapshot folders older than the newest ``retain``."""
-        ids = sorted(
-            int(n.split("=", 1)[1]) for n in list_names(self.spark, self._query_dir())
-            if n.startswith("batch_id=") and n.split("=", 1)[1].isdigit()
+            .parquet(f"{self._query_dir()}/run={self.run}/batch_id={int(progress['batchId'])}")
         )
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        for b in ids[:-self.retain]:
-            if b < newest:
-                p = jvm.org.apache.hadoop.fs.Path(f"{self._query_dir()}/batch_id={b}")
-                p.getFileSystem(conf).delete(p, True)
+        self._prune()
+
+    def snapshots(self) -> list[tuple[int, int]]:
+        """``(run, batch id)`` of the snapshots that are there, oldest first."""
+        out = []
+        for run in list_names(self.spark, self._query_dir()):
+            if run.startswith("run="):
+                for batch in list_names(self.spark, f"{self._query_dir()}/{run}"):
+                    if batch.startswith("batch_id="):
+                        out.append((int(run[4:]), int(batch[9:])))
+        return sorted(out)
+
+    def _prune(self) -> None:
+        """Delete all but the newest ``retain`` snapshots."""
+        for run, batch in self.snapshots()[: -self.retain]:
+            delete_path(self.spark, f"{self._query_dir()}/run={run}/batch_id={batch}")
 
     def read(self) -> DataFrame:
         """Committed offset per partition (``partition, committed_offset``)."""
         log = self.spark.read.schema(
-            "topic string, partition int, offset bigint, query string, batch_id bigint"
+            "topic string, partition int, offset bigint, query string, run bigint, batch_id bigint"
         ).parquet(self.path)
+        order = F.col("run").cast("decimal(38,0)") * F.lit(1_000_000_000_000).cast("decimal(13,0)") + F.col("batch_id")
         return (
             log.where((F.col("query") == self.query) & (F.col("topic") == self.topic))
             .groupBy("partition")
-            .agg(F.max_by("offset", "batch_id").alias("committed_offset"))
+            .agg(F.max_by("offset", order.cast("decimal(38,0)")).alias("committed_offset"))
         )

@@ -20,24 +20,10 @@ from tickwise.operators.dedup import DEDUP_KEYS, dedup_ticks
 from tickwise.operators.windows import WATERMARK, WINDOW, tumbling_mean, with_event_time
 from tickwise.sinks.keyed_table import KeyedTable
 
-OFFSETS_METRIC = "topic_offsets"
-# Salt buckets of the job's stream de-duplication (hot groups of copies).
+# Salt buckets for streams with hot groups of copies (opt-in).
 SALT_BUCKETS = 16
 
 
-def observe_offsets(records: DataFrame, partitions: int) -> DataFrame:
-    """Per-partition highest offset of each micro-batch, reported in the
-    query progress (``observedMetrics``); a fixed number of ``max``
-    aggregates, so the metric stays the same size whatever the batch size.
-    Meant for file-backed topics, whose progress has no per-partition
-    offsets; its per-row cost grows with the partition count. Kafka sources
-    do not need it: their progress ``endOffset`` already holds the offsets."""
-    metrics = [
-        F.max(F.when(F.col("partition") == p, F.col("offset"))).alias(str(p)) for p in range(partitions)
-    ]
-    return records.observe(OFFSETS_METRIC, *metrics)
-
-
 def clean_tick_stream(
     records: DataFrame,
     *,
@@ -94,14 +80,16 @@ def start(
     ``{"availableNow": True}`` for a run that drains the topic and stops).
 
     ``state_partitions`` sets the number of state-store partitions of a new
-    query (default: the cluster's cores). Spark records it in the
-    checkpoint at the first start and keeps it for the query's lifetime, so
-    the session-wide shuffle setting (often sized for batch joins) does not
-    decide how many state stores every micro-batch commits.
+    query; without it the session's ``spark.sql.shuffle.partitions`` holds.
+    Spark records the number in the checkpoint at the first start and keeps it
+    for the query's lifetime. The setting is read when the query starts, so it
+    is set for that moment only; start queries that pass a number from one
+    thread.
     """
     spark = df.sparkSession
     if state_partitions is None:
-        state_partitions = spark.sparkContext.defaultParallelism
+        return _start(df, name=name, checkpoint=checkpoint, mode=mode, trigger=trigger, sink=sink,
+                      path=path, foreach_batch=foreach_batch, options=options)
     key = "spark.sql.shuffle.partitions"
     previous = spark.conf.get(key)
     spark.conf.set(key, str(state_partitions))
@@ -127,39 +115,31 @@ def _start(df, *, name, checkpoint, mode, trigger, sink, path, foreach_batch, op
     return w.start()
 
 
-def upsert_batches(table: KeyedTable, *, writer: str, debug: bool = False) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function: upsert each micro-batch into ``table``.
-
-    The batch is persisted once so the optional console tap and the write do
-    not run the stateful plan twice; the upsert is idempotent per batch id,
-    so a replayed batch after a restart changes nothing.
-    """
+def upsert_batches(table: KeyedTable, *, writer: str) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function: upsert each micro-batch into ``table``. The
+    batch is used once, by the write, so nothing is persisted here."""
 
     def fn(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            if debug:
-                batch.show(20, truncate=False)
-            if not batch.isEmpty():
-                table.upsert(batch, batch_id=batch_id, writer=writer)
-        finally:
-            batch.unpersist()
+        table.upsert(batch, batch_id=batch_id, writer=writer)
 
     return fn
 
 
-def tee_batches(*writers: Callable[[DataFrame, int], None], console: bool = False) -> Callable[[DataFrame, int], None]:
+def tee_batches(
+    *writers: Callable[[DataFrame, int], None], console: bool = False, console_rows: int = 20
+) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function feeding several sinks from one query: the
-    micro-batch is computed once (persisted), then handed to each writer, so
-    the topic is read and the state kept once however many targets there
-    are. ``console`` adds a debug print of the batch."""
+    micro-batch is computed once (persisted here and nowhere else), then
+    handed to each writer, so the topic is read and the state kept once
+    however many targets there are. ``console`` adds a debug print of
+    ``console_rows`` rows of the batch."""
 
     def fn(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
             if console:
                 print(f"-- batch {batch_id}")
-                batch.show(20, truncate=False)
+                batch.show(console_rows, truncate=False)
             for w in writers:
                 w(batch, batch_id)
         finally:

@@ -30,7 +30,7 @@ from tickwise.functions.parse import parse_ticks, valid_ticks  # noqa: E402
 from tickwise.operators.dedup import dedup_ticks  # noqa: E402
 from tickwise.operators.windows import tumbling_mean  # noqa: E402
 from tickwise.session import build_session, scratch_path  # noqa: E402
-from tickwise.sources.events import events_to_topic  # noqa: E402
+from tickwise.plans.events import events_to_topic  # noqa: E402
 from tickwise.sources.topic import append_segment, read_topic  # noqa: E402
 from tickwise.streaming.control import run_until_idle  # noqa: E402
 from tickwise.streaming.jobs import start, tick_means  # noqa: E402
