@@ -40,6 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickwise.llm.common import stored
 from tickwise.llm.url_filter import host_of
 
 MIN_RUN = 8
@@ -295,8 +296,14 @@ def extract(
     large = sizes.where(F.col("bytes") > group_bytes).select(
         "host", F.ceil(F.col("bytes") / group_bytes).cast("int").alias("groups")
     )
+    # stored, its size is known when the join is planned: pages are then not
+    # dealt by host, unless there are very many large hosts
+    large = stored(large, "large-hosts")
     part = F.pmod(F.xxhash64("id", "url"), F.coalesce("groups", F.lit(1))).cast("int")
-    dealt = rows.join(large, "host", "left").withColumn("part", part).drop("groups")
+    # one column names the group: dealt by host and part, Spark would be content
+    # with pages that a join has dealt by host, and a hot host were one task
+    group = F.concat_ws("#", part.cast("string"), "host").alias("group")
+    dealt = rows.join(large, "host", "left").select("id", "url", "html", group)
     id_type = rows.schema["id"].dataType.simpleString()
     schema = f"id {id_type}, url string, text string, n_covered int, n_restored int"
 
@@ -314,5 +321,5 @@ def extract(
             }
         )
 
-    found = dealt.groupBy("host", "part").applyInArrow(task, schema)
+    found = dealt.groupBy("group").applyInArrow(task, schema)
     return found.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", "n_covered", "n_restored")
