@@ -1,20 +1,22 @@
 """Quote frames: base64 text holding one protobuf quote message.
 
 The message definition is declared once (``schemas.QUOTE_FIELDS`` and
-``schemas.ENUMS``) and turned into a protobuf descriptor at runtime, so no
-generated code is needed. Decoding prefers Spark's ``from_protobuf`` when
-the spark-protobuf package is on the classpath; otherwise an Arrow-batched
-``pandas_udf`` decodes each batch with the protobuf runtime. Both return
-NULL for frames that are not valid base64 or not a valid message.
+``schemas.ENUMS``). Decoding uses Spark's ``from_protobuf`` when the
+spark-protobuf package is on the classpath; otherwise an Arrow UDF decodes
+whole batches with numpy (``functions.wire``), only the fields asked for.
+Both return NULL for frames that are not valid base64 or not a valid message.
 """
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Sequence
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickwise.functions.wire import decode, encode
 from tickwise.schemas import ENUMS, QUOTE_FIELDS, QUOTE_SCHEMA
 
 PACKAGE = "quotes"
@@ -22,16 +24,9 @@ MESSAGE = "PricingData"
 FULL_NAME = f"{PACKAGE}.{MESSAGE}"
 
 
-# Built once per process. Plain functions and a dict (not ``lru_cache``
-# wrappers) so the UDFs that use them pickle by value and workers do not need
-# this package installed.
-_CACHE: dict = {}
-
-
 def descriptor_set_bytes() -> bytes:
-    """Serialized ``FileDescriptorSet`` of the quote message."""
-    if "fds" in _CACHE:
-        return _CACHE["fds"]
+    """Serialized ``FileDescriptorSet`` of the quote message, as
+    ``from_protobuf`` takes it."""
     from google.protobuf import descriptor_pb2
 
     fdp = descriptor_pb2.FileDescriptorProto(name="quotes.proto", package=PACKAGE, syntax="proto3")
@@ -53,22 +48,7 @@ def descriptor_set_bytes() -> bytes:
             f.type_name = f".{FULL_NAME}.{kind[5:]}"
         else:
             f.type = kinds[kind]
-    _CACHE["fds"] = descriptor_pb2.FileDescriptorSet(file=[fdp]).SerializeToString()
-    return _CACHE["fds"]
-
-
-def message_class():
-    """Protobuf message class built from the descriptor (once per worker)."""
-    if "cls" in _CACHE:
-        return _CACHE["cls"]
-    from google.protobuf import descriptor_pb2, descriptor_pool, message_factory
-
-    fds = descriptor_pb2.FileDescriptorSet.FromString(descriptor_set_bytes())
-    pool = descriptor_pool.DescriptorPool()
-    for fd in fds.file:
-        pool.Add(fd)
-    _CACHE["cls"] = message_factory.GetMessageClass(pool.FindMessageTypeByName(FULL_NAME))
-    return _CACHE["cls"]
+    return descriptor_pb2.FileDescriptorSet(file=[fdp]).SerializeToString()
 
 
 def builtin_protobuf_available(spark) -> bool:
@@ -82,47 +62,20 @@ def builtin_protobuf_available(spark) -> bool:
 # ---------------------------------------------------------------------------
 # decode
 # ---------------------------------------------------------------------------
-_ENUM_OF = {name: kind[5:] for name, _n, kind in QUOTE_FIELDS if kind.startswith("enum:")}
-
-
-_DECODED = T.StructType(QUOTE_SCHEMA.fields + [T.StructField("_ok", T.BooleanType())])
-
-
-@F.pandas_udf(_DECODED)
-def _decode_udf(payload: pd.Series) -> pd.DataFrame:
-    """Decode one Arrow batch of messages. Like ``from_protobuf``, fields
-    holding the proto3 default are NULL; ``_ok`` is False when the bytes are
-    not a message."""
-    cls = message_class()
-    names = [n for n, _num, _k in QUOTE_FIELDS]
-    enum_names = {f: ENUMS[e] for f, e in _ENUM_OF.items()}
-    rows = []
-    for raw in payload:
-        rec = dict.fromkeys(names)
-        rec["_ok"] = False
-        if raw is not None:
-            try:
-                msg = cls.FromString(bytes(raw))
-            except Exception:  # not a quote message
-                msg = None
-            if msg is not None:
-                rec["_ok"] = True
-                for fd, v in msg.ListFields():
-                    rec[fd.name] = enum_names[fd.name].get(int(v)) if fd.name in enum_names else v
-        rows.append(rec)
-    return pd.DataFrame(rows, columns=names + ["_ok"])
-
-
 def frame_bytes(frame: Column) -> Column:
     """base64 text -> bytes; NULL (not an error) for text that is not base64."""
     return F.try_to_binary(frame, F.lit("base64"))
 
 
-def decode_quotes(frames: DataFrame, *, frame_col: str = "frame", builtin: bool | None = None) -> DataFrame:
-    """Add ``quote`` (33-field struct, enums as names) decoded from
-    ``frame_col`` (base64 text). Invalid frames give a NULL quote."""
+def decode_quotes(
+    frames: DataFrame, *, frame_col: str = "frame", fields: Sequence[str] | None = None, builtin: bool | None = None
+) -> DataFrame:
+    """Add ``quote`` (a struct of ``fields``, by default all 33; enums as
+    names) decoded from ``frame_col`` (base64 text). Invalid frames give a
+    NULL quote. Fields holding the proto3 default are NULL."""
     spark = frames.sparkSession
     raw = frame_bytes(F.col(frame_col))
+    wanted = [f for f in QUOTE_FIELDS if fields is None or f[0] in fields]
     use_builtin = builtin_protobuf_available(spark) if builtin is None else builtin
     if use_builtin:
         from pyspark.sql.protobuf.functions import from_protobuf
@@ -131,38 +84,29 @@ def decode_quotes(frames: DataFrame, *, frame_col: str = "frame", builtin: bool
             raw, FULL_NAME, binaryDescriptorSet=descriptor_set_bytes(),
             options={"mode": "PERMISSIVE", "enums.as.ints": "false"},
         )
-        return frames.withColumn("quote", quote)
-    decoded = frames.withColumn("_q", _decode_udf(raw))
-    quote = F.struct(*[F.col("_q")[f.name].alias(f.name) for f in QUOTE_SCHEMA.fields])
-    return decoded.withColumn("quote", F.when(F.col("_q._ok"), quote)).drop("_q")
+        picked = F.struct(*[quote[name].alias(name) for name, _, _ in wanted])
+        return frames.withColumn("quote", F.when(quote.isNotNull(), picked))
+    schema = T.StructType([f for f in QUOTE_SCHEMA.fields if f.name in {name for name, _, _ in wanted}])
+
+    @F.arrow_udf(schema)
+    def quotes_of(payload: pa.Array) -> pa.Array:
+        return decode(payload, wanted, ENUMS)
+
+    return frames.withColumn("quote", quotes_of(raw))
 
 
 # ---------------------------------------------------------------------------
 # encode (producer side)
 # ---------------------------------------------------------------------------
-_CODE_OF = {e: {name: code for code, name in values.items()} for e, values in ENUMS.items()}
-
-
-@F.pandas_udf(T.BinaryType())
-def _encode_udf(quotes: pd.DataFrame) -> pd.Series:
-    cls = message_class()
-    present = list(quotes.columns)
-    out = []
-    for row in quotes.itertuples(index=False):
-        msg = cls()
-        for name, v in zip(present, row):
-            if v is None or (isinstance(v, float) and pd.isna(v)):
-                continue
-            if name in _ENUM_OF:
-                v = _CODE_OF[_ENUM_OF[name]].get(v, 0)
-            setattr(msg, name, v)
-        out.append(msg.SerializeToString())
-    return pd.Series(out)
-
-
 def encode_frames(quotes: Column) -> Column:
     """Quote struct (any subset of the 33 fields, enums as names) -> base64 frame."""
-    return F.base64(_encode_udf(quotes))
+
+    @F.arrow_udf(T.BinaryType())
+    def message_of(rows: pa.Array) -> pa.Array:
+        return encode(rows, QUOTE_FIELDS, ENUMS)
+
+    # a frame is one line of text, however long
+    return F.translate(F.base64(message_of(quotes)), "\r\n", "")
 
 
 # ---------------------------------------------------------------------------

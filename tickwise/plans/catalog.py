@@ -25,8 +25,9 @@ from tickwise.operators.rates import StageTaps, message_rate
 from tickwise.operators.upsert import key_violations, upsert_latest
 from tickwise.operators.windows import mean_per_key, tumbling_mean
 from tickwise.plans.common import clean_ticks, ntz, parsed, rejects, rounded, table, topic_records
+from tickwise.schemas import ENUMS, QUOTE_FIELDS
 from tickwise.session import scratch_path
-from tickwise.plans.events import epoch_millis, event_time, market_hours_code
+from tickwise.plans.events import epoch_millis, event_time, full_quotes, market_hours_code
 from tickwise.sources.topic import append_segment, bounded_read, read_topic
 
 # Query parameters (fixed so the SQL oracles can state the same thing).
@@ -152,7 +153,7 @@ def q_encode_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_decode_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = quotes_from_events(table(spark, sf_dir, "events"))
     frames = q.select("event_id", encode_frames(F.col("quote")).alias("frame"))
-    d = decode_quotes(frames)
+    d = decode_quotes(frames, fields=("id", "price", "time", "marketHours"))
     return d.select(
         "event_id",
         F.col("quote.id").alias("id"),
@@ -162,6 +163,28 @@ def q_decode_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_encode_quotes_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON of quotes with all 33 fields, with nulls and defaults among them."""
+    q = full_quotes(table(spark, sf_dir, "events"))
+    return q.select("event_id", quote_json(F.col("quote")).alias("json"))
+
+
+def q_decode_frames_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same quotes through frames and back; integers as text, since readers
+    of nullable integers may go through doubles."""
+    q = full_quotes(table(spark, sf_dir, "events"))
+    d = decode_quotes(q.select("event_id", encode_frames(F.col("quote")).alias("frame")))
+    value = lambda name, kind: F.col(f"quote.{name}").cast("string") if kind == "sint64" else F.col(f"quote.{name}")
+    return d.select("event_id", *[value(name, kind).alias(name) for name, _, kind in QUOTE_FIELDS])
+
+
+def q_enum_names_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of all codes of the three enums, and of codes without a name."""
+    code = (F.col("event_id") % 1100).cast("int")
+    events = table(spark, sf_dir, "events").groupBy(code.alias("code")).agg(F.count(F.lit(1)).alias("events"))
+    return events.select("code", "events", *[enum_name(F.col("code"), e).alias(e) for e in ENUMS])
+
+
 def q_enum_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     code = market_hours_code(event_time(events, "ts"))
@@ -208,5 +231,8 @@ QUERIES = {
     "encode_quotes": q_encode_quotes,
     "decode_frames": q_decode_frames,
     "enum_names": q_enum_names,
+    "encode_quotes_all": q_encode_quotes_all,
+    "decode_frames_all": q_decode_frames_all,
+    "enum_names_all": q_enum_names_all,
     "batch_topic_read": q_batch_topic_read,
 }

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickwise.schemas import ENUMS, QUOTE_FIELDS, QUOTE_SCHEMA
 from tickwise.sources.topic import DEFAULT_TOPIC
 
 # Fixed fault-injection parameters shared by the registered queries and their
@@ -108,3 +109,33 @@ def market_hours_code(ts: Column) -> Column:
         .when(minute < 21 * 60, F.lit(1))
         .otherwise(F.lit(2))
     )
+
+
+# All fields of a quote from an event, by one rule per kind (``k`` is the field
+# number), with nulls, defaults and integers past 2^53. Plain SQL that both
+# engines read alike; the oracles use the same text.
+BIG = 9007199254740993
+
+
+def field_sql(number: int, kind: str) -> str:
+    """SQL for a field's value (null where the quote lacks it)."""
+    k = number
+    if kind == "string":
+        return f"case when (event_id + {k}) % 5 = 0 then null when (event_id + {k}) % 7 = 0 then '' else concat(event_type, '-{k}') end"
+    if kind == "sint64":
+        value = f"(case when event_id % 2 = 0 then 1 else -1 end) * (cast({BIG} as bigint) + event_id * {k})"
+        return f"case when (event_id + {k}) % 4 = 0 then null when (event_id + {k}) % 9 = 0 then cast(0 as bigint) else {value} end"
+    if kind in ("float", "double"):
+        scale = "4" if kind == "float" else "8"
+        whole = f"(event_id * {k}) % 1000 - 300" if kind == "float" else f"(event_id * {k}) % 100000 + 1"
+        return f"case when (event_id + {k}) % 6 = 0 then null else cast(({whole}) as double) / {scale} end"
+    names = [name for _, name in sorted(ENUMS[kind[5:]].items())]
+    whens = " ".join(f"when {i} then '{name}'" for i, name in enumerate(names))
+    return f"case (event_id + {k}) % {len(names)} {whens} end"
+
+
+def full_quotes(events: DataFrame) -> DataFrame:
+    """``(event_id, quote)`` with all fields of the message."""
+    types = {f.name: f.dataType for f in QUOTE_SCHEMA.fields}
+    fields = [F.expr(field_sql(number, kind)).cast(types[name]).alias(name) for name, number, kind in QUOTE_FIELDS]
+    return events.select("event_id", F.struct(*fields).alias("quote"))

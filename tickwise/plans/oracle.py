@@ -8,7 +8,8 @@ in half, ``partition = user_id % 3``.
 
 from __future__ import annotations
 
-from tickwise.plans.events import CORRUPT_EVERY, OFFSET_STRIDE, REPLAY_EVERY, TOPIC_PARTITIONS
+from tickwise.plans.events import CORRUPT_EVERY, OFFSET_STRIDE, REPLAY_EVERY, TOPIC_PARTITIONS, field_sql
+from tickwise.schemas import ENUMS, QUOTE_FIELDS
 
 _TOPIC = f"""
 payloads AS (
@@ -97,7 +98,43 @@ quotes AS (
   )
 )"""
 
+_SQL_TYPE = {"string": "varchar", "float": "float", "double": "double", "sint64": "bigint"}
+
+
+def _present(name: str, number: int, kind: str) -> str:
+    """A field's value, null where it is absent or holds the default."""
+    value = f"({field_sql(number, kind)})::{_SQL_TYPE.get(kind, 'varchar')}"
+    if kind == "string":
+        return f"nullif({value}, '')"
+    if kind.startswith("enum:"):
+        first = ENUMS[kind[5:]].get(0)
+        return f"nullif({value}, '{first}')" if first else value
+    return f"nullif({value}, 0)"
+
+
+def _json_part(name: str, number: int, kind: str) -> str:
+    parts = name.split("_")
+    key = parts[0] + "".join(p[:1].upper() + p[1:] for p in parts[1:])
+    quote = '"' if kind in ("string", "sint64") or kind.startswith("enum:") else ""
+    return f"""case when "{name}" is not null then '"{key}":{quote}' || "{name}"::varchar || '{quote}' end"""
+
+
+_ALL_FIELDS = "SELECT event_id, " + ", ".join(f'{_present(*f)} AS "{f[0]}"' for f in QUOTE_FIELDS) + " FROM events"
+
+
+def _enum_case(enum: str) -> str:
+    whens = " ".join(f"WHEN {c} THEN '{n}'" for c, n in sorted(ENUMS[enum].items()))
+    return f"CASE code {whens} END AS \"{enum}\""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "decode_frames_all": "SELECT event_id, "
+    + ", ".join(f'"{name}"' + ("::varchar" if kind == "sint64" else "") + f' AS "{name}"' for name, _, kind in QUOTE_FIELDS)
+    + f" FROM ({_ALL_FIELDS})",
+    "encode_quotes_all": "SELECT event_id, '{' || concat_ws(',', " + ", ".join(_json_part(*f) for f in QUOTE_FIELDS)
+    + f") || '}}' AS json FROM ({_ALL_FIELDS})",
+    "enum_names_all": "SELECT code, count(*) AS events, " + ", ".join(_enum_case(e) for e in ENUMS)
+    + " FROM (SELECT CAST(event_id % 1100 AS INTEGER) AS code FROM events) GROUP BY code",
     "encode_quotes": "WITH " + _MARKET_HOURS.strip() + """
 SELECT event_id,
   '{"id":"' || event_type || '"'
