@@ -18,6 +18,7 @@ def message_rate(
     *,
     ts: str = "timestamp",
     order: Sequence[str] = ("timestamp", "partition", "offset"),
+    every_interval: bool = False,
 ) -> DataFrame:
     """Messages per ``interval`` of record time, plus the first ``examples``
     messages of each interval in arrival order.
@@ -29,6 +30,9 @@ def message_rate(
     holds a third of the stream. The two per-interval results are joined
     on the interval: a shuffle join whose inputs are already partitioned by
     it, or a broadcast of the counts when they are small.
+
+    ``every_interval`` adds the intervals without a message between the first
+    and the last one, with a count of 0 and no examples.
     """
     bucket = F.window(ts, interval).start
     order_cols = [F.col(c) for c in order]
@@ -41,12 +45,22 @@ def message_rate(
         .groupBy("interval_start")
         .agg(F.array_sort(F.collect_list(F.struct("rn", "offset", F.col("value").cast("string").alias("msg")))).alias("ex"))
     )
-    return counts.join(first, "interval_start").select(
+    rates = counts.join(first, "interval_start").select(
         "interval_start",
         "messages",
         F.array_join(F.transform("ex", lambda x: x["offset"].cast("string")), ",").alias("example_offsets"),
         F.array_join(F.transform("ex", lambda x: x["msg"]), "\n").alias("example_messages"),
     )
+    if not every_interval:
+        return rates
+    ends = counts.agg(F.min("interval_start").alias("a"), F.max("interval_start").alias("b")).where("a is not null")
+    every = ends.select(F.explode(F.sequence("a", "b", F.expr(f"interval {interval}"))).alias("interval_start"))
+    return every.join(rates, "interval_start", "left").select(
+        "interval_start",
+        F.coalesce("messages", F.lit(0)).cast("bigint").alias("messages"),
+        F.coalesce("example_offsets", F.lit("")).alias("example_offsets"),
+        F.coalesce("example_messages", F.lit("")).alias("example_messages"),
+    )
 
 
 class StageTaps:

@@ -10,18 +10,23 @@ from pyspark.sql import functions as F
 from tickwise.schemas import OUTPUT_KEYS
 
 
-def upsert_latest(target: DataFrame, updates: DataFrame, keys: Sequence[str] = OUTPUT_KEYS) -> DataFrame:
-    """``INSERT ... ON CONFLICT (keys) DO UPDATE`` as a DataFrame:
-    rows of ``target`` whose key is not in ``updates``, plus all ``updates``.
+def last_write(rows: DataFrame, order: str, keys: Sequence[str] = OUTPUT_KEYS) -> DataFrame:
+    """The row with the largest ``order`` per key, without ``order``: one
+    partial + final aggregate, so a key with many versions collapses inside
+    each input task."""
+    values = [c for c in rows.columns if c not in (*keys, order)]
+    aggs = [F.max_by(c, order).alias(c) for c in values]
+    return rows.groupBy(*keys).agg(*aggs).select(*[c for c in rows.columns if c != order])
+
 
-    Distributed anti join on the keys (Catalyst plans a sort-merge or a
-    shuffled hash join; AQE broadcasts ``updates`` when its measured size is
-    small, which is the normal case for one micro-batch). ``updates`` must be
-    unique on ``keys`` (a windowed aggregate is).
+def upsert_latest(target: DataFrame, updates: DataFrame, keys: Sequence[str] = OUTPUT_KEYS) -> DataFrame:
+    """``INSERT ... ON CONFLICT (keys) DO UPDATE`` as a DataFrame: the rows of
+    both sides, the update's where a key is in both. Each side is read once.
+    Both must be unique on ``keys`` (windowed aggregates are).
     """
-    keys = list(keys)
-    kept = target.join(updates.select(*keys), keys, "left_anti")
-    return kept.unionByName(updates.select(*target.columns))
+    old = target.withColumn("_side", F.lit(0))
+    new = updates.select(*target.columns).withColumn("_side", F.lit(1))
+    return last_write(old.unionByName(new), "_side", list(keys))
 
 
 def key_violations(df: DataFrame, keys: Sequence[str] = OUTPUT_KEYS, not_null: Sequence[str] = ()) -> DataFrame:

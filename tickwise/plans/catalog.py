@@ -22,8 +22,8 @@ from tickwise.operators.offsets import (
     topic_ready,
 )
 from tickwise.operators.rates import StageTaps, message_rate
-from tickwise.operators.upsert import key_violations, upsert_latest
-from tickwise.operators.windows import mean_per_key, tumbling_mean
+from tickwise.operators.upsert import key_violations, last_write, upsert_latest
+from tickwise.operators.windows import WINDOW, mean_per_key, tumbling_mean
 from tickwise.plans.common import clean_ticks, ntz, parsed, rejects, rounded, table, topic_records
 from tickwise.schemas import ENUMS, QUOTE_FIELDS
 from tickwise.session import scratch_path
@@ -74,6 +74,12 @@ def q_message_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ntz(message_rate(topic_records(spark, sf_dir)))
 
 
+def q_message_rate_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With a row for every interval between the first and the last."""
+    rates = message_rate(topic_records(spark, sf_dir), every_interval=True)
+    return ntz(rates.select("interval_start", "messages", "example_offsets"))
+
+
 def q_topic_end_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return end_offsets(topic_records(spark, sf_dir))
 
@@ -100,24 +106,38 @@ def q_latest_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ntz(latest_offsets(topic_records(spark, sf_dir)))
 
 
-def _upsert_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    ticks = clean_ticks(spark, sf_dir)
-    split = ticks.agg(F.max("timestamp")).scalar() - F.expr(UPSERT_SPLIT)
-    target = tumbling_mean(ticks.where(F.col("timestamp") < split))
-    updates = tumbling_mean(ticks.where(F.col("timestamp") >= split - F.expr(UPSERT_OVERLAP)))
-    return target, updates
+def _upsert_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windowed means of the target (``side`` 0) and of the update batch (1)
+    from one pass over the ticks: a tick of the overlap counts on both sides."""
+    valid = valid_ticks(parsed(spark, sf_dir))
+    split = valid.agg(F.max("timestamp")).scalar() - F.expr(UPSERT_SPLIT)
+    ts = F.col("timestamp")
+    sides = F.array_compact(
+        F.array(F.when(ts < split, F.lit(0)), F.when(ts >= split - F.expr(UPSERT_OVERLAP), F.lit(1)))
+    )
+    ticks = dedup_ticks(valid).select("stock_ticker", "timestamp", "price", F.explode(sides).alias("side"))
+    return (
+        ticks.groupBy(F.window("timestamp", WINDOW).alias("window"), "stock_ticker", "side")
+        .agg(F.avg("price").alias("price"))
+        .select("stock_ticker", F.col("window.end").alias("timestamp"), "price", "side")
+    )
 
 
 def q_upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    target, updates = _upsert_inputs(spark, sf_dir)
+    return ntz(rounded(last_write(_upsert_sides(spark, sf_dir), "side"), "price"))
+
+
+def q_upsert_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the two sides as frames of their own."""
+    sides = _upsert_sides(spark, sf_dir)
+    target, updates = (sides.where(F.col("side") == i).drop("side") for i in (0, 1))
     return ntz(rounded(upsert_latest(target, updates), "price"))
 
 
 def q_target_key_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     # A plain append of the update batch (INSERT without ON CONFLICT) breaks
     # the primary key exactly where the batches overlap.
-    target, updates = _upsert_inputs(spark, sf_dir)
-    return ntz(key_violations(target.unionByName(updates), not_null=("price",)))
+    return ntz(key_violations(_upsert_sides(spark, sf_dir).drop("side"), not_null=("price",)))
 
 
 def q_stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -221,11 +241,13 @@ QUERIES = {
     "mean_per_key": q_mean_per_key,
     "watchlist": q_watchlist,
     "message_rate": q_message_rate,
+    "message_rate_all": q_message_rate_all,
     "topic_end_offsets": q_topic_end_offsets,
     "topic_lag": q_topic_lag,
     "topic_ready": q_topic_ready,
     "latest_offsets": q_latest_offsets,
     "upsert_latest": q_upsert_latest,
+    "upsert_frames": q_upsert_frames,
     "target_key_violations": q_target_key_violations,
     "stage_counts": q_stage_counts,
     "encode_quotes": q_encode_quotes,

@@ -165,6 +165,13 @@ WHERE t."offset" >= l.committed_offset AND t."offset" < l.end_offset""",
        array_to_string(list(CAST("offset" AS VARCHAR) ORDER BY "timestamp", "partition", "offset")[1:4], ',') AS example_offsets,
        array_to_string(list(value ORDER BY "timestamp", "partition", "offset")[1:4], chr(10)) AS example_messages
 FROM topic GROUP BY 1""",
+    "message_rate_all": _with("""rates AS (
+  SELECT time_bucket(INTERVAL '60 seconds', "timestamp") AS interval_start, count(*) AS messages,
+    array_to_string(list(CAST("offset" AS VARCHAR) ORDER BY "timestamp", "partition", "offset")[1:4], ',') AS example_offsets
+  FROM topic GROUP BY 1)""")
+    + """SELECT e.interval_start, coalesce(messages, 0) AS messages, coalesce(example_offsets, '') AS example_offsets
+FROM (SELECT unnest(generate_series(min(interval_start), max(interval_start), INTERVAL '60 seconds')) AS interval_start FROM rates) e
+LEFT JOIN rates r ON r.interval_start = e.interval_start""",
     "topic_end_offsets": _with() + """SELECT "partition", max("offset") + 1 AS end_offset FROM topic GROUP BY 1""",
     "topic_lag": _with(*_LAG_CTES) + "SELECT *, lag >= 25 AS ready FROM lag",
     "topic_ready": _with(*_LAG_CTES)
@@ -177,6 +184,11 @@ GROUP BY 1""",
     "upsert_latest": _with(*_UPSERT_CTES)
     + """SELECT * FROM updates
 UNION ALL
+SELECT * FROM target t WHERE NOT EXISTS (
+  SELECT 1 FROM updates u WHERE u.stock_ticker = t.stock_ticker AND u."timestamp" = t."timestamp")""",
+    "upsert_frames": _with(*_UPSERT_CTES)
+    + """SELECT * FROM updates
+UNION ALL
 SELECT * FROM target t WHERE NOT EXISTS (
   SELECT 1 FROM updates u WHERE u.stock_ticker = t.stock_ticker AND u."timestamp" = t."timestamp")""",
     "target_key_violations": _with(*_UPSERT_CTES)
