@@ -25,13 +25,13 @@ def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session("local[8]", shuffle_partitions=8)
     spark.sparkContext.setLogLevel("ERROR")
-    import __spark_entry__ as entry
+    from tickwise.plans.registry import all_queries
 
     out = ["# Physical plans of the registered batch queries", "",
            f"Generated by `tools/plan_report.py` at `{sf_dir}` on local[8]: plans as Catalyst "
            "produced them (AQE may still coalesce partitions or turn a join into a broadcast "
            "at run time). Column ids removed; long lines cut at 160 characters.", ""]
-    for name, fn in entry.queries().items():
+    for name, fn in all_queries().items():
         if name.startswith("stream_"):
             continue
         df = fn(spark, sf_dir)
