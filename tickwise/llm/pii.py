@@ -150,11 +150,22 @@ _BOXED = re.compile(
     rf"|\{{\s?(?:(?:{_AT}|@)|(?:{_DOT}|\.))\s?\}}|<\s?(?:(?:{_AT}|@)|(?:{_DOT}|\.))\s?>)\s{{0,3}}",
     re.IGNORECASE,
 )
+# Spoken signs between words: both must be there, "at" alone is plain prose.
+_BETWEEN = r"(?:\s{1,3}|[-_])"
 _SPOKEN = re.compile(
-    rf"(?<=[A-Za-z0-9_%+-])\s{{1,3}}(?:{_AT})\s{{1,3}}(?=[A-Za-z0-9-]+(?:\s{{1,3}}(?:{_DOT})\s{{1,3}}|\.)[A-Za-z])", re.IGNORECASE
+    rf"(?<=[A-Za-z0-9_%+-]){_BETWEEN}(?:{_AT}){_BETWEEN}(?=[A-Za-z0-9]+(?:-[A-Za-z0-9]+)?{_BETWEEN}(?:{_DOT}){_BETWEEN}[A-Za-z])",
+    re.IGNORECASE,
+)
+# A word of a domain up to a spoken dot.
+_DOMAIN_WORD = re.compile(
+    rf"[A-Za-z0-9]+(?:[.-][A-Za-z0-9]+)*?({_BETWEEN}(?:{_DOT}){_BETWEEN})(?=[A-Za-z0-9])", re.IGNORECASE
+)
+_NUMBER_DOT = re.compile(rf"(?<=[0-9])\s{{1,3}}(?:{_DOT})\s{{1,3}}(?=[0-9])", re.IGNORECASE)
+_ENTITY = re.compile(r"&(?:(#0*64|#x0*40|commat)|#0*46|#x0*2e|period);", re.IGNORECASE)
+_HINT = re.compile(
+    rf"[\[({{<]\s?(?:{_AT}|{_DOT}|@|\.)\s?[\])}}>]|(?:\b|_)(?:{_DOT}|arroba)(?:\b|_)|&(?:#0*64|#0*46|#x0*40|#x0*2e|commat|period);",
+    re.IGNORECASE,
 )
-_SPOKEN_DOT = re.compile(rf"(?<=[A-Za-z0-9])\s{{1,3}}(?:{_DOT})\s{{1,3}}(?=[A-Za-z0-9])", re.IGNORECASE)
-_HINT = re.compile(rf"[\[({{<]\s?(?:{_AT}|{_DOT}|@|\.)\s?[\])}}>]|\b(?:{_DOT}|arroba)\b", re.IGNORECASE)
 class Rewritten:
     """A text and, for each of its characters, the source span behind it."""
 
@@ -196,18 +207,17 @@ def rewrite(text: str) -> Rewritten:
     """The text without disguises."""
     r = Rewritten(text)
     r.replace([(m.start(), m.end(), new) for m in _ODD.finditer(text) if (new := plain_character(m[0])) != m[0]])
+    r.replace([(m.start(), m.end(), "@" if m[1] else ".") for m in _ENTITY.finditer(r.text)])
     r.replace([(m.start(), m.end(), _spell(m)) for m in _SPELLED.finditer(r.text)])
+    r.replace([(m.start(), m.end(), ".") for m in _NUMBER_DOT.finditer(r.text)])
     r.replace([(m.start(), m.end(), "@" if re.search(rf"{_AT}|@", m[0], re.IGNORECASE) else ".") for m in _BOXED.finditer(r.text)])
     r.replace([(m.start(), m.end(), "@") for m in _SPOKEN.finditer(r.text)])
     if "@" in r.text:
         edits, at = [], 0
         for sign in re.finditer("@", r.text):
             at = max(at, sign.end())
-            while m := re.compile(rf"[A-Za-z0-9.-]+?(?={_SPOKEN_DOT.pattern})", re.IGNORECASE).match(r.text, at):
-                dot = _SPOKEN_DOT.match(r.text, m.end())
-                if not dot:
-                    break
-                edits.append((dot.start(), dot.end(), "."))
+            while dot := _DOMAIN_WORD.match(r.text, at):
+                edits.append((*dot.span(1), "."))
                 at = dot.end()
         r.replace(edits)
     return r
