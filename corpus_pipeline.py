@@ -25,7 +25,10 @@ from tickwise.llm.queries import TOKENIZER
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 9: documents that the current policy rejects go."""
-    return ledger(docs, nested=True).where(passes()).select("row.*")
+    rows = ledger(docs, nested=True)
+    # a filter would be pushed below the ledger and measure every text again
+    # for each rule; a generator stays above it
+    return rows.select(F.explode(F.when(passes(), F.array("row"))).alias("row")).select("row.*")
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
