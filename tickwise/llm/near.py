@@ -373,7 +373,8 @@ def near_classes(
     cluster = stored(connected_components(edges).withColumnRenamed("node", "row").join(slim, "row"), "near-clusters")
     sizes = cluster.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("s"))
     chunks = F.greatest(F.ceil(F.col("n") / chunk), F.ceil(F.col("s") / CHUNK_SHINGLES)).cast("int")
-    sized = cluster.join(sizes.select("label", chunks.alias("chunks")), "label")
+    # stored, like what follows: only joins of plain shuffles can be split at a hot label
+    sized = cluster.join(stored(sizes.select("label", chunks.alias("chunks")), "near-sizes"), "label")
     texts = _texts(source, key_filter(cluster.select(F.array(F.xxhash64("row")).alias("keys"))), n)
     blocks = _blocks(sized.join(texts, "row"), "label", "chunks", ["copies", "shingles"])
     links = stored(block_links(blocks, threshold, tolerance), "near-links")
@@ -394,6 +395,7 @@ def near_classes(
     )
     labelled = stored(labelled, "near-labels")
     first = labelled.groupBy("label").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("f"))
+    first = stored(first, "near-firsts")
     found = labelled.join(first, "label").select(
         "row", "id", F.col("f.id").alias("class_id"), "n_links", (F.col("row") == F.col("f.row")).alias("first")
     )
