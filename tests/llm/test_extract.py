@@ -95,3 +95,23 @@ def test_table(spark):
         assert all(by[i].text == text_of(h) and by[i].url == u for i, u, h in rows[:40])
         assert by[100].text == "" and by[101].text == "" and by[None].text == "x" and by[100].url is None
     assert extract(spark.createDataFrame([], PAGES)).count() == 0
+
+
+def test_copies_do_not_cover_each_other(spark):
+    page = "<p>one page of plain words that is stored under two different addresses of one host</p>"
+    rows = [(1, "http://m.net/a", page), (2, "http://m.net/b", page), (3, "http://other.net/", page)]
+    got = extract(spark.createDataFrame([(*r, "h", "t", 0) for r in rows], PAGES)).collect()
+    assert [r.text for r in got] == [page[3:-4]] * 3 and not any(r.n_covered for r in got)
+
+
+def test_repeats_are_those_of_the_whole_host_whatever_the_groups(spark):
+    menu = "<div>news of sport and weather and travel in our own section</div>"
+    rows = []
+    for i in range(60):
+        own = " ".join(f"own{i}x{j}" for j in range(30))
+        rows.append((i, f"http://{'ab'[i % 2]}.net/{i}", f"{menu if i % 20 < 2 else ''}<p>{own}</p>"))
+    pages = spark.createDataFrame([(*r, "h", "t", 0) for r in rows], PAGES).repartition(3).localCheckpoint()
+    want = {(i, h[h.index("<p>") + 3 : -4], int(h.startswith("<div>"))) for i, _, h in rows}
+    for group_bytes in (1, 3000, 4 << 20):
+        got = extract(pages, group_bytes=group_bytes).collect()
+        assert {(r.page_id, r.text, r.n_covered) for r in got} == want and len(got) == 60

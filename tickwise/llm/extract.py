@@ -2,11 +2,12 @@
 
 Pages are read into blocks (text between block-level tags, character
 references decoded, white space folded) and into one token stream each: words
-and tag names. The streams of a host are laid end to end, with a separator of
-its own after each page, and their suffixes are sorted by prefix doubling up to ``MIN_RUN``
-tokens. Neighbours that agree on so many tokens and lie on distinct pages are
-repeated substrings; the tokens they cover are boilerplate, the rest are the
-page's unique runs. A block with ``COVERED`` or more of its words covered goes.
+and tag names. The streams of a group of pages are laid end to end and their
+suffixes are sorted by prefix doubling up to ``MIN_RUN`` tokens, which tells
+the group's different runs of so many tokens. Each run is counted over its
+whole host: one that pages of two or more distinct contents (streams) have is
+repeated. Tokens of repeated runs are boilerplate, the rest are the page's
+unique runs. A block with ``COVERED`` or more of its words covered goes.
 
 A structural check follows, since repetition alone cannot tell a menu that is
 used once from an article that is quoted twice: text inside a declared
@@ -15,37 +16,43 @@ headers, footers, sidebars, notices, adverts, forms and comments (by tag, role
 or class name) goes even if it does not. Where a page declares its main part,
 nothing outside of it is kept.
 
-Scale: a host's pages are dealt by a hash of the page to groups of about
-``group_bytes``, so a task holds one group at a time however many pages a host
-has, and the pages are shuffled once. Text that a template repeats shows in
-every group of its host; a run that only pages of different groups share is
-not seen, which can only matter for text outside any declared part. Lists of
-hosts that need more than one group are all that is joined with the pages.
+Scale: a group is about ``group_bytes`` of neighbouring rows of the stored
+table, of whatever hosts, so it stays small whatever ids, URLs or hosts its
+rows share, and its size does not alter the result. A group sends every
+different run once, as a hash of host and words, to the bucket of that hash; the
+bucket answers with the group's repeated ones. Buckets hold about
+``BUCKET_BYTES`` of html each. A hash has 48 bits beside those of the bucket, so
+a run is taken for another one with a chance of about 2e-8. The table is read
+twice, and the pages are shuffled once, packed by group.
 
 Defined cases: null or empty html has empty text and no characters; a null URL
 counts as host ``''``; pages that repeat (equal rows, or copies under other
-ids) cover each other, and only the check keeps their declared articles; cut-off
-pages end where they end; unclosed comments, scripts and tags run to the end of
+ids) count as one and do not cover each other; cut-off pages end where they end; unclosed comments, scripts and tags run to the end of
 the page; other columns are not read.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwise.llm.common import stored
+from tickwise.llm.common import row_number
+from tickwise.llm.textbytes import gram_hashes, hash_runs, mix
 from tickwise.llm.url_filter import host_of
 
 MIN_RUN = 8
 COVERED = 0.8
-GROUP_BYTES = 1 << 20
+GROUP_BYTES = 4 << 20
+BUCKET_BYTES = 16 << 20
+KEY_BYTES = 6  # of a run's hash, beside its bucket
 PAGE_COST = 256  # bytes that a page counts beside its html
 
 # Elements whose text is never content.
@@ -204,12 +211,9 @@ def read_page(page: str) -> tuple[list[Block], list]:
     return blocks, stream
 
 
-def repeated(tokens: np.ndarray, page_of: np.ndarray, run: int = MIN_RUN) -> np.ndarray:
-    """Which tokens lie in a substring of ``run`` tokens that starts on two
-    distinct pages. Tokens are numbers; each page ends with a number of its own."""
+def run_ranks(tokens: np.ndarray, run: int) -> np.ndarray:
+    """Rank of each suffix by its first ``run`` tokens, by prefix doubling."""
     n = len(tokens)
-    if n == 0:
-        return np.zeros(0, dtype=bool)
     rank, have = np.unique(tokens, return_inverse=True)[1], 1
     while have < run:  # rank of the first ``have`` tokens -> of twice as many
         step = min(have, run - have)
@@ -217,48 +221,141 @@ def repeated(tokens: np.ndarray, page_of: np.ndarray, run: int = MIN_RUN) -> np.
         after[:-step] = rank[step:] + 1 if n > step else 0
         _, rank = np.unique(rank * (int(after.max()) + 1) + after, return_inverse=True)
         have += step
+    return rank
+
+
+def cover_of(starts: np.ndarray, run: int) -> np.ndarray:
+    """Which tokens lie in a run that begins where ``starts`` says."""
+    cover = np.zeros(len(starts) + run + 1, dtype=np.int32)
+    at = np.flatnonzero(starts)
+    np.add.at(cover, at, 1)
+    np.add.at(cover, at + run, -1)
+    return np.cumsum(cover)[: len(starts)] > 0
+
+
+def repeated(tokens: np.ndarray, page_of: np.ndarray, run: int = MIN_RUN) -> np.ndarray:
+    """Which tokens lie in a substring of ``run`` tokens that starts on two
+    distinct pages. Tokens are numbers; each page ends with a number of its own."""
+    if len(tokens) == 0:
+        return np.zeros(0, dtype=bool)
+    rank = run_ranks(tokens, run)
     # the suffix array by this prefix: equal ranks are neighbours
     order = np.argsort(rank, kind="stable")
     heads = np.flatnonzero(np.diff(rank[order], prepend=-1))
     first, last = np.minimum.reduceat(page_of[order], heads), np.maximum.reduceat(page_of[order], heads)
-    starts = (first != last)[rank]
-    cover = np.zeros(n + run + 1, dtype=np.int32)
-    at = np.flatnonzero(starts)
-    np.add.at(cover, at, 1)
-    np.add.at(cover, at + run, -1)
-    return np.cumsum(cover)[:n] > 0
+    return cover_of((first != last)[rank], run)
+
+
+class Group:
+    """The streams of a group of pages, end to end, as numbers."""
+
+    def __init__(self, streams: list[list]):
+        numbers: dict[str, int] = {}
+        tokens: list[int] = []
+        block: list[int] = []  # block of each token, -1 for tags
+        self.n_blocks = 0
+        self.per_page: list[int] = []
+        self.sizes: list[int] = []  # tokens of each page, with the one that ends it
+        contents: list[int] = []
+        for p, stream in enumerate(streams):
+            begin, first = len(tokens), self.n_blocks
+            digest = hashlib.blake2b(digest_size=8)
+            for item in stream:
+                if isinstance(item, list):
+                    tokens += [numbers.setdefault(w, len(numbers)) for w in item]
+                    block += [self.n_blocks] * len(item)
+                    self.n_blocks += 1
+                    digest.update(" ".join(item).encode("utf-8", "surrogatepass"))
+                else:
+                    tokens.append(numbers.setdefault("<" + item, len(numbers)))
+                    block.append(-1)
+                    digest.update(f" <{item} ".encode("utf-8", "surrogatepass"))
+            tokens.append(-1 - p)  # ends the page; turned into a number of its own
+            block.append(-1)
+            self.sizes.append(len(tokens) - begin)
+            self.per_page.append(self.n_blocks - first)
+            contents.append(int.from_bytes(digest.digest(), "little"))
+        self.words = list(numbers)
+        self.tokens = np.array(tokens, dtype=np.int64)
+        self.tokens[self.tokens < 0] = len(numbers) - 1 - self.tokens[self.tokens < 0]
+        self.block = np.array(block, dtype=np.int64)
+        self.contents = np.array(contents, dtype=np.uint64)  # equal for pages of equal streams
+
+    def of_tokens(self, of_pages: np.ndarray) -> np.ndarray:
+        return np.repeat(of_pages, self.sizes)
+
+    def shares(self, cover: np.ndarray) -> list[np.ndarray]:
+        """For each page: share of each block's words that is covered."""
+        if not self.per_page:
+            return []
+        words = self.block >= 0
+        total = np.bincount(self.block[words], minlength=self.n_blocks)
+        share = np.bincount(self.block[words], weights=cover[words], minlength=self.n_blocks) / np.maximum(total, 1)
+        return np.split(share, np.cumsum(self.per_page)[:-1])
+
+    def keys(self, hosts: np.ndarray, run: int) -> tuple[np.ndarray, np.ndarray]:
+        """Positions of runs that hold a word and end within their page, and a
+        hash of host and run for each."""
+        n = len(self.tokens) - run + 1
+        if n <= 0:
+            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
+        raw = [w.encode("utf-8", "surrogatepass") for w in self.words]
+        ends = np.cumsum([len(x) for x in raw], dtype=np.int64)
+        starts = np.concatenate([np.zeros(1, dtype=np.int64), ends[:-1]])
+        of_word = hash_runs(np.frombuffer(b"".join(raw), dtype=np.uint8), starts, ends)
+        of_token = np.concatenate([of_word, np.zeros(len(self.sizes), dtype=np.uint64)])[self.tokens]
+        page_end = self.of_tokens(np.cumsum(self.sizes) - 1)  # where its last token stands
+        before = np.concatenate([[0], np.cumsum(self.block >= 0)])
+        at = np.arange(n)
+        at = at[(at + run <= page_end[:n]) & (before[run:] > before[:-run])]
+        return at, mix(gram_hashes(of_token, run)[at] ^ self.of_tokens(hosts)[at])
 
 
 def covered_blocks(streams: list[list], run: int = MIN_RUN) -> list[np.ndarray]:
-    """For the pages of a group: share of each block's words that is covered."""
-    numbers: dict[str, int] = {}
-    tokens: list[int] = []
-    page_of: list[int] = []
-    word_block: list[int] = []  # block of each token, -1 for tags
-    n_blocks = 0
-    per_page: list[int] = []
-    for p, stream in enumerate(streams):
-        begin, first = len(tokens), n_blocks
-        for item in stream:
-            if isinstance(item, list):
-                tokens += [numbers.setdefault(w, len(numbers)) for w in item]
-                word_block += [n_blocks] * len(item)
-                n_blocks += 1
-            else:
-                tokens.append(numbers.setdefault("<" + item, len(numbers)))
-                word_block.append(-1)
-        tokens.append(-1 - p)  # ends the page; turned into a number of its own
-        word_block.append(-1)
-        page_of += [p] * (len(tokens) - begin)
-        per_page.append(n_blocks - first)
-    values = np.array(tokens, dtype=np.int64)
-    values[values < 0] = len(numbers) - 1 - values[values < 0]
-    cover = repeated(values, np.array(page_of, dtype=np.int64), run)
-    of = np.array(word_block, dtype=np.int64)
-    words = of >= 0
-    total = np.bincount(of[words], minlength=n_blocks)
-    share = np.bincount(of[words], weights=cover[words], minlength=n_blocks) / np.maximum(total, 1)
-    return np.split(share, np.cumsum(per_page)[:-1]) if per_page else []
+    """For pages of one host: share of each block's words that is covered."""
+    group = Group(streams)
+    distinct = np.unique(group.contents, return_inverse=True)[1]
+    return group.shares(repeated(group.tokens, group.of_tokens(distinct), run))
+
+
+def pack_keys(keys: np.ndarray) -> bytes:
+    low = keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]
+    return pa.compress(np.ascontiguousarray(low.T), codec="zstd", asbytes=True)  # byte by byte
+
+
+def unpack_keys(packed: bytes, n: int) -> np.ndarray:
+    out = np.zeros((n, 8), dtype=np.uint8)
+    raw = pa.decompress(packed, n * KEY_BYTES, codec="zstd", asbytes=True)
+    out[:, :KEY_BYTES] = np.frombuffer(raw, dtype=np.uint8).reshape(KEY_BYTES, n).T
+    return out.view("<u8").ravel()
+
+
+def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    return ((keys >> np.uint64(8 * KEY_BYTES)) % np.uint64(buckets)).astype(np.int64)
+
+
+def groups_of(batches: Iterator[pa.RecordBatch], group_bytes: int) -> Iterator[pa.Table]:
+    """Neighbouring rows of about ``group_bytes`` together, whatever the batches."""
+    parts: list[pa.RecordBatch] = []
+    held = 0
+    for batch in batches:
+        html = batch.column("html")
+        first = 0
+        for i in range(batch.num_rows):
+            held += PAGE_COST + (len(html[i].as_buffer()) if html[i].is_valid else 0)
+            if held >= group_bytes:
+                yield pa.Table.from_batches([*parts, batch.slice(first, i + 1 - first)])
+                parts, held, first = [], 0, i + 1
+        if first < batch.num_rows:
+            parts.append(batch.slice(first))
+    if parts:
+        yield pa.Table.from_batches(parts)
+
+
+def read_group(pages: pa.Table) -> tuple[list[list[Block]], Group, np.ndarray]:
+    read = [read_page(x or "") for x in pages.column("html").to_pylist()]
+    hosts = pages.column("host").to_numpy().astype(np.int64).view(np.uint64)
+    return [blocks for blocks, _ in read], Group([stream for _, stream in read]), hosts
 
 
 def main_text(blocks: list[Block], share: np.ndarray) -> tuple[str, int, int]:
@@ -289,37 +386,123 @@ def extract(
     """One row per page: ``<id_col>, <url_col>, text``, and the numbers of
     blocks that repetition covered (``n_covered``) and that the check kept all
     the same (``n_restored``)."""
+    # read twice: what tells a group must be the same in both
     rows = pages.select(
-        F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host_of(F.col(url_col)).alias("host")
-    )
-    sizes = rows.groupBy("host").agg(F.sum(F.coalesce(F.octet_length("html"), F.lit(0)) + PAGE_COST).alias("bytes"))
-    large = sizes.where(F.col("bytes") > group_bytes).select(
-        "host", F.ceil(F.col("bytes") / group_bytes).cast("int").alias("groups")
+        F.col(id_col).alias("id"),
+        F.col(url_col).alias("url"),
+        F.col(html_col).alias("html"),
+        F.xxhash64(host_of(F.col(url_col))).alias("host"),
+        row_number(pages).alias("row"),
     )
-    # stored, its size is known when the join is planned: pages are then not
-    # dealt by host, unless there are very many large hosts
-    large = stored(large, "large-hosts")
-    part = F.pmod(F.xxhash64("id", "url"), F.coalesce("groups", F.lit(1))).cast("int")
-    # one column names the group: dealt by host and part, Spark would be content
-    # with pages that a join has dealt by host, and a hot host were one task
-    group = F.concat_ws("#", part.cast("string"), "host").alias("group")
-    dealt = rows.join(large, "host", "left").select("id", "url", "html", group)
+    total = pages.agg(F.sum(F.coalesce(F.octet_length(html_col), F.lit(0)) + PAGE_COST)).first()[0] or 0
+    buckets = min(-(-total // BUCKET_BYTES) or 1, 1 << 16)
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A group's different runs, by bucket; those of one page content lie together."""
+        for pages in groups_of(batches, group_bytes):
+            _, group, hosts = read_group(pages)
+            at, keys = group.keys(hosts, run)
+            if not len(at):
+                continue
+            # one of each run, host and content
+            rank = run_ranks(group.tokens, run)[at]
+            content = group.of_tokens(group.contents)[at]
+            order = np.lexsort((keys, rank, content))
+            new = np.ones(len(order), dtype=bool)
+            new[1:] = (np.diff(rank[order]) != 0) | (keys[order][1:] != keys[order][:-1]) | (content[order][1:] != content[order][:-1])
+            keys, content = keys[order][new], content[order][new]
+            # two contents tell a repeat, more of them tell no more
+            order = np.lexsort((content, keys))
+            same = np.zeros(len(order), dtype=np.int64)
+            same[1:] = keys[order][1:] == keys[order][:-1]
+            place = np.arange(len(order)) - np.maximum.accumulate(np.where(same == 0, np.arange(len(order)), 0))
+            keys, content = keys[order][place < 2], content[order][place < 2]
+            bucket = bucket_of(keys, buckets)
+            low = keys & np.uint64((1 << 8 * KEY_BYTES) - 1)
+            order = np.lexsort((low, content, bucket))
+            keys, content, bucket = low[order], content[order], bucket[order]
+            name = pages.column("row")[0].as_py()
+            cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
+            for a, b in zip(cuts, [*cuts[1:], len(keys)], strict=True):
+                heads = np.flatnonzero(np.concatenate([[True], content[a + 1 : b] != content[a : b - 1]]))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([int(bucket[a])], type=pa.int32()),
+                        pa.array([name], type=pa.int64()),
+                        pa.array([content[a:b][heads].view(np.int64)], type=pa.list_(pa.int64())),
+                        pa.array([np.diff(heads, append=b - a)], type=pa.list_(pa.int32())),
+                        pa.array([pack_keys(keys[a:b])], type=pa.binary()),
+                    ],
+                    names=["bucket", "group", "contents", "counts", "keys"],
+                )
+
+    def answers(sent: pa.Table) -> pa.Table:
+        """The runs of a bucket that two contents have, for each group that sent them."""
+        keys, content = [], []
+        for contents, counts, packed in zip(*(sent.column(c).to_pylist() for c in ("contents", "counts", "keys")), strict=True):
+            keys.append(unpack_keys(packed, sum(counts)))
+            content.append(np.repeat(np.array(contents, dtype=np.int64), counts))
+        sizes = [len(k) for k in keys]
+        all_keys, all_contents = np.concatenate(keys), np.concatenate(content)
+        order = np.argsort(all_keys, kind="stable")
+        heads = np.flatnonzero(np.concatenate([[True], all_keys[order][1:] != all_keys[order][:-1]]))
+        ordered = all_contents[order]
+        many = np.minimum.reduceat(ordered, heads) != np.maximum.reduceat(ordered, heads)
+        found = np.zeros(len(all_keys), dtype=bool)
+        found[order] = np.repeat(many, np.diff(heads, append=len(order)))
+        cuts = np.cumsum(sizes)[:-1]
+        hits = [np.unique(k[f]) for k, f in zip(keys, np.split(found, cuts), strict=True)]
+        some = [i for i, h in enumerate(hits) if len(h)]
+        return pa.table(
+            {
+                "group": sent.column("group").take(pa.array(some, type=pa.int64())),
+                "bucket": sent.column("bucket").take(pa.array(some, type=pa.int64())),
+                "n": pa.array([len(hits[i]) for i in some], type=pa.int32()),
+                "keys": pa.array([pack_keys(hits[i]) for i in some], type=pa.binary()),
+            }
+        )
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for pages in groups_of(batches, group_bytes):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, pages.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_table(pages.combine_chunks())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([pages.column("row")[0].as_py()], type=pa.int64()),
+                    pa.array([sink.getvalue().to_pybytes()], type=pa.binary()),
+                ],
+                names=["group", "pages"],
+            )
+
     id_type = rows.schema["id"].dataType.simpleString()
     schema = f"id {id_type}, url string, text string, n_covered int, n_restored int"
 
-    def task(group: pa.Table) -> pa.Table:
-        read = [read_page(x or "") for x in group.column("html").to_pylist()]
-        shares = covered_blocks([stream for _, stream in read], run)
-        out = [main_text(blocks, share) for (blocks, _), share in zip(read, shares, strict=True)]
+    def task(held: pa.Table, hits: pa.Table) -> pa.Table:
+        pages = pa.ipc.open_stream(held.column("pages")[0].as_buffer()).read_all()
+        blocks, group, hosts = read_group(pages)
+        at, keys = group.keys(hosts, run)
+        starts = np.zeros(len(group.tokens), dtype=bool)
+        bucket, low = bucket_of(keys, buckets), keys & np.uint64((1 << 8 * KEY_BYTES) - 1)
+        by_bucket = np.argsort(bucket, kind="stable")
+        bounds = np.searchsorted(bucket[by_bucket], np.arange(buckets + 1))
+        for b, n, packed in zip(*(hits.column(c).to_pylist() for c in ("bucket", "n", "keys")), strict=True):
+            mine = by_bucket[bounds[b] : bounds[b + 1]]
+            starts[at[mine]] = np.isin(low[mine], unpack_keys(packed, n))
+        shares = group.shares(cover_of(starts, run))
+        out = [main_text(b, share) for b, share in zip(blocks, shares, strict=True)]
         return pa.table(
             {
-                "id": group.column("id"),
-                "url": group.column("url"),
+                "id": pages.column("id"),
+                "url": pages.column("url"),
                 "text": pa.array([t for t, _, _ in out], type=pa.string()),
                 "n_covered": pa.array([c for _, c, _ in out], type=pa.int32()),
                 "n_restored": pa.array([r for _, _, r in out], type=pa.int32()),
             }
         )
 
-    found = dealt.groupBy("group").applyInArrow(task, schema)
+    sent = rows.mapInArrow(runs, "bucket int, group bigint, contents array<bigint>, counts array<int>, keys binary")
+    hits = sent.groupBy("bucket").applyInArrow(answers, "group bigint, bucket int, n int, keys binary")
+    held = rows.mapInArrow(packed, "group bigint, pages binary")
+    found = held.groupBy("group").cogroup(hits.groupBy("group")).applyInArrow(task, schema)
     return found.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", "n_covered", "n_restored")
