@@ -115,3 +115,23 @@ def test_repeats_are_those_of_the_whole_host_whatever_the_groups(spark):
     for group_bytes in (1, 3000, 4 << 20):
         got = extract(pages, group_bytes=group_bytes).collect()
         assert {(r.page_id, r.text, r.n_covered) for r in got} == want and len(got) == 60
+
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ('<div class="page has-sidebar"><article><p>a</p></article></div>', "a"),
+        ('<div class="sidebar"><article><p>a</p><div class="ad">buy</div></article></div>', "a"),
+        ('<form id="aspnetForm"><div>menu</div><article><p>a</p><form><p>mail</p></form></article></form>', "a"),
+        ('<article><div class="article-header"><h1>a</h1></div><section id="related-work"><p>b</p></section></article>', "a\nb"),
+        ('<article><p class="social-policy">a</p><div class="header"><h2>b</h2></div></article>', "a\nb"),
+        ('<article><p>a</p><section id="comments"><article>first</article></section></article>', "a"),
+        ('<article><p>a</p></article><div class="comment-list"><article>first</article></div>', "a"),
+        ('<div class="widget"><article><p>a</p></article><div class="comments"><article>first</article></div></div>', "a"),
+        ('<aside><article>teaser</article></aside><p>a</p>', "a"),
+        ('<article><p>a</p><div class="cookie-banner">b</div><div id="site-footer2">c</div><p class="ad-300x250">d</p></article>', "a"),
+    ],
+)
+def test_containers_of_declared_parts(page, text):
+    assert text_of(page) == text

@@ -13,8 +13,12 @@ A structural check follows, since repetition alone cannot tell a menu that is
 used once from an article that is quoted twice: text inside a declared
 ``article`` or ``main`` stays even if it repeats, and text inside menus,
 headers, footers, sidebars, notices, adverts, forms and comments (by tag, role
-or class name) goes even if it does not. Where a page declares its main part,
-nothing outside of it is kept.
+or class name) goes even if it does not. The innermost of these elements
+decides: an ``article`` in a container that is boilerplate by its class, id or
+as a form is declared all the same, but on each page only the declared parts
+within the fewest such containers count, so comments and teasers that are
+articles of their own do not. Where a page declares its main part, nothing
+outside of it is kept.
 
 Scale: a group is about ``group_bytes`` of neighbouring rows of the stored
 table, of whatever hosts, so it stays small whatever ids, URLs or hosts its
@@ -76,7 +80,13 @@ BOILERPLATE_NAMES = frozenset(
 )
 _TOKEN = re.compile(r"<!--|<!\[CDATA\[|<(/?)([a-zA-Z][^\s/>]*)|<[!?]")
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.IGNORECASE)
-_NAME = re.compile(r"[a-z]+")
+# Words that may stand beside them in one class name or id, as in "site-footer".
+NEUTRAL_NAMES = frozenset(
+    "area articles bar block bottom box button buttons container form global icons inner left link links list main"
+    " outer posts primary right secondary section site top unit wrap wrapper".split()
+)
+HEADER_NAMES = frozenset("header masthead".split())
+_NAME_CUT = re.compile(r"[^a-z0-9]+")
 _TAG_END = re.compile(r""">|"[^"]*"|'[^']*'""")
 
 
@@ -100,21 +110,40 @@ def _tag_end(page: str, at: int) -> int:
     return close
 
 
-def _boilerplate(tag: str, attributes: str, inside_main: bool) -> bool:
+def _marks(value: str, inside_main: bool) -> bool:
+    """Whether a class name or id consists of words that mark boilerplate."""
+    for name in value.split():
+        words = {w.rstrip("0123456789") for w in _NAME_CUT.split(name) if w and not w[0].isdigit()}
+        marks = words & BOILERPLATE_NAMES
+        if inside_main:  # an article's own header
+            marks -= HEADER_NAMES
+        if marks and words - marks <= NEUTRAL_NAMES:
+            return True
+    return False
+
+
+def _boilerplate(tag: str, attributes: str, inside_main: bool) -> str | None:
+    """``sealed`` for a part whose articles do not count either, ``boilerplate``
+    for one that may hold the declared part, else None."""
+    if tag == "form":
+        return "boilerplate"
     if tag in BOILERPLATE or (tag == "header" and not inside_main):
-        return True
+        return "sealed"
     if not attributes or tag in ("html", "body", *MAIN):
-        return False
+        return None
+    kind = None
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "role":
             if value in BOILERPLATE_ROLES:
-                return True
+                if value != "form":
+                    return "sealed"
+                kind = "boilerplate"
         elif name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
-        elif name in ("class", "id") and not BOILERPLATE_NAMES.isdisjoint(_NAME.findall(value)):
-            return True
-    return False
+            return "sealed"
+        elif name in ("class", "id") and _marks(value, inside_main):
+            kind = "boilerplate"
+    return kind
 
 
 def read_page(page: str) -> tuple[list[Block], list]:
@@ -122,9 +151,11 @@ def read_page(page: str) -> tuple[list[Block], list]:
     number) wherever a block's words stand."""
     blocks: list[Block] = []
     stream: list = []
-    open_: list[tuple[str, str | None]] = []  # element, what it opens: main, boilerplate, hidden
+    open_: list[tuple[str, str | None]] = []  # element, what it opens: main, boilerplate, sealed, hidden
+    zones: list[str] = []  # what is open but for hidden, in order
+    levels: list[int] = []  # boilerplate containers around each block of a declared part, else -1
     n_open: Counter[str] = Counter()
-    depth = {"main": 0, "boilerplate": 0, "hidden": 0}
+    depth = {"main": 0, "boilerplate": 0, "sealed": 0, "hidden": 0}
     parts: list[str] = []
 
     def close_block() -> None:
@@ -132,8 +163,9 @@ def read_page(page: str) -> tuple[list[Block], list]:
             words = entities.unescape("".join(parts)).split()
             parts.clear()
             if words:
-                zone = "boilerplate" if depth["boilerplate"] else "main" if depth["main"] else "open"
+                zone = "open" if not zones else "main" if zones[-1] == "main" and not depth["sealed"] else "boilerplate"
                 blocks.append(Block(" ".join(words), zone))
+                levels.append(depth["boilerplate"] if zone == "main" else -1)
                 stream.append(words)
 
     at, n = 0, len(page)
@@ -164,7 +196,7 @@ def read_page(page: str) -> tuple[list[Block], list]:
             if tag == "br":
                 parts.append(" ")
             if m[1] or not _boilerplate(tag, attributes, depth["main"] > 0):
-                if not m[1] or not open_ or open_[-1] != (tag, "boilerplate"):
+                if not m[1] or not open_ or open_[-1] not in ((tag, "boilerplate"), (tag, "sealed")):
                     continue
         close_block()
         if m[1]:
@@ -176,6 +208,8 @@ def read_page(page: str) -> tuple[list[Block], list]:
                     n_open[name] -= 1
                     if what:
                         depth[what] -= 1
+                        if what != "hidden":
+                            zones.pop()
             continue
         stream.append(tag)
         if tag in VOID or attributes.endswith("/"):
@@ -192,22 +226,27 @@ def read_page(page: str) -> tuple[list[Block], list]:
             if tag in HIDDEN
             else "main"
             if tag in MAIN or 'role="main"' in attributes
-            else "boilerplate"
-            if _boilerplate(tag, attributes, depth["main"] > 0)
-            else None
+            else _boilerplate(tag, attributes, depth["main"] > 0)
         )
         if tag == "body":  # an unclosed head ends here
             for _, kind in open_:
                 if kind:
                     depth[kind] -= 1
             open_.clear()
+            zones.clear()
             n_open.clear()
         open_.append((tag, what))
         n_open[tag] += 1
         if what:
             depth[what] += 1
+            if what != "hidden":
+                zones.append(what)
     if not depth["hidden"]:
         close_block()
+    least = min((x for x in levels if x >= 0), default=0)
+    for block, level in zip(blocks, levels, strict=True):
+        if level > least:
+            block.zone = "boilerplate"
     return blocks, stream
 
 
