@@ -97,3 +97,29 @@ def test_tables(spark):
     assert out[at].text == "<EMAIL> <IP> and <EMAIL>" and out[at].n_chars == len(out[at].text)
     assert out[0].text is None and out[None].text == "<EMAIL>" and out[at]["a.b"] == "x"
     assert find_personal(docs_of(spark, [])).count() == 0 and mask_personal(docs_of(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize(
+    ("text", "masked"),
+    [
+        ("write john dot smith at example dot com now", "write <EMAIL> now"),
+        ("john dot q dot smith [at] mail dot example dot com!", "<EMAIL>!"),
+        ("jo at my-big-site dot org", "<EMAIL>"),
+        ("jo at mail.example dot com", "<EMAIL>"),
+        ("card 4111 1111 1111 111 one.", "card <CARD>."),
+        ("card four 111 1111 1111 1111.", "card <CARD>."),
+        ("call +1 555 010 77 one three", "call <PHONE>"),
+        ("call +1 555 010 779 one", "call <PHONE> one"),
+        ("host 10 dot 0 dot 0 dot one", "host <IP>"),
+        ("card 4111 1111 1111 1111 two days", "card <CARD> two days"),
+        ("4111 1111 1111 112 one", "4111 1111 1111 112 one"),
+        ("we met at noon dot three 3 one", "we met at noon dot three 3 one"),
+    ],
+)
+def test_common_disguises_are_masked(text, masked):
+    assert mask(text) == masked
+
+
+def test_long_disguises_take_linear_time():
+    for text in ("jo dot " * 30_000, "a at b-" * 20_000, "at-" * 30_000, "1 one " * 30_000, "x@ dot y " * 20_000):
+        added_spans(text, plain_spans(text))

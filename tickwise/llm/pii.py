@@ -19,6 +19,7 @@ each on its own; null ids are kept; other columns are not read.
 from __future__ import annotations
 
 import re
+import sys
 import unicodedata
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -153,19 +154,30 @@ _BOXED = re.compile(
 # Spoken signs between words: both must be there, "at" alone is plain prose.
 _BETWEEN = r"(?:\s{1,3}|[-_])"
 _SPOKEN = re.compile(
-    rf"(?<=[A-Za-z0-9_%+-]){_BETWEEN}(?:{_AT}){_BETWEEN}(?=[A-Za-z0-9]+(?:-[A-Za-z0-9]+)?{_BETWEEN}(?:{_DOT}){_BETWEEN}[A-Za-z])",
+    rf"(?<=[A-Za-z0-9_%+-]){_BETWEEN}(?:{_AT}){_BETWEEN}(?=[A-Za-z0-9]+(?:[.-][A-Za-z0-9]+){{0,126}}?{_BETWEEN}(?:{_DOT}){_BETWEEN}[A-Za-z])",
     re.IGNORECASE,
 )
 # A word of a domain up to a spoken dot.
 _DOMAIN_WORD = re.compile(
     rf"[A-Za-z0-9]+(?:[.-][A-Za-z0-9]+)*?({_BETWEEN}(?:{_DOT}){_BETWEEN})(?=[A-Za-z0-9])", re.IGNORECASE
 )
+# A spoken dot between a word and the local part that ends the text.
+_LOCAL_DOT = re.compile(rf"(?<=[A-Za-z0-9])({_BETWEEN}(?:{_DOT}){_BETWEEN})$", re.IGNORECASE)
+_LOCAL_DOT_ONLY = re.compile(rf"(?<=[A-Za-z0-9])({_BETWEEN}dot{_BETWEEN})$", re.IGNORECASE)
+# Number words beside digits, too few for the pattern above.
+_GAP = r"[\s-]{1,3}"
+_LOOSE = re.compile(
+    rf"(?<=[0-9])(?:{_GAP}(?:(?:{_DOT}){_GAP})?(?:{_NUMBER})\b)+|\b(?:(?:{_NUMBER}){_GAP})+(?=[0-9])", re.IGNORECASE
+)
+_NUMBER_WORD = re.compile(rf"\b(?:{_NUMBER})\b", re.IGNORECASE)
 _NUMBER_DOT = re.compile(rf"(?<=[0-9])\s{{1,3}}(?:{_DOT})\s{{1,3}}(?=[0-9])", re.IGNORECASE)
 _ENTITY = re.compile(r"&(?:(#0*64|#x0*40|commat)|#0*46|#x0*2e|period);", re.IGNORECASE)
 _HINT = re.compile(
     rf"[\[({{<]\s?(?:{_AT}|{_DOT}|@|\.)\s?[\])}}>]|(?:\b|_)(?:{_DOT}|arroba)(?:\b|_)|&(?:#0*64|#0*46|#x0*40|#x0*2e|commat|period);",
     re.IGNORECASE,
 )
+
+
 class Rewritten:
     """A text and, for each of its characters, the source span behind it."""
 
@@ -203,18 +215,40 @@ def _spell(m: re.Match) -> str:
     return "".join(out)
 
 
-def rewrite(text: str) -> Rewritten:
-    """The text without disguises."""
+def _local_dots(text: str, start: int, sign: int, spoken: bool) -> list[tuple[int, int, str]]:
+    """Spoken dots in the local part of a sign, not before ``start``."""
+    edits = []
+    at = sign
+    while True:
+        word = at
+        while word > start and text[word - 1] in _LOCAL:
+            word -= 1
+        # a sign of disguise has at most 12 characters and one before it
+        from_ = max(start, word - 14)
+        dot = (_LOCAL_DOT if spoken else _LOCAL_DOT_ONLY).search(text[from_:word]) if word < at else None
+        if not dot:
+            return edits[::-1]
+        at = from_ + dot.start(1)
+        edits.append((at, word, "."))
+
+
+def rewrite(text: str, loose: bool = False) -> Rewritten:
+    """The text without disguises; with ``loose`` also one or two number words
+    beside digits are digits."""
     r = Rewritten(text)
     r.replace([(m.start(), m.end(), new) for m in _ODD.finditer(text) if (new := plain_character(m[0])) != m[0]])
     r.replace([(m.start(), m.end(), "@" if m[1] else ".") for m in _ENTITY.finditer(r.text)])
     r.replace([(m.start(), m.end(), _spell(m)) for m in _SPELLED.finditer(r.text)])
+    if loose:
+        r.replace([(m.start(), m.end(), _spell(m)) for m in _LOOSE.finditer(r.text)])
     r.replace([(m.start(), m.end(), ".") for m in _NUMBER_DOT.finditer(r.text)])
     r.replace([(m.start(), m.end(), "@" if re.search(rf"{_AT}|@", m[0], re.IGNORECASE) else ".") for m in _BOXED.finditer(r.text)])
     r.replace([(m.start(), m.end(), "@") for m in _SPOKEN.finditer(r.text)])
     if "@" in r.text:
         edits, at = [], 0
         for sign in re.finditer("@", r.text):
+            a, b = r.span(*sign.span())
+            edits += _local_dots(r.text, at, sign.start(), b - a > 1)
             at = max(at, sign.end())
             while dot := _DOMAIN_WORD.match(r.text, at):
                 edits.append((*dot.span(1), "."))
@@ -226,7 +260,7 @@ def rewrite(text: str) -> Rewritten:
 def _disguised(text: str) -> bool:
     if not text.isascii() and _ODD.search(text):
         return True
-    return bool(_HINT.search(text) or _SPELLED.search(text))
+    return bool(_HINT.search(text) or _SPELLED.search(text) or _LOOSE.search(text))
 
 
 def added_spans(text: str, plain: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
@@ -235,6 +269,18 @@ def added_spans(text: str, plain: list[tuple[int, int, int]]) -> list[tuple[int,
     if not _disguised(text):
         return []
     r = rewrite(text)
+    out = _found(r, plain)
+    if _LOOSE.search(r.text):
+        # a number that is whole without one more word beside it stays as it is
+        whole = sorted(plain + out)
+        for a, k, b in _found(rewrite(text, loose=True), whole):
+            inside = [(x, y) for x, kk, y in whole if kk == k and x < b and a < y]
+            if not inside or (k != 2 and len(_NUMBER_WORD.findall(text[a:b])) > 1):
+                out = [s for s in out if s[1] != k or s[0] < a or s[2] > b] + [(a, k, b)]
+    return sorted(out)
+
+
+def _found(r: Rewritten, plain: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     if r.spans is None:
         return []
     out = []
@@ -244,7 +290,7 @@ def added_spans(text: str, plain: list[tuple[int, int, int]]) -> list[tuple[int,
             if k == 0 and not re.search(r"\.[A-Za-z]{2,24}$", r.text[start:end]):
                 continue
             a, b = r.span(start, end)
-            near = bisect_right(own, (a, len(text) + 1)) - 1  # the last that starts at a or before
+            near = bisect_right(own, (a, sys.maxsize)) - 1  # the last that starts at a or before
             if near < 0 or own[near][1] < b:
                 out.append((a, k, b))
     return sorted(out)
