@@ -85,3 +85,12 @@ def test_without_a_class_nothing_is_toxic(spark):
         assert model is None and not any(r.toxic for r in score(docs, model).collect())
     assert score(docs_of(spark, []), None).count() == 0
     assert isinstance(train(docs, spark.createDataFrame([(0, 1, 1), (1, 1, 0)], LABELS)), OrdinalModel)
+
+
+def test_an_id_trains_with_one_document_however_many_carry_it(spark):
+    rows, labels = corpus(400, 3)
+    known = spark.createDataFrame(labels, LABELS)
+    once = train(docs_of(spark, rows), known)
+    copies = train(docs_of(spark, rows + [rows[0]] * 3000 + [rows[1]] * 500), known)
+    assert np.allclose(once.thresholds, copies.thresholds, atol=1e-4)
+    assert np.allclose(once.weights, copies.weights, atol=1e-4)

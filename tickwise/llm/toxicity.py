@@ -15,7 +15,7 @@ sample have. Every document is then scored on its whole text by a projection.
 Defined cases: a null or empty text has no features and gets the severity of
 the thresholds alone; labels with a null id or grade are not used, an id that is
 labelled twice has its highest grade, an id that several documents carry
-trains with each; repeated rows are scored each on its own; without toxic or
+trains with one of them, the text that hashes lowest; repeated rows are scored each on its own; without toxic or
 without clean labels nothing is toxic; other columns are not read.
 """
 
@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickwise.llm.common import row_number
 from tickwise.llm.textbytes import hash_runs, pieces_of, words_of
 
 FEATURE_BITS = 18
@@ -159,7 +160,15 @@ def train(
     by_hash = known.orderBy(F.xxhash64("id"), "id")
     chosen = by_hash.where("label > 0").limit(max_toxic).union(by_hash.where("label = 0").limit(max_clean))
     # at most max_toxic + max_clean ids: a bounded table
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).join(F.broadcast(chosen), "id")
+    numbered = docs.select(row_number(docs).alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("t"))
+    # one document an id, however many carry it: numbers only, collapsed before the shuffle
+    one = (
+        numbered.select("row", "id", F.xxhash64("t").alias("hash"))
+        .join(F.broadcast(chosen), "id")
+        .groupBy("id")
+        .agg(F.min_by("row", "hash").alias("row"), F.max("label").alias("label"))
+    )
+    texts = numbered.select("row", "t").join(F.broadcast(one.select("row", "label")), "row")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -174,7 +183,7 @@ def train(
                     names=["label", "features"],
                 )
 
-    rows = texts.select("id", "t", "label").mapInArrow(task, "label int, features array<int>").toArrow()
+    rows = texts.select("row", "t", "label").mapInArrow(task, "label int, features array<int>").toArrow()
     label = np.asarray(rows["label"].to_numpy(), dtype=np.int64)
     if not len(label) or not (label > 0).any() or not (label == 0).any():
         return None
