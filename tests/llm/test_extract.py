@@ -135,3 +135,13 @@ def test_repeats_are_those_of_the_whole_host_whatever_the_groups(spark):
 )
 def test_containers_of_declared_parts(page, text):
     assert text_of(page) == text
+
+
+def test_rows_that_share_id_and_url_are_split():
+    import pyarrow as pa
+
+    from tickwise.llm.extract import groups_of
+
+    batch = pa.RecordBatch.from_pylist([{"id": None, "url": None, "html": "x" * 1000, "host": 0, "row": i} for i in range(100)])
+    sizes = [g.num_rows for g in groups_of(iter([batch.slice(0, 30), batch.slice(30)]), 5000)]
+    assert sum(sizes) == 100 and max(sizes) <= 5
