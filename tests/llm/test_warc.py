@@ -70,3 +70,18 @@ def test_members_and_missing_parts(spark, tmp_path):
     assert got["<r1>"].request.record_id == "<q1>" and bytes(got["<r1>"].response.payload) == b"body"
     assert got["<r2>"].request is None and got["<r2>"].metadata is None
     assert got["<r3>"].response is None
+
+
+def test_every_record_of_a_capture_is_kept(spark):
+    from tickwise.llm.warc import RECORD
+
+    def record(kind, name, key=None):
+        row = dict.fromkeys(RECORD.names)
+        row.update(type=kind, record_id=name, concurrent_to=None if kind == "response" else "r", capture_key=key)
+        return tuple(row[n] for n in RECORD.names)
+
+    rows = [record("response", "r"), record("metadata", "m2", "2"), record("metadata", "m1", "1"), record("request", "q1"), record("request", "q2")]
+    (got,) = assemble(spark.createDataFrame(rows, RECORD)).collect()
+    assert got.capture_id == got.response.record_id == "r" and got.more_responses == []
+    assert sorted([got.metadata.record_id, *(m.record_id for m in got.more_metadata)]) == ["m1", "m2"]
+    assert sorted([got.request.record_id, *(m.record_id for m in got.more_requests)]) == ["q1", "q2"]

@@ -277,16 +277,26 @@ def read_records(spark: SparkSession, path: str, with_payload: bool = True) -> D
 
 
 def assemble(records: DataFrame) -> DataFrame:
-    """One row per capture: ``capture_id, request, response, metadata``."""
+    """One row per capture: ``capture_id, request, response, metadata``, each
+    the smallest of its kind, and the others of the kind, sorted, in
+    ``more_requests, more_responses, more_metadata`` (mostly empty)."""
     each = F.struct(*[F.col(c) for c in RECORD.names])
     kind = F.col("type")
-    return (
-        records.groupBy(F.coalesce("concurrent_to", "record_id").alias("capture_id"))
-        .agg(
-            F.min(F.when(kind == "request", each)).alias("request"),
-            F.min(F.when(kind.isin("response", "revisit"), each)).alias("response"),
-            F.min(F.when(kind == "metadata", each)).alias("metadata"),
-        )
+    sorted_records = lambda condition: F.array_sort(F.collect_list(F.when(condition, each)))
+    lists = records.groupBy(F.coalesce("concurrent_to", "record_id").alias("capture_id")).agg(
+        sorted_records(kind == "request").alias("requests"),
+        sorted_records(kind.isin("response", "revisit")).alias("responses"),
+        sorted_records(kind == "metadata").alias("metadatas"),
+    )
+    more = lambda name: F.slice(name, F.lit(2), F.size(name))
+    return lists.select(
+        "capture_id",
+        F.get("requests", F.lit(0)).alias("request"),
+        F.get("responses", F.lit(0)).alias("response"),
+        F.get("metadatas", F.lit(0)).alias("metadata"),
+        more("requests").alias("more_requests"),
+        more("responses").alias("more_responses"),
+        more("metadatas").alias("more_metadata"),
     )
 
 
