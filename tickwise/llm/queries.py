@@ -12,6 +12,7 @@ from tickwise.llm.decontaminate import contamination, is_contaminated
 from tickwise.llm.extract import extract
 from tickwise.llm.near import near_classes
 from tickwise.llm.packing import pack
+from tickwise.llm.periodic import find_runs
 from tickwise.llm.pii import KINDS, all_spans, find_personal, joined
 from tickwise.llm.quality import BASE, CURRENT, POLICIES, RULES, apply_policy, bits, ledger
 from tickwise.llm.sharding import assign_shards
@@ -125,6 +126,42 @@ def q_op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
 
 
+def looped(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``; a tenth of the documents, by the checksum of the id,
+    repeats a stretch of words from some word on, as a stuck generator does."""
+    words = r"regexp_extract_all(text, '([^\\x20\\x09-\\x0D]+)', 1)"
+    return docs.selectExpr("doc_id", "cast(text as string) as text", "crc32(cast(cast(doc_id as string) as binary)) as h").selectExpr(
+        "doc_id",
+        f"""if(h % 10 = 0 and size({words}) > 0,
+            transform(array({words}), w -> transform(array(h div 10 % size(w)), a ->
+                transform(array(1 + (size(w) - a) div (3 + h div 10 % 8)), p ->
+                    array_join(concat(
+                        slice(w, 1, int(a)),
+                        slice(flatten(array_repeat(slice(w, int(a) + 1, int(p)), int((size(w) - a + p - 1) div p))), 1, int(size(w) - a))
+                    ), ' '))[0])[0])[0],
+            text) as text""",
+    )
+
+
+def q_op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = find_runs(looped(table(spark, sf_dir, "documents")))
+    top = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("l"), r["start"], r["period"])))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return (
+        rows.withColumn("top", top)
+        .select(
+            "doc_id",
+            F.size("runs").cast("long").alias("n_runs"),
+            F.col("top.start").alias("start"),
+            (-F.col("top.l")).alias("length"),
+            F.col("top.period").alias("period"),
+            F.expr("-1000 * top.l div top.period").alias("exponent_milli"),
+            F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+            F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+        )
+    )
+
+
 QUERIES = {
     "op1_packing": q_op1_packing,
     "op2_decontamination": q_op2_decontamination,
@@ -136,6 +173,7 @@ QUERIES = {
     "op8_toxicity": q_op8_toxicity,
     "op9_quality_rules": q_op9_quality_rules,
     "op10_jaccard_join": q_op10_jaccard_join,
+    "op13_periodic_runs": q_op13_periodic_runs,
 }
 
 _LABELS = ", ".join(f"'{x}'" for x in LISTED_LABELS)

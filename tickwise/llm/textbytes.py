@@ -19,6 +19,10 @@ POSITION_WEIGHT = _rng.integers(1, 1 << 63, _POSITIONS, dtype=np.uint64) * np.ui
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
+# Bytes of words cut at white space only.
+NOT_SPACE = np.ones(256, dtype=bool)
+NOT_SPACE[9:14] = NOT_SPACE[32] = False
+
 # Bytes of words by the decontamination contract, in lower-cased text.
 IS_WORD = np.zeros(256, dtype=bool)
 IS_WORD[48:58] = IS_WORD[97:123] = IS_WORD[128:] = True
@@ -66,18 +70,35 @@ def word_runs(data: np.ndarray, bounds: np.ndarray, table: np.ndarray = IS_WORD)
 
 
 def hash_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte run; equal runs have equal hashes."""
+    """A 64-bit hash of each byte run; equal runs have equal hashes. A run is
+    hashed in blocks of ``_POSITIONS`` bytes; from the second one on, the
+    block's number is mixed in, so blocks cannot change places."""
     if len(starts) == 0:
         return np.zeros(0, dtype=np.uint64)
     lengths = ends - starts
-    total = int(lengths.sum())
+    if int(lengths.max()) <= _POSITIONS:
+        out = _weighted_sums(data, starts, lengths)
+    else:
+        blocks = np.maximum(-(-lengths // _POSITIONS), 1)
+        first = np.cumsum(blocks) - blocks
+        number = np.arange(int(blocks.sum()), dtype=np.int64) - np.repeat(first, blocks)
+        block_starts = np.repeat(starts, blocks) + number * _POSITIONS
+        block_lengths = np.minimum(np.repeat(ends, blocks) - block_starts, _POSITIONS)
+        sums = _weighted_sums(data, block_starts, block_lengths)
+        later = number > 0
+        sums[later] = mix(sums[later] + number[later].astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        out = np.add.reduceat(sums, first)
+    return mix(out + lengths.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def _weighted_sums(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Sum of byte weight times position weight over each run of at most
+    ``_POSITIONS`` bytes."""
     first = np.cumsum(lengths) - lengths
-    position = np.arange(total, dtype=np.int64) - np.repeat(first, lengths)
+    position = np.arange(int(lengths.sum()), dtype=np.int64) - np.repeat(first, lengths)
     values = BYTE_WEIGHT[data[position + np.repeat(starts, lengths)]]
-    position &= _POSITIONS - 1
     values *= POSITION_WEIGHT[position]
-    out = np.add.reduceat(values, first)
-    return mix(out + lengths.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return np.add.reduceat(values, first)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
