@@ -16,6 +16,7 @@ from tickwise.llm.periodic import find_runs
 from tickwise.llm.pii import KINDS, all_spans, find_personal, joined
 from tickwise.llm.quality import BASE, CURRENT, POLICIES, RULES, apply_policy, bits, ledger
 from tickwise.llm.sharding import assign_shards
+from tickwise.llm.stars import near_components
 from tickwise.llm.toxicity import score, train
 from tickwise.llm.url_filter import LISTED_LABELS, build_cascade, judge, key_universe
 from tickwise.llm.warc import assemble, read_records, resolve, write_archives
@@ -126,6 +127,11 @@ def q_op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
 
 
+def q_op11_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = near_components(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_shingles", "component_id", F.expr("doc_id <=> component_id").alias("kept"))
+
+
 def looped(docs: DataFrame) -> DataFrame:
     """``doc_id, text``; a tenth of the documents, by the checksum of the id,
     repeats a stretch of words from some word on, as a stuck generator does."""
@@ -173,6 +179,7 @@ QUERIES = {
     "op8_toxicity": q_op8_toxicity,
     "op9_quality_rules": q_op9_quality_rules,
     "op10_jaccard_join": q_op10_jaccard_join,
+    "op11_minhash_near_dedup": q_op11_minhash_near_dedup,
     "op13_periodic_runs": q_op13_periodic_runs,
 }
 
