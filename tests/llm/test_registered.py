@@ -20,11 +20,14 @@ COLUMNS = {
     "op8_toxicity": ["doc_id", "severity"],
     "op9_quality_rules": ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"],
     "op10_jaccard_join": ["doc_id", "class_id", "n_links"],
+    "op11_minhash_near_dedup": ["doc_id", "n_shingles", "component_id", "kept"],
+    "op12_lexical_search": ["item_id", "rank", "doc_id", "score"],
+    "op13_periodic_runs": ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"],
 }
 
 
 def test_one_query_for_each_operator():
-    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 11))
+    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 14))
     assert set(ORACLES) <= set(QUERIES) and set(COLUMNS) == set(QUERIES)
 
 
@@ -32,6 +35,10 @@ def test_one_query_for_each_operator():
 def test_columns_and_rows(spark, name):
     got = QUERIES[name](spark, SF)
     assert got.columns[: len(COLUMNS[name])] == COLUMNS[name]
+    if name == "op12_lexical_search":
+        items = spark.read.parquet(f"{SF}/benchmark.parquet").count()
+        assert items <= got.count() <= 10 * items
+        return
     table = "pages" if "page_id" in got.columns else "documents"
     n = spark.read.parquet(f"{SF}/{table}.parquet").count()
     assert got.count() >= n if name == "op1_packing" else got.count() == n

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tickwise.llm.common import stored, table
 from tickwise.llm.decontaminate import contamination, is_contaminated
 from tickwise.llm.extract import extract
+from tickwise.llm.lexical import search
 from tickwise.llm.near import near_classes
 from tickwise.llm.packing import pack
 from tickwise.llm.periodic import find_runs
@@ -132,6 +133,10 @@ def q_op11_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_shingles", "component_id", F.expr("doc_id <=> component_id").alias("kept"))
 
 
+def q_op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def looped(docs: DataFrame) -> DataFrame:
     """``doc_id, text``; a tenth of the documents, by the checksum of the id,
     repeats a stretch of words from some word on, as a stuck generator does."""
@@ -180,6 +185,7 @@ QUERIES = {
     "op9_quality_rules": q_op9_quality_rules,
     "op10_jaccard_join": q_op10_jaccard_join,
     "op11_minhash_near_dedup": q_op11_minhash_near_dedup,
+    "op12_lexical_search": q_op12_lexical_search,
     "op13_periodic_runs": q_op13_periodic_runs,
 }
 
@@ -290,5 +296,29 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     (failures & {bits(POLICIES[CURRENT])}) = 0 as kept,
     failures
 from judged
+""",
+    "op12_lexical_search": f"""
+with held as (
+    select row_number() over () as rid, doc_id, {_WORDS.format("text")} as w from documents
+), corpus as (
+    select count(*) filter (len(w) > 0)::bigint as docs, sum(len(w))::bigint as terms from held
+), asked as (
+    select row_number() over () as qid, item_id, {_WORDS.format("text")} as w from benchmark
+), query as (
+    select qid, t, count(*)::bigint as qtf from (select qid, unnest(w) as t from asked) group by all
+), postings as (
+    select rid, t, n, count(*)::bigint as tf from (select rid, len(w)::bigint as n, unnest(w) as t from held)
+    where t in (select t from query) group by all
+), weights as (
+    select t, floor(1000 * ln((2 * docs + 2)::double / (2 * count(*) + 1)::double))::bigint as w
+    from postings, corpus group by t, docs
+), scored as (
+    select qid, rid, sum(qtf * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // terms))))::bigint as score
+    from query join postings using (t) join weights using (t), corpus group by all
+), ranked as (
+    select item_id, row_number() over (partition by qid order by score desc, doc_id, rid)::int as rank, doc_id, score
+    from scored join held using (rid) join asked using (qid) where score > 0
+)
+select item_id, rank, doc_id, score from ranked where rank <= 10
 """,
 }
