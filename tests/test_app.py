@@ -82,7 +82,7 @@ def test_tee_computes_a_batch_once(spark, tmp_path):
         F.lit("A").alias("stock_ticker"), F.timestamp_seconds("id").alias("timestamp"), one(F.col("id").cast("double")).alias("price")
     )
     table = KeyedTable(spark, str(tmp_path / "t"))
-    tee_batches(upsert_batches(table, writer="w"), changelog_batches(str(tmp_path / "log")))(batch, 0)
+    tee_batches(upsert_batches(table), changelog_batches(str(tmp_path / "log")))(batch, 0)
     assert seen.value == 100 and table.read().count() == 100 and spark.read.parquet(str(tmp_path / "log")).count() == 100
 
 

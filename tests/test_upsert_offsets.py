@@ -29,68 +29,77 @@ def test_upsert_frame(spark):
 
 def test_keyed_table_upsert_is_idempotent(spark, tmp_path):
     t = KeyedTable(spark, str(tmp_path / "table"))
-    t.upsert(frame(spark, [("A", D, 1.0), ("B", D, 2.0), ("C", D2, 3.0)]), batch_id=0, writer="w")
-    t.upsert(frame(spark, [("A", D, 9.0)]), batch_id=1, writer="w")
+    t.upsert(frame(spark, [("A", D, 1.0), ("B", D, 2.0), ("C", D2, 3.0)]))
+    t.upsert(frame(spark, [("A", D, 9.0)]))
     expected = {("A", D.replace(tzinfo=None), 9.0), ("B", D.replace(tzinfo=None), 2.0), ("C", D2.replace(tzinfo=None), 3.0)}
     assert as_set(t.read()) == expected
-    # replay of batch 1 (restart after a crash) changes nothing
-    t.upsert(frame(spark, [("A", D, 9.0)]), batch_id=1, writer="w")
+    # replay of the batch (restart after a crash) changes nothing
+    KeyedTable(spark, str(tmp_path / "table")).upsert(frame(spark, [("A", D, 9.0)]))
     assert as_set(t.read()) == expected
     assert key_violations(t.read()).count() == 0
+    t.upsert(frame(spark, []))  # an empty batch
+    assert as_set(t.read()) == expected
 
 
-def test_batch_ids_that_start_over_lose_nothing(spark, tmp_path):
-    path = str(tmp_path / "table")
-    first = KeyedTable(spark, path)
-    first.upsert(frame(spark, [("A", D, 1.0), ("B", D, 2.0)]), batch_id=0, writer="w")
-    first.upsert(frame(spark, [("A", D, 9.0)]), batch_id=1, writer="w")
-    again = KeyedTable(spark, path)  # a new checkpoint
-    again.upsert(frame(spark, [("B", D, 50.0)]), batch_id=0, writer="w")
-    again.upsert(frame(spark, [("C", D, 77.0)]), batch_id=1, writer="w")
-    day = D.replace(tzinfo=None)
-    assert as_set(again.read()) == {("A", day, 9.0), ("B", day, 50.0), ("C", day, 77.0)}
-
+def files_of(table):
+    import glob
+    import os
 
-def test_writers_whose_names_share_a_beginning(spark, tmp_path):
-    path = str(tmp_path / "table")
-    KeyedTable(spark, path).upsert(frame(spark, [("A", D, 1.0)]), batch_id=1, writer="ticks-eu")
-    KeyedTable(spark, path).upsert(frame(spark, [("B", D, 2.0)]), batch_id=1, writer="ticks")
-    table = KeyedTable(spark, path)
-    table.compact()
-    assert as_set(table.read()) == {("A", D.replace(tzinfo=None), 1.0), ("B", D.replace(tzinfo=None), 2.0)}
+    return {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{table.data}/date=*/*.parquet")}
+
+
+def test_upsert_leaves_other_dates_alone(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "table"))
+    days = [D + dt.timedelta(days=i) for i in range(6)]
+    table.upsert(frame(spark, [("A", d, float(i)) for i, d in enumerate(days)]))
+    before = files_of(table)
+    table.upsert(frame(spark, [("A", days[2], 20.0), ("B", days[4], 40.0), ("A", days[5] + dt.timedelta(days=1), 6.0)]))
+    after = files_of(table)
+    same = {f for f in before if after.get(f) == before[f]}
+    assert {f.split("date=")[1][:10] for f in same} == {str(days[i].date()) for i in (0, 1, 3, 5)}
+    assert sorted((r.stock_ticker, r.price) for r in table.read().collect()) == [
+        ("A", 0.0), ("A", 1.0), ("A", 3.0), ("A", 4.0), ("A", 5.0), ("A", 6.0), ("A", 20.0), ("B", 40.0),
+    ]
+    import os
 
+    assert sorted(os.listdir(table.path)) == ["data"]
 
-def test_interrupted_publish_and_compaction(spark, tmp_path, monkeypatch):
-    """A write that dies leaves a folder that no reader counts; the replay
-    replaces it. A compaction that dies before it drops its inputs leaves
-    copies that no reader sees."""
-    import os
 
+def test_interrupted_upserts(spark, tmp_path, monkeypatch):
+    """Cut short before the staging is finished: nothing has changed. Cut
+    short while dates are replaced: the next upsert finishes it first."""
     path = str(tmp_path / "table")
     table = KeyedTable(spark, path)
-    table.upsert(frame(spark, [("A", D, 1.0), ("B", D, 2.0)]), batch_id=0, writer="w")
-    table.upsert(frame(spark, [("A", D, 5.0), ("C", D2, 3.0)]), batch_id=1, writer="w")
-    cut = next(f for f in table.folders() if f.endswith("~1"))
-    os.remove(f"{cut}/_SUCCESS")  # files are there, the commit is not
-    day = D.replace(tzinfo=None)
+    table.upsert(frame(spark, [("A", D, 1.0), ("B", D, 2.0)]))
+    day, day2 = D.replace(tzinfo=None), D2.replace(tzinfo=None)
     old = {("A", day, 1.0), ("B", day, 2.0)}
-    new = {("A", day, 5.0), ("B", day, 2.0), ("C", D2.replace(tzinfo=None), 3.0)}
-    assert as_set(table.read()) == old
-    table.upsert(frame(spark, [("A", D, 5.0), ("C", D2, 3.0)]), batch_id=1, writer="w")
-    assert as_set(table.read()) == new
+    inner = KeyedTable._write
 
-    def dies(*_):
-        raise RuntimeError("driver lost")
+    def dies(folder):
+        def write(self, df, target, mode):
+            if target.endswith(folder):
+                raise RuntimeError("driver lost")
+            inner(self, df, target, mode)
 
+        return write
+
+    batch = [("A", D, 5.0), ("C", D2, 3.0)]
     with monkeypatch.context() as m:
-        m.setattr("tickwise.sinks.keyed_table.delete_path", dies)
+        m.setattr(KeyedTable, "_write", dies("staged"))
         with pytest.raises(RuntimeError):
-            table.compact()
-    assert len(table.folders()) == 3 and as_set(table.read()) == new
-    table.upsert(frame(spark, [("B", D, 8.0)]), batch_id=2, writer="w")
-    table.compact()
-    assert len(table.folders()) == 1
-    assert as_set(table.read()) == {("A", day, 5.0), ("B", day, 8.0), ("C", D2.replace(tzinfo=None), 3.0)}
+            table.upsert(frame(spark, batch))
+    assert as_set(table.read()) == old
+    with monkeypatch.context() as m:
+        m.setattr(KeyedTable, "_write", dies("data"))
+        with pytest.raises(RuntimeError):
+            table.upsert(frame(spark, batch))
+    # half of the replacement happened: a touched date is gone
+    from tickwise.session import delete_path
+
+    delete_path(spark, f"{table.data}/date={D.date()}")
+    again = KeyedTable(spark, path)
+    again.upsert(frame(spark, [("B", D, 7.0)]))
+    assert as_set(again.read()) == {("A", day, 5.0), ("B", day, 7.0), ("C", day2, 3.0)}
 
 
 def test_key_violations(spark):
@@ -139,7 +148,7 @@ def test_bounded_read_ranges(spark, tmp_path):
 def test_merge_statement_text():
     """K3/K4 JDBC path: the one statement sent to the database (text only;
     running it needs a database server)."""
-    from tickwise.sinks.keyed_table import merge_statement
+    from tickwise.sinks.jdbc import merge_statement
 
     cols = ["stock_ticker", "timestamp", "price"]
     keys = ["stock_ticker", "timestamp"]

@@ -19,11 +19,12 @@ from pyspark.sql.streaming import StreamingQuery
 from tickwise.functions.parse import parse_ticks, valid_ticks
 from tickwise.functions.quotes import encode_frames
 from tickwise.operators.dedup import dedup_ticks
+from tickwise.operators.panes import ALLOWED_LATENESS, LATE, ON_TIME, PANE_SCHEMA, paned_mean
 from tickwise.operators.rates import StageTaps
 from tickwise.operators.windows import with_event_time
 from tickwise.plans.common import ntz, rounded, table, topic_records
 from tickwise.plans.oracle import TUMBLING_SQL, _tumbling, _with
-from tickwise.session import scratch_path
+from tickwise.session import ROCKSDB_STATE, scratch_path, session_conf
 from tickwise.sinks.keyed_table import KeyedTable
 from tickwise.plans.events import CORRUPT_EVERY, OFFSET_STRIDE, TOPIC_PARTITIONS, epoch_millis, event_time
 from tickwise.sources.topic import DEFAULT_TOPIC, append_segment, read_topic
@@ -44,6 +45,18 @@ MANY_PARTITIONS = 11
 DRAIN = {"availableNow": True}
 
 
+# Every so many events one is delivered in the second part of the topic.
+LATE_EVERY = 4
+STREAM_LATENESS = "7 days"
+
+
+def late_delivery(records: DataFrame) -> list[DataFrame]:
+    """The topic in two parts: the records of one event in ``LATE_EVERY`` come
+    after all others."""
+    late = F.expr(f"offset div {OFFSET_STRIDE} % {LATE_EVERY} = 1")
+    return [records.where(~late), records.where(late)]
+
+
 def _segment(records: DataFrame, i: int, n: int) -> DataFrame:
     """Records of the i-th of n equal offset ranges (log order)."""
     top = records.agg(F.max("offset") + 1).scalar()
@@ -62,14 +75,17 @@ def drive(
     on_progress: Callable[[dict], None] | None = None,
     partitions: int = TOPIC_PARTITIONS,
     newest_first: bool = False,
+    parts: Callable[[DataFrame], list[DataFrame]] | None = None,
 ) -> str:
-    """Publish the topic segment by segment; after each append run the
-    query built by ``build(stream, base)`` until it has drained the topic."""
+    """Publish the topic segment by segment (``segments`` offset ranges, or
+    what ``parts`` makes of the records); after each append run the query built
+    by ``build(stream, base)`` until it has drained the topic."""
     base = scratch_path(spark, name)
     topic_dir = f"{base}/topic"
     records = topic_records(spark, sf_dir, partitions=partitions)
-    for i in reversed(range(segments)) if newest_first else range(segments):
-        append_segment(_segment(records, i, segments), topic_dir)
+    cut = parts(records) if parts else [_segment(records, i, segments) for i in range(segments)]
+    for part in reversed(cut) if newest_first else cut:
+        append_segment(part, topic_dir)
         stream = read_topic(spark, path=topic_dir, streaming=True)
         q = build(stream, base)
         run_until_idle(q, max_idle_seconds=3600, poll_seconds=1, on_progress=on_progress)
@@ -126,7 +142,7 @@ def q_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def build(stream: DataFrame, base: str) -> StreamingQuery:
         return start(tick_means(stream), name=qn, checkpoint=f"{base}/checkpoint", mode="update", trigger=DRAIN,
-                     foreach_batch=upsert_batches(KeyedTable(spark, f"{base}/table"), writer=qn))
+                     foreach_batch=upsert_batches(KeyedTable(spark, f"{base}/table")))
 
     base = drive(spark, sf_dir, "stream_upsert", build)
     return ntz(rounded(KeyedTable(spark, f"{base}/table").read(), "price"))
@@ -134,16 +150,15 @@ def q_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_stream_upsert_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with a new checkpoint for the second run, so that its batch
-    ids start over and everything is read again; compacted in between."""
+    ids start over and everything is read again."""
     qn = _qname("reset")
     runs: list[str] = []
 
     def build(stream: DataFrame, base: str) -> StreamingQuery:
         table = KeyedTable(spark, f"{base}/table")
-        table.compact()
         runs.append(f"{base}/checkpoint{len(runs)}")
         return start(tick_means(stream), name=qn, checkpoint=runs[-1], mode="update", trigger=DRAIN,
-                     foreach_batch=upsert_batches(table, writer=qn))
+                     foreach_batch=upsert_batches(table))
 
     base = drive(spark, sf_dir, "stream_upsert_reset", build)
     return ntz(rounded(KeyedTable(spark, f"{base}/table").read(), "price"))
@@ -241,7 +256,79 @@ def q_stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "stage string, rows bigint")
 
 
+def _panes(spark: SparkSession, sf_dir: str, name: str, allowed_lateness: str) -> DataFrame:
+    qn = _qname(name)
+
+    def build(stream: DataFrame, base: str) -> StreamingQuery:
+        panes = paned_mean(valid_ticks(parse_ticks(stream)), allowed_lateness=allowed_lateness)
+        return start(panes, name=qn, checkpoint=f"{base}/checkpoint", mode="append", trigger=DRAIN,
+                     sink="parquet", path=f"{base}/panes")
+
+    with session_conf(spark, ROCKSDB_STATE):  # windows are kept for days
+        base = drive(spark, sf_dir, name, build, parts=late_delivery)
+    return spark.read.schema(PANE_SCHEMA).parquet(f"{base}/panes")
+
+
+def q_stream_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pane of every window: early ones, one on time, one for each late
+    row, means accumulating."""
+    return ntz(rounded(_panes(spark, sf_dir, "stream_panes", ALLOWED_LATENESS), "price"))
+
+
+def q_stream_allowed_lateness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows closed by the watermark: the result on time, and the last one
+    after late rows; windows whose lateness had run out took none."""
+    panes = _panes(spark, sf_dir, "stream_allowed_lateness", STREAM_LATENESS)
+    on_time = F.col("pane") == ON_TIME
+    rows = panes.groupBy("stock_ticker", "timestamp").agg(
+        F.max(F.when(on_time, F.col("price"))).alias("on_time_price"),
+        F.max(F.when(on_time, F.col("rows"))).alias("on_time_rows"),
+        F.max_by("price", "pane_index").alias("last_price"),
+        F.max("rows").alias("last_rows"),
+        F.count_if(F.col("pane") == LATE).alias("late_panes"),
+    )
+    closed = rows.where("on_time_rows is not null or late_panes > 0")
+    return ntz(rounded(closed, "on_time_price", "last_price"))
+
+
+# One row a pane. Rows of the first and second delivery, the on-time
+# watermarks after them, and the panes that each delivery and watermark fires.
+def _panes_sql(lateness: str) -> str:
+    return _with(
+        f"""ticks_in AS (
+  SELECT stock_ticker, time_bucket(INTERVAL '5 minutes', "timestamp") + INTERVAL '5 minutes' AS w, "timestamp" AS ts,
+         CAST(price AS DOUBLE) AS p, "offset" AS o, "partition" AS q,
+         "offset" // {OFFSET_STRIDE} % {LATE_EVERY} = 1 AS second
+  FROM valid)""",
+        """marks AS (
+  SELECT max(ts) FILTER (NOT second) - INTERVAL '15 minutes' AS m1, max(ts) - INTERVAL '15 minutes' AS m2 FROM ticks_in)""",
+        """first_part AS (SELECT stock_ticker, w, sum(p) AS s, count(*) AS n FROM ticks_in WHERE NOT second GROUP BY 1, 2)""",
+        f"""second_part AS (
+  SELECT t.* FROM ticks_in t, marks WHERE second AND w + INTERVAL '{lateness}' > m1)""",
+        """second_sums AS (SELECT stock_ticker, w, sum(p) AS s, count(*) AS n FROM second_part GROUP BY 1, 2)""",
+        """both_parts AS (
+  SELECT stock_ticker, w, coalesce(a.s, 0) + coalesce(b.s, 0) AS s, coalesce(a.n, 0) + coalesce(b.n, 0) AS n,
+         a.n IS NOT NULL AS in_first, b.n IS NOT NULL AS in_second
+  FROM first_part a FULL JOIN second_sums b USING (stock_ticker, w))""",
+        """late_rows AS (
+  SELECT t.stock_ticker, t.w, coalesce(f.s, 0) + sum(p) OVER g AS s, coalesce(f.n, 0) + row_number() OVER g AS n,
+         CASE WHEN f.n IS NULL THEN 0 ELSE 2 END + row_number() OVER g - 1 AS i
+  FROM second_part t CROSS JOIN marks LEFT JOIN first_part f ON f.stock_ticker = t.stock_ticker AND f.w = t.w
+  WHERE t.w <= m1 WINDOW g AS (PARTITION BY t.stock_ticker, t.w ORDER BY ts, o, q))""",
+        """panes AS (
+  SELECT stock_ticker, w, s / n AS price, n, 'EARLY' AS pane, 0 AS i FROM first_part
+  UNION ALL SELECT stock_ticker, w, s / n, n, 'ON_TIME', 1 FROM first_part, marks WHERE w <= m1
+  UNION ALL SELECT stock_ticker, w, s / n, n, 'LATE', i FROM late_rows
+  UNION ALL SELECT stock_ticker, w, s / n, n, 'EARLY', CASE WHEN in_first THEN 1 ELSE 0 END
+    FROM both_parts, marks WHERE w > m1 AND in_second
+  UNION ALL SELECT stock_ticker, w, s / n, n, 'ON_TIME', CASE WHEN in_first THEN 1 ELSE 0 END + CASE WHEN in_second THEN 1 ELSE 0 END
+    FROM both_parts, marks WHERE w > m1 AND w <= m2)""",
+    )
+
+
 STREAM_QUERIES = {
+    "stream_panes": q_stream_panes,
+    "stream_allowed_lateness": q_stream_allowed_lateness,
     "stream_tumbling_mean": q_stream_tumbling_mean,
     "stream_final_mean": q_stream_final_mean,
     "stream_dedup": q_stream_dedup,
@@ -255,6 +342,13 @@ STREAM_QUERIES = {
 }
 
 STREAM_ORACLES = {
+    "stream_panes": _panes_sql("30 days")
+    + """SELECT stock_ticker, w AS "timestamp", round(price, 6) AS price, n AS rows, pane, CAST(i AS INTEGER) AS pane_index FROM panes""",
+    "stream_allowed_lateness": _panes_sql(STREAM_LATENESS)
+    + """SELECT stock_ticker, w AS "timestamp", round(max(price) FILTER (pane = 'ON_TIME'), 6) AS on_time_price,
+       max(n) FILTER (pane = 'ON_TIME') AS on_time_rows, round(arg_max(price, i), 6) AS last_price, max(n) AS last_rows,
+       count(*) FILTER (pane = 'LATE') AS late_panes
+FROM panes GROUP BY 1, 2 HAVING count(*) FILTER (pane <> 'EARLY') > 0""",
     "stream_tumbling_mean": TUMBLING_SQL,
     "stream_upsert": TUMBLING_SQL,
     "stream_upsert_reset": TUMBLING_SQL,

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -65,6 +67,22 @@ def build_session(
     return spark
 
 
+@contextmanager
+def session_conf(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
+    """Settings for the queries that start inside the block."""
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def ensure_utc(spark: SparkSession) -> None:
     """Window bounds and epoch conversions are defined in UTC."""
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":

@@ -1,30 +1,25 @@
 """Keyed Parquet table with last-write-wins upserts.
 
-An upsert only adds: it writes its rows once, as a *delta folder* of the
-table, and reads nothing. Every row carries ``_at``, the driver time of its
-upsert, and a reader takes the value with the largest ``_at`` per key, one
-partial and final aggregate. So a batch of one minute costs its own rows,
-however large the table is.
-
-* A folder counts once its ``_SUCCESS`` marker is there; one that was cut
-  short is ignored, and replaced when the batch is replayed.
-* A folder belongs to one run of one writer (``writer``, a new run id, and the
-  batch id), so neither other writers nor a later run whose batch ids start
-  over can touch it. A batch that a new run replays is written again with the
-  same values: nothing changes for a reader.
-* ``compact`` folds folders into one and drops them afterwards. Rows keep
-  their ``_at``, so a compaction that was cut short between the two steps
-  leaves only copies that no reader sees.
-
-Folders are partitioned by ``date`` (UTC date of the key's time column), which
-prunes reads of single days. Where the caller's catalog has a table format with
-``MERGE INTO``, ``merge_statement`` gives the statement instead.
+The table is a Parquet folder partitioned by ``date`` (UTC date of the key's
+time column). An upsert rewrites the dates that it touches and no others, with
+plain Spark writes:
+
+1. the updates are stored under ``incoming``, by date: the folder names are the
+   touched dates;
+2. the rows of these dates that no update replaces (an anti join on the keys)
+   and the updates are stored under ``staged``;
+3. ``staged`` replaces the touched dates of ``data`` by a dynamic partition
+   overwrite.
+
+``staged`` holds whole dates, so an upsert that was cut short during step 3 is
+finished by the next one, before its own; one that was cut short earlier has
+changed nothing. Replaying an update changes nothing. One writer at a time.
+Where the caller's catalog has a table format with ``MERGE INTO``,
+``sinks.jdbc.merge_statement`` gives the statement instead.
 """
 
 from __future__ import annotations
 
-import time
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,146 +29,56 @@ from tickwise.schemas import OUTPUT_KEYS
 from tickwise.session import delete_path, list_names
 
 PARTITION_COLUMN = "date"
-ORDER_COLUMN = "_at"
+NO_DATE = "__HIVE_DEFAULT_PARTITION__"  # folder name of rows without a time
 
 
 class KeyedTable:
     def __init__(
-        self,
-        spark: SparkSession,
-        path: str,
-        *,
-        keys: Sequence[str] = OUTPUT_KEYS,
-        time_column: str = "timestamp",
+        self, spark: SparkSession, path: str, *, keys: Sequence[str] = OUTPUT_KEYS, time_column: str = "timestamp"
     ) -> None:
         self.spark = spark
         self.path = path.rstrip("/")
+        self.data, self.staged, self.incoming = (f"{self.path}/{x}" for x in ("data", "staged", "incoming"))
         self.keys = list(keys)
         self.time_column = time_column
-        self.run = f"{int(time.time() * 1000)}_{uuid.uuid4().hex[:8]}"
-        self._last_at = 0
-
-    # -- reading ---------------------------------------------------------
-    def folders(self) -> list[str]:
-        """Finished delta folders that hold rows (an empty batch leaves none)."""
-        out = []
-        for name in list_names(self.spark, self.path):
-            if name.startswith("delta="):
-                inside = list_names(self.spark, f"{self.path}/{name}")
-                if "_SUCCESS" in inside and any(x.startswith(f"{PARTITION_COLUMN}=") for x in inside):
-                    out.append(f"{self.path}/{name}")
-        return out
 
-    def exists(self) -> bool:
-        return bool(self.folders())
+    def _dates(self, folder: str) -> set[str]:
+        names = list_names(self.spark, folder)
+        return {n.split("=", 1)[1] for n in names if n.startswith(f"{PARTITION_COLUMN}=")}
 
-    def rows(self, folders: list[str] | None = None) -> DataFrame:
-        """All versions of all rows, with ``date`` and ``_at``."""
-        folders = self.folders() if folders is None else folders
-        if not folders:
-            raise FileNotFoundError(f"no finished upsert in {self.path}")
-        first = self.spark.read.parquet(folders[0])
-        return self.spark.read.schema(first.schema).option("basePath", self.path).parquet(*folders).drop("delta")
-
-    def _newest(self, rows: DataFrame, keep_order: bool) -> DataFrame:
-        values = [c for c in rows.columns if c not in (*self.keys, PARTITION_COLUMN, ORDER_COLUMN)]
-        aggs = [F.max_by(c, ORDER_COLUMN).alias(c) for c in values]
-        if keep_order:
-            aggs.append(F.max(ORDER_COLUMN).alias(ORDER_COLUMN))
-        # the date follows from the key
-        out = rows.groupBy(*self.keys, PARTITION_COLUMN).agg(*aggs)
-        return out.select(*[c for c in rows.columns if keep_order or c != ORDER_COLUMN])
+    def exists(self) -> bool:
+        return bool(self._dates(self.data))
 
     def read(self, with_partition: bool = False) -> DataFrame:
-        df = self._newest(self.rows(), keep_order=False)
+        if not self.exists():
+            raise FileNotFoundError(f"no finished upsert in {self.path}")
+        df = self.spark.read.parquet(self.data)
         return df if with_partition else df.drop(PARTITION_COLUMN)
 
-    # -- writing ---------------------------------------------------------
-    def _write(self, df: DataFrame, folder: str) -> None:
-        df.write.mode("overwrite").partitionBy(PARTITION_COLUMN).parquet(f"{self.path}/{folder}")
-
-    def upsert(self, updates: DataFrame, *, batch_id: int | None = None, writer: str = "writer") -> None:
-        """Apply ``updates`` (unique on the keys). Within a run, a batch id
-        that comes again replaces what it wrote before."""
-        tag = uuid.uuid4().hex[:12] if batch_id is None else str(batch_id)
-        self._last_at = max(self._last_at + 1, time.time_ns() // 1000)
-        stamped = updates.withColumn(ORDER_COLUMN, F.lit(self._last_at).cast("bigint"))
-        self._write(
-            stamped.withColumn(PARTITION_COLUMN, F.to_date(F.col(self.time_column))),
-            f"delta={writer}~{self.run}~{tag}",
-        )
-
-    def compact(self) -> None:
-        """Fold all finished folders into one. Upserts may go on meanwhile:
-        they only add folders, and this one drops only those it read."""
-        folders = self.folders()
-        if len(folders) < 2:
-            return
-        self._write(self._newest(self.rows(folders), keep_order=True), f"delta=compact~{uuid.uuid4().hex[:12]}")
-        for folder in folders:
-            delete_path(self.spark, folder)
-
-
-def merge_statement(table: str, staging_table: str, cols: Sequence[str], keys: Sequence[str],
-                    dialect: str = "postgres") -> str:
-    """The one set-based statement that merges ``staging_table`` into
-    ``table`` on ``keys``, last write wins: PostgreSQL ``INSERT ... ON
-    CONFLICT ... DO UPDATE``, or SQL:2003 ``MERGE`` for other databases."""
-    col_list = ", ".join(f'"{c}"' for c in cols)
-    key_list = ", ".join(f'"{k}"' for k in keys)
-    non_keys = [c for c in cols if c not in keys]
-    if dialect == "postgres":
-        sets = ", ".join(f'"{c}" = EXCLUDED."{c}"' for c in non_keys)
-        return (
-            f"INSERT INTO {table} ({col_list}) SELECT {col_list} FROM {staging_table} "
-            f"ON CONFLICT ({key_list}) DO UPDATE SET {sets}"
-        )
-    on = " AND ".join(f't."{k}" = s."{k}"' for k in keys)
-    sets = ", ".join(f'"{c}" = s."{c}"' for c in non_keys)
-    vals = ", ".join(f's."{c}"' for c in cols)
-    return (
-        f"MERGE INTO {table} t USING {staging_table} s ON {on} "
-        f"WHEN MATCHED THEN UPDATE SET {sets} WHEN NOT MATCHED THEN INSERT ({col_list}) VALUES ({vals})"
-    )
-
-
-def upsert_jdbc(
-    updates: DataFrame,
-    *,
-    url: str,
-    table: str,
-    keys: Sequence[str] = OUTPUT_KEYS,
-    staging_table: str,
-    properties: dict | None = None,
-    dialect: str = "postgres",
-) -> None:
-    """Upsert into a JDBC table: write a staging table with the JDBC writer
-    (parallel, batched inserts from the executors), then one set-based
-    statement on the driver merges staging into the target and drops the
-    staging table in the same transaction. ``staging_table`` should carry
-    the writer and batch id so concurrent writers do not collide.
-
-    The statement itself is unit-tested (``merge_statement``); the round
-    trip is not run by the tests: it needs a database server.
-    """
-    props = dict(properties or {})
-    props.setdefault("batchsize", "10000")
-    updates.write.jdbc(url=url, table=staging_table, mode="overwrite", properties=props)
-    merge = merge_statement(table, staging_table, updates.columns, keys, dialect)
-    jvm = updates.sparkSession.sparkContext._jvm
-    jprops = jvm.java.util.Properties()
-    for k, v in props.items():
-        if k in ("user", "password"):
-            jprops.setProperty(k, str(v))
-    conn = jvm.java.sql.DriverManager.getConnection(url, jprops)
-    try:
-        conn.setAutoCommit(False)
-        stmt = conn.createStatement()
-        stmt.executeUpdate(merge)
-        stmt.executeUpdate(f"DROP TABLE {staging_table}")
-        conn.commit()
-    except Exception:
-        conn.rollback()
-        raise
-    finally:
-        conn.close()
+    def _write(self, df: DataFrame, folder: str, mode: str) -> None:
+        spread = df.hint("rebalance", PARTITION_COLUMN)  # few files a date; a large date is split
+        writer = spread.write.mode("overwrite").option("partitionOverwriteMode", mode)
+        writer.partitionBy(PARTITION_COLUMN).parquet(folder)
+
+    def _publish(self) -> None:
+        """Replace the staged dates, if a staging was finished."""
+        if "_SUCCESS" in list_names(self.spark, self.staged) and self._dates(self.staged):
+            self._write(self.spark.read.parquet(self.staged), self.data, "dynamic")
+        delete_path(self.spark, self.staged)
+
+    def upsert(self, updates: DataFrame) -> None:
+        """Apply ``updates`` (unique on the keys)."""
+        self._publish()
+        dated = updates.withColumn(PARTITION_COLUMN, F.to_date(F.col(self.time_column)))
+        self._write(dated, self.incoming, "static")
+        touched = self._dates(self.incoming)
+        if touched:
+            new = self.spark.read.schema(dated.schema).parquet(self.incoming)
+            known = sorted(touched & self._dates(self.data))
+            if known:
+                name = F.coalesce(F.col(PARTITION_COLUMN).cast("string"), F.lit(NO_DATE))
+                old = self.read(with_partition=True).where(name.isin(known))
+                new = old.join(new.select(*self.keys), self.keys, "left_anti").unionByName(new)
+            self._write(new, self.staged, "static")
+            self._publish()
+        delete_path(self.spark, self.incoming)

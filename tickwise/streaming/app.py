@@ -92,7 +92,6 @@ def run_tick_job(
     console: bool = False,
     salt_buckets: int | None = None,
     state_partitions: int | None = None,
-    compact: bool = True,
     max_idle_seconds: float = IDLE_STOP_SECONDS,
     poll_seconds: float = POLL_SECONDS,
     readout: RunReadout | None = None,
@@ -100,12 +99,11 @@ def run_tick_job(
     """Run the job until the topic goes idle (or drains, with
     ``trigger={"availableNow": True}``). Early results (``mode="update"``)
     are upserted every trigger; ``mode="append"`` writes final windows only.
-    ``compact`` folds the table's delta folders when the run ends; ``readout``
-    collects the run's totals. Returns why it stopped."""
+    ``readout`` collects the run's totals. Returns why it stopped."""
     records = read_topic(spark, fmt=source_format, path=source_path, topic=topic,
                          streaming=True, options=source_options)
     table = KeyedTable(spark, table_path)
-    writers = [upsert_batches(table, writer=name)]
+    writers = [upsert_batches(table)]
     if changelog_path:
         writers.append(changelog_batches(changelog_path))
     sink = writers[0] if len(writers) == 1 and not console else tee_batches(*writers, console=console)
@@ -120,10 +118,7 @@ def run_tick_job(
         if readout is not None:
             readout.on_progress(progress)
 
-    why = run_until_idle(q, max_idle_seconds=max_idle_seconds, poll_seconds=poll_seconds, on_progress=on_progress)
-    if compact:
-        table.compact()
-    return why
+    return run_until_idle(q, max_idle_seconds=max_idle_seconds, poll_seconds=poll_seconds, on_progress=on_progress)
 
 
 def waiting_options(committed: Mapping[int, int], topic: str, options: Mapping[str, str] | None = None) -> dict[str, str]:

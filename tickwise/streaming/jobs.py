@@ -115,12 +115,13 @@ def _start(df, *, name, checkpoint, mode, trigger, sink, path, foreach_batch, op
     return w.start()
 
 
-def upsert_batches(table: KeyedTable, *, writer: str) -> Callable[[DataFrame, int], None]:
+def upsert_batches(table: KeyedTable) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function: upsert each micro-batch into ``table``. The
-    batch is used once, by the write, so nothing is persisted here."""
+    batch is used once, by the table's first write, so nothing is persisted
+    here."""
 
     def fn(batch: DataFrame, batch_id: int) -> None:
-        table.upsert(batch, batch_id=batch_id, writer=writer)
+        table.upsert(batch)
 
     return fn
 
