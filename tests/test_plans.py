@@ -49,7 +49,7 @@ def test_no_pairing_joins_or_sort_aggregates(plans, name):
 def test_scans_are_pruned(plans, name):
     scans = [ln for ln in plans[name] if ln.startswith("FileScan parquet") and "events.parquet" in ln]
     # these return what their own jobs wrote (topic files, stage counts, checks)
-    if name not in ("batch_topic_read", "stage_counts", "gated_run"):
+    if name not in ("batch_topic_read", "topic_extent", "stage_counts", "gated_run"):
         assert scans, f"{name}: no events scan found"
     for ln in scans:
         cols = ln[ln.index("[") + 1:ln.index("]")].split(",")
@@ -76,15 +76,37 @@ def test_keyed_table_read_of_a_day_is_pruned(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(date" in plan
 
 
-def test_waiting_records_push_the_offset_bound(spark, tmp_path):
+def executed(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_topic_extent_comes_from_file_statistics(spark, tmp_path):
     from tickwise.plans.common import topic_records
-    from tickwise.sources.topic import append_segment, read_topic
-    from tickwise.streaming.app import waiting_records
+    from tickwise.sources.topic import append_segment, topic_extent
 
     append_segment(topic_records(spark, SF_SMALL), str(tmp_path / "topic"))
-    records = read_topic(spark, path=str(tmp_path / "topic"), streaming=False)
-    waiting = waiting_records(records, {0: 1900, 1: 1500, 2: 1990})
-    got = sorted((r.partition, r.offset) for r in waiting.collect())
-    low = {0: 1900, 1: 1500, 2: 1990}
-    assert got == sorted((r.partition, r.offset) for r in records.collect() if r.offset >= low[r.partition])
-    assert "1500" in waiting._jdf.queryExecution().executedPlan().toString()
+    plan = executed(topic_extent(spark, str(tmp_path / "topic")))
+    assert "PushedAggregation: [COUNT(*), MIN(offset), MAX(offset)]" in plan
+    assert "PushedGroupBy: [topic, partition]" in plan
+
+
+def test_bounded_read_reads_its_ranges(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from tickwise.plans.common import topic_records
+    from tickwise.sources.topic import append_segment, bounded_read, read_topic
+
+    path = str(tmp_path / "topic")
+    append_segment(topic_records(spark, SF_SMALL), path)
+    got = bounded_read(spark, path=path, starting={0: 1900, 1: 1500}, ending={0: 1950})
+    plan = executed(got)
+    for p, bound in ((0, "LessThan(offset,1950)"), (0, "GreaterThanOrEqual(offset,1900)"), (1, "GreaterThanOrEqual(offset,1500)")):
+        scans = [ln for ln in plan.splitlines() if "Scan parquet" in ln or "FileScan" in ln]
+        assert any(f"(partition#" in ln and f" = {p})" in ln and bound in ln for ln in scans), (p, bound, scans)
+    assert "Join" not in plan
+    every = read_topic(spark, path=path, streaming=False)
+    want = every.where(
+        "partition = 2 or partition = 0 and offset >= 1900 and offset < 1950 or partition = 1 and offset >= 1500"
+    )
+    rows = lambda df: sorted((r.partition, r.offset) for r in df.select("partition", F.col("offset")).collect())
+    assert rows(got) == rows(want)

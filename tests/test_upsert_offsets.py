@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from tickwise.operators.offsets import offsets_from_map, topic_lag, topic_ready
 from tickwise.operators.upsert import key_violations, upsert_latest
@@ -102,6 +103,17 @@ def test_interrupted_upserts(spark, tmp_path, monkeypatch):
     assert as_set(again.read()) == {("A", day, 5.0), ("B", day, 7.0), ("C", day2, 3.0)}
 
 
+def test_rate_of_a_far_off_timestamp(spark):
+    """One outlier makes many empty intervals: made in chunks, none is one array."""
+    from tickwise.operators.rates import message_rate
+
+    rows = [(D, 0, 1, "m"), (dt.datetime(2100, 1, 1, tzinfo=dt.timezone.utc), 0, 2, "n")]
+    records = spark.createDataFrame(rows, "timestamp timestamp, partition int, offset bigint, value string")
+    every = message_rate(records, "1 hour", every_interval=True)
+    got = every.agg(F.count("*").alias("n"), F.sum("messages").alias("m"), F.max("interval_start").alias("t")).first()
+    assert (got.n, got.m) == ((rows[1][0] - D.replace(minute=0)).total_seconds() // 3600 + 1, 2)
+
+
 def test_key_violations(spark):
     df = frame(spark, [("A", D, 1.0), ("B", D, 2.0)]).unionByName(frame(spark, [("A", D, 3.0)]))
     rows = key_violations(df).collect()

@@ -29,9 +29,21 @@ def dedup_ticks(
 ) -> DataFrame:
     """``order``: integer columns that rank deliveries; those that ``ticks``
     lacks are left out, and without any the survivor is Spark's choice."""
-    keys = list(keys)
     if ticks.isStreaming:
-        return ticks.dropDuplicatesWithinWatermark(keys)
+        return ticks.dropDuplicatesWithinWatermark(list(keys))
+    return first_deliveries(ticks, keys, order)
+
+
+def first_deliveries(
+    ticks: DataFrame, keys: Sequence[str] = DEDUP_KEYS, order: Sequence[str] = ("offset", "partition")
+) -> DataFrame:
+    """The first delivery per key, by ``order``, in batch and stream alike. In
+    a stream the survivor is kept in state and put out once the watermark has
+    passed its event time (append mode, ``timestamp`` among ``keys``): later
+    than ``dropDuplicatesWithinWatermark``, which takes whichever copy it meets
+    first, but the same whatever the order of arrival. Copies of a hot key
+    collapse inside each input task, so no salt is needed."""
+    keys = list(keys)
     order = [c for c in order if c in ticks.columns]
     if not order:
         return ticks.dropDuplicates(keys)

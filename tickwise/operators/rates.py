@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 RATE_INTERVAL = "60 seconds"
 EXAMPLES = 4
+CHUNK = 10_000  # intervals that are made at a time
 
 
 def message_rate(
@@ -54,7 +55,14 @@ def message_rate(
     if not every_interval:
         return rates
     ends = counts.agg(F.min("interval_start").alias("a"), F.max("interval_start").alias("b")).where("a is not null")
-    every = ends.select(F.explode(F.sequence("a", "b", F.expr(f"interval {interval}"))).alias("interval_start"))
+    # numbered in chunks: a single far-off timestamp makes many rows, but no huge array
+    length = f"unix_micros(timestamp_micros(0) + interval {interval})"
+    numbers = ends.selectExpr("a", f"(unix_micros(b) - unix_micros(a)) div {length} as n").selectExpr(
+        "a", "n", f"explode(sequence(0L, n div {CHUNK})) as c"
+    )
+    every = numbers.selectExpr("a", f"explode(sequence(c * {CHUNK}, least(n, c * {CHUNK} + {CHUNK - 1}))) as i").selectExpr(
+        f"timestamp_micros(unix_micros(a) + i * {length}) as interval_start"
+    )
     return every.join(rates, "interval_start", "left").select(
         "interval_start",
         F.coalesce("messages", F.lit(0)).cast("bigint").alias("messages"),

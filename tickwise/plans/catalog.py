@@ -28,7 +28,7 @@ from tickwise.plans.common import clean_ticks, ntz, parsed, rejects, rounded, ta
 from tickwise.schemas import ENUMS, QUOTE_FIELDS
 from tickwise.session import scratch_path
 from tickwise.plans.events import epoch_millis, event_time, full_quotes, market_hours_code
-from tickwise.sources.topic import append_segment, bounded_read, read_topic
+from tickwise.sources.topic import append_segment, bounded_read, read_topic, topic_extent
 
 # Query parameters (fixed so the SQL oracles can state the same thing).
 WATCHLIST = ("click", "purchase", "view")
@@ -232,7 +232,16 @@ def q_batch_topic_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ntz(df.select("partition", "offset", F.col("value").cast("string").alias("value"), "timestamp"))
 
 
+def q_topic_extent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records, first and end offset of every partition of a stored topic,
+    from the statistics of its files."""
+    path = scratch_path(spark, "topic_extent")
+    append_segment(topic_records(spark, sf_dir), path)
+    return topic_extent(spark, path)
+
+
 QUERIES = {
+    "topic_extent": q_topic_extent,
     "parse_ticks": q_parse_ticks,
     "valid_ticks": q_valid_ticks,
     "rejected_ticks": q_rejected_ticks,

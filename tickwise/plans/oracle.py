@@ -172,6 +172,8 @@ FROM topic GROUP BY 1""",
     + """SELECT e.interval_start, coalesce(messages, 0) AS messages, coalesce(example_offsets, '') AS example_offsets
 FROM (SELECT unnest(generate_series(min(interval_start), max(interval_start), INTERVAL '60 seconds')) AS interval_start FROM rates) e
 LEFT JOIN rates r ON r.interval_start = e.interval_start""",
+    "topic_extent": _with() + """SELECT "partition", count(*) AS records, min("offset") AS first_offset,
+       max("offset") + 1 AS end_offset FROM topic GROUP BY 1""",
     "topic_end_offsets": _with() + """SELECT "partition", max("offset") + 1 AS end_offset FROM topic GROUP BY 1""",
     "topic_lag": _with(*_LAG_CTES) + "SELECT *, lag >= 25 AS ready FROM lag",
     "topic_ready": _with(*_LAG_CTES)

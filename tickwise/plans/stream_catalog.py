@@ -18,15 +18,17 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tickwise.functions.parse import parse_ticks, valid_ticks
 from tickwise.functions.quotes import encode_frames
-from tickwise.operators.dedup import dedup_ticks
+from tickwise.operators.dedup import dedup_ticks, first_deliveries
+from tickwise.operators.live_rate import live_message_rate
 from tickwise.operators.panes import ALLOWED_LATENESS, LATE, ON_TIME, PANE_SCHEMA, paned_mean
 from tickwise.operators.rates import StageTaps
-from tickwise.operators.windows import with_event_time
+from tickwise.operators.windows import tumbling_mean, with_event_time
 from tickwise.plans.common import ntz, rounded, table, topic_records
-from tickwise.plans.oracle import TUMBLING_SQL, _tumbling, _with
+from tickwise.plans.oracle import ORACLE_SQL, TUMBLING_SQL, _tumbling, _with
 from tickwise.session import ROCKSDB_STATE, scratch_path, session_conf
 from tickwise.sinks.keyed_table import KeyedTable
 from tickwise.plans.events import CORRUPT_EVERY, OFFSET_STRIDE, TOPIC_PARTITIONS, epoch_millis, event_time
+from tickwise.sources.state import open_windows
 from tickwise.sources.topic import DEFAULT_TOPIC, append_segment, read_topic
 from tickwise.streaming.app import ready_to_start, run_bridge_job, run_tick_job
 from tickwise.streaming.control import CommittedOffsetLog, RunReadout, run_until_idle
@@ -38,6 +40,7 @@ from tickwise.streaming.jobs import (
     start,
     tick_means,
     upsert_batches,
+    watched_batches,
 )
 
 SEGMENTS = 2
@@ -326,7 +329,81 @@ def _panes_sql(lateness: str) -> str:
     )
 
 
+RATE_SEGMENTS = 3
+COPY_PRICE = 1.5
+# subscriptions before and after the first segment
+WATCHLISTS = (("click", "purchase", "view"), ("purchase", "signup"))
+
+
+def q_stream_message_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages and first examples per minute, as a running monitor last gave
+    them."""
+    qn = _qname("rate")
+
+    def build(stream: DataFrame, base: str) -> StreamingQuery:
+        return start(live_message_rate(stream), name=qn, checkpoint=f"{base}/checkpoint", mode="update", trigger=DRAIN,
+                     foreach_batch=changelog_batches(f"{base}/changes"))
+
+    base = drive(spark, sf_dir, "stream_message_rate", build, segments=RATE_SEGMENTS)
+    return ntz(latest_per_key(spark.read.parquet(f"{base}/changes"), ("interval_start",)))
+
+
+def _priced_copies(records: DataFrame) -> list[DataFrame]:
+    """The topic in two segments; second deliveries carry another price."""
+    copy = F.col("offset") % OFFSET_STRIDE == 1
+    text = F.regexp_replace(F.col("value").cast("string"), '"price":[^,}]*', f'"price":{COPY_PRICE}')
+    priced = records.withColumn("value", F.when(copy, text.cast("binary")).otherwise(F.col("value")))
+    return [_segment(priced, i, SEGMENTS) for i in range(SEGMENTS)]
+
+
+def q_stream_dedup_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first delivery of every tick whose time the watermark has passed,
+    though copies carry other prices."""
+    qn = _qname("first")
+
+    def build(stream: DataFrame, base: str) -> StreamingQuery:
+        ticks = with_event_time(valid_ticks(parse_ticks(stream)), "timestamp")
+        return start(first_deliveries(ticks), name=qn, checkpoint=f"{base}/checkpoint", mode="append", trigger=DRAIN,
+                     sink="parquet", path=f"{base}/ticks")
+
+    base = drive(spark, sf_dir, "stream_dedup_first", build, parts=_priced_copies)
+    return ntz(spark.read.parquet(f"{base}/ticks"))
+
+
+def q_stream_watchlist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticks of subscribed symbols; the subscription changes after the first
+    segment."""
+    qn, runs = _qname("watched"), []
+
+    def build(stream: DataFrame, base: str) -> StreamingQuery:
+        symbols = [(s,) for s in WATCHLISTS[len(runs)]]
+        runs.append(base)
+        spark.createDataFrame(symbols, "stock_ticker string").write.mode("overwrite").parquet(f"{base}/symbols")
+        sink = watched_batches(f"{base}/symbols", changelog_batches(f"{base}/ticks"))
+        return start(valid_ticks(parse_ticks(stream)), name=qn, checkpoint=f"{base}/checkpoint", mode="append", trigger=DRAIN,
+                     foreach_batch=sink)
+
+    base = drive(spark, sf_dir, "stream_watchlist", build)
+    return ntz(spark.read.parquet(f"{base}/ticks").drop("batch_id"))
+
+
+def q_stream_state_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows that are still open after draining, read from the state."""
+    qn = _qname("state")
+
+    def build(stream: DataFrame, base: str) -> StreamingQuery:
+        ticks = with_event_time(valid_ticks(parse_ticks(stream)).select("stock_ticker", "timestamp", "price"), "timestamp")
+        return start(tumbling_mean(ticks), name=qn, checkpoint=f"{base}/checkpoint", mode="append", trigger=DRAIN, sink="noop")
+
+    base = drive(spark, sf_dir, "stream_state_keys", build)
+    return ntz(rounded(open_windows(spark, f"{base}/checkpoint"), "price"))
+
+
 STREAM_QUERIES = {
+    "stream_message_rate": q_stream_message_rate,
+    "stream_dedup_first": q_stream_dedup_first,
+    "stream_watchlist": q_stream_watchlist,
+    "stream_state_keys": q_stream_state_keys,
     "stream_panes": q_stream_panes,
     "stream_allowed_lateness": q_stream_allowed_lateness,
     "stream_tumbling_mean": q_stream_tumbling_mean,
@@ -341,7 +418,24 @@ STREAM_QUERIES = {
     "stream_committed_offsets": q_stream_committed_offsets,
 }
 
+_VALID = 'stock_ticker, "timestamp", price, "partition", "offset"'
+_LISTS = [", ".join(f"'{s}'" for s in symbols) for symbols in WATCHLISTS]
+
 STREAM_ORACLES = {
+    "stream_message_rate": ORACLE_SQL["message_rate"],
+    "stream_dedup_first": _with()
+    + f"""SELECT stock_ticker, "timestamp", arg_min(p, "offset") AS price, arg_min("partition", "offset") AS "partition",
+       min("offset") AS "offset"
+FROM (SELECT *, CASE WHEN "offset" % 2 = 1 THEN CAST({COPY_PRICE} AS FLOAT) ELSE price END AS p FROM valid)
+WHERE "timestamp" <= (SELECT max("timestamp") FROM valid) - INTERVAL 15 MINUTES GROUP BY 1, 2""",
+    "stream_watchlist": _with("""half AS (SELECT floor((max("offset") + 1) * 1 / 2) AS h FROM topic)""")
+    + f"""SELECT {_VALID} FROM valid, half WHERE "offset" < h AND stock_ticker IN ({_LISTS[0]})
+UNION ALL SELECT {_VALID} FROM valid, half WHERE "offset" >= h AND stock_ticker IN ({_LISTS[1]})""",
+    "stream_state_keys": _with()
+    + """SELECT * FROM (
+  SELECT stock_ticker, time_bucket(INTERVAL '5 minutes', "timestamp") + INTERVAL '5 minutes' AS "timestamp",
+         round(avg(CAST(price AS DOUBLE)), 6) AS price, count(*) AS rows FROM valid GROUP BY 1, 2)
+WHERE "timestamp" > (SELECT max("timestamp") FROM valid) - INTERVAL 15 MINUTES""",
     "stream_panes": _panes_sql("30 days")
     + """SELECT stock_ticker, w AS "timestamp", round(price, 6) AS price, n AS rows, pane, CAST(i AS INTEGER) AS pane_index FROM panes""",
     "stream_allowed_lateness": _panes_sql(STREAM_LATENESS)

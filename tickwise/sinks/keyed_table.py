@@ -7,7 +7,8 @@ plain Spark writes:
 1. the updates are stored under ``incoming``, by date: the folder names are the
    touched dates;
 2. the rows of these dates that no update replaces (an anti join on the keys)
-   and the updates are stored under ``staged``;
+   and the updates are stored under ``staged`` (updates of dates that the table
+   does not have need no such step);
 3. ``staged`` replaces the touched dates of ``data`` by a dynamic partition
    overwrite.
 
@@ -78,7 +79,8 @@ class KeyedTable:
             if known:
                 name = F.coalesce(F.col(PARTITION_COLUMN).cast("string"), F.lit(NO_DATE))
                 old = self.read(with_partition=True).where(name.isin(known))
-                new = old.join(new.select(*self.keys), self.keys, "left_anti").unionByName(new)
-            self._write(new, self.staged, "static")
-            self._publish()
+                self._write(old.join(new.select(*self.keys), self.keys, "left_anti").unionByName(new), self.staged, "static")
+                self._publish()
+            else:
+                self._write(new, self.data, "dynamic")
         delete_path(self.spark, self.incoming)

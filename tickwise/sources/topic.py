@@ -1,9 +1,11 @@
 """Topic sources: Kafka when its connector is on the classpath, otherwise a
 file-backed topic with the same record layout (``TOPIC_SCHEMA``).
 
-A file-backed topic is a Parquet folder partitioned by ``partition``. Each
-append is one "segment" of the log; a streaming reader picks segments up in
-commit order, which is how a producer appends to a topic.
+A file-backed topic is a Parquet folder partitioned by ``topic`` and
+``partition``, records in offset order. Each append is one "segment" of the log;
+a streaming reader picks segments up in commit order, which is how a producer
+appends to a topic. Offset ranges are read from the row groups that hold them,
+and end offsets from the files' statistics.
 """
 
 from __future__ import annotations
@@ -16,8 +18,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickwise.schemas import TOPIC_SCHEMA
+from tickwise.session import ensure_utc
 
 DEFAULT_TOPIC = "data_stream"
+FOLDERS = ("topic", "partition")
 
 
 # ---------------------------------------------------------------------------
@@ -74,8 +78,9 @@ def bounded_read(
     Partitions that a map leaves out are read from the beginning or to the
     end. For Kafka the ranges become ``startingOffsets`` / ``endingOffsets``
     JSON (-2 and -1 stand for a partition's beginning and end; the source wants
-    every partition of the topic named in one map or the other). For files one
-    scan is joined with the table of ranges, one row a named partition.
+    every partition of the topic named in one map or the other). Of files, each
+    named partition is a scan of its own folder with its bounds pushed to the
+    row groups, and the others are one scan without a bound.
     """
     starting, ending = dict(starting or {}), dict(ending or {})
     parts = sorted({int(p) for p in (*starting, *ending)})
@@ -87,13 +92,29 @@ def bounded_read(
             opts["endingOffsets"] = json.dumps({topic: {str(p): ending.get(p, -1) for p in parts}})
         return read_topic(spark, fmt="kafka", topic=topic, streaming=False, options=opts)
     df = read_topic(spark, fmt=fmt, path=path, topic=topic, streaming=False, options=options)
-    if not parts:
-        return df
-    rows = [(p, starting.get(p), ending.get(p)) for p in parts]
-    ranges = spark.createDataFrame(rows, "partition int, low bigint, high bigint")
-    low, high = F.coalesce("low", "offset"), F.coalesce("high", F.col("offset") + 1)
-    out = df.join(F.broadcast(ranges), "partition", "left")  # one row a topic partition
-    return out.where((F.col("offset") >= low) & (F.col("offset") < high)).select(*df.columns)
+    out = df.where(~F.col("partition").isin(parts)) if parts else df
+    for p in parts:  # one a topic partition
+        ranged = df.where(F.col("partition") == p)
+        if p in starting:
+            ranged = ranged.where(F.col("offset") >= starting[p])
+        if p in ending:
+            ranged = ranged.where(F.col("offset") < ending[p])
+        out = out.unionAll(ranged)
+    return out
+
+
+def topic_extent(spark: SparkSession, path: str, topic: str = DEFAULT_TOPIC) -> DataFrame:
+    """``partition, records, first_offset, end_offset`` of a file-backed topic,
+    one row a partition. Parquet keeps counts and bounds of a column in a
+    file's footer; with Spark's aggregate push-down no record is read. The
+    settings are those of a session of its own, which shares the context."""
+    own = spark.newSession()
+    ensure_utc(own)
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    records = own.read.schema(TOPIC_SCHEMA).parquet(path).where(F.col("topic") == topic)
+    extent = records.groupBy(*FOLDERS).agg(F.count(F.lit(1)).alias("records"), F.min("offset").alias("low"), F.max("offset").alias("high"))
+    return extent.select("partition", "records", F.col("low").alias("first_offset"), (F.col("high") + 1).alias("end_offset"))
 
 
 # ---------------------------------------------------------------------------
@@ -103,8 +124,9 @@ def append_segment(records: DataFrame, path: str) -> None:
     """Append one log segment to a file-backed topic."""
     (
         records.select(*TOPIC_SCHEMA.fieldNames())
+        .sortWithinPartitions(*FOLDERS, "offset")
         .write.mode("append")
-        .partitionBy("partition")
+        .partitionBy(*FOLDERS)
         .parquet(path)
     )
 
@@ -149,7 +171,7 @@ def publish_stream(
     elif path is None:
         raise ValueError("a file-backed topic needs a path")
     else:
-        w = records.select(*TOPIC_SCHEMA.fieldNames()).writeStream.format("parquet").partitionBy("partition").option("path", path)
+        w = records.select(*TOPIC_SCHEMA.fieldNames()).writeStream.format("parquet").partitionBy(*FOLDERS).option("path", path)
     for k, v in (options or {}).items():
         w = w.option(k, v)
     if trigger:

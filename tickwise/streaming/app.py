@@ -15,7 +15,7 @@ from tickwise.operators.offsets import START_THRESHOLD, end_offsets, topic_lag,
 from tickwise.operators.windows import WATERMARK, WINDOW
 from tickwise.session import path_exists
 from tickwise.sinks.keyed_table import KeyedTable
-from tickwise.sources.topic import DEFAULT_TOPIC, publish_stream, read_topic
+from tickwise.sources.topic import DEFAULT_TOPIC, publish_stream, read_topic, topic_extent
 from tickwise.streaming.control import (
     IDLE_STOP_SECONDS,
     POLL_SECONDS,
@@ -130,20 +130,6 @@ def waiting_options(committed: Mapping[int, int], topic: str, options: Mapping[s
     return opts
 
 
-def waiting_records(records: DataFrame, committed: Mapping[int, int]) -> DataFrame:
-    """Records behind the committed offsets. The lowest of them is a plain
-    bound on ``offset`` that reaches the Parquet reader, as long as no
-    partition lacks one; the exact bound of each partition follows."""
-    if not committed:
-        return records
-    low = F.lit(None).cast("bigint")
-    for p, o in sorted(committed.items()):  # one term a topic partition
-        low = F.when(F.col("partition") == p, F.lit(o)).otherwise(low)
-    known = F.col("partition").isin([int(p) for p in committed])
-    bound = F.col("offset") >= F.lit(min(committed.values()))
-    return records.where(~known | bound).where(~known | (F.col("offset") >= low))
-
-
 def ready_to_start(
     spark: SparkSession,
     *,
@@ -156,20 +142,22 @@ def ready_to_start(
     threshold: int = START_THRESHOLD,
 ) -> DataFrame:
     """One-row readiness of a topic against the job's committed offsets
-    (``ready, total_lag, partitions_ready, partitions``). Only records behind
-    the committed offsets are read; a partition without any has no lag."""
+    (``ready, total_lag, partitions_ready, partitions``). From Kafka only records
+    behind the committed offsets are read, of Parquet files none; a
+    partition without any has no lag."""
     committed = None
     if path_exists(spark, offsets_path):
         committed = CommittedOffsetLog(spark, offsets_path, query=name, topic=topic).read()
     known = {} if committed is None else {r["partition"]: r["committed_offset"] for r in committed.collect()}
-    if source_format == "kafka":
-        options = waiting_options(known, topic, source_options)
-        records = read_topic(spark, fmt="kafka", topic=topic, streaming=False, options=options)
-    else:
-        records = read_topic(spark, fmt=source_format, path=source_path, topic=topic, streaming=False, options=source_options)
+    if source_format != "parquet":
+        options = waiting_options(known, topic, source_options) if source_format == "kafka" else source_options
+        records = read_topic(spark, fmt=source_format, path=source_path, topic=topic, streaming=False, options=options)
+        ends = end_offsets(records)
+    else:  # one row a topic partition, from the files' statistics
+        found = topic_extent(spark, source_path, topic).select("partition", "end_offset").collect()
+        ends = spark.createDataFrame([(r.partition, r.end_offset) for r in found], "partition int, end_offset bigint")
     rows = [(int(p), int(o)) for p, o in sorted(known.items())]
     committed = spark.createDataFrame(rows, "partition int, committed_offset bigint")
-    ends = end_offsets(waiting_records(records, known))
     seen = committed.select("partition", F.col("committed_offset").alias("end_offset"))
     ends = ends.unionByName(seen).groupBy("partition").agg(F.max("end_offset").alias("end_offset"))
     return topic_ready(topic_lag(ends, committed, threshold=threshold), threshold=threshold)

@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tickwise.functions.parse import parse_ticks, valid_ticks
 from tickwise.operators.dedup import DEDUP_KEYS, dedup_ticks
+from tickwise.operators.filters import watchlist
 from tickwise.operators.windows import WATERMARK, WINDOW, tumbling_mean, with_event_time
 from tickwise.sinks.keyed_table import KeyedTable
 
@@ -149,6 +150,21 @@ def tee_batches(
     return fn
 
 
+def watched_batches(
+    list_path: str, write: Callable[[DataFrame, int], None], *, key: str = "stock_ticker"
+) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function: only rows whose ``key`` is on the list go on
+    to ``write``. The list is a Parquet folder with a column ``key``, read anew
+    for each micro-batch, so a change of the subscription holds from the next
+    micro-batch on, without a restart."""
+
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        symbols = batch.sparkSession.read.schema(f"`{key}` string").parquet(list_path)
+        write(watchlist(batch, symbols, key=key), batch_id)
+
+    return fn
+
+
 def changelog_batches(path: str) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function: append each micro-batch with its id to a
     Parquet change log (one folder per batch id, overwritten on replay, so
