@@ -76,7 +76,9 @@ def test_disguises_map_back_to_the_source(text, kind, found):
 
 @pytest.mark.parametrize(
     "text",
-    ["look at the dot", "look at www.example.com", "see it at example.org now", "3 point 5", "cat-at-home", "dot dot dot", "a_dot_b", "one two three four five", "meet at noon dot", "version 1.2.3", "état à l'école, n° 5", "αβγ и кириллица", "at [x] (y)"],
+    ["look at the dot", "look at www.example.com", "see it at example.org now", "3 point 5", "cat-at-home", "dot dot dot", "a_dot_b", "one two three four five", "meet at noon dot", "version 1.2.3", "état à l'école, n° 5", "αβγ и кириллица", "at [x] (y)",
+     "We arrived at this point the team left.", "He stopped at that point in time", "Look at this dot in the picture", "We met at gate point seven",
+     "he looked at each dot and line", "she is at home dot"],
 )
 def test_clean_text_stays(text):
     assert plain_spans(text) == [] and added_spans(text, []) == [] and mask(text) == text
@@ -114,6 +116,8 @@ def test_tables(spark):
         ("card 4111 1111 1111 1111 two days", "card <CARD> two days"),
         ("4111 1111 1111 112 one", "4111 1111 1111 112 one"),
         ("we met at noon dot three 3 one", "we met at noon dot three 3 one"),
+        ("jo arroba correo punto es", "<EMAIL>"),
+        ("write jo@ex.com point taken", "write <EMAIL> point taken"),
     ],
 )
 def test_common_disguises_are_masked(text, masked):

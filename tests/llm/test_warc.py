@@ -46,6 +46,17 @@ def test_repeated_rows_are_captures_of_their_own(spark):
     ]
 
 
+def test_copies_with_and_without_an_id(spark):
+    """Pages without an id are no original; they revisit the smallest id."""
+    body = "z" * 200
+    got = captures(spark, [(None, "u", body), (2, "u", body), (1, "u", body)]).collect()
+    assert sorted((r.metadata.capture_key or "", r.response.type, r.original or "") for r in got) == [
+        ("", "revisit", "1"), ("1", "response", ""), ("2", "revisit", "1"),
+    ]
+    got = captures(spark, [(None, "u", body), (None, "u", body)]).collect()
+    assert [r.response.type for r in got] == ["response", "response"]
+
+
 def test_no_pages(spark):
     assert captures(spark, []).count() == 0
 

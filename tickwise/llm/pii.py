@@ -151,14 +151,24 @@ _BOXED = re.compile(
     rf"|\{{\s?(?:(?:{_AT}|@)|(?:{_DOT}|\.))\s?\}}|<\s?(?:(?:{_AT}|@)|(?:{_DOT}|\.))\s?>)\s{{0,3}}",
     re.IGNORECASE,
 )
+# Top-level labels that are no common word of the corpus
+# languages. A spoken "at" counts only before a domain that ends in one.
+TOP_LABELS = frozenset(
+    "com net org edu gov mil int info biz pro app dev xyz online site shop tech cloud io ai co tv eu uk de fr ch nl pl cz ru cn"
+    " jp kr br mx ca au nz za se dk fi ie pt gr tr hu ro ua example test invalid local localhost".split()
+)
 # Spoken signs between words: both must be there, "at" alone is plain prose.
 _BETWEEN = r"(?:\s{1,3}|[-_])"
+_LABELS = r"[A-Za-z0-9]+(?:[.-][A-Za-z0-9]+)*"
 _SPOKEN = re.compile(
-    rf"(?<=[A-Za-z0-9_%+-]){_BETWEEN}(?:{_AT}){_BETWEEN}(?=[A-Za-z0-9]+(?:[.-][A-Za-z0-9]+){{0,126}}?{_BETWEEN}(?:{_DOT}){_BETWEEN}[A-Za-z])",
+    rf"(?<=[A-Za-z0-9_%+-]){_BETWEEN}(?:(at)|arroba){_BETWEEN}(?=[A-Za-z0-9]+(?:[.-][A-Za-z0-9]+){{0,126}}?{_BETWEEN}(?:{_DOT}){_BETWEEN}[A-Za-z])",
     re.IGNORECASE,
 )
+# What follows a spoken "at": labels and spoken dots, the last label apart.
+_SPOKEN_DOMAIN = re.compile(rf"{_LABELS}(?:{_BETWEEN}dot{_BETWEEN}(?:[A-Za-z0-9]+[.-])*([A-Za-z0-9]+))+", re.IGNORECASE)
 # A word of a domain up to a spoken dot.
-_DOMAIN_WORD = re.compile(
+_DOMAIN_WORD = re.compile(rf"[A-Za-z0-9]+(?:[.-][A-Za-z0-9]+)*?({_BETWEEN}dot{_BETWEEN})(?=[A-Za-z0-9])", re.IGNORECASE)
+_DOMAIN_WORD_ANY = re.compile(
     rf"[A-Za-z0-9]+(?:[.-][A-Za-z0-9]+)*?({_BETWEEN}(?:{_DOT}){_BETWEEN})(?=[A-Za-z0-9])", re.IGNORECASE
 )
 # A spoken dot between a word and the local part that ends the text.
@@ -243,24 +253,40 @@ def rewrite(text: str, loose: bool = False) -> Rewritten:
         r.replace([(m.start(), m.end(), _spell(m)) for m in _LOOSE.finditer(r.text)])
     r.replace([(m.start(), m.end(), ".") for m in _NUMBER_DOT.finditer(r.text)])
     r.replace([(m.start(), m.end(), "@" if re.search(rf"{_AT}|@", m[0], re.IGNORECASE) else ".") for m in _BOXED.finditer(r.text)])
-    r.replace([(m.start(), m.end(), "@") for m in _SPOKEN.finditer(r.text)])
+    r.replace([(m.start(), m.end(), "@") for m in _SPOKEN.finditer(r.text) if not m[1] or _is_domain(r.text, m.end())])
     if "@" in r.text:
         edits, at = [], 0
         for sign in re.finditer("@", r.text):
             a, b = r.span(*sign.span())
             edits += _local_dots(r.text, at, sign.start(), b - a > 1)
             at = max(at, sign.end())
-            while dot := _DOMAIN_WORD.match(r.text, at):
+            word = _DOMAIN_WORD_ANY if "arroba" in text[a:b].lower() else _DOMAIN_WORD
+            while dot := word.match(r.text, at):
                 edits.append((*dot.span(1), "."))
                 at = dot.end()
         r.replace(edits)
     return r
 
 
+def _is_domain(text: str, at: int) -> bool:
+    """A spoken domain that ends in a known label starts at ``at``."""
+    m = _SPOKEN_DOMAIN.match(text, at)
+    return m is not None and m[1].lower() in TOP_LABELS
+
+
+_TOKEN = re.compile(r"[^\W_]+")
+_DOT_WORDS = frozenset(f"{_DOT}|arroba".split("|"))
+_OPENERS = re.compile(r"[\[({<&]")
+
+
 def _disguised(text: str) -> bool:
     if not text.isascii() and _ODD.search(text):
         return True
-    return bool(_HINT.search(text) or _SPELLED.search(text) or _LOOSE.search(text))
+    # the patterns are tried only where the words that they need are there
+    words = set(_TOKEN.findall(text.lower()))
+    if (not words.isdisjoint(_DOT_WORDS) or _OPENERS.search(text)) and _HINT.search(text):
+        return True
+    return not words.isdisjoint(NUMBERS) and bool(_SPELLED.search(text) or _LOOSE.search(text))
 
 
 def added_spans(text: str, plain: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:

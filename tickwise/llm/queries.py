@@ -232,8 +232,9 @@ with digests as (
     select *, min(page_id) over (partition by payload_digest) as first_id from digests
 )
 select page_id, payload_bytes, payload_digest,
-    case when payload_bytes >= 100 and page_id <> first_id then 'revisit' else 'response' end as record_type,
-    case when payload_bytes >= 100 and page_id <> first_id then first_id end as refers_to
+    case when payload_bytes >= 100 and first_id is not null and page_id is distinct from first_id
+        then 'revisit' else 'response' end as record_type,
+    case when payload_bytes >= 100 and page_id is distinct from first_id then first_id end as refers_to
 from firsts
 """,
     "op7_url_filters": f"""

@@ -105,8 +105,8 @@ def write_archives(
     firsts = (
         rows.where(F.col("n") >= min_revisit_bytes)
         .groupBy("digest")
-        .agg(F.min(F.struct("id", "row")).alias("first"), F.count(F.lit(1)).alias("copies"))
-        .where("copies > 1 and first.id is not null")
+        .agg(F.min(F.when(F.col("id").isNotNull(), F.struct("id", "row"))).alias("first"), F.count(F.lit(1)).alias("copies"))
+        .where("copies > 1 and first is not null")
         .select("digest", "first")
     )
     rows = rows.join(firsts, "digest", "left")
