@@ -28,6 +28,22 @@ def drain(df, base, mode, **how):
         writer.format(how.get("sink", "parquet")).start(f"{base}/out").awaitTermination()
 
 
+def test_no_progress_is_missed_between_two_polls(spark, tmp_path):
+    """More micro-batches than a query remembers, seen by one poll at the end."""
+    from tickwise.streaming.control import RunReadout, run_until_idle
+    from tickwise.streaming.jobs import start
+
+    n = 110
+    spark.range(n).repartitionByRange(n, "id").write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema("id bigint").option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    readout = RunReadout()
+    q = start(stream, name="many", checkpoint=f"{tmp_path}/c", mode="append", trigger={"availableNow": True}, sink="noop")
+    assert run_until_idle(q, poll_seconds=600, on_progress=readout.on_progress) == "finished"
+    assert len(q.recentProgress) <= 100
+    assert readout.input_rows == n and [b for b, _ in readout.batch_rows] == list(range(len(readout.batch_rows)))
+    assert len(readout.batch_rows) > 100
+
+
 def test_rate_keeps_a_bounded_number_of_messages(spark, tmp_path):
     """A minute that is delivered in three batches, newest first, and one that
     many messages share."""

@@ -12,7 +12,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -25,6 +25,7 @@ from tickwise.operators.rates import StageTaps
 from tickwise.operators.windows import tumbling_mean, with_event_time
 from tickwise.plans.common import ntz, rounded, table, topic_records
 from tickwise.plans.oracle import ORACLE_SQL, TUMBLING_SQL, _tumbling, _with
+from tickwise.schemas import TOPIC_SCHEMA
 from tickwise.session import ROCKSDB_STATE, scratch_path, session_conf
 from tickwise.sinks.keyed_table import KeyedTable
 from tickwise.plans.events import CORRUPT_EVERY, OFFSET_STRIDE, TOPIC_PARTITIONS, epoch_millis, event_time
@@ -399,7 +400,29 @@ def q_stream_state_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ntz(rounded(open_windows(spark, f"{base}/checkpoint"), "price"))
 
 
+COUNT_SEGMENTS = 6
+
+
+def q_stream_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and running total of every micro-batch, from the progress that
+    Spark posts; polled only once, when all batches are done."""
+    readout = RunReadout()
+    base = scratch_path(spark, "stream_batch_counts")
+    records = topic_records(spark, sf_dir)
+    for i in range(COUNT_SEGMENTS):
+        # one file a segment, so that a segment is a micro-batch
+        _segment(records, i, COUNT_SEGMENTS).coalesce(1).write.mode("append").parquet(f"{base}/topic/segment={i}")
+    stream = spark.readStream.schema(TOPIC_SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{base}/topic")
+    q = start(valid_ticks(parse_ticks(stream)), name=_qname("counts"), checkpoint=f"{base}/checkpoint", mode="append",
+              trigger=DRAIN, sink="noop")
+    run_until_idle(q, max_idle_seconds=3600, poll_seconds=600, on_progress=readout.on_progress)
+    rows = spark.createDataFrame(readout.batch_rows, "batch_id bigint, rows bigint")
+    so_far = Window.orderBy("batch_id")  # one row a micro-batch
+    return rows.select("batch_id", "rows", F.sum("rows").over(so_far).alias("total_rows"))
+
+
 STREAM_QUERIES = {
+    "stream_batch_counts": q_stream_batch_counts,
     "stream_message_rate": q_stream_message_rate,
     "stream_dedup_first": q_stream_dedup_first,
     "stream_watchlist": q_stream_watchlist,
@@ -422,6 +445,11 @@ _VALID = 'stock_ticker, "timestamp", price, "partition", "offset"'
 _LISTS = [", ".join(f"'{s}'" for s in symbols) for symbols in WATCHLISTS]
 
 STREAM_ORACLES = {
+    "stream_batch_counts": _with(f"""segments AS (
+  SELECT len(list_filter(range(1, {COUNT_SEGMENTS}), lambda i: floor(top * i / {COUNT_SEGMENTS}) <= "offset")) AS s
+  FROM topic, (SELECT max("offset") + 1 AS top FROM topic))""")
+    + """SELECT row_number() OVER (ORDER BY s) - 1 AS batch_id, count(*) AS rows,
+       CAST(sum(count(*)) OVER (ORDER BY s) AS BIGINT) AS total_rows FROM segments GROUP BY s""",
     "stream_message_rate": ORACLE_SQL["message_rate"],
     "stream_dedup_first": _with()
     + f"""SELECT stock_ticker, "timestamp", arg_min(p, "offset") AS price, arg_min("partition", "offset") AS "partition",

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickwise.session import path_exists
-from tickwise.sources.topic import read_topic
+from tickwise.sources.topic import topic_extent
 
 _ID = r"^([0-9]+)$"
 
@@ -80,15 +80,10 @@ def source_files(spark: SparkSession, checkpoint: str, *, after: int = -1, upto:
 def file_topic_offsets(spark: SparkSession, checkpoint: str, topic_path: str, topic: str, *, after: int = -1, upto: int) -> DataFrame:
     """Next offset per partition (``partition, committed_offset``) behind the
     records of a file-backed topic that those batches read: whatever
-    partitions the files hold. Only the offset column of these files is read."""
-    files = source_files(spark, checkpoint, after=after, upto=upto).select(F.url_decode(_name("file")).alias("name")).distinct()
-    records = read_topic(spark, path=topic_path, topic=topic, streaming=False, with_file=True)
-    seen = records.select("partition", "offset", F.url_decode(_name("file")).alias("name")).join(files, "name", "left_semi")
-    return seen.groupBy("partition").agg((F.max("offset") + 1).alias("committed_offset"))
-
-
-def _name(column: str):
-    """Last two parts of a path: the partition folder and the file, which are
-    the same however the path's scheme is written."""
-    parts = F.split(F.col(column), "/")
-    return F.concat_ws("/", F.try_element_at(parts, F.lit(-2)), F.try_element_at(parts, F.lit(-1)))
+    partitions the files hold. The reader is given these files and takes the
+    maximum from their footers, so neither other files nor any record is read."""
+    named = source_files(spark, checkpoint, after=after, upto=upto).select(F.url_decode("file").alias("file")).distinct()
+    files = [r.file for r in named.collect()]  # names only, of the files since the last snapshot
+    if not files:
+        return spark.createDataFrame([], "partition int, committed_offset bigint")
+    return topic_extent(spark, topic_path, topic, files=files).select("partition", F.col("end_offset").alias("committed_offset"))

@@ -11,7 +11,7 @@ and end offsets from the files' statistics.
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,10 +35,8 @@ def read_topic(
     topic: str = DEFAULT_TOPIC,
     streaming: bool = True,
     options: Mapping[str, str] | None = None,
-    with_file: bool = False,
 ) -> DataFrame:
-    """Read a topic as a (streaming) DataFrame of topic records; of a file-backed
-    topic ``with_file`` adds the column ``file``, the path of the record's file.
+    """Read a topic as a (streaming) DataFrame of topic records.
 
     ``fmt="kafka"`` passes ``options`` straight to the Kafka source
     (``kafka.bootstrap.servers``, ``startingOffsets``, ``maxOffsetsPerTrigger``,
@@ -59,8 +57,7 @@ def read_topic(
     for k, v in opts.items():
         reader = reader.option(k, v)
     df = reader.load(path)
-    extra = [F.col("_metadata.file_path").alias("file")] if with_file else []
-    return df.select(*TOPIC_SCHEMA.fieldNames(), *extra).where(F.col("topic") == topic)
+    return df.select(*TOPIC_SCHEMA.fieldNames()).where(F.col("topic") == topic)
 
 
 def bounded_read(
@@ -103,16 +100,17 @@ def bounded_read(
     return out
 
 
-def topic_extent(spark: SparkSession, path: str, topic: str = DEFAULT_TOPIC) -> DataFrame:
+def topic_extent(spark: SparkSession, path: str, topic: str = DEFAULT_TOPIC, *, files: Sequence[str] | None = None) -> DataFrame:
     """``partition, records, first_offset, end_offset`` of a file-backed topic,
-    one row a partition. Parquet keeps counts and bounds of a column in a
+    or of some of its ``files``, one row a partition. Parquet keeps counts and bounds of a column in a
     file's footer; with Spark's aggregate push-down no record is read. The
     settings are those of a session of its own, which shares the context."""
     own = spark.newSession()
     ensure_utc(own)
     own.conf.set("spark.sql.sources.useV1SourceList", "")
     own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
-    records = own.read.schema(TOPIC_SCHEMA).parquet(path).where(F.col("topic") == topic)
+    reader = own.read.schema(TOPIC_SCHEMA).option("basePath", path)
+    records = reader.parquet(*(files or [path])).where(F.col("topic") == topic)
     extent = records.groupBy(*FOLDERS).agg(F.count(F.lit(1)).alias("records"), F.min("offset").alias("low"), F.max("offset").alias("high"))
     return extent.select("partition", "records", F.col("low").alias("first_offset"), (F.col("high") + 1).alias("end_offset"))
 

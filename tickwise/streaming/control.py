@@ -8,12 +8,15 @@ micro-batch), never over data.
 from __future__ import annotations
 
 import json
+import threading
 import time
+from collections import deque
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tickwise.session import delete_path, list_names
 from tickwise.sources.checkpoint import file_topic_offsets
@@ -30,6 +33,67 @@ def _progress_dict(p) -> dict:
     return dict(p)
 
 
+class ProgressFeed(StreamingQueryListener):
+    """Progress records of named queries, as Spark posts them. A query keeps
+    only its newest 100 records, so polling it can miss some; events cannot be
+    missed. One feed a session; it holds what was not fetched yet."""
+
+    def __init__(self) -> None:
+        self._new: dict[str, deque[dict]] = {}
+        self._ended: dict[str, threading.Event] = {}
+        self._runs: dict[str, str] = {}
+
+    def expect(self, name: str) -> None:
+        """Collect the records of the query that starts next under ``name``."""
+        self._new[name], self._ended[name] = deque(), threading.Event()
+
+    def expects(self, name: str | None) -> bool:
+        return name in self._new
+
+    def fetch(self, name: str) -> list[dict]:
+        """Records that came since the last call, oldest first."""
+        waiting = self._new[name]
+        return [waiting.popleft() for _ in range(len(waiting))]
+
+    def wait_for_end(self, name: str, seconds: float = 30.0) -> None:
+        """The end of a query is posted after its last record."""
+        self._ended[name].wait(seconds)
+
+    def release(self, name: str) -> None:
+        self._new.pop(name, None)
+        self._ended.pop(name, None)
+
+    def onQueryStarted(self, event) -> None:
+        if event.name in self._new:
+            self._runs[str(event.runId)] = event.name
+
+    def onQueryProgress(self, event) -> None:
+        waiting = self._new.get(event.progress.name)
+        if waiting is not None:
+            waiting.append(json.loads(event.progress.json))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        ended = self._ended.get(self._runs.pop(str(event.runId), None))
+        if ended is not None:
+            ended.set()
+
+
+_feeds: dict[str, ProgressFeed] = {}
+
+
+def progress_feed(spark: SparkSession) -> ProgressFeed:
+    """The session's feed, made and registered on first use."""
+    app = spark.sparkContext.applicationId
+    if app not in _feeds:
+        _feeds.clear()
+        _feeds[app] = ProgressFeed()
+        spark.streams.addListener(_feeds[app])
+    return _feeds[app]
+
+
 def run_until_idle(
     query: StreamingQuery,
     *,
@@ -37,29 +101,51 @@ def run_until_idle(
     poll_seconds: float = POLL_SECONDS,
     on_progress: Callable[[dict], None] | None = None,
     clock: Callable[[], float] = time.monotonic,
+    feed: ProgressFeed | None = None,
 ) -> str:
-    """Poll the query; stop it once no batch has read input for
-    ``max_idle_seconds``. Every new progress record (by batch id) is handed
-    to ``on_progress`` exactly once. Returns why the loop ended."""
+    """Watch the query; stop it once no batch has read input for
+    ``max_idle_seconds``. Every progress record is handed to ``on_progress``
+    exactly once, in order: from ``feed`` where the query was started with it
+    (``jobs.start`` does), otherwise from the query's newest records. Returns
+    why the loop ended."""
     last_input = clock()
-    seen: set[tuple[int, str]] = set()
+    last_batch: tuple[int, str] = (-1, "")
+    if feed is None and isinstance(query, StreamingQuery):
+        feed = next((f for f in _feeds.values() if f.expects(query.name)), None)
+
+    def records() -> list[dict]:
+        nonlocal last_batch
+        if feed is not None:
+            return feed.fetch(query.name)
+        new = []
+        for d in map(_progress_dict, query.recentProgress):
+            ident = (d.get("batchId", -1), d.get("timestamp", ""))
+            if ident > last_batch:
+                new.append(d)
+                last_batch = ident
+        return new
 
     def drain() -> bool:
         """Hand over what is new; whether it had input."""
         had_input = False
-        for p in query.recentProgress:
-            d = _progress_dict(p)
-            ident = (d.get("batchId", -1), d.get("timestamp", ""))
-            if ident in seen:
-                continue
-            seen.add(ident)
+        for d in records():
             if on_progress is not None:
                 on_progress(d)
             had_input = had_input or d.get("numInputRows", 0) > 0
         return had_input
 
+    def finish() -> None:
+        if feed is not None:
+            feed.wait_for_end(query.name)
+        drain()
+        if feed is not None:
+            feed.release(query.name)
+
     while query.isActive:
-        query.awaitTermination(poll_seconds)
+        try:
+            query.awaitTermination(poll_seconds)
+        except StreamingQueryException:
+            break
         if drain():
             last_input = clock()
         if not query.isActive:
@@ -69,10 +155,10 @@ def run_until_idle(
             last_input = clock()
         if clock() - last_input > max_idle_seconds:
             query.stop()
-            drain()
+            finish()
             return "idle"
     # a fast query may end, or post its last progress, between two polls
-    drain()
+    finish()
     exc = query.exception()
     if exc is not None:
         raise exc
@@ -81,15 +167,20 @@ def run_until_idle(
 
 class RunReadout:
     """Totals of a run, from its progress records: rows read, rows that came
-    too late, batches, and the row counts of streaming stage taps."""
+    too late, batches, and the row counts of streaming stage taps.
+    ``batch_rows`` has the rows of each micro-batch that read any."""
 
     def __init__(self) -> None:
+        self.batch_rows: list[tuple[int, int]] = []
         self.batches = self.input_rows = self.late_rows = 0
         self.stages: dict[str, int] = {}
 
     def on_progress(self, progress: dict) -> None:
         self.batches += 1
-        self.input_rows += progress.get("numInputRows", 0)
+        rows = progress.get("numInputRows", 0)
+        self.input_rows += rows
+        if rows:
+            self.batch_rows.append((progress.get("batchId", -1), rows))
         self.late_rows += late_rows(progress)
         for stage, metrics in (progress.get("observedMetrics") or {}).items():
             if isinstance(metrics, dict) and "rows" in metrics:

@@ -20,6 +20,7 @@ from tickwise.operators.dedup import DEDUP_KEYS, dedup_ticks
 from tickwise.operators.filters import watchlist
 from tickwise.operators.windows import WATERMARK, WINDOW, tumbling_mean, with_event_time
 from tickwise.sinks.keyed_table import KeyedTable
+from tickwise.streaming.control import progress_feed
 
 # Salt buckets for streams with hot groups of copies (opt-in).
 SALT_BUCKETS = 16
@@ -88,6 +89,7 @@ def start(
     thread.
     """
     spark = df.sparkSession
+    progress_feed(spark).expect(name)  # before the start, so that no record is missed
     if state_partitions is None:
         return _start(df, name=name, checkpoint=checkpoint, mode=mode, trigger=trigger, sink=sink,
                       path=path, foreach_batch=foreach_batch, options=options)
