@@ -139,3 +139,11 @@ def test_components(spark):
     got = connected_components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()
     assert len(got) == len(want) and {r.node: r.label for r in got} == want
     assert connected_components(spark.createDataFrame([], "u bigint, v bigint")).count() == 0
+
+
+def test_words_of_exchanged_blocks_are_not_linked(spark, tmp_path):
+    a, b = "a" * 4096, "b" * 4096
+    rows = [(1, a + b), (2, b + a), (3, a + b + a), (4, a + a + b)]
+    docs_of(spark, rows).write.parquet(f"{tmp_path}/d")
+    got = near_classes(spark.read.parquet(f"{tmp_path}/d")).collect()
+    assert sorted((r.doc_id, r.class_id, r.n_links) for r in got) == [(i, i, 0) for i in range(1, 5)]

@@ -39,6 +39,13 @@ def test_ids_equal_the_tokenizer(encoder, texts):
     assert ids_of(encoder, texts) == want
 
 
+def test_words_of_exchanged_blocks_differ(encoder):
+    """Long words whose blocks of bytes change places are different words."""
+    a, b = "a" * 4096, "b" * 4096
+    texts = [a + b, b + a, a + b + a, a + a + b, b + a + "c"]
+    assert ids_of(encoder, texts) == [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_full_memory_starts_anew(encoder, monkeypatch):
     monkeypatch.setattr("tickwise.llm.packing.MAX_WORDS", 64)
     small = BatchEncoder(PATH)
