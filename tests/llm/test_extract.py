@@ -137,11 +137,63 @@ def test_containers_of_declared_parts(page, text):
     assert text_of(page) == text
 
 
-def test_rows_that_share_id_and_url_are_split():
-    import pyarrow as pa
+def test_rows_that_share_id_and_url_are_split(spark):
+    from tickwise.llm.extract import dealt
 
-    from tickwise.llm.extract import groups_of
+    rows = [(None, None, "x" * 1000, "h", "t", 0)] * 100
+    pages = spark.createDataFrame(rows, PAGES).repartition(2)
+    placed, _ = dealt(pages, "page_id", "url", "html", 5000)
+    sizes = [r["count"] for r in placed.groupBy("key").count().collect()]
+    assert sum(sizes) == 100 and len(sizes) > 10 and max(sizes) <= 20
+    assert [r.text for r in extract(pages, group_bytes=5000).collect()] == ["x" * 1000] * 100
 
-    batch = pa.RecordBatch.from_pylist([{"id": None, "url": None, "html": "x" * 1000, "host": 0, "row": i} for i in range(100)])
-    sizes = [g.num_rows for g in groups_of(iter([batch.slice(0, 30), batch.slice(30)]), 5000)]
-    assert sum(sizes) == 100 and max(sizes) <= 5
+
+def template(i, n):
+    menu = "<div>home news sport weather travel shop about us contact</div>"
+    quote = "<p>so said the minister to the press on monday about all this</p>" if i < 2 else ""
+    return (i, f"http://one.net/{i}", f"{menu}{quote}<p>{' '.join(f'own{i}x{j}' for j in range(12))}</p>")
+
+
+def test_undeclared_pages_lose_the_template_and_keep_a_quoted_passage(spark):
+    rows = [template(i, 30) for i in range(30)]
+    pages = spark.createDataFrame([(*r, "h", "t", 0) for r in rows], PAGES)
+    for group_bytes in (1, 2000, 4 << 20):
+        for r in extract(pages, group_bytes=group_bytes).collect():
+            want = ["so said the minister to the press on monday about all this"] * (r.page_id < 2)
+            assert r.text.split("\n")[:-1] == want and r.n_covered == 1, r.page_id
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_runs_of_large_hosts_are_counted_over_all_their_groups(spark, seed):
+    rng = random.Random(seed)
+    shared = [" ".join(f"s{k}w{j}" for j in range(rng.randrange(8, 14))) for k in range(8)]
+    rows = []
+    for i in range(300):
+        blocks = [s for k, s in enumerate(shared) if rng.random() < (0.005, 0.015, 0.02, 0.022, 0.03, 0.05, 0.3, 0.9)[k]]
+        own = " ".join(f"own{i}x{j}" for j in range(rng.randrange(1, 20)))
+        rows.append((i, f"http://h{i % 10 // 9}.net/{i}", "".join(f"<p>{b}</p>" for b in [*blocks, own])))
+    rows += [(1000 + i, rows[0][1], rows[0][2]) for i in range(100)]  # copies count once
+    html = {r[0]: r[2] for r in rows}
+    seen = {}
+    for i, url, page in rows:
+        for k, s in enumerate(shared):
+            if f"<p>{s}</p>" in page:
+                seen.setdefault((url[:11], k), set()).add(page)
+    hosts = {u[:11]: len({p for _, v, p in rows if v[:11] == u[:11]}) for _, u, _ in rows}
+    gone = {(h, shared[k]) for (h, k), p in seen.items() if len(p) >= max(3, 0.02 * hosts[h])}
+    pages = spark.createDataFrame([(*r, "h", "t", 0) for r in rows], PAGES).repartition(3)
+    for group_bytes in (3000, 20_000, 4 << 20):
+        got = extract(pages, group_bytes=group_bytes).collect()
+        assert len(got) == len(rows)
+        for r in got:
+            want = [b for b in html[r.page_id][3:-4].split("</p><p>") if (r.url[:11], b) not in gone]
+            assert r.text == "\n".join(want)
+
+
+def test_packed_pages_come_back():
+    from tickwise.llm.extract import pack_page, unpack_page
+
+    for page in (PAGE, "", "<p>x", "<br>", "< \x85 a\x1cb \u2028 c", "<x\ny>z"):
+        blocks, stream = read_page(page)
+        back, again = unpack_page(pack_page(blocks, stream))
+        assert [(b.text, b.zone) for b in back] == [(b.text, b.zone) for b in blocks] and again == stream

@@ -4,13 +4,15 @@ Pages are read into blocks (text between block-level tags, character
 references decoded, white space folded) and into one token stream each: words
 and tag names. The streams of a group of pages are laid end to end and their
 suffixes are sorted by prefix doubling up to ``MIN_RUN`` tokens, which tells
-the group's different runs of so many tokens. Each run is counted over its
-whole host: one that pages of two or more distinct contents (streams) have is
-repeated. Tokens of repeated runs are boilerplate, the rest are the page's
-unique runs. A block with ``COVERED`` or more of its words covered goes.
+the runs of so many tokens that several pages have. A run is repeated if at
+least ``MIN_PAGES`` distinct pages of its host have it, and at least ``SHARE``
+of the host's distinct pages: a template is on many pages, a passage that one
+page quotes from another is not. Tokens of repeated runs are boilerplate, the
+rest are the page's unique runs. A block with ``COVERED`` or more of its words
+covered goes.
 
 A structural check follows, since repetition alone cannot tell a menu that is
-used once from an article that is quoted twice: text inside a declared
+used once from an article that is quoted often: text inside a declared
 ``article`` or ``main`` stays even if it repeats, and text inside menus,
 headers, footers, sidebars, notices, adverts, forms and comments (by tag, role
 or class name) goes even if it does not. The innermost of these elements
@@ -20,24 +22,30 @@ within the fewest such containers count, so comments and teasers that are
 articles of their own do not. Where a page declares its main part, nothing
 outside of it is kept.
 
-Scale: a group is about ``group_bytes`` of neighbouring rows of the stored
-table, of whatever hosts, so it stays small whatever ids, URLs or hosts its
-rows share, and its size does not alter the result. A group sends every
-different run once, as a hash of host and words, to the bucket of that hash; the
-bucket answers with the group's repeated ones. Buckets hold about
-``BUCKET_BYTES`` of html each. A hash has 48 bits beside those of the bucket, so
-a run is taken for another one with a chance of about 2e-8. The table is read
-twice, and the pages are shuffled once, packed by group.
+Scale: pages are dealt to groups of about ``group_bytes`` of html, and the
+parsed pages are shuffled to them. Hosts that fit into a group are whole in one,
+whose suffix array decides them at once. The pages of a larger host are dealt to
+groups by a hash of their content. A run that a share of the host's pages has
+is had by the same share of some group's pages, so each group names only the
+runs that so many of its own pages have; what the groups name is added up over
+the host, and where that leaves a run open, every group of the host counts it.
+So the result does not depend on the groups. Copies of one page that alone
+exceed a group are spread, and count once. The lists of large hosts and of such
+copies have at most one row for each ``group_bytes`` of input; up to
+``MAX_BROADCAST`` rows they are broadcast, longer ones are joined by a shuffle.
+Pages of small hosts are parsed once, those of large ones twice (three times if
+runs are left open). A run is known by a 64-bit hash of its tokens.
 
 Defined cases: null or empty html has empty text and no characters; a null URL
-counts as host ``''``; pages that repeat (equal rows, or copies under other
-ids) count as one and do not cover each other; cut-off pages end where they end; unclosed comments, scripts and tags run to the end of
-the page; other columns are not read.
+counts as host ``''``; pages of a host that are equal but for what stands inside
+their tags (equal rows, or copies under other ids) count as one and do not cover
+each other; cut-off pages end where they end; unclosed comments, scripts and
+tags run to the end of the page; a page larger than a group is a group's whole
+work; other columns are not read.
 """
 
 from __future__ import annotations
 
-import hashlib
 import html as entities
 import re
 from collections import Counter
@@ -45,19 +53,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwise.llm.common import row_number
-from tickwise.llm.textbytes import gram_hashes, hash_runs, mix
+from tickwise.llm.common import row_number, stored
+from tickwise.llm.textbytes import POSITION_WEIGHT, hash_runs, mix
 from tickwise.llm.url_filter import host_of
 
 MIN_RUN = 8
+MIN_PAGES = 3
+SHARE = 0.02
 COVERED = 0.8
 GROUP_BYTES = 4 << 20
-BUCKET_BYTES = 16 << 20
-KEY_BYTES = 6  # of a run's hash, beside its bucket
+MAX_BROADCAST = 1 << 18  # rows of four numbers
 PAGE_COST = 256  # bytes that a page counts beside its html
+ZONES = {"main": "M", "open": "O", "boilerplate": "B"}
+ZONE_OF = {letter: zone for zone, letter in ZONES.items()}
 
 # Elements whose text is never content.
 HIDDEN = frozenset(
@@ -250,6 +262,31 @@ def read_page(page: str) -> tuple[list[Block], list]:
     return blocks, stream
 
 
+def pack_page(blocks: list[Block], stream: list) -> bytes:
+    """A parsed page as lines: ``<`` and a tag name, or zone and text of a block."""
+    block = iter(blocks)
+    lines = []
+    for item in stream:
+        if isinstance(item, list):
+            b = next(block)
+            lines.append(ZONES[b.zone] + b.text)
+        else:
+            lines.append("<" + item)
+    return "\n".join(lines).encode()
+
+
+def unpack_page(packed: bytes) -> tuple[list[Block], list]:
+    blocks: list[Block] = []
+    stream: list = []
+    for line in packed.decode().split("\n") if packed else ():
+        if line[0] == "<":
+            stream.append(line[1:])
+        else:
+            blocks.append(Block(line[1:], ZONE_OF[line[0]]))
+            stream.append(line[1:].split(" "))
+    return blocks, stream
+
+
 def run_ranks(tokens: np.ndarray, run: int) -> np.ndarray:
     """Rank of each suffix by its first ``run`` tokens, by prefix doubling."""
     n = len(tokens)
@@ -272,17 +309,28 @@ def cover_of(starts: np.ndarray, run: int) -> np.ndarray:
     return np.cumsum(cover)[: len(starts)] > 0
 
 
-def repeated(tokens: np.ndarray, page_of: np.ndarray, run: int = MIN_RUN) -> np.ndarray:
-    """Which tokens lie in a substring of ``run`` tokens that starts on two
-    distinct pages. Tokens are numbers; each page ends with a number of its own."""
+def repeated(tokens: np.ndarray, page_of: np.ndarray, run: int = MIN_RUN, pages: int = 2) -> np.ndarray:
+    """Which tokens lie in a substring of ``run`` tokens that starts on
+    ``pages`` distinct pages. Tokens are numbers; each page ends with a number
+    of its own."""
     if len(tokens) == 0:
         return np.zeros(0, dtype=bool)
     rank = run_ranks(tokens, run)
-    # the suffix array by this prefix: equal ranks are neighbours
-    order = np.argsort(rank, kind="stable")
-    heads = np.flatnonzero(np.diff(rank[order], prepend=-1))
-    first, last = np.minimum.reduceat(page_of[order], heads), np.maximum.reduceat(page_of[order], heads)
-    return cover_of((first != last)[rank], run)
+    return cover_of((document_counts(rank, page_of) >= pages)[rank], run)
+
+
+def document_counts(runs: np.ndarray, page_of: np.ndarray) -> np.ndarray:
+    """For each run number: on how many distinct pages it starts."""
+    if not len(runs):
+        return np.zeros(0, dtype=np.int64)
+    width = int(page_of.max()) + 1
+    pairs = np.unique(runs * width + page_of)
+    return np.bincount(pairs // width, minlength=int(runs.max()) + 1)
+
+
+def needed(pages: np.ndarray) -> np.ndarray:
+    """Distinct pages that a repeated run has, on hosts of so many."""
+    return np.maximum(MIN_PAGES, np.ceil(SHARE * pages)).astype(np.int64)
 
 
 class Group:
@@ -295,106 +343,88 @@ class Group:
         self.n_blocks = 0
         self.per_page: list[int] = []
         self.sizes: list[int] = []  # tokens of each page, with the one that ends it
-        contents: list[int] = []
         for p, stream in enumerate(streams):
             begin, first = len(tokens), self.n_blocks
-            digest = hashlib.blake2b(digest_size=8)
             for item in stream:
                 if isinstance(item, list):
                     tokens += [numbers.setdefault(w, len(numbers)) for w in item]
                     block += [self.n_blocks] * len(item)
                     self.n_blocks += 1
-                    digest.update(" ".join(item).encode("utf-8", "surrogatepass"))
                 else:
                     tokens.append(numbers.setdefault("<" + item, len(numbers)))
                     block.append(-1)
-                    digest.update(f" <{item} ".encode("utf-8", "surrogatepass"))
             tokens.append(-1 - p)  # ends the page; turned into a number of its own
             block.append(-1)
             self.sizes.append(len(tokens) - begin)
             self.per_page.append(self.n_blocks - first)
-            contents.append(int.from_bytes(digest.digest(), "little"))
         self.words = list(numbers)
         self.tokens = np.array(tokens, dtype=np.int64)
         self.tokens[self.tokens < 0] = len(numbers) - 1 - self.tokens[self.tokens < 0]
         self.block = np.array(block, dtype=np.int64)
-        self.contents = np.array(contents, dtype=np.uint64)  # equal for pages of equal streams
 
     def of_tokens(self, of_pages: np.ndarray) -> np.ndarray:
         return np.repeat(of_pages, self.sizes)
 
-    def shares(self, cover: np.ndarray) -> list[np.ndarray]:
-        """For each page: share of each block's words that is covered."""
+    def shares(self, starts: np.ndarray, run: int) -> list[np.ndarray]:
+        """For each page: share of each block's words that lie in runs at ``starts``."""
         if not self.per_page:
             return []
+        cover = cover_of(starts, run)
         words = self.block >= 0
         total = np.bincount(self.block[words], minlength=self.n_blocks)
         share = np.bincount(self.block[words], weights=cover[words], minlength=self.n_blocks) / np.maximum(total, 1)
         return np.split(share, np.cumsum(self.per_page)[:-1])
 
-    def keys(self, hosts: np.ndarray, run: int) -> tuple[np.ndarray, np.ndarray]:
-        """Positions of runs that hold a word and end within their page, and a
-        hash of host and run for each."""
+    def places(self, run: int) -> np.ndarray:
+        """Where runs start that hold a word and end within their page."""
         n = len(self.tokens) - run + 1
         if n <= 0:
-            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
-        raw = [w.encode("utf-8", "surrogatepass") for w in self.words]
-        ends = np.cumsum([len(x) for x in raw], dtype=np.int64)
-        starts = np.concatenate([np.zeros(1, dtype=np.int64), ends[:-1]])
-        of_word = hash_runs(np.frombuffer(b"".join(raw), dtype=np.uint8), starts, ends)
-        of_token = np.concatenate([of_word, np.zeros(len(self.sizes), dtype=np.uint64)])[self.tokens]
+            return np.zeros(0, dtype=np.int64)
         page_end = self.of_tokens(np.cumsum(self.sizes) - 1)  # where its last token stands
         before = np.concatenate([[0], np.cumsum(self.block >= 0)])
         at = np.arange(n)
-        at = at[(at + run <= page_end[:n]) & (before[run:] > before[:-run])]
-        return at, mix(gram_hashes(of_token, run)[at] ^ self.of_tokens(hosts)[at])
+        return at[(at + run <= page_end[:n]) & (before[run:] > before[:-run])]
+
+    def runs(self, hosts: np.ndarray, run: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``places``, a number of each one's host and run, and for each number a place."""
+        at = self.places(run)
+        if not len(at):
+            return at, at, at
+        of_host = np.unique(hosts, return_inverse=True)[1]
+        rank = run_ranks(self.tokens, run)[at] * (int(of_host.max()) + 1) + self.of_tokens(of_host)[at]
+        _, first, number = np.unique(rank, return_index=True, return_inverse=True)
+        return at, number, at[first]
+
+    def hashes(self, at: np.ndarray, run: int) -> np.ndarray:
+        """A hash of the run at each place."""
+        raw = [w.encode("utf-8", "surrogatepass") for w in self.words]
+        lengths = np.array([len(x) for x in raw], dtype=np.int64)
+        ends = np.cumsum(lengths)
+        of_word = hash_runs(np.frombuffer(b"".join(raw), dtype=np.uint8), ends - lengths, ends)
+        out = np.zeros(len(at), dtype=np.uint64)
+        for j in range(run):
+            out += of_word[self.tokens[at + j]] * POSITION_WEIGHT[j + 17]
+        return mix(out)
+
+
+def covered_shares(group: Group, hosts: np.ndarray, contents: np.ndarray, run: int) -> list[np.ndarray]:
+    """``shares`` of the runs that repeat, for pages of hosts that are whole in the group."""
+    at, number, first = group.runs(hosts, run)
+    starts = np.zeros(len(group.tokens), dtype=bool)
+    if len(at):
+        page_host, host_number = np.unique(hosts, return_inverse=True)
+        pair = np.unique(np.stack([host_number, contents]), axis=1)
+        least = needed(np.bincount(pair[0], minlength=len(page_host)))
+        counts = document_counts(number, group.of_tokens(contents)[at])
+        starts[at] = (counts >= least[group.of_tokens(host_number)[first]])[number]
+    return group.shares(starts, run)
 
 
 def covered_blocks(streams: list[list], run: int = MIN_RUN) -> list[np.ndarray]:
     """For pages of one host: share of each block's words that is covered."""
-    group = Group(streams)
-    distinct = np.unique(group.contents, return_inverse=True)[1]
-    return group.shares(repeated(group.tokens, group.of_tokens(distinct), run))
-
-
-def pack_keys(keys: np.ndarray) -> bytes:
-    low = keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]
-    return pa.compress(np.ascontiguousarray(low.T), codec="zstd", asbytes=True)  # byte by byte
-
-
-def unpack_keys(packed: bytes, n: int) -> np.ndarray:
-    out = np.zeros((n, 8), dtype=np.uint8)
-    raw = pa.decompress(packed, n * KEY_BYTES, codec="zstd", asbytes=True)
-    out[:, :KEY_BYTES] = np.frombuffer(raw, dtype=np.uint8).reshape(KEY_BYTES, n).T
-    return out.view("<u8").ravel()
-
-
-def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
-    return ((keys >> np.uint64(8 * KEY_BYTES)) % np.uint64(buckets)).astype(np.int64)
-
-
-def groups_of(batches: Iterator[pa.RecordBatch], group_bytes: int) -> Iterator[pa.Table]:
-    """Neighbouring rows of about ``group_bytes`` together, whatever the batches."""
-    parts: list[pa.RecordBatch] = []
-    held = 0
-    for batch in batches:
-        html = batch.column("html")
-        first = 0
-        for i in range(batch.num_rows):
-            held += PAGE_COST + (len(html[i].as_buffer()) if html[i].is_valid else 0)
-            if held >= group_bytes:
-                yield pa.Table.from_batches([*parts, batch.slice(first, i + 1 - first)])
-                parts, held, first = [], 0, i + 1
-        if first < batch.num_rows:
-            parts.append(batch.slice(first))
-    if parts:
-        yield pa.Table.from_batches(parts)
-
-
-def read_group(pages: pa.Table) -> tuple[list[list[Block]], Group, np.ndarray]:
-    read = [read_page(x or "") for x in pages.column("html").to_pylist()]
-    hosts = pages.column("host").to_numpy().astype(np.int64).view(np.uint64)
-    return [blocks for blocks, _ in read], Group([stream for _, stream in read]), hosts
+    seen: dict[str, int] = {}
+    contents = [seen.setdefault(repr(stream), len(seen)) for stream in streams]
+    return covered_shares(Group(streams), np.zeros(len(streams), dtype=np.int64), np.array(contents, dtype=np.int64), run)
 
 
 def main_text(blocks: list[Block], share: np.ndarray) -> tuple[str, int, int]:
@@ -414,6 +444,77 @@ def main_text(blocks: list[Block], share: np.ndarray) -> tuple[str, int, int]:
     return "\n".join(kept), covered, restored
 
 
+def read_group(pages: pa.Table) -> tuple[list[list[Block]], Group, np.ndarray, np.ndarray]:
+    """Blocks, streams, hosts and a number of the content of each page."""
+    packed = zip(pages.column("packed").to_pylist(), pages.column("n").to_pylist(), strict=True)
+    read = [unpack_page(pa.decompress(x, n, codec="zstd", asbytes=True) if n else b"") for x, n in packed]
+    hosts = pages.column("host").to_numpy()
+    contents = np.unique(pages.column("content").to_numpy(), return_inverse=True)[1]
+    return [blocks for blocks, _ in read], Group([stream for _, stream in read]), hosts, contents
+
+
+def texts(pages: pa.Table, blocks: list[list[Block]], shares: list[np.ndarray]) -> pa.Table:
+    out = [main_text(b, share) for b, share in zip(blocks, shares, strict=True)]
+    return pa.table(
+        {
+            "id": pages.column("id"),
+            "url": pages.column("url"),
+            "text": pa.array([t for t, _, _ in out], type=pa.string()),
+            "n_covered": pa.array([c for _, c, _ in out], type=pa.int32()),
+            "n_restored": pa.array([r for _, _, r in out], type=pa.int32()),
+        }
+    )
+
+
+def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``html`` of each page replaced by its packed blocks and stream, and their length."""
+    for batch in batches:
+        packed = [pack_page(*read_page(x or "")) for x in batch.column("html").to_pylist()]
+        kept = [name for name in batch.schema.names if name != "html"]
+        yield pa.RecordBatch.from_arrays(
+            [
+                *[batch.column(name) for name in kept],
+                pa.array([pa.compress(x, codec="zstd", asbytes=True) if x else b"" for x in packed], type=pa.binary()),
+                pa.array([len(x) for x in packed], type=pa.int64()),
+            ],
+            names=[*kept, "packed", "n"],
+        )
+
+
+def beside(rows: DataFrame, small: DataFrame, on: list[str]) -> DataFrame:
+    """``rows`` with the columns of a stored table, broadcast only if it is short."""
+    return rows.join(F.broadcast(small) if small.count() <= MAX_BROADCAST else small, on, "left")
+
+
+def dealt(pages: DataFrame, id_col: str, url_col: str, html_col: str, group_bytes: int) -> tuple[DataFrame, DataFrame]:
+    """The pages with their group's ``key``, and the large hosts. ``chunks`` is
+    null on pages of small hosts; a page with ``extra`` is a spread copy."""
+    html = F.coalesce(F.col(html_col), F.lit(""))
+    rows = pages.select(
+        F.col(id_col).alias("id"),
+        F.col(url_col).alias("url"),
+        F.col(html_col).alias("html"),
+        F.xxhash64(host_of(F.col(url_col))).alias("host"),
+        F.xxhash64(F.regexp_replace(html, "<[^<>]*>", "<>")).alias("content"),
+        row_number(pages).alias("row"),
+    )
+    size = F.coalesce(F.octet_length("html"), F.lit(0)) + F.lit(PAGE_COST)
+    contents = stored(rows.groupBy("host", "content").agg(F.sum(size).alias("bytes"), F.min("row").alias("first")), "page-contents")
+    bins = -(-(contents.agg(F.sum("bytes")).first()[0] or 0) // group_bytes) or 1
+    share = lambda total: F.ceil(total / F.lit(group_bytes))
+    hosts = contents.groupBy("host").agg(F.sum("bytes").alias("bytes"), F.count("*").alias("pages"))
+    hosts = stored(hosts.where(F.col("bytes") > group_bytes).select("host", "pages", share(F.col("bytes")).alias("chunks")), "page-hosts")
+    copies = contents.where(F.col("bytes") > group_bytes).select("host", "content", "first", share(F.col("bytes")).alias("spread"))
+    copies = stored(copies, "page-copies")
+    placed = beside(beside(rows, hosts.select("host", "chunks"), ["host"]), copies, ["host", "content"])
+    # the first copy counts and lies with the other pages
+    extra = F.when(F.col("first") != F.col("row"), F.pmod(F.xxhash64("row"), F.col("spread")) + 1).otherwise(F.lit(0))
+    key = F.when(F.col("chunks").isNull(), F.xxhash64(F.pmod("host", F.lit(bins)))).otherwise(
+        F.xxhash64("host", F.pmod("content", F.col("chunks")), extra)
+    )
+    return placed.select("id", "url", "html", "host", "content", "chunks", (extra > 0).alias("extra"), key.alias("key")), hosts
+
+
 def extract(
     pages: DataFrame,
     id_col: str = "page_id",
@@ -425,123 +526,71 @@ def extract(
     """One row per page: ``<id_col>, <url_col>, text``, and the numbers of
     blocks that repetition covered (``n_covered``) and that the check kept all
     the same (``n_restored``)."""
-    # read twice: what tells a group must be the same in both
-    rows = pages.select(
-        F.col(id_col).alias("id"),
-        F.col(url_col).alias("url"),
-        F.col(html_col).alias("html"),
-        F.xxhash64(host_of(F.col(url_col))).alias("host"),
-        row_number(pages).alias("row"),
-    )
-    total = pages.agg(F.sum(F.coalesce(F.octet_length(html_col), F.lit(0)) + PAGE_COST)).first()[0] or 0
-    buckets = min(-(-total // BUCKET_BYTES) or 1, 1 << 16)
-
-    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A group's different runs, by bucket; those of one page content lie together."""
-        for pages in groups_of(batches, group_bytes):
-            _, group, hosts = read_group(pages)
-            at, keys = group.keys(hosts, run)
-            if not len(at):
-                continue
-            # one of each run, host and content
-            rank = run_ranks(group.tokens, run)[at]
-            content = group.of_tokens(group.contents)[at]
-            order = np.lexsort((keys, rank, content))
-            new = np.ones(len(order), dtype=bool)
-            new[1:] = (np.diff(rank[order]) != 0) | (keys[order][1:] != keys[order][:-1]) | (content[order][1:] != content[order][:-1])
-            keys, content = keys[order][new], content[order][new]
-            # two contents tell a repeat, more of them tell no more
-            order = np.lexsort((content, keys))
-            same = np.zeros(len(order), dtype=np.int64)
-            same[1:] = keys[order][1:] == keys[order][:-1]
-            place = np.arange(len(order)) - np.maximum.accumulate(np.where(same == 0, np.arange(len(order)), 0))
-            keys, content = keys[order][place < 2], content[order][place < 2]
-            bucket = bucket_of(keys, buckets)
-            low = keys & np.uint64((1 << 8 * KEY_BYTES) - 1)
-            order = np.lexsort((low, content, bucket))
-            keys, content, bucket = low[order], content[order], bucket[order]
-            name = pages.column("row")[0].as_py()
-            cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
-            for a, b in zip(cuts, [*cuts[1:], len(keys)], strict=True):
-                heads = np.flatnonzero(np.concatenate([[True], content[a + 1 : b] != content[a : b - 1]]))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([int(bucket[a])], type=pa.int32()),
-                        pa.array([name], type=pa.int64()),
-                        pa.array([content[a:b][heads].view(np.int64)], type=pa.list_(pa.int64())),
-                        pa.array([np.diff(heads, append=b - a)], type=pa.list_(pa.int32())),
-                        pa.array([pack_keys(keys[a:b])], type=pa.binary()),
-                    ],
-                    names=["bucket", "group", "contents", "counts", "keys"],
-                )
-
-    def answers(sent: pa.Table) -> pa.Table:
-        """The runs of a bucket that two contents have, for each group that sent them."""
-        keys, content = [], []
-        for contents, counts, packed in zip(*(sent.column(c).to_pylist() for c in ("contents", "counts", "keys")), strict=True):
-            keys.append(unpack_keys(packed, sum(counts)))
-            content.append(np.repeat(np.array(contents, dtype=np.int64), counts))
-        sizes = [len(k) for k in keys]
-        all_keys, all_contents = np.concatenate(keys), np.concatenate(content)
-        order = np.argsort(all_keys, kind="stable")
-        heads = np.flatnonzero(np.concatenate([[True], all_keys[order][1:] != all_keys[order][:-1]]))
-        ordered = all_contents[order]
-        many = np.minimum.reduceat(ordered, heads) != np.maximum.reduceat(ordered, heads)
-        found = np.zeros(len(all_keys), dtype=bool)
-        found[order] = np.repeat(many, np.diff(heads, append=len(order)))
-        cuts = np.cumsum(sizes)[:-1]
-        hits = [np.unique(k[f]) for k, f in zip(keys, np.split(found, cuts), strict=True)]
-        some = [i for i, h in enumerate(hits) if len(h)]
-        return pa.table(
-            {
-                "group": sent.column("group").take(pa.array(some, type=pa.int64())),
-                "bucket": sent.column("bucket").take(pa.array(some, type=pa.int64())),
-                "n": pa.array([len(hits[i]) for i in some], type=pa.int32()),
-                "keys": pa.array([pack_keys(hits[i]) for i in some], type=pa.binary()),
-            }
-        )
-
-    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for pages in groups_of(batches, group_bytes):
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, pages.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-                out.write_table(pages.combine_chunks())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([pages.column("row")[0].as_py()], type=pa.int64()),
-                    pa.array([sink.getvalue().to_pybytes()], type=pa.binary()),
-                ],
-                names=["group", "pages"],
-            )
-
-    id_type = rows.schema["id"].dataType.simpleString()
+    placed, hosts = dealt(pages, id_col, url_col, html_col, group_bytes)
+    id_type = placed.schema["id"].dataType.simpleString()
+    parsed = f"id {id_type}, url string, host bigint, content bigint, extra boolean, key bigint, packed binary, n bigint"
     schema = f"id {id_type}, url string, text string, n_covered int, n_restored int"
-
-    def task(held: pa.Table, hits: pa.Table) -> pa.Table:
-        pages = pa.ipc.open_stream(held.column("pages")[0].as_buffer()).read_all()
-        blocks, group, hosts = read_group(pages)
-        at, keys = group.keys(hosts, run)
+    small = placed.where("chunks is null").drop("chunks").mapInArrow(parse, parsed)
+    large = placed.where("chunks is not null").drop("chunks").mapInArrow(parse, parsed)
+
+    def whole(group_pages: pa.Table) -> pa.Table:
+        blocks, group, page_hosts, contents = read_group(group_pages)
+        return texts(group_pages, blocks, covered_shares(group, page_hosts, contents, run))
+
+    def counted(group_pages: pa.Table) -> tuple[Group, np.ndarray, np.ndarray, np.ndarray]:
+        """The group of the pages that count, their hosts, and each run's place and count."""
+        mine = group_pages.filter(pc.invert(group_pages.column("extra")))
+        _, group, page_hosts, contents = read_group(mine)
+        at, number, first = group.runs(page_hosts, run)
+        return group, page_hosts, first, document_counts(number, group.of_tokens(contents)[at] if len(at) else at)
+
+    def runs_table(key: int, run_hosts: np.ndarray, hashes: np.ndarray, counts: np.ndarray) -> pa.Table:
+        columns = [np.full(len(counts), key, dtype=np.int64), run_hosts, hashes.view(np.int64), counts.astype(np.int64)]
+        return pa.table([pa.array(x) for x in columns], names=["key", "host", "run", "n"])
+
+    def named(group_pages: pa.Table) -> pa.Table:
+        """The runs that ``SHARE`` of the group's pages have; and one row without a run."""
+        key = group_pages.column("key")[0].as_py()
+        group, page_hosts, first, counts = counted(group_pages)
+        own = pa.table({"key": [key], "host": group_pages.column("host").slice(0, 1).combine_chunks(), "run": pa.nulls(1, pa.int64()), "n": pa.nulls(1, pa.int64())})
+        if not len(first):
+            return own
+        distinct = len(set(zip(group_pages.column("host").to_pylist(), group_pages.column("content").to_pylist(), strict=True)))
+        often = counts >= SHARE * distinct
+        first, counts = first[often], counts[often]
+        return pa.concat_tables([own, runs_table(key, group.of_tokens(page_hosts)[first], group.hashes(first, run), counts)])
+
+    def recounted(group_pages: pa.Table, asked: pa.Table) -> pa.Table:
+        """How many of the group's pages have each run that is asked for."""
+        if not asked.num_rows or not group_pages.num_rows:
+            return runs_table(0, *[np.zeros(0, dtype=np.int64)] * 3)
+        group, page_hosts, first, counts = counted(group_pages)
+        hashes = group.hashes(first, run)
+        mine = np.isin(hashes.view(np.int64), asked.column("run").to_numpy())
+        return runs_table(0, group.of_tokens(page_hosts)[first[mine]], hashes[mine], counts[mine])
+
+    def judged(group_pages: pa.Table, repeats: pa.Table) -> pa.Table:
+        blocks, group, _, _ = read_group(group_pages)
         starts = np.zeros(len(group.tokens), dtype=bool)
-        bucket, low = bucket_of(keys, buckets), keys & np.uint64((1 << 8 * KEY_BYTES) - 1)
-        by_bucket = np.argsort(bucket, kind="stable")
-        bounds = np.searchsorted(bucket[by_bucket], np.arange(buckets + 1))
-        for b, n, packed in zip(*(hits.column(c).to_pylist() for c in ("bucket", "n", "keys")), strict=True):
-            mine = by_bucket[bounds[b] : bounds[b + 1]]
-            starts[at[mine]] = np.isin(low[mine], unpack_keys(packed, n))
-        shares = group.shares(cover_of(starts, run))
-        out = [main_text(b, share) for b, share in zip(blocks, shares, strict=True)]
-        return pa.table(
-            {
-                "id": pages.column("id"),
-                "url": pages.column("url"),
-                "text": pa.array([t for t, _, _ in out], type=pa.string()),
-                "n_covered": pa.array([c for _, c, _ in out], type=pa.int32()),
-                "n_restored": pa.array([r for _, _, r in out], type=pa.int32()),
-            }
-        )
-
-    sent = rows.mapInArrow(runs, "bucket int, group bigint, contents array<bigint>, counts array<int>, keys binary")
-    hits = sent.groupBy("bucket").applyInArrow(answers, "group bigint, bucket int, n int, keys binary")
-    held = rows.mapInArrow(packed, "group bigint, pages binary")
-    found = held.groupBy("group").cogroup(hits.groupBy("group")).applyInArrow(task, schema)
+        if repeats.num_rows:
+            at = group.places(run)
+            starts[at] = np.isin(group.hashes(at, run).view(np.int64), repeats.column("run").to_numpy())
+        return texts(group_pages, blocks, group.shares(starts, run))
+
+    found = small.groupBy("key").applyInArrow(whole, schema)
+    if not hosts.isEmpty():
+        numbers = "key bigint, host bigint, run bigint, n bigint"
+        names = stored(large.groupBy("key").applyInArrow(named, numbers), "page-runs")
+        groups = names.where("run is null").select("key", "host")
+        least = F.greatest(F.lit(MIN_PAGES), F.ceil(F.lit(SHARE) * F.col("pages")))
+        sums = names.where("run is not null").groupBy("host", "run").agg(F.sum("n").alias("n")).join(hosts, "host")
+        sums = stored(sums.select("host", "run", (F.col("n") >= least).alias("repeats")), "page-run-sums")
+        repeats, left = sums.where("repeats").select("host", "run"), sums.where("not repeats").select("host", "run")
+        if not left.isEmpty():
+            asked = left.join(groups, "host").select("key", "run")
+            again = large.groupBy("key").cogroup(asked.groupBy("key")).applyInArrow(recounted, numbers)
+            again = again.groupBy("host", "run").agg(F.sum("n").alias("n")).join(hosts, "host").where(F.col("n") >= least)
+            repeats = repeats.union(again.select("host", "run").join(left, ["host", "run"], "left_semi"))
+        told = repeats.join(groups, "host").select("key", "run")
+        found = found.union(large.groupBy("key").cogroup(told.groupBy("key")).applyInArrow(judged, schema))
     return found.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", "n_covered", "n_restored")
