@@ -191,9 +191,24 @@ def test_runs_of_large_hosts_are_counted_over_all_their_groups(spark, seed):
 
 
 def test_packed_pages_come_back():
-    from tickwise.llm.extract import pack_page, unpack_page
-
-    for page in (PAGE, "", "<p>x", "<br>", "< \x85 a\x1cb \u2028 c", "<x\ny>z"):
-        blocks, stream = read_page(page)
-        back, again = unpack_page(pack_page(blocks, stream))
-        assert [(b.text, b.zone) for b in back] == [(b.text, b.zone) for b in blocks] and again == stream
+    from tickwise.llm.extract import Group, blocks_of, pack_page
+
+    pages = [read_page(x) for x in (PAGE, "", "<p>x", "<br>", "< \x85 a\x1cb \u2028 c", "<x\ny>z", "<p>a b<p>a")]
+    packed = [pack_page(blocks, stream) for blocks, stream in pages]
+    for (blocks, _), x in zip(pages, packed, strict=True):
+        assert [(b.text, b.zone) for b in blocks_of(x)] == [(b.text, b.zone) for b in blocks]
+    group = Group(packed)
+    want, in_block, names = [], [], {}
+    for p, (_, stream) in enumerate(pages):
+        for item in stream:
+            is_block = isinstance(item, list)
+            want += [(is_block, w) for w in (item if is_block else [item])]
+            in_block += [is_block] * (len(item) if is_block else 1)
+        want.append(p)
+        in_block.append(False)
+    # equal numbers just where tokens are equal
+    assert len(want) == len(group.tokens) and [x >= 0 for x in group.block] == in_block
+    assert all(names.setdefault(t, n) == n for t, n in zip(want, group.tokens.tolist(), strict=True))
+    assert len(set(names.values())) == len(names)
+    assert group.per_page.tolist() == [len(blocks) for blocks, _ in pages]
+    assert Group([]).places(8).tolist() == [] and Group([b""]).tokens.tolist() == [0]

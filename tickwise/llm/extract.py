@@ -27,8 +27,9 @@ parsed pages are shuffled to them. Hosts that fit into a group are whole in one,
 whose suffix array decides them at once. The pages of a larger host are dealt to
 groups by a hash of their content. A run that a share of the host's pages has
 is had by the same share of some group's pages, so each group names only the
-runs that so many of its own pages have; what the groups name is added up over
-the host, and where that leaves a run open, every group of the host counts it.
+runs that about half so many of its own pages have (a group of up to 50 pages
+names all); what the groups name is added up over the host. The other groups can
+add little, and where that would decide, every group of the host counts the run.
 So the result does not depend on the groups. Copies of one page that alone
 exceed a group are spread, and count once. The lists of large hosts and of such
 copies have at most one row for each ``group_bytes`` of input; up to
@@ -47,6 +48,7 @@ work; other columns are not read.
 from __future__ import annotations
 
 import html as entities
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -275,16 +277,9 @@ def pack_page(blocks: list[Block], stream: list) -> bytes:
     return "\n".join(lines).encode()
 
 
-def unpack_page(packed: bytes) -> tuple[list[Block], list]:
-    blocks: list[Block] = []
-    stream: list = []
-    for line in packed.decode().split("\n") if packed else ():
-        if line[0] == "<":
-            stream.append(line[1:])
-        else:
-            blocks.append(Block(line[1:], ZONE_OF[line[0]]))
-            stream.append(line[1:].split(" "))
-    return blocks, stream
+def blocks_of(packed: bytes) -> list[Block]:
+    lines = packed.decode().split("\n") if packed else ()
+    return [Block(line[1:], ZONE_OF[line[0]]) for line in lines if line[0] != "<"]
 
 
 def run_ranks(tokens: np.ndarray, run: int) -> np.ndarray:
@@ -328,46 +323,52 @@ def document_counts(runs: np.ndarray, page_of: np.ndarray) -> np.ndarray:
     return np.bincount(pairs // width, minlength=int(runs.max()) + 1)
 
 
+def unnamed(pages: int) -> int:
+    """The most pages that may have a run which a group of ``pages`` distinct
+    pages does not name: less than ``SHARE`` of them, about half of that."""
+    share = SHARE * pages
+    return max(math.ceil(share / 2) - 1, min(1, math.ceil(share) - 1), 0)
+
+
 def needed(pages: np.ndarray) -> np.ndarray:
     """Distinct pages that a repeated run has, on hosts of so many."""
     return np.maximum(MIN_PAGES, np.ceil(SHARE * pages)).astype(np.int64)
 
 
 class Group:
-    """The streams of a group of pages, end to end, as numbers."""
-
-    def __init__(self, streams: list[list]):
-        numbers: dict[str, int] = {}
-        tokens: list[int] = []
-        block: list[int] = []  # block of each token, -1 for tags
-        self.n_blocks = 0
-        self.per_page: list[int] = []
-        self.sizes: list[int] = []  # tokens of each page, with the one that ends it
-        for p, stream in enumerate(streams):
-            begin, first = len(tokens), self.n_blocks
-            for item in stream:
-                if isinstance(item, list):
-                    tokens += [numbers.setdefault(w, len(numbers)) for w in item]
-                    block += [self.n_blocks] * len(item)
-                    self.n_blocks += 1
-                else:
-                    tokens.append(numbers.setdefault("<" + item, len(numbers)))
-                    block.append(-1)
-            tokens.append(-1 - p)  # ends the page; turned into a number of its own
-            block.append(-1)
-            self.sizes.append(len(tokens) - begin)
-            self.per_page.append(self.n_blocks - first)
-        self.words = list(numbers)
-        self.tokens = np.array(tokens, dtype=np.int64)
-        self.tokens[self.tokens < 0] = len(numbers) - 1 - self.tokens[self.tokens < 0]
-        self.block = np.array(block, dtype=np.int64)
+    """The streams of a group of packed pages, end to end, as numbers."""
+
+    def __init__(self, pages: list[bytes]):
+        raw = b"".join(x + b"\n" for x in pages if x)
+        data = np.frombuffer(raw, dtype=np.uint8)
+        page_ends = np.cumsum([len(x) + 1 if x else 0 for x in pages], dtype=np.int64)
+        ends = np.flatnonzero((data == 32) | (data == 10))
+        starts = np.concatenate([np.zeros(1, dtype=np.int64), ends + 1])[: len(ends)]
+        heads = np.concatenate([np.ones(1, dtype=bool), data[ends] == 10])[: len(ends)]  # first token of a line
+        tag_line = data[starts] == ord("<")
+        line = np.cumsum(heads) - 1
+        is_tag = tag_line[heads][line] if len(ends) else tag_line
+        begins_block = heads & ~is_tag
+        block = np.where(is_tag, -1, np.cumsum(begins_block) - 1)
+        starts = starts + begins_block  # behind the letter of the zone
+        of_token = hash_runs(data, starts, ends)
+        of_token[is_tag] = ~of_token[is_tag]
+        known, numbers = np.unique(of_token, return_inverse=True)
+        # a token of its own ends each page
+        last = np.searchsorted(ends, page_ends, side="left")
+        self.sizes = np.diff(last, prepend=0) + 1
+        self.n_blocks = int(begins_block.sum())
+        self.per_page = np.diff(np.concatenate([[0], np.cumsum(begins_block)])[last], prepend=0)
+        self.tokens = np.insert(numbers.astype(np.int64), last, len(known) + np.arange(len(pages)))
+        self.hash_of = known
+        self.block = np.insert(block.astype(np.int64), last, -1)
 
     def of_tokens(self, of_pages: np.ndarray) -> np.ndarray:
         return np.repeat(of_pages, self.sizes)
 
     def shares(self, starts: np.ndarray, run: int) -> list[np.ndarray]:
         """For each page: share of each block's words that lie in runs at ``starts``."""
-        if not self.per_page:
+        if not len(self.per_page):
             return []
         cover = cover_of(starts, run)
         words = self.block >= 0
@@ -397,13 +398,9 @@ class Group:
 
     def hashes(self, at: np.ndarray, run: int) -> np.ndarray:
         """A hash of the run at each place."""
-        raw = [w.encode("utf-8", "surrogatepass") for w in self.words]
-        lengths = np.array([len(x) for x in raw], dtype=np.int64)
-        ends = np.cumsum(lengths)
-        of_word = hash_runs(np.frombuffer(b"".join(raw), dtype=np.uint8), ends - lengths, ends)
         out = np.zeros(len(at), dtype=np.uint64)
         for j in range(run):
-            out += of_word[self.tokens[at + j]] * POSITION_WEIGHT[j + 17]
+            out += self.hash_of[self.tokens[at + j]] * POSITION_WEIGHT[j + 17]
         return mix(out)
 
 
@@ -422,9 +419,10 @@ def covered_shares(group: Group, hosts: np.ndarray, contents: np.ndarray, run: i
 
 def covered_blocks(streams: list[list], run: int = MIN_RUN) -> list[np.ndarray]:
     """For pages of one host: share of each block's words that is covered."""
-    seen: dict[str, int] = {}
-    contents = [seen.setdefault(repr(stream), len(seen)) for stream in streams]
-    return covered_shares(Group(streams), np.zeros(len(streams), dtype=np.int64), np.array(contents, dtype=np.int64), run)
+    pages = ["\n".join("O" + " ".join(x) if isinstance(x, list) else "<" + x for x in stream).encode() for stream in streams]
+    seen: dict[bytes, int] = {}
+    contents = [seen.setdefault(page, len(seen)) for page in pages]
+    return covered_shares(Group(pages), np.zeros(len(pages), dtype=np.int64), np.array(contents, dtype=np.int64), run)
 
 
 def main_text(blocks: list[Block], share: np.ndarray) -> tuple[str, int, int]:
@@ -444,17 +442,17 @@ def main_text(blocks: list[Block], share: np.ndarray) -> tuple[str, int, int]:
     return "\n".join(kept), covered, restored
 
 
-def read_group(pages: pa.Table) -> tuple[list[list[Block]], Group, np.ndarray, np.ndarray]:
-    """Blocks, streams, hosts and a number of the content of each page."""
+def read_group(pages: pa.Table) -> tuple[list[bytes], Group, np.ndarray, np.ndarray]:
+    """Packed pages, their streams, hosts and a number of the content of each page."""
     packed = zip(pages.column("packed").to_pylist(), pages.column("n").to_pylist(), strict=True)
-    read = [unpack_page(pa.decompress(x, n, codec="zstd", asbytes=True) if n else b"") for x, n in packed]
+    read = [pa.decompress(x, n, codec="zstd", asbytes=True) if n else b"" for x, n in packed]
     hosts = pages.column("host").to_numpy()
     contents = np.unique(pages.column("content").to_numpy(), return_inverse=True)[1]
-    return [blocks for blocks, _ in read], Group([stream for _, stream in read]), hosts, contents
+    return read, Group(read), hosts, contents
 
 
-def texts(pages: pa.Table, blocks: list[list[Block]], shares: list[np.ndarray]) -> pa.Table:
-    out = [main_text(b, share) for b, share in zip(blocks, shares, strict=True)]
+def texts(pages: pa.Table, packed: list[bytes], shares: list[np.ndarray]) -> pa.Table:
+    out = [main_text(blocks_of(x), share) for x, share in zip(packed, shares, strict=True)]
     return pa.table(
         {
             "id": pages.column("id"),
@@ -534,8 +532,8 @@ def extract(
     large = placed.where("chunks is not null").drop("chunks").mapInArrow(parse, parsed)
 
     def whole(group_pages: pa.Table) -> pa.Table:
-        blocks, group, page_hosts, contents = read_group(group_pages)
-        return texts(group_pages, blocks, covered_shares(group, page_hosts, contents, run))
+        packed, group, page_hosts, contents = read_group(group_pages)
+        return texts(group_pages, packed, covered_shares(group, page_hosts, contents, run))
 
     def counted(group_pages: pa.Table) -> tuple[Group, np.ndarray, np.ndarray, np.ndarray]:
         """The group of the pages that count, their hosts, and each run's place and count."""
@@ -544,21 +542,20 @@ def extract(
         at, number, first = group.runs(page_hosts, run)
         return group, page_hosts, first, document_counts(number, group.of_tokens(contents)[at] if len(at) else at)
 
-    def runs_table(key: int, run_hosts: np.ndarray, hashes: np.ndarray, counts: np.ndarray) -> pa.Table:
+    def runs_table(key: int, run_hosts: np.ndarray, hashes: np.ndarray, counts: np.ndarray, most: int = 0) -> pa.Table:
         columns = [np.full(len(counts), key, dtype=np.int64), run_hosts, hashes.view(np.int64), counts.astype(np.int64)]
-        return pa.table([pa.array(x) for x in columns], names=["key", "host", "run", "n"])
+        columns.append(np.full(len(counts), most, dtype=np.int64))
+        return pa.table([pa.array(x) for x in columns], names=["key", "host", "run", "n", "most"])
 
     def named(group_pages: pa.Table) -> pa.Table:
-        """The runs that ``SHARE`` of the group's pages have; and one row without a run."""
-        key = group_pages.column("key")[0].as_py()
+        """The runs of more than ``most`` pages of the group; and one row without a run."""
+        key, host = (group_pages.column(c)[0].as_py() for c in ("key", "host"))
         group, page_hosts, first, counts = counted(group_pages)
-        own = pa.table({"key": [key], "host": group_pages.column("host").slice(0, 1).combine_chunks(), "run": pa.nulls(1, pa.int64()), "n": pa.nulls(1, pa.int64())})
-        if not len(first):
-            return own
-        distinct = len(set(zip(group_pages.column("host").to_pylist(), group_pages.column("content").to_pylist(), strict=True)))
-        often = counts >= SHARE * distinct
+        most = unnamed(len(pc.unique(group_pages.filter(pc.invert(group_pages.column("extra"))).column("content"))))
+        own = pa.table({"key": [key], "host": [host], "run": pa.nulls(1, pa.int64()), "n": pa.nulls(1, pa.int64()), "most": [most]})
+        often = counts > most
         first, counts = first[often], counts[often]
-        return pa.concat_tables([own, runs_table(key, group.of_tokens(page_hosts)[first], group.hashes(first, run), counts)])
+        return pa.concat_tables([own, runs_table(key, group.of_tokens(page_hosts)[first], group.hashes(first, run), counts, most)])
 
     def recounted(group_pages: pa.Table, asked: pa.Table) -> pa.Table:
         """How many of the group's pages have each run that is asked for."""
@@ -570,20 +567,23 @@ def extract(
         return runs_table(0, group.of_tokens(page_hosts)[first[mine]], hashes[mine], counts[mine])
 
     def judged(group_pages: pa.Table, repeats: pa.Table) -> pa.Table:
-        blocks, group, _, _ = read_group(group_pages)
+        packed, group, _, _ = read_group(group_pages)
         starts = np.zeros(len(group.tokens), dtype=bool)
         if repeats.num_rows:
             at = group.places(run)
             starts[at] = np.isin(group.hashes(at, run).view(np.int64), repeats.column("run").to_numpy())
-        return texts(group_pages, blocks, group.shares(starts, run))
+        return texts(group_pages, packed, group.shares(starts, run))
 
     found = small.groupBy("key").applyInArrow(whole, schema)
     if not hosts.isEmpty():
-        numbers = "key bigint, host bigint, run bigint, n bigint"
+        numbers = "key bigint, host bigint, run bigint, n bigint, most bigint"
         names = stored(large.groupBy("key").applyInArrow(named, numbers), "page-runs")
         groups = names.where("run is null").select("key", "host")
         least = F.greatest(F.lit(MIN_PAGES), F.ceil(F.lit(SHARE) * F.col("pages")))
-        sums = names.where("run is not null").groupBy("host", "run").agg(F.sum("n").alias("n")).join(hosts, "host")
+        # a run is on as many pages as were named, and at most ``most`` more for each group that does not name it
+        silent = names.where("run is null").groupBy("host").agg(F.sum("most").alias("silent")).join(hosts, "host")
+        sums = names.where("run is not null").groupBy("host", "run").agg(F.sum("n").alias("n"), F.sum("most").alias("most"))
+        sums = sums.join(silent, "host").where(F.col("n") + F.col("silent") - F.col("most") >= least)
         sums = stored(sums.select("host", "run", (F.col("n") >= least).alias("repeats")), "page-run-sums")
         repeats, left = sums.where("repeats").select("host", "run"), sums.where("not repeats").select("host", "run")
         if not left.isEmpty():
