@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from tickwise.llm.url_filter import RULES, build_cascade, judge, key_universe, listed
+from tickwise.llm.url_filter import RULES, build_cascade, domains, judge, key_universe, listed
 
 URLS = "page_id bigint, url string, host string, rule string"
 
@@ -67,3 +67,25 @@ def test_verdicts(spark):
 def test_no_urls(spark):
     pages = urls_of(spark, [])
     assert judge(pages, build_cascade(key_universe(pages).withColumn("listed", F.lit(True)))).count() == 0
+
+
+def test_domains_of_long_hosts(spark):
+    rng = random.Random(5)
+    hosts = ["", ".", "a", "a.b", "..a", "x" * 253, "x" * 254, "a." + "x" * 251, "a." + "x" * 252, "ab." + "x" * 252, "." + "x" * 253]
+    hosts += [".".join("ab"[: rng.randrange(3)] or "c" for _ in range(rng.randrange(100, 160))) for _ in range(200)]
+    hosts.append(".".join(["label"] * 20_000))
+    rows = spark.createDataFrame([(h,) for h in hosts], "host string").select("host", domains(F.col("host")).alias("d")).collect()
+    for r in rows:
+        labels = r.host.split(".")[-300:]
+        every = [".".join(labels[i:]) for i in range(len(labels))]
+        assert r.d == [d for d in every if len(d) <= 253]
+
+
+def test_verdicts_of_very_long_urls(spark):
+    deep = ".".join(["www"] * 50_000)
+    urls = [f"http://{deep}.bad.org/", f"http://{deep}.good.org/", f"http://{deep}.example.net/en/", "http://" + "y" * 1_000_000, f"http://bad.org/{'z' * 1_000_000}"]
+    pages = urls_of(spark, urls)
+    keys = key_universe(pages).withColumn("listed", F.col("key") == "bad.org")
+    rows = {r.page_id: r for r in judge(pages, build_cascade(keys)).collect()}
+    assert [rows[i].verdict for i in range(5)] == ["block", "allow", "allow", "allow", "block"]
+    assert rows[0].host == f"{deep}.bad.org" and rows[2].rule == "example.net/en/" and rows[3].host == "y" * 1_000_000

@@ -2,7 +2,8 @@
 filters, in built-in functions only and without a join per URL.
 
 The *complete key universe* is every host, and every parent domain of one,
-that the corpus holds. Level 0 encodes the listed keys; level 1 the unlisted
+that the corpus holds, as far as it can be a domain name (``MAX_DOMAIN``
+characters; a list can name no longer one). Level 0 encodes the listed keys; level 1 the unlisted
 keys that level 0 takes for listed; level 2 the listed keys that level 1
 takes in, and so on until a level has no false positive left in the universe.
 For any key of the universe the answer is exact: listed if the first level
@@ -16,7 +17,9 @@ bits a listed key; more than ``max_filter_bytes`` raises an error rather than
 be sent to every task. Judging a URL is a projection: no shuffle.
 
 Defined cases: a null URL, or one without ``://``, has empty host and path
-and is allowed; an empty list, or an empty table, makes a filter that lists
+and is allowed; of a host of any length only the domains of at most
+``MAX_DOMAIN`` characters are looked up, so its work grows with its length (its
+rule and its host column are those of the whole URL); an empty list, or an empty table, makes a filter that lists
 nothing; repeated rows are judged alike; other columns pass through, columns
 named like a result are replaced.
 """
@@ -41,6 +44,7 @@ RULES = (
 # Domains that the block list names, by their first label.
 LISTED_LABELS = ("adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm")
 MAX_FILTER_BYTES = 64 << 20
+MAX_DOMAIN = 253  # characters of a domain name, by the DNS
 
 
 def host_of(url: Column) -> Column:
@@ -59,10 +63,15 @@ def _part(url: Column, group: int, lower: bool = False) -> Column:
 
 
 def domains(host: Column) -> Column:
-    """The host and its parent domains, longest first."""
-    labels = F.split(host, r"\.")
+    """The host and its parent domains of at most ``MAX_DOMAIN`` characters,
+    longest first."""
+    # of a longer host only the end is cut into labels; its first piece is a part of a label, or empty
+    tail = F.substring(host, -(MAX_DOMAIN + 1), MAX_DOMAIN + 1)
+    pieces = F.split(tail, r"\.")
+    labels = F.when(F.length(host) <= MAX_DOMAIN, pieces).otherwise(F.slice(pieces, F.lit(2), F.size(pieces)))
     return F.transform(
-        F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")
+        F.filter(F.sequence(F.lit(1), F.size(labels) + 1), lambda i: i <= F.size(labels)),
+        lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
     )
 
 
