@@ -3,9 +3,10 @@ filters, in built-in functions only and without a join per URL.
 
 The *complete key universe* is every host, and every parent domain of one,
 that the corpus holds, as far as it can be a domain name (``MAX_DOMAIN``
-characters; a list can name no longer one). Level 0 encodes the listed keys; level 1 the unlisted
-keys that level 0 takes for listed; level 2 the listed keys that level 1
-takes in, and so on until a level has no false positive left in the universe.
+characters; a list can name no longer one). Level 0 encodes the listed keys;
+level 1 the unlisted keys that level 0 takes for listed; level 2 the listed keys
+that level 1 takes in, and so on until a level has no false positive left in the
+universe.
 For any key of the universe the answer is exact: listed if the first level
 that does not hold the key has an odd number. Every level hashes with its own
 seed, so two keys that collide on one level part on the next.
@@ -19,9 +20,9 @@ be sent to every task. Judging a URL is a projection: no shuffle.
 Defined cases: a null URL, or one without ``://``, has empty host and path
 and is allowed; of a host of any length only the domains of at most
 ``MAX_DOMAIN`` characters are looked up, so its work grows with its length (its
-rule and its host column are those of the whole URL); an empty list, or an empty table, makes a filter that lists
-nothing; repeated rows are judged alike; other columns pass through, columns
-named like a result are replaced.
+rule and its host column are those of the whole URL); an empty list, or an empty
+table, makes a filter that lists nothing; repeated rows are judged alike; other
+columns pass through, columns named like a result are replaced.
 """
 
 from __future__ import annotations
