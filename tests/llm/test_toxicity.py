@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_ORACLE
@@ -94,3 +95,39 @@ def test_an_id_trains_with_one_document_however_many_carry_it(spark):
     copies = train(docs_of(spark, rows + [rows[0]] * 3000 + [rows[1]] * 500), known)
     assert np.allclose(once.thresholds, copies.thresholds, atol=1e-4)
     assert np.allclose(once.weights, copies.weights, atol=1e-4)
+
+
+def likelihood(x, grades, present):
+    """Mean log likelihood by the definition, row by row: one weight a feature, then the thresholds."""
+    m = present.shape[1]
+    total = 0.0
+    for g, row in zip(grades.tolist(), present, strict=True):
+        at_least = [1.0, *[1 / (1 + np.exp(t - x[:m] @ row)) for t in x[m:]], 0.0]
+        total += np.log(max(at_least[g] - at_least[g + 1], 1e-300))
+    return total / len(grades)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_fit_is_the_maximum_found_by_searching(seed):
+    rng = np.random.default_rng(seed)
+    n, m = 240, 3
+    present = (rng.random((n, m)) < 0.5).astype(float)
+    score = present @ np.array([1.5, -1.0, 0.5]) + rng.logistic(size=n)
+    grades = (score > 0.3).astype(int) + (score > 1.6)
+    row_of, features = np.nonzero(present)
+    model = fit(grades, np.ones(n), row_of, features + 10, penalty=0.0)
+    got = np.concatenate([model.weights[10 : 10 + m], model.thresholds])
+    # brute force: each coordinate in turn by ever smaller steps, from zero weights
+    best, step = np.concatenate([np.zeros(m), [0.0, 1.0]]), 1.0
+    value = likelihood(best, grades, present)
+    while step > 0.01:
+        moved = False
+        for j in range(len(best)):
+            for sign in (-1, 1):
+                trial = best.copy()
+                trial[j] += sign * step
+                if np.all(np.diff(trial[m:]) > 0) and (v := likelihood(trial, grades, present)) > value:
+                    best, value, moved = trial, v, True
+        step = step if moved else step / 2
+    assert likelihood(got, grades, present) > value - 1e-3
+    assert np.abs(got - best).max() < 0.15 and (model.weights != 0).sum() <= m
