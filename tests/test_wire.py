@@ -119,6 +119,31 @@ def test_columns_through_spark(spark, message):
     assert [r.quote is None for r in decode_quotes(odd, fields=["id", "time"]).collect()] == [True, True, False, True]
 
 
+def test_bytes_by_hand():
+    """The wire format spelled out: tag, then varint, four bytes or a length and its bytes."""
+    hands = [
+        b"\x0a\x04AAPL" + b"\x15\x00\x00\x20\x41" + b"\x18\xd0\x0f" + b"\x38\x01",
+        b"\x18\x03" + b"\x30\x08" + b"\x81\x02\x00\x00\x00\x00\x00\x00\xf8\x3f",
+        b"",
+    ]
+    rows = [
+        {"id": "AAPL", "price": 10.0, "time": 1000, "marketHours": "REGULAR_MARKET"},
+        {"time": -2, "quoteType": "EQUITY", "circulatingSupply": 1.5},
+        {},
+    ]
+    got = decode(pa.array(hands), QUOTE_FIELDS, ENUMS).to_pylist()
+    assert got == [{name: row.get(name) for name in NAMES} for row in rows]
+    assert encode(pa.array([{name: row.get(name) for name in NAMES} for row in rows], type=TYPE), QUOTE_FIELDS, ENUMS).to_pylist() == hands
+
+
+def test_null_rows_part_structs_and_unknown_names():
+    part = pa.struct([("other", pa.int32()), ("time", pa.int64()), ("quoteType", pa.string())])
+    rows = pa.array([None, {"other": 1, "time": 1, "quoteType": "no such"}, {"other": None, "time": None, "quoteType": "ETF"}], type=part)
+    assert encode(rows, QUOTE_FIELDS, ENUMS).to_pylist() == [None, b"\x18\x02", b"\x30\x14"]
+    none = pa.array([None, {"other": 1}], type=pa.struct([("other", pa.int32())]))
+    assert encode(none, QUOTE_FIELDS, ENUMS).to_pylist() == [None, b""]
+
+
 def test_empty_batch():
     assert len(decode(pa.array([], type=pa.binary()), QUOTE_FIELDS, ENUMS)) == 0
     assert len(encode(pa.array([], type=TYPE), QUOTE_FIELDS, ENUMS)) == 0

@@ -1,9 +1,9 @@
 """Quote frames: base64 text holding one protobuf quote message.
 
 The message definition is declared once (``schemas.QUOTE_FIELDS`` and
-``schemas.ENUMS``). Decoding uses Spark's ``from_protobuf`` when the
-spark-protobuf package is on the classpath; otherwise an Arrow UDF decodes
-whole batches with numpy (``functions.wire``), only the fields asked for.
+``schemas.ENUMS``). Spark's ``from_protobuf`` and ``to_protobuf`` do the work
+when the spark-protobuf package is on the classpath; otherwise an Arrow UDF
+around the protobuf runtime (``functions.wire``), only the fields asked for.
 Both return NULL for frames that are not valid base64 or not a valid message.
 """
 
@@ -12,43 +12,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickwise.functions.wire import decode, encode
+from tickwise.functions.wire import FULL_NAME, decode, descriptor_set, encode
 from tickwise.schemas import ENUMS, QUOTE_FIELDS, QUOTE_SCHEMA
 
-PACKAGE = "quotes"
-MESSAGE = "PricingData"
-FULL_NAME = f"{PACKAGE}.{MESSAGE}"
-
 
 def descriptor_set_bytes() -> bytes:
     """Serialized ``FileDescriptorSet`` of the quote message, as
     ``from_protobuf`` takes it."""
-    from google.protobuf import descriptor_pb2
-
-    fdp = descriptor_pb2.FileDescriptorProto(name="quotes.proto", package=PACKAGE, syntax="proto3")
-    msg = fdp.message_type.add(name=MESSAGE)
-    for enum_name, values in ENUMS.items():
-        e = msg.enum_type.add(name=enum_name)
-        for code, name in sorted(values.items()):
-            e.value.add(name=name, number=code)
-    kinds = {
-        "string": descriptor_pb2.FieldDescriptorProto.TYPE_STRING,
-        "float": descriptor_pb2.FieldDescriptorProto.TYPE_FLOAT,
-        "double": descriptor_pb2.FieldDescriptorProto.TYPE_DOUBLE,
-        "sint64": descriptor_pb2.FieldDescriptorProto.TYPE_SINT64,
-    }
-    for name, number, kind in QUOTE_FIELDS:
-        f = msg.field.add(name=name, number=number, label=descriptor_pb2.FieldDescriptorProto.LABEL_OPTIONAL)
-        if kind.startswith("enum:"):
-            f.type = descriptor_pb2.FieldDescriptorProto.TYPE_ENUM
-            f.type_name = f".{FULL_NAME}.{kind[5:]}"
-        else:
-            f.type = kinds[kind]
-    return descriptor_pb2.FileDescriptorSet(file=[fdp]).SerializeToString()
+    return descriptor_set(QUOTE_FIELDS, ENUMS)
 
 
 def builtin_protobuf_available(spark) -> bool:
@@ -98,15 +73,22 @@ def decode_quotes(
 # ---------------------------------------------------------------------------
 # encode (producer side)
 # ---------------------------------------------------------------------------
-def encode_frames(quotes: Column) -> Column:
-    """Quote struct (any subset of the 33 fields, enums as names) -> base64 frame."""
+def encode_frames(quotes: Column, *, builtin: bool | None = None) -> Column:
+    """Quote struct (any subset of the 33 fields, enums as names) -> base64
+    frame; NULL for a NULL struct."""
+    if builtin_protobuf_available(SparkSession.active()) if builtin is None else builtin:
+        from pyspark.sql.protobuf.functions import to_protobuf
+
+        message = to_protobuf(quotes, FULL_NAME, binaryDescriptorSet=descriptor_set_bytes())
+    else:
 
-    @F.arrow_udf(T.BinaryType())
-    def message_of(rows: pa.Array) -> pa.Array:
-        return encode(rows, QUOTE_FIELDS, ENUMS)
+        @F.arrow_udf(T.BinaryType())
+        def message_of(rows: pa.Array) -> pa.Array:
+            return encode(rows, QUOTE_FIELDS, ENUMS)
 
+        message = message_of(quotes)
     # a frame is one line of text, however long
-    return F.translate(F.base64(message_of(quotes)), "\r\n", "")
+    return F.translate(F.base64(message), "\r\n", "")
 
 
 # ---------------------------------------------------------------------------

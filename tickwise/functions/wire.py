@@ -1,244 +1,81 @@
-"""Protobuf wire format of flat messages on whole Arrow batches.
-
-A batch of messages is one byte array with a cursor per message. Each step
-reads the next field of every message that is not at its end, so the number
-of numpy steps follows the number of fields of a message, not of messages.
-Integers stay integers: values and null masks go to Arrow as they are.
-
-``fields`` is a list of ``(name, number, kind)`` with kinds ``string``,
-``float``, ``double``, ``sint64`` and ``enum:<name>``. Only listed fields are
-decoded, others are stepped over. As in proto3, a field that holds its default
-(zero, empty) is absent: null in the decoded row, left out when encoded.
+"""Protobuf messages on Arrow batches, by the protobuf runtime.
+
+Stands in for Spark's ``from_protobuf`` and ``to_protobuf`` where the
+spark-protobuf package is not on the classpath. ``fields`` is a list of
+``(name, number, kind)`` with kinds ``string``, ``float``, ``double``,
+``sint64`` and ``enum:<name>``; fields that are not listed are stepped over.
+As in proto3, a field that holds its default (zero, empty) is absent: null in
+the decoded row, left out when encoded.
 """
 
 from __future__ import annotations
 
-import numpy as np
 import pyarrow as pa
 
-VARINT, FIXED64, BYTES, FIXED32 = 0, 1, 2, 5
-WIRE = {"string": BYTES, "float": FIXED32, "double": FIXED64, "sint64": VARINT}
+PACKAGE = "quotes"
+MESSAGE = "PricingData"
+FULL_NAME = f"{PACKAGE}.{MESSAGE}"
 ARROW = {"string": pa.string(), "float": pa.float32(), "double": pa.float64(), "sint64": pa.int64()}
-MOST_VARINT = 10
-
 
-def wire_of(kind: str) -> int:
-    return VARINT if kind.startswith("enum:") else WIRE[kind]
+Fields = list[tuple[str, int, str]]
+Enums = dict[str, dict[int, str]]
 
 
-def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Data, start and end of each value of a binary or string column."""
-    large = column.cast(pa.large_binary())
-    _, offsets, data = large.buffers()
-    n = len(large)
-    bounds = np.frombuffer(offsets, dtype=np.int64)[large.offset : large.offset + n + 1] if n else np.zeros(1, dtype=np.int64)
-    raw = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, dtype=np.uint8)
-    return raw, bounds[:-1].copy(), bounds[1:].copy()
+def descriptor_set(fields: Fields, enums: Enums) -> bytes:
+    """Serialized ``FileDescriptorSet`` of a message of ``fields``."""
+    from google.protobuf.descriptor_pb2 import FieldDescriptorProto, FileDescriptorProto, FileDescriptorSet
 
+    file = FileDescriptorProto(name="quotes.proto", package=PACKAGE, syntax="proto3")
+    message = file.message_type.add(name=MESSAGE)
+    for enum_name, values in enums.items():
+        enum = message.enum_type.add(name=enum_name)
+        for code, name in sorted(values.items()):
+            enum.value.add(name=name, number=code)
+    for name, number, kind in fields:
+        field = message.field.add(name=name, number=number, label=FieldDescriptorProto.LABEL_OPTIONAL)
+        if kind.startswith("enum:"):
+            field.type, field.type_name = FieldDescriptorProto.TYPE_ENUM, f".{FULL_NAME}.{kind[5:]}"
+        else:
+            field.type = FieldDescriptorProto.Type.Value(f"TYPE_{kind.upper()}")
+    return FileDescriptorSet(file=[file]).SerializeToString()
 
-def _varint(data: np.ndarray, at: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Value, next position and validity of the varint at each position."""
-    value = np.zeros(len(at), dtype=np.uint64)
-    at = at.copy()
-    good = np.zeros(len(at), dtype=bool)
-    left = np.arange(len(at))
-    for k in range(MOST_VARINT):
-        left = left[at[left] < end[left]]
-        if not len(left):
-            break
-        b = data[at[left]]
-        at[left] += 1
-        value[left] |= (b & np.uint8(0x7F)).astype(np.uint64) << np.uint64(7 * k)
-        last = b < 0x80
-        good[left[last]] = True
-        left = left[~last]
-    return value, at, good
 
+def message_class(fields: Fields, enums: Enums) -> type:
+    from google.protobuf import descriptor_pb2, descriptor_pool, message_factory
 
-def _gather(data: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
-    return data[at[:, None] + np.arange(width)]
+    pool = descriptor_pool.DescriptorPool()
+    pool.Add(descriptor_pb2.FileDescriptorSet.FromString(descriptor_set(fields, enums)).file[0])
+    return message_factory.GetMessageClass(pool.FindMessageTypeByName(FULL_NAME))
 
 
-def decode(column: pa.Array, fields: list[tuple[str, int, str]], enums: dict[str, dict[int, str]]) -> pa.StructArray:
+def decode(column: pa.Array, fields: Fields, enums: Enums) -> pa.StructArray:
     """The messages of a binary column as a struct of ``fields`` (enums as
     names, null for a code without one); null where the value is null or no
     message."""
-    n = len(column)
-    data, at, end = _bytes_of(column)
-    good = ~np.asarray(column.is_null()) if n else np.zeros(0, dtype=bool)
-    known = {number: (name, kind) for name, number, kind in fields}
-    values = {name: np.zeros(n, dtype=np.uint64) for name, _, _ in fields}
-    lengths = {name: np.zeros(n, dtype=np.int64) for name, _, kind in fields if kind == "string"}
-    active = np.flatnonzero(good & (at < end))
-    while len(active):
-        tag, after, fine = _varint(data, at[active], end[active])
-        number, wire = (tag >> np.uint64(3)).astype(np.int64), (tag & np.uint64(7)).astype(np.int64)
-        fine &= (number > 0) & (number < 1 << 29) & np.isin(wire, (VARINT, FIXED64, BYTES, FIXED32))
-        good[active[~fine]] = False
-        at[active] = after
-        active, number, wire = active[fine], number[fine], wire[fine]
-        fine = np.ones(len(active), dtype=bool)
-        content = np.zeros(len(active), dtype=np.uint64)
-        begin = at[active]
-        for w, width in ((FIXED32, 4), (FIXED64, 8)):
-            mine = np.flatnonzero(wire == w)
-            fine[mine] = begin[mine] + width <= end[active[mine]]
-            mine = mine[fine[mine]]
-            content[mine] = _gather(data, begin[mine], width).view(f"<u{width}")[:, 0] if len(mine) else 0
-            at[active[mine]] += width
-        mine = np.flatnonzero((wire == VARINT) | (wire == BYTES))
-        value, after, ok = _varint(data, begin[mine], end[active[mine]])
-        fine[mine] = ok
-        content[mine] = value
-        at[active[mine]] = after
-        mine = np.flatnonzero((wire == BYTES) & fine)
-        room = (end[active[mine]] - at[active[mine]]).astype(np.uint64)
-        fine[mine] = content[mine] <= room
-        mine = mine[fine[mine]]
-        begin = at[active]  # of a string: behind its length
-        at[active[mine]] += content[mine].astype(np.int64)
-        good[active[~fine]] = False
-        for f in np.unique(number[fine]).tolist():
-            if f in known:
-                name, kind = known[f]
-                mine = np.flatnonzero(fine & (number == f) & (wire == wire_of(kind)))
-                rows = active[mine]
-                if kind == "string":
-                    values[name][rows] = begin[mine].astype(np.uint64)
-                    lengths[name][rows] = content[mine].astype(np.int64)
-                else:
-                    values[name][rows] = content[mine]
-        active = active[fine & (at[active] < end[active])]
-    columns = []
+    from google.protobuf.message import DecodeError
+
+    message = message_class(fields, enums)
+    names = {name: enums[kind[5:]] for name, _, kind in fields if kind.startswith("enum:")}
+
+    def row(raw: bytes | None) -> dict | None:
+        try:
+            held = [] if raw is None else message.FromString(raw).ListFields()
+        except DecodeError:
+            return None
+        return None if raw is None else {f.name: names[f.name].get(v) if f.name in names else v for f, v in held}
+
+    return pa.array([row(v) for v in column.to_pylist()], pa.struct([(n, ARROW.get(k, pa.string())) for n, _, k in fields]))
+
+
+def encode(rows: pa.StructArray, fields: Fields, enums: Enums) -> pa.Array:
+    """One message per row; null for a null row. Fields that the struct lacks
+    are left out, and so is an enum name without a code."""
+    message = message_class(fields, enums)
+    codes = {n: {name: code for code, name in enums[k[5:]].items()} for n, _, k in fields if k.startswith("enum:")}
+    columns = {}
     for name, _, kind in fields:
-        if kind == "string":
-            columns.append(_strings(data, values[name].astype(np.int64), lengths[name], good))
-        else:
-            columns.append(_numbers(values[name], kind, enums))
-    names = [name for name, _, _ in fields]
-    return pa.StructArray.from_arrays(columns, names=names, mask=pa.array(~good))
-
-
-def _strings(data: np.ndarray, begin: np.ndarray, length: np.ndarray, good: np.ndarray) -> pa.Array:
-    """String column; a message with a value that is no UTF-8 is marked bad."""
-    length = np.where(good, length, 0)
-    total = int(length.sum())
-    offsets = np.concatenate([[0], np.cumsum(length)])
-    where = np.arange(total) + np.repeat(begin - offsets[:-1], length)
-    packed = data[where].tobytes()
-    valid = pa.array(length > 0)
-    buffers = [None, pa.py_buffer(offsets.astype(np.int64).tobytes()), pa.py_buffer(packed)]
-    raw = pa.Array.from_buffers(pa.large_binary(), len(length), buffers)
-    try:
-        text = raw.cast(pa.string())
-    except pa.ArrowInvalid:
-        values = []
-        for k, v in enumerate(raw.to_pylist()):
-            try:
-                values.append(v.decode())
-            except UnicodeDecodeError:
-                good[k] = False
-                values.append("")
-        text = pa.array(values, type=pa.string())
-    return pa.compute.if_else(valid, text, pa.scalar(None, pa.string()))
-
-
-def _numbers(value: np.ndarray, kind: str, enums: dict[str, dict[int, str]]) -> pa.Array:
-    if kind.startswith("enum:"):
-        names = enums[kind[5:]]
-        codes = np.array(sorted(names), dtype=np.int64)
-        # an enum is a 32-bit number
-        code = value.astype(np.uint32).astype(np.int32).astype(np.int64)
-        place = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
-        found = (codes[place] == code) & (code != 0)
-        return pa.array([names[c] for c in codes.tolist()], type=pa.string()).take(pa.array(place, mask=~found))
-    if kind == "sint64":
-        number = ((value >> np.uint64(1)) ^ (np.uint64(0) - (value & np.uint64(1)))).view(np.int64)
-        return pa.array(number, mask=value == 0)
-    if kind == "float":
-        bits = value.astype(np.uint32)
-        return pa.array(bits.view(np.float32), mask=bits == 0)
-    return pa.array(value.view(np.float64), mask=value == 0)
-
-
-def _varint_size(value: np.ndarray) -> np.ndarray:
-    size = np.ones(len(value), dtype=np.int64)
-    for k in range(1, MOST_VARINT):
-        size += value >= np.uint64(1 << (7 * k))
-    return size
-
-
-def _put_varint(out: np.ndarray, at: np.ndarray, value: np.ndarray, size: np.ndarray) -> None:
-    for k in range(int(size.max()) if len(size) else 0):
-        mine = np.flatnonzero(size > k)
-        low = (value[mine] >> np.uint64(7 * k)).astype(np.uint8) & np.uint8(0x7F)
-        out[at[mine] + k] = low | np.where(size[mine] > k + 1, 0x80, 0).astype(np.uint8)
-
-
-def _plain(column: pa.Array, kind: str, enums: dict[str, dict[int, str]]) -> np.ndarray:
-    """Wire value of each row of a field that is no string; 0 is left out."""
-    null = np.asarray(column.is_null())
-    if kind.startswith("enum:"):
-        codes = {name: code for code, name in enums[kind[5:]].items()}
-        distinct = column.dictionary_encode()
-        by_index = np.array([codes.get(v, 0) for v in distinct.dictionary.to_pylist()] + [0], dtype=np.uint64)
-        index = distinct.indices.fill_null(len(by_index) - 1).to_numpy(zero_copy_only=False)
-        return by_index[index]
-    filled = column.fill_null(0).to_numpy(zero_copy_only=False)
-    if kind == "sint64":
-        number = filled.astype(np.int64)
-        value = ((number.view(np.uint64) << np.uint64(1)) ^ (number >> 63).view(np.uint64))
-    elif kind == "float":
-        value = filled.astype("<f4").view("<u4").astype(np.uint64)
-    else:
-        value = filled.astype("<f8").view("<u8")
-    return np.where(null, np.uint64(0), value)
-
-
-def encode(rows: pa.StructArray, fields: list[tuple[str, int, str]], enums: dict[str, dict[int, str]]) -> pa.Array:
-    """One message per row, fields in order of their numbers. Fields that the
-    struct lacks are left out."""
-    n = len(rows)
-    parts = []  # (tag, kind, wire value or length, sizes, string data)
-    total = np.zeros(n, dtype=np.int64)
-    names = [f.name for f in rows.type]
-    for name, number, kind in sorted(fields, key=lambda f: f[1]):
-        if name not in names:
-            continue
-        column = rows.field(name)
-        wire = wire_of(kind)
-        text = None
-        if wire == BYTES:
-            data, begin, end = _bytes_of(column)
-            value = np.where(np.asarray(column.is_null()), 0, end - begin).astype(np.uint64)
-            text = (data, begin)
-            size = _varint_size(value) + value.astype(np.int64)
-        else:
-            value = _plain(column, kind, enums)
-            size = _varint_size(value) if wire == VARINT else np.full(n, 4 if wire == FIXED32 else 8, dtype=np.int64)
-        tag = number << 3 | wire
-        size = np.where(value == 0, 0, size + (1 if tag < 0x80 else 2))
-        parts.append((tag, wire, value, size, text))
-        total += size
-    bounds = np.concatenate([[0], np.cumsum(total)])
-    out = np.zeros(int(bounds[-1]), dtype=np.uint8)
-    at = bounds[:-1].copy()
-    for tag, wire, value, size, text in parts:
-        mine = np.flatnonzero(size > 0)
-        place, v = at[mine], value[mine]
-        tags = np.full(len(mine), tag, dtype=np.uint64)
-        _put_varint(out, place, tags, _varint_size(tags))
-        place = place + (1 if tag < 0x80 else 2)
-        if wire in (VARINT, BYTES):
-            _put_varint(out, place, v, _varint_size(v))
-            if text is not None:
-                place = place + _varint_size(v)
-                length = v.astype(np.int64)
-                step = np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
-                out[np.repeat(place, length) + step] = text[0][np.repeat(text[1][mine], length) + step]
-        else:
-            width = 4 if wire == FIXED32 else 8
-            out[place[:, None] + np.arange(width)] = v.astype(f"<u{width}").view(np.uint8).reshape(-1, width)
-        at += size
-    buffers = [None, pa.py_buffer(bounds.tobytes()), pa.py_buffer(out.tobytes())]
-    return pa.Array.from_buffers(pa.large_binary(), n, buffers).cast(pa.binary())
+        if rows.type.get_field_index(name) >= 0:
+            values = rows.field(name).fill_null(0 if kind in ARROW and kind != "string" else "").to_numpy(zero_copy_only=False).tolist()
+            columns[name] = [codes[name].get(v, 0) for v in values] if name in codes else values
+    made = [message(**dict(zip(columns, v, strict=True))).SerializeToString() for v in zip(*columns.values(), strict=True)]
+    return pa.array(made or [b""] * len(rows), pa.binary(), mask=rows.is_null().to_numpy(zero_copy_only=False))
