@@ -12,6 +12,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -29,6 +30,7 @@ from tickwise.schemas import TOPIC_SCHEMA
 from tickwise.session import ROCKSDB_STATE, scratch_path, session_conf
 from tickwise.sinks.keyed_table import KeyedTable
 from tickwise.plans.events import CORRUPT_EVERY, OFFSET_STRIDE, TOPIC_PARTITIONS, epoch_millis, event_time
+from tickwise.sources.checkpoint import batch_offsets
 from tickwise.sources.state import open_windows
 from tickwise.sources.topic import DEFAULT_TOPIC, append_segment, read_topic
 from tickwise.streaming.app import ready_to_start, run_bridge_job, run_tick_job
@@ -38,7 +40,9 @@ from tickwise.streaming.jobs import (
     changelog_batches,
     clean_tick_stream,
     latest_per_key,
+    offset_batches,
     start,
+    tee_batches,
     tick_means,
     upsert_batches,
     watched_batches,
@@ -401,6 +405,7 @@ def q_stream_state_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 COUNT_SEGMENTS = 6
+IDLE_SECONDS = 10
 
 
 def q_stream_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -421,7 +426,83 @@ def q_stream_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("batch_id", "rows", F.sum("rows").over(so_far).alias("total_rows"))
 
 
+def q_stream_tee(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One query, two sinks: the change log and the keyed table hold the same
+    means."""
+    qn = _qname("tee")
+
+    def build(stream: DataFrame, base: str) -> StreamingQuery:
+        sinks = tee_batches(changelog_batches(f"{base}/changes"), upsert_batches(KeyedTable(spark, f"{base}/table")))
+        return start(tick_means(stream), name=qn, checkpoint=f"{base}/checkpoint", mode="update", trigger=DRAIN, foreach_batch=sinks)
+
+    base = drive(spark, sf_dir, "stream_tee", build)
+    changes = latest_per_key(spark.read.parquet(f"{base}/changes")).select(F.lit("changes").alias("sink"), "*")
+    kept = KeyedTable(spark, f"{base}/table").read().select(F.lit("table").alias("sink"), "*")
+    return ntz(rounded(changes.unionByName(kept), "price"))
+
+
+def q_stream_idle_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A query that runs on by itself, with a segment that comes while it
+    runs, is stopped once nothing has come for ``IDLE_SECONDS``: why it ended,
+    the records it read and the ticks it wrote."""
+    base, readout = scratch_path(spark, "stream_idle_stop"), RunReadout()
+    records = topic_records(spark, sf_dir)
+    cut = [_segment(records, i, SEGMENTS) for i in range(SEGMENTS)]
+    append_segment(cut.pop(0), f"{base}/topic")
+
+    def on_progress(progress: dict) -> None:
+        readout.on_progress(progress)
+        if readout.input_rows and cut:
+            append_segment(cut.pop(0), f"{base}/topic")
+
+    ticks = valid_ticks(parse_ticks(read_topic(spark, path=f"{base}/topic", streaming=True)))
+    q = start(ticks, name=_qname("idle"), checkpoint=f"{base}/checkpoint", mode="append",
+              trigger={"processingTime": "1 second"}, sink="parquet", path=f"{base}/ticks")
+    why = run_until_idle(q, max_idle_seconds=IDLE_SECONDS, poll_seconds=1, on_progress=on_progress)
+    written = spark.read.parquet(f"{base}/ticks").agg(F.count(F.lit(1)).alias("ticks"))
+    return written.select(F.lit(why).alias("ended"), F.lit(readout.input_rows).cast("bigint").alias("records"), "ticks")
+
+
+class SinkFailure(Exception):
+    """A sink that breaks down after it has written."""
+
+
+def q_stream_checkpoint_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Offsets by micro-batch as the checkpoint has them after a sink broke
+    down in the second one (step 0) and after the restart (step 1)."""
+    qn, base = _qname("offsets"), scratch_path(spark, "stream_checkpoint_offsets")
+    records = topic_records(spark, sf_dir)
+
+    def fail(batch: DataFrame, batch_id: int) -> None:
+        raise SinkFailure
+
+    def run(*then: Callable[[DataFrame, int], None]) -> None:
+        stream = read_topic(spark, path=f"{base}/topic", streaming=True).select("partition", "offset")
+        q = start(stream, name=qn, checkpoint=f"{base}/checkpoint", mode="append", trigger=DRAIN,
+                  foreach_batch=tee_batches(offset_batches(f"{base}/ends"), *then))
+        run_until_idle(q, max_idle_seconds=3600, poll_seconds=1)
+
+    def look(step: int) -> None:
+        batch_offsets(spark, f"{base}/checkpoint", f"{base}/ends").write.parquet(f"{base}/seen/step={step}")
+
+    append_segment(_segment(records, 0, SEGMENTS), f"{base}/topic")
+    run()
+    append_segment(_segment(records, 1, SEGMENTS), f"{base}/topic")
+    try:
+        run(fail)
+    except StreamingQueryException as e:
+        if SinkFailure.__name__ not in str(e):
+            raise
+    look(0)
+    run()
+    look(1)
+    return spark.read.parquet(f"{base}/seen")
+
+
 STREAM_QUERIES = {
+    "stream_tee": q_stream_tee,
+    "stream_idle_stop": q_stream_idle_stop,
+    "stream_checkpoint_offsets": q_stream_checkpoint_offsets,
     "stream_batch_counts": q_stream_batch_counts,
     "stream_message_rate": q_stream_message_rate,
     "stream_dedup_first": q_stream_dedup_first,
@@ -445,6 +526,16 @@ _VALID = 'stock_ticker, "timestamp", price, "partition", "offset"'
 _LISTS = [", ".join(f"'{s}'" for s in symbols) for symbols in WATCHLISTS]
 
 STREAM_ORACLES = {
+    "stream_tee": _with("means AS (" + _tumbling("ticks") + ")")
+    + """SELECT sink, means.* FROM means, (VALUES ('changes'), ('table')) s(sink)""",
+    "stream_idle_stop": _with()
+    + """SELECT 'idle' AS ended, (SELECT count(*) FROM topic) AS records, (SELECT count(*) FROM valid) AS ticks""",
+    "stream_checkpoint_offsets": _with("""segments AS (
+  SELECT "partition", "offset", CAST("offset" >= floor(top / 2) AS BIGINT) AS batch_id
+  FROM topic, (SELECT max("offset") + 1 AS top FROM topic))""")
+    + """SELECT CAST(step AS INTEGER) AS step, batch_id, "partition", max("offset") + 1 AS end_offset,
+       batch_id = 0 OR step = 1 AS committed
+FROM segments, (VALUES (0), (1)) s(step) GROUP BY ALL""",
     "stream_batch_counts": _with(f"""segments AS (
   SELECT len(list_filter(range(1, {COUNT_SEGMENTS}), lambda i: floor(top * i / {COUNT_SEGMENTS}) <= "offset")) AS s
   FROM topic, (SELECT max("offset") + 1 AS top FROM topic))""")

@@ -67,6 +67,17 @@ def committed_topic_offsets(spark: SparkSession, checkpoint: str, topic: str) ->
     return rows.groupBy("partition").agg(F.max_by("offset", "batch_id").alias("committed_offset"))
 
 
+def batch_offsets(spark: SparkSession, checkpoint: str, path: str) -> DataFrame:
+    """What ``jobs.offset_batches`` wrote to ``path``, and whether the batch is
+    committed: ``batch_id, partition, end_offset, committed``. A batch that
+    wrote its rows but did not finish is there as not committed."""
+    known = checkpoint_offsets(spark, checkpoint).groupBy("batch_id").agg(F.bool_or("committed").alias("committed"))
+    ends = spark.read.schema("partition int, end_offset bigint, batch_id bigint").parquet(path)
+    return ends.join(known, "batch_id", "left").select(
+        "batch_id", "partition", "end_offset", F.coalesce("committed", F.lit(False)).alias("committed")
+    )
+
+
 def source_files(spark: SparkSession, checkpoint: str, *, after: int = -1, upto: int, source: int = 0) -> DataFrame:
     """Files that a file source handed to batches: ``log_offset, file`` for
     log offsets in ``(after, upto]``. The source log holds one JSON line per

@@ -179,6 +179,20 @@ def changelog_batches(path: str) -> Callable[[DataFrame, int], None]:
     return fn
 
 
+def offset_batches(path: str) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function: the next offset per topic partition behind
+    the rows of each micro-batch (``partition, end_offset``), from the batch
+    itself: one small folder per batch id, overwritten on replay. Rows that were
+    filtered out before do not count. ``sources.checkpoint.batch_offsets`` tells
+    which of them are committed."""
+
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        ends = batch.groupBy("partition").agg((F.max("offset") + 1).alias("end_offset"))
+        ends.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return fn
+
+
 def latest_per_key(changelog: DataFrame, keys: Sequence[str] = ("stock_ticker", "timestamp")) -> DataFrame:
     """Last emitted value per key of an update-mode change log (what a
     consumer of early results ends up with)."""
