@@ -83,6 +83,38 @@ def test_members_and_missing_parts(spark, tmp_path):
     assert got["<r3>"].response is None
 
 
+def test_long_pages_have_archives_of_their_own(spark):
+    rows = [(i, "u", f"{i} " * (400 if i % 5 else 4000)) for i in range(40)]
+    pages = spark.createDataFrame([(*r, "d", "i", 1) for r in rows], PAGES)
+    path = scratch_path(spark, "test-warc")
+    write_archives(stored(pages, "test-pages").coalesce(1), path, captures_per_file=10, archive_bytes=40_000)
+    files = spark.read.format("binaryFile").load(path).collect()
+    held = [[r[7] for r in _records(memoryview(bytes(f.content)), False) if r[1] == "response"] for f in files]
+    assert all(len(h) <= 10 and (sum(h) <= 40_000 or len(h) == 1) for h in held)
+    assert sorted(x for h in held for x in h) == sorted(len(html) for _, _, html in rows)
+    assert sum(len(h) == 1 and h[0] > 4000 for h in held) == sum(len(html) > 4000 for _, _, html in rows)
+
+
+def test_unreadable_lengths_and_unnamed_records(spark, tmp_path):
+    """A record without a usable length ends at the next one; records without
+    any identifier stay apart."""
+    http = b"HTTP/1.1 200 OK\r\n\r\nbody\r\n\r\nmore"
+
+    def odd(length):
+        return record("response", "<r0>", http).replace(f"Content-Length: {len(http)}".encode(), length)
+
+    for length in (b"Content-Length: many", b"Content-Length: -7", b"Content-Length: \xc2\xb2", b"X-Other: 1"):
+        for parts in ([odd(length), record("response", "<r1>", http)], [record("response", "<r1>", http), odd(length)]):
+            for content in (b"".join(parts), b"".join(gzip.compress(p) for p in parts)):
+                got = {r[0]: bytes(r[-1]) for r in _records(memoryview(content), True)}
+                assert got == {"<r0>": b"body\r\n\r\nmore", "<r1>": b"body\r\n\r\nmore"}
+    unnamed = record("metadata", "x", b"a: b").replace(b"WARC-Record-ID: x\r\n", b"")
+    (tmp_path / "a.warc").write_bytes(unnamed * 3)
+    (tmp_path / "b.warc").write_bytes(unnamed * 2)
+    got = assemble(read_records(spark, str(tmp_path))).collect()
+    assert len({r.capture_id for r in got}) == len(got) == 5 and all(r.more_metadata == [] for r in got)
+
+
 def test_every_record_of_a_capture_is_kept(spark):
     from tickwise.llm.warc import RECORD
 

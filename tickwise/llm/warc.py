@@ -13,22 +13,28 @@ included. ``assemble`` joins the records of a transaction on the identifier
 they share and gives one nested row per capture; ``resolve`` then finds each
 revisit's original by ``WARC-Refers-To``.
 
-Memory: an archive holds ``captures_per_file`` captures and is unpacked as a
-stream, one record at a time. Hot payloads: equal payloads meet in a map-side
+Memory: an archive holds at most ``captures_per_file`` captures and about
+``archive_bytes`` of payload: a page of more than one capture's share of that has
+an archive of its own. Archives are unpacked as a stream, one record at a
+time. Hot payloads: equal payloads meet in a map-side
 aggregate of digests; the join that follows is one that Spark splits by itself
 where a digest is frequent, and only one row of a group carries the payload.
 
 Defined cases: a null payload is an empty one; a null id or URL is left out of
 its header and comes back as null; rows that repeat the smallest id of a group
-are all responses; an empty table writes no record and gives no rows; a
-transaction without request, response or metadata has null there; other
-columns are not archived. The input must give the same rows each time it is
+are all responses; an empty table writes no record and gives no rows; a very
+long page is written and read whole (a record is one Spark string, 2 GB at
+most); a transaction without request, response or metadata has null there; a
+record without a readable length ends where the next one begins; one that names
+neither itself nor another is a capture of its own, named by its archive and
+place; other columns are not archived. The input must give the same rows each time it is
 read (a table, not a sample).
 """
 
 from __future__ import annotations
 
 import hashlib
+import sys
 import zlib
 from collections.abc import Iterator
 
@@ -37,10 +43,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickwise.llm.common import row_number
+from tickwise.llm.common import row_number, stored
 
 MIN_REVISIT_BYTES = 100
 CAPTURES_PER_FILE = 1000
+ARCHIVE_BYTES = 256 << 20
 CAPTURE_DATE = "2024-01-01T00:00:00Z"
 CRLF = "\r\n"
 # Profile of the WARC 1.1 standard for revisits by equal digest.
@@ -90,6 +97,7 @@ def write_archives(
     payload_col: str = "html",
     min_revisit_bytes: int = MIN_REVISIT_BYTES,
     captures_per_file: int = CAPTURES_PER_FILE,
+    archive_bytes: int = ARCHIVE_BYTES,
     date: str = CAPTURE_DATE,
 ) -> None:
     payload = F.coalesce(F.col(payload_col), F.lit(""))
@@ -102,12 +110,13 @@ def write_archives(
         row_number(pages).alias("row"),
     )
     # only digests that occur twice or more can have revisits
-    firsts = (
+    firsts = stored(
         rows.where(F.col("n") >= min_revisit_bytes)
         .groupBy("digest")
         .agg(F.min(F.when(F.col("id").isNotNull(), F.struct("id", "row"))).alias("first"), F.count(F.lit(1)).alias("copies"))
         .where("copies > 1 and first is not null")
-        .select("digest", "first")
+        .select("digest", "first"),
+        "warc-firsts",
     )
     rows = rows.join(firsts, "digest", "left")
     revisit = F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first.id"))
@@ -155,13 +164,16 @@ def write_archives(
         F.coalesce(F.concat(F.lit("capture-key: "), F.col("id").cast("string"), F.lit(CRLF)), F.lit("")),
     )
     end = F.lit(CRLF + CRLF)
-    (
-        rows.select(F.concat(request, end, response, end, metadata).alias("value"))
-        .write.option("lineSep", CRLF + CRLF)
-        .option("compression", "gzip")
-        .option("maxRecordsPerFile", captures_per_file)
-        .text(path)
-    )
+    long = F.col("n") > archive_bytes // captures_per_file
+    for part, captures in ((rows.where(~long), captures_per_file), (rows.where(long), 1)):
+        (
+            part.select(F.concat(request, end, response, end, metadata).alias("value"))
+            .write.mode("append")
+            .option("lineSep", CRLF + CRLF)
+            .option("compression", "gzip")
+            .option("maxRecordsPerFile", captures)
+            .text(path)
+        )
 
 
 class _Stream:
@@ -214,26 +226,37 @@ def _fields(head: bytes) -> dict[str, str]:
     return {name.strip().lower(): value.strip() for name, value in pairs}
 
 
-def _records(content: memoryview, with_payload: bool) -> Iterator[tuple]:
-    stream = _Stream(content)
+def _block(stream: _Stream, stated: str) -> bytes:
+    if stated.isdecimal():
+        block = stream.take(int(stated))
+        stream.take(4)
+        return block
+    # no length to go by; the next record's first line is not needed
+    block = stream.until(b"\r\n\r\nWARC/")
+    return stream.take(sys.maxsize).removesuffix(b"\r\n\r\n") if block is None else block
+
+
+def _records(content: memoryview, with_payload: bool, archive: str = "") -> Iterator[tuple]:
+    stream, place = _Stream(content), -1
     while (head := stream.until(b"\r\n\r\n")) is not None:
+        place += 1
         f = _fields(head)
-        block = stream.take(int(f.get("content-length", 0)))
-        stream.take(4)
+        block = _block(stream, f.get("content-length", ""))
         kind, payload, size, digest, key = f.get("warc-type"), None, None, None, None
         if kind in ("response", "revisit"):
             http, _, payload = block.partition(b"\r\n\r\n")
             size, digest = len(payload), hashlib.sha256(payload).hexdigest()
             if kind == "revisit":  # payload is elsewhere: what the headers say of it
                 stated = _fields(http).get("content-length")
-                size = int(stated) if stated else None
+                size = int(stated) if stated and stated.isdecimal() else None
                 digest = f.get("warc-payload-digest", "").removeprefix("sha256:") or None
         elif kind == "metadata":
             key = _fields(b"\r\n" + block).get("capture-key")
+        ident, concurrent = f.get("warc-record-id"), f.get("warc-concurrent-to")
         yield (
-            f.get("warc-record-id"),
+            f"<{archive}#{place}>" if ident is None and concurrent is None else ident,
             kind,
-            f.get("warc-concurrent-to"),
+            concurrent,
             f.get("warc-refers-to"),
             f.get("warc-date"),
             f.get("warc-target-uri"),
@@ -260,10 +283,10 @@ def read_records(spark: SparkSession, path: str, with_payload: bool = True) -> D
             )
 
         for batch in batches:
-            for content in batch.column(0):
+            for content, archive in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
                 rows: list[tuple] = []
                 held = 0
-                for row in _records(memoryview(content.as_buffer()), with_payload):
+                for row in _records(memoryview(content.as_buffer()), with_payload, archive):
                     rows.append(row)
                     held += len(row[-1] or b"") + 500
                     if held > 4 << 20:
@@ -272,7 +295,7 @@ def read_records(spark: SparkSession, path: str, with_payload: bool = True) -> D
                 if rows:
                     yield batch_of(rows)
 
-    files = spark.read.format("binaryFile").load(path).select("content")
+    files = spark.read.format("binaryFile").load(path).select("content", "path")
     return files.mapInArrow(task, RECORD)
 
 
