@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from tickwise.llm.url_filter import RULES, build_cascade, domains, judge, key_universe, listed
+from tickwise.llm.url_filter import RULES, build_cascade, domains, judge, judge_by_list, key_universe, listed
 
 URLS = "page_id bigint, url string, host string, rule string"
 
@@ -64,6 +64,26 @@ def test_verdicts(spark):
         assert (r.host, r.path, r.rule, r.verdict) == brute(urls[r.page_id], block), urls[r.page_id]
 
 
+def test_a_list_beyond_the_bound_is_judged_in_slices(spark):
+    rng = random.Random(9)
+    hosts = [f"h{rng.randrange(4000)}.d{rng.randrange(900)}.org" for _ in range(3000)]
+    pages = urls_of(spark, [f"http://{h}/" for h in hosts] + [None, "http://x.net/"])
+    universe = {".".join(h.split(".")[i:]) for h in hosts for i in range(3)}
+    for share in (0.5, 0.02):
+        block = {k for k in sorted(universe) if rng.random() < share and k != "org"}
+        found = spark.createDataFrame([(k,) for k in sorted(block)], "key string")
+        keys = key_universe(pages).join(found.withColumn("l", F.lit(True)), "key", "left").select("key", F.coalesce("l", F.lit(False)).alias("listed"))
+        # several slices; a bound at which the whole list fits
+        for bound in (600 if share > 0.1 else 90, 1 << 20):
+            rows = judge_by_list(pages, keys, max_filter_bytes=bound).collect()
+            assert len(rows) == len(hosts) + 2
+            for r in rows:
+                host = hosts[r.page_id] if r.page_id < len(hosts) else None
+                want = "block" if host is None and r.rule or host and any(".".join(host.split(".")[i:]) in block for i in range(3)) else "allow"
+                assert r.verdict == want, r
+    assert judge_by_list(urls_of(spark, []), keys, max_filter_bytes=90).count() == 0
+
+
 def test_no_urls(spark):
     pages = urls_of(spark, [])
     assert judge(pages, build_cascade(key_universe(pages).withColumn("listed", F.lit(True)))).count() == 0

@@ -19,7 +19,7 @@ from tickwise.llm.quality import BASE, CURRENT, POLICIES, RULES, apply_policy, b
 from tickwise.llm.sharding import assign_shards
 from tickwise.llm.stars import near_components
 from tickwise.llm.toxicity import score, train
-from tickwise.llm.url_filter import LISTED_LABELS, build_cascade, judge, key_universe
+from tickwise.llm.url_filter import LISTED_LABELS, judge_by_list, key_universe
 from tickwise.llm.warc import assemble, read_records, resolve, write_archives
 from tickwise.session import scratch_path
 
@@ -100,8 +100,8 @@ def q_op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     keys = key_universe(pages)
     first_label = F.element_at(F.split("key", r"\."), 1)
-    levels = build_cascade(keys.withColumn("listed", first_label.isin(*LISTED_LABELS)))
-    return judge(pages, levels).select("page_id", "host", "path", "rule", "verdict")
+    rows = judge_by_list(pages, keys.withColumn("listed", first_label.isin(*LISTED_LABELS)))
+    return rows.select("page_id", "host", "path", "rule", "verdict")
 
 
 def q_op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

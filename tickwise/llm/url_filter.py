@@ -13,15 +13,19 @@ seed, so two keys that collide on one level part on the next.
 
 Building: distinct keys are one grouped aggregate (a hot host is one key),
 stored once; each level is one pass over the keys that are left, whose bits
-are combined by ``bit_or`` a 64-bit word. What reaches the driver is the filter, a few
-bits a listed key; more than ``max_filter_bytes`` raises an error rather than
-be sent to every task. Judging a URL is a projection: no shuffle.
+are combined by ``bit_or`` a 64-bit word. What reaches the driver, and every task, is
+the filter, a few bits a listed key. ``judge_by_list`` cuts a list whose
+filter would take more than ``max_filter_bytes`` into slices by a hash of the key:
+each slice has a cascade of its own, and the URLs, with what they are known
+to be so far, are written once a slice, so there are never two filters at a time.
+Judging a URL is a projection: no shuffle.
 
 Defined cases: a null URL, or one without ``://``, has empty host and path
 and is allowed; of a host of any length only the domains of at most
 ``MAX_DOMAIN`` characters are looked up, so its work grows with its length (its
 rule and its host column are those of the whole URL); an empty list, or an empty
-table, makes a filter that lists nothing; repeated rows are judged alike; other
+table, makes a filter that lists nothing; the list is any column ``listed`` of the
+universe (here: by first label, ``LISTED_LABELS``); repeated rows are judged alike; other
 columns pass through, columns named like a result are replaced.
 """
 
@@ -44,7 +48,8 @@ RULES = (
 )
 # Domains that the block list names, by their first label.
 LISTED_LABELS = ("adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm")
-MAX_FILTER_BYTES = 64 << 20
+MAX_FILTER_BYTES = 8 << 20  # of a level
+RESULTS = ("host", "path", "rule", "verdict")
 MAX_DOMAIN = 253  # characters of a domain name, by the DNS
 
 
@@ -97,14 +102,19 @@ def _holds(key: Column, seed: int, level: Level) -> Column:
     )
 
 
-def _level(keys: DataFrame, n: int, n_others: int, seed: int, max_bytes: int) -> Level:
+def _shape(n: int, n_others: int, seed: int) -> tuple[int, int]:
+    """Bits and hashes of a level that holds ``n`` keys against ``n_others``."""
     # the first level is tight where few keys of many are listed; later levels halve
     rate = 0.5 if seed else min(0.5, max(1e-4, math.sqrt(0.5) * n / max(1, n_others)))
     n_bits = max(64, math.ceil(n * math.log2(1 / rate) / math.log(2)))
+    return n_bits, min(16, max(1, round(n_bits / max(1, n) * math.log(2))))
+
+
+def _level(keys: DataFrame, n: int, n_others: int, seed: int, max_bytes: int) -> Level:
+    n_bits, n_hashes = _shape(n, n_others, seed)
     if n_bits > 8 * max_bytes:
         raise ValueError(f"a filter of {n} listed keys takes {n_bits // 8} bytes; the bound is {max_bytes}")
-    n_hashes = max(1, round(n_bits / n * math.log(2)))
-    place = F.explode(_places(F.col("key"), seed, n_bits, min(n_hashes, 16)))
+    place = F.explode(_places(F.col("key"), seed, n_bits, n_hashes))
     rows = (
         keys.select(place.alias("p"))
         .select((F.col("p") / 64).cast("int").alias("word"), F.expr("shiftleft(1L, cast(p % 64 as int))").alias("mask"))
@@ -115,12 +125,10 @@ def _level(keys: DataFrame, n: int, n_others: int, seed: int, max_bytes: int) ->
     words = [0] * ((n_bits + 63) // 64)
     for r in rows:
         words[r.word] = r.mask
-    return Level(n_bits, min(n_hashes, 16), words)
+    return Level(n_bits, n_hashes, words)
 
 
-def build_cascade(keys: DataFrame, max_filter_bytes: int = MAX_FILTER_BYTES) -> list[Level]:
-    """Levels for ``keys(key, listed)``, the whole universe, keys distinct."""
-    keys = stored(keys.select("key", "listed"), "url-keys")
+def _cascade(keys: DataFrame, max_filter_bytes: int) -> list[Level]:
     inside, outside = keys.where("listed"), keys.where("not listed")
     levels: list[Level] = []
     n, others = inside.count(), outside.count()
@@ -133,6 +141,17 @@ def build_cascade(keys: DataFrame, max_filter_bytes: int = MAX_FILTER_BYTES) ->
     return levels
 
 
+def build_cascade(keys: DataFrame, max_filter_bytes: int = MAX_FILTER_BYTES) -> list[Level]:
+    """Levels for ``keys(key, listed)``, the whole universe, keys distinct.
+    Raises ``ValueError`` where a level would take more than
+    ``max_filter_bytes``; ``judge_by_list`` takes lists of any length."""
+    return _cascade(stored(keys.select("key", "listed"), "url-keys"), max_filter_bytes)
+
+
+def _slice(key: Column, n_slices: int) -> Column:
+    return F.pmod(F.xxhash64(key, F.lit(-1)), F.lit(n_slices))
+
+
 def listed(key: Column, levels: list[Level]) -> Column:
     """Exact membership of a key of the universe."""
     answer = F.lit(False)
@@ -147,6 +166,27 @@ def key_universe(urls: DataFrame, url_col: str = "url") -> DataFrame:
     return hosts.select(F.explode(domains(F.col("host"))).alias("key")).distinct()
 
 
+def _ruled(urls: DataFrame, rules: tuple[tuple[str, str, str], ...], url_col: str) -> DataFrame:
+    """``row, host, path, rule, verdict`` of every URL, by the rules alone."""
+    kept = [F.col(f"`{c}`") for c in urls.columns if c not in RESULTS or c == url_col]
+    url = F.col(url_col)
+    rows = urls.select(F.struct(*kept).alias("row"), host_of(url).alias("host"), path_of(url).alias("path"))
+    rule, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for kind, host, path in sorted(rules, key=lambda r: (len(r[1] + r[2]), len(r[1]))):
+        fits = ((F.col("host") == host) | F.col("host").endswith(f".{host}")) & F.col("path").startswith(path)
+        rule = F.when(fits, F.lit(host + path)).otherwise(rule)
+        verdict = F.when(fits, F.lit(kind)).otherwise(verdict)
+    return rows.select("row", "host", "path", rule.alias("rule"), verdict.alias("verdict"))
+
+
+def _result(rows: DataFrame, columns: list[str], blocked: Column) -> DataFrame:
+    other = F.when(blocked, F.lit("block")).otherwise(F.lit("allow"))
+    return rows.select(
+        *[F.col("row")[c].alias(c) for c in columns if c not in RESULTS],
+        "host", "path", "rule", F.coalesce("verdict", other).alias("verdict"),
+    )
+
+
 def judge(
     urls: DataFrame,
     levels: list[Level],
@@ -156,19 +196,28 @@ def judge(
     """``urls`` with ``host, path, rule, verdict``: the longest rule that fits
     decides, else the list: a URL is blocked if its host or a parent domain
     is listed."""
-    new = ("host", "path", "rule", "verdict")
-    kept = [F.col(f"`{c}`") for c in urls.columns if c not in new or c == url_col]
-    url = F.col(url_col)
-    rows = urls.select(F.struct(*kept).alias("row"), host_of(url).alias("host"), path_of(url).alias("path"))
-    rule, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for kind, host, path in sorted(rules, key=lambda r: (len(r[1] + r[2]), len(r[1]))):
-        fits = ((F.col("host") == host) | F.col("host").endswith(f".{host}")) & F.col("path").startswith(path)
-        rule = F.when(fits, F.lit(host + path)).otherwise(rule)
-        verdict = F.when(fits, F.lit(kind)).otherwise(verdict)
-    rows = rows.select("row", "host", "path", rule.alias("rule"), verdict.alias("verdict"))
     blocked = F.exists(domains(F.col("host")), lambda key: listed(key, levels))
-    other = F.when(blocked, F.lit("block")).otherwise(F.lit("allow"))
-    names = [c for c in urls.columns if c not in new]
-    return rows.select(
-        *[F.col("row")[c].alias(c) for c in names], "host", "path", "rule", F.coalesce("verdict", other).alias("verdict")
-    )
+    return _result(_ruled(urls, rules, url_col), urls.columns, blocked)
+
+
+def judge_by_list(
+    urls: DataFrame,
+    keys: DataFrame,
+    rules: tuple[tuple[str, str, str], ...] = RULES,
+    url_col: str = "url",
+    max_filter_bytes: int = MAX_FILTER_BYTES,
+) -> DataFrame:
+    """``judge`` by ``keys(key, listed)``, the whole universe, keys distinct,
+    whatever the length of the list."""
+    keys = stored(keys.select("key", "listed"), "url-keys")
+    n = keys.agg(F.count_if("listed").alias("inside"), F.count_if(~F.col("listed")).alias("outside")).first()
+    n_bytes = _shape(n.inside, n.outside, 0)[0] / 8
+    if n_bytes <= max_filter_bytes:
+        return judge(urls, _cascade(keys, max_filter_bytes), rules, url_col)
+    n_slices = math.ceil(2 * n_bytes / max_filter_bytes)  # slices are not all alike
+    rows = _ruled(urls, rules, url_col).withColumn("blocked", F.lit(False))
+    for k in range(n_slices):
+        levels = _cascade(keys.where(_slice(F.col("key"), n_slices) == k), max_filter_bytes)
+        found = F.exists(domains(F.col("host")), lambda key: (_slice(key, n_slices) == k) & listed(key, levels))
+        rows = stored(rows.withColumn("blocked", F.col("blocked") | found), "url-slices")
+    return _result(rows, urls.columns, F.col("blocked"))
