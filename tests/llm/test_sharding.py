@@ -3,8 +3,10 @@ from __future__ import annotations
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.helpers import ODD_TEXTS, docs_of, prose
+from tickwise.llm.common import stored
 from tickwise.llm.sharding import assign_shards
 
 
@@ -45,3 +47,26 @@ def test_few_rows_nulls_and_none(spark):
     rows = assign_shards(docs_of(spark, [(None, None), (1, "x" * 9000)]), 16).collect()
     assert sorted(r.slot for r in rows) == [0, 0] and len({r.shard for r in rows}) == 2
     assert assign_shards(docs_of(spark, []), 16).count() == 0
+
+
+@pytest.mark.parametrize("n_shards", [1, 5, 16])
+def test_equals_the_whole_line_of_bytes(spark, n_shards):
+    """Brute force: all records in key order, end to end, and the middle of
+    each on that line; the drawn splitters must not show in the result."""
+    texts = [prose(i, i % 60) for i in range(250)] + ["a copy"] * 150 + ODD_TEXTS + ["long " * 3000]
+    docs = stored(docs_of(spark, [(i % 301, t) for i, t in enumerate(texts)]).coalesce(1), "test-docs")
+    row, text = F.monotonically_increasing_id(), F.coalesce("text", F.lit(""))
+    line = sorted(
+        docs.select(
+            F.xxhash64(text), F.xxhash64("doc_id", row), row, "doc_id", F.octet_length(text) + 1, F.crc32(text.cast("binary"))
+        ).collect()
+    )
+    total, end, want, held = sum(r[4] for r in line), 0, [], [0] * n_shards
+    for r in line:
+        end += r[4]
+        shard = min(int((end - r[4] / 2) / total * n_shards), n_shards - 1)
+        want.append((r[3], r[4], r[5], shard, held[shard]))
+        held[shard] += 1
+    for kwargs in ({}, {"min_ranges": 3, "range_bytes": 1 << 30}, {"min_ranges": 40, "range_bytes": 300}):
+        got = assign_shards(docs, n_shards, **kwargs).collect()
+        assert sorted((r.doc_id, r.size, r.text_crc32, r.shard, r.slot) for r in got) == sorted(want)
