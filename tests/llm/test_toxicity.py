@@ -131,3 +131,19 @@ def test_fit_is_the_maximum_found_by_searching(seed):
         step = step if moved else step / 2
     assert likelihood(got, grades, present) > value - 1e-3
     assert np.abs(got - best).max() < 0.15 and (model.weights != 0).sum() <= m
+
+
+def test_very_long_texts_train_with_a_bounded_number_of_features(spark):
+    """The fit sees a part of a long text's features, the score all of them."""
+    rows, labels = corpus(600, 5)
+    long_clean = " ".join(f"q{k}" for k in range(30_000))
+    rows += [(600, long_clean + " VILE nasty rotten"), (601, long_clean)]
+    labels += [(600, 1, 1), (601, 1, 0)]
+    docs, marks = docs_of(spark, rows), spark.createDataFrame(labels, LABELS)
+    model = train(docs, marks, max_row_features=200)
+    got = {r.doc_id: r.toxic for r in score(docs, model).collect()}
+    assert got[600] and not got[601]
+    assert sum(got[i] == bool(t) for i, _, t in labels) >= 0.97 * len(labels)
+    # with no text beyond the bound it changes nothing
+    same = [train(docs_of(spark, rows[:600]), marks, max_row_features=n) for n in (300, 1 << 18)]
+    assert np.array_equal(same[0].weights, same[1].weights) and np.array_equal(same[0].thresholds, same[1].thresholds)

@@ -8,7 +8,9 @@ words (``PREFIX`` bytes, for stems), 1 where the text has them.
 
 The model is fitted on a bounded sample of labelled rows (``max_toxic`` and
 ``max_clean`` documents, those whose id hashes lowest), weighted back to the
-shares of all labels. Labels that only say toxic or not are graded by how many
+shares of all labels; of a text with more than ``max_row_features`` different
+features the fit takes those that hash lowest, so what reaches the driver is
+bounded however long the texts are. Labels that only say toxic or not are graded by how many
 different marked words a document holds: words that nearly only toxic rows of the
 sample have. Every document is then scored on its whole text by a projection.
 
@@ -39,6 +41,7 @@ MAX_CLEAN = 4000
 GRADES = 3
 MIN_DOCUMENTS = 3
 MAX_FEATURES = 1 << 15
+MAX_ROW_FEATURES = 1 << 12
 MARKED_SHARE = 0.9
 # Few labels are toxic, so the sum of errors is least below one half.
 TOXIC_FROM = 0.3
@@ -148,6 +151,7 @@ def train(
     max_toxic: int = MAX_TOXIC,
     max_clean: int = MAX_CLEAN,
     grades: int = GRADES,
+    max_row_features: int = MAX_ROW_FEATURES,
 ) -> OrdinalModel | None:
     """A model, or None if one of the classes has no document. ``label_col``
     holds 0 and 1, or grades from 0 up (then they are used as they are)."""
@@ -174,7 +178,11 @@ def train(
         for batch in batches:
             for first, count, row_of, features in text_features(batch.column(1)):
                 pair = np.unique((row_of << FEATURE_BITS) | features)
-                cut = np.searchsorted(pair >> FEATURE_BITS, np.arange(count + 1)).astype(np.int32)
+                cut = np.searchsorted(pair >> FEATURE_BITS, np.arange(count + 1))
+                if np.diff(cut).max(initial=0) > max_row_features:
+                    pair = pair[np.arange(len(pair)) - cut[pair >> FEATURE_BITS] < max_row_features]
+                    cut = np.searchsorted(pair >> FEATURE_BITS, np.arange(count + 1))
+                cut = cut.astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(2).slice(first, count),
